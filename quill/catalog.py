@@ -430,3 +430,492 @@ WHERE idx >= 5 AND idx < 700 AND (idx - 5) % 3 = 0
 def slice_view_q(spark, sf):
     d = corpus.with_index(_t(spark, sf, "documents").select("doc_id"), ["doc_id"])
     return corpus.slice_view(d, "idx", 5, 700, 3).select("doc_id")
+
+
+# ---------------------------------------------------------------------------
+# Packing (token ids without a vocabulary: code points of the text, BOS = 0)
+
+from quill.operators import evals, pack  # noqa: E402
+
+
+def _cp_ids(spark, sf):
+    d = _t(spark, sf, "documents").select("doc_id", "text")
+    # one pass over the text: every code point as a one-character match
+    cps = F.transform(F.regexp_extract_all("text", F.lit("(?s)(.)"), 1), lambda c: F.ascii(c))
+    ids = F.concat(F.array(F.lit(0)), cps)
+    return d.select("doc_id", ids.alias("ids"))
+
+
+_CP_SQL = """
+cp AS (SELECT doc_id, 0 AS p, 0 AS tok FROM documents
+       UNION ALL SELECT doc_id, i, unicode(substring(text, i, 1)) FROM documents, range(1, length(text) + 1) r(i)),
+st AS (SELECT row_number() OVER (ORDER BY doc_id, p) - 1 AS g, tok FROM cp)
+"""
+
+
+@register("token_offsets", """
+SELECT doc_id, coalesce(sum(length(text) + 1) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS "offset"
+FROM documents
+""")
+def token_offsets_q(spark, sf):
+    return pack.token_offsets(_cp_ids(spark, sf), ["doc_id"]).select("doc_id", "offset")
+
+
+_B, _T = 4, 64
+
+
+@register("pack_blocks", "WITH " + _CP_SQL + f""",
+b AS (SELECT g // {_B * _T + 1} AS block, g % {_B * _T + 1} AS w, tok FROM st),
+full_blocks AS (SELECT block FROM b GROUP BY block HAVING count(*) = {_B * _T + 1}),
+io AS (SELECT block, w // {_T} AS "row", 'i' AS side, w AS w, tok FROM b WHERE w < {_B * _T}
+       UNION ALL SELECT block, (w - 1) // {_T}, 't', w, tok FROM b WHERE w >= 1)
+SELECT block, "row",
+       md5(string_agg(CASE WHEN side = 'i' THEN tok::VARCHAR END, ',' ORDER BY w)) AS inputs_md5,
+       md5(string_agg(CASE WHEN side = 't' THEN tok::VARCHAR END, ',' ORDER BY w)) AS targets_md5,
+       sum(CASE WHEN side = 'i' THEN tok END) AS inputs_sum
+FROM io WHERE block IN (SELECT block FROM full_blocks) GROUP BY block, "row"
+""")
+def pack_q(spark, sf):
+    p = pack.pack(_cp_ids(spark, sf), _B, _T, ["doc_id"])
+    return p.select("block", "row", F.md5(F.array_join("inputs", ",")).alias("inputs_md5"),
+                    F.md5(F.array_join("targets", ",")).alias("targets_md5"),
+                    F.aggregate("inputs", F.lit(0).cast("long"), lambda a, x: a + x).alias("inputs_sum"))
+
+
+def _conv_ids(spark, sf):
+    """Rendered-conversation stand-in: one id per message (its length), mask by role."""
+    c = _t(spark, sf, "conversations")
+    return (c.groupBy("conv_id")
+            .agg(F.array_sort(F.collect_list(F.struct("turn", F.length("text").alias("tok"),
+                                                       F.when(F.col("role") == "assistant", 1).otherwise(0)
+                                                       .alias("m")))).alias("s"))
+            .select(F.col("conv_id").alias("idx"),
+                    F.concat(F.array(F.lit(0)), F.transform("s", lambda x: x["tok"])).alias("ids"),
+                    F.concat(F.array(F.lit(0)), F.transform("s", lambda x: x["m"])).alias("mask")))
+
+
+@register("collate_sft", """
+WITH s AS (SELECT conv_id AS idx, [0] || list(length(text) ORDER BY turn) AS ids,
+                  [0] || list(CASE WHEN role = 'assistant' THEN 1 ELSE 0 END ORDER BY turn) AS mask
+           FROM conversations GROUP BY conv_id),
+k AS (SELECT row_number() OVER (ORDER BY idx) - 1 AS idx, ids, mask FROM s WHERE len(ids) >= 2),
+b AS (SELECT idx // 8 AS batch, idx, ids, mask FROM k),
+w AS (SELECT batch, count(*) AS n, max(len(ids)) - 1 AS width FROM b GROUP BY batch HAVING count(*) = 8)
+SELECT batch, idx % 8 AS "row", idx,
+       md5(array_to_string(ids[1:len(ids) - 1] || list_transform(range(width - (len(ids) - 1)), lambda x: 7), ',')) AS inputs_md5,
+       md5(array_to_string(list_transform(range(2, len(ids) + 1), lambda i: CASE WHEN mask[i] = 0 THEN -1 ELSE ids[i] END)
+           || list_transform(range(width - (len(ids) - 1)), lambda x: -1), ',')) AS targets_md5
+FROM b JOIN w USING (batch)
+""")
+def collate_sft_q(spark, sf):
+    c = pack.collate_sft(_conv_ids(spark, sf), 8, pad_id=7)
+    return c.select("batch", "row", "idx", F.md5(F.array_join("inputs", ",")).alias("inputs_md5"),
+                    F.md5(F.array_join("targets", ",")).alias("targets_md5"))
+
+
+@register("pad_prompts", """
+WITH s AS (SELECT conv_id AS idx, [0] || list(length(text) ORDER BY turn) AS ids FROM conversations GROUP BY conv_id),
+b AS (SELECT idx // 16 AS batch, idx, ids FROM s),
+w AS (SELECT batch, max(len(ids)) AS width FROM b GROUP BY batch)
+SELECT batch, idx, md5(array_to_string(ids || list_transform(range(width - len(ids)), lambda x: 0), ',')) AS padded_md5,
+       len(ids) - 1 AS answer_pos
+FROM b JOIN w USING (batch)
+""")
+def pad_prompts_q(spark, sf):
+    p = pack.pad_prompts(_conv_ids(spark, sf).select("idx", "ids"), 16, bos_id=0)
+    return p.select("batch", "idx", F.md5(F.array_join("padded", ",")).alias("padded_md5"), "answer_pos")
+
+
+@register("pad_rollouts", """
+WITH s AS (SELECT conv_id // 4 AS prompt, conv_id AS sample_no, [0] || list(length(text) ORDER BY turn) AS ids,
+                  [0] || list(CASE WHEN role = 'assistant' THEN 1 ELSE 0 END ORDER BY turn) AS mask
+           FROM conversations GROUP BY conv_id),
+w AS (SELECT prompt, max(len(ids)) AS width FROM s GROUP BY prompt),
+p AS (SELECT prompt, sample_no, width, ids || list_transform(range(width - len(ids)), lambda x: 4) AS pi,
+             mask || list_transform(range(width - len(mask)), lambda x: 0) AS pm FROM s JOIN w USING (prompt))
+SELECT prompt, sample_no, md5(array_to_string(pi[1:width - 1], ',')) AS inputs_md5,
+       md5(array_to_string(list_transform(range(2, width + 1), lambda i: CASE WHEN pm[i] = 0 THEN -1 ELSE pi[i] END), ',')) AS targets_md5
+FROM p
+""")
+def pad_rollouts_q(spark, sf):
+    c = _conv_ids(spark, sf).select((F.col("idx") / 4).cast("long").alias("prompt"),
+                                    F.col("idx").alias("sample_no"), "ids", "mask")
+    p = pack.pad_rollouts(c, pad_id=4)
+    return p.select("prompt", "sample_no", F.md5(F.array_join("inputs", ",")).alias("inputs_md5"),
+                    F.md5(F.array_join("targets", ",")).alias("targets_md5"))
+
+
+def _option_ids(spark, sf):
+    # options of an item = lines of an order; ids = part, supplier and quantity
+    li = _t(spark, sf, "lineitem")
+    return (li.groupBy("l_orderkey", "l_linenumber")
+            .agg(F.min("l_partkey").alias("a"), F.min("l_suppkey").alias("b"), F.min("l_quantity").alias("q"))
+            .select(F.col("l_orderkey").alias("item"), F.col("l_linenumber").alias("option"),
+                    F.array(F.lit(1), (F.col("l_orderkey") % 3).cast("int"), (F.col("a") % 2).cast("int"),
+                            (F.col("b") % 2).cast("int"), F.col("q").cast("int")).alias("ids")))
+
+
+_OPT_SQL = """
+o AS (SELECT l_orderkey AS item, l_linenumber AS option,
+             [1, (l_orderkey % 3)::INT, (min(l_partkey) % 2)::INT, (min(l_suppkey) % 2)::INT, min(l_quantity)::INT] AS ids
+      FROM lineitem GROUP BY l_orderkey, l_linenumber),
+r AS (SELECT item, arg_min(ids, option) AS ref FROM o GROUP BY item),
+c AS (SELECT item, option, len(ids) AS "end",
+             coalesce(list_position(list_transform(range(1, least(len({a}), len({b})) + 1), lambda i: {a}[i] <> {b}[i]), true) - 1,
+                      least(len(ids), len(ref))) AS cl
+      FROM o JOIN r USING (item)),
+m AS (SELECT item, min(cl) AS common FROM c GROUP BY item)
+"""
+
+
+@register("option_spans_mc", "WITH " + _OPT_SQL.format(a="ids", b="ref") + """
+SELECT item, option, common::INT AS start, "end"::INT AS "end" FROM c JOIN m USING (item)
+""")
+def option_spans_mc_q(spark, sf):
+    return pack.option_spans(_option_ids(spark, sf), "mc")
+
+
+@register("option_spans_schema", "WITH " + _OPT_SQL.format(a="list_reverse(ids)", b="list_reverse(ref)") + """
+SELECT item, option, ("end" - common)::INT AS start, "end"::INT AS "end" FROM c JOIN m USING (item)
+""")
+def option_spans_schema_q(spark, sf):
+    return pack.option_spans(_option_ids(spark, sf), "schema")
+
+
+@register("crop_left", """
+WITH s AS (SELECT conv_id, [0] || list(length(text) ORDER BY turn) AS ids FROM conversations GROUP BY conv_id),
+x AS (SELECT conv_id, ids, len(ids) - 2 AS start, len(ids) AS "end", greatest(len(ids) - 3, 0) AS over FROM s)
+SELECT conv_id, md5(array_to_string(CASE WHEN over > 0 THEN ids[len(ids) - 2:] ELSE ids END, ',')) AS ids_md5,
+       start - over AS start, "end" - over AS "end", (start - over >= 0 AND "end" - over >= 0) AS span_ok
+FROM x
+""")
+def crop_left_q(spark, sf):
+    c = _conv_ids(spark, sf).select(F.col("idx").alias("conv_id"), "ids")
+    c = c.withColumn("start", F.size("ids") - 2).withColumn("end", F.size("ids"))
+    r = pack.crop_left(c, 3)
+    return r.select("conv_id", F.md5(F.array_join("ids", ",")).alias("ids_md5"), "start", "end", "span_ok")
+
+
+# ---------------------------------------------------------------------------
+# Evaluation stand-ins
+
+
+def _token_losses(spark, sf):
+    e = _t(spark, sf, "events")
+    return e.select((F.col("user_id") % 4).alias("run"), F.col("event_id").alias("pos"),
+                    (F.col("event_id") % 300 - 1).cast("int").alias("target_id"), F.abs("value").alias("loss"))
+
+
+def _token_bytes(spark):
+    r = spark.range(300)
+    return r.select(F.col("id").cast("int").alias("token_id"),
+                    F.when(F.col("id") >= 290, 0).otherwise(1 + F.col("id") % 7).cast("int").alias("n_bytes"))
+
+
+@register("bits_per_byte", """
+WITH l AS (SELECT user_id % 4 AS run, event_id % 300 - 1 AS target_id, abs(value) AS loss FROM events),
+tb AS (SELECT range::INT AS token_id, CASE WHEN range >= 290 THEN 0 ELSE 1 + range % 7 END AS n_bytes FROM range(300)),
+j AS (SELECT run, loss, CASE WHEN target_id >= 0 THEN coalesce(n_bytes, 0) ELSE 0 END AS nb
+      FROM l LEFT JOIN tb ON l.target_id = tb.token_id)
+SELECT run, round(sum(CASE WHEN nb > 0 THEN loss ELSE 0 END), 6) AS nats, sum(nb)::BIGINT AS bytes,
+       round(CASE WHEN sum(nb) = 0 THEN 'inf'::DOUBLE ELSE sum(CASE WHEN nb > 0 THEN loss ELSE 0 END) / (ln(2) * sum(nb)) END, 6) AS bpb
+FROM j GROUP BY run
+""")
+def bits_per_byte_q(spark, sf):
+    return evals.bits_per_byte(_token_losses(spark, sf), _token_bytes(spark), by=["run"])
+
+
+@register("fewshot_examples", """
+WITH p AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS pos, count(*) OVER () AS n FROM benchmark),
+s AS (SELECT item_id, pos, n, 1 + floor(('0x' || substring(md5('1234:' || item_id), 1, 8))::UBIGINT::DOUBLE / 4294967296.0 * (n - 3))::BIGINT AS o FROM p),
+k AS (SELECT item_id, j, (pos + o + j) % n AS shot_pos FROM s, range(3) r(j))
+SELECT k.item_id, k.j, p.item_id AS shot_item_id FROM k JOIN p ON k.shot_pos = p.pos
+""")
+def fewshot_q(spark, sf):
+    return evals.fewshot_examples(_t(spark, sf, "benchmark").select("item_id"), 3, seed=1234, key="item_id")
+
+
+@register("score_options", """
+WITH m AS (SELECT l_orderkey AS item, l_linenumber AS option, avg(l_extendedprice) AS mean_loss FROM lineitem GROUP BY 1, 2),
+p AS (SELECT item, arg_min(option, (mean_loss, option)) AS pred FROM m GROUP BY item)
+SELECT item, pred, 1 AS gold, pred = 1 AS is_correct FROM p
+""")
+def score_options_q(spark, sf):
+    li = _t(spark, sf, "lineitem")
+    losses = li.select(F.col("l_orderkey").alias("item"), F.col("l_linenumber").alias("option"),
+                       F.col("l_extendedprice").alias("loss"))
+    gold = li.select(F.col("l_orderkey").alias("item")).distinct().withColumn("gold", F.lit(1))
+    return evals.score_options(losses, gold)
+
+
+@register("score_lm", """
+SELECT l_orderkey AS item, bool_and(l_suppkey % 3 = l_partkey % 3) AS is_correct FROM lineitem GROUP BY 1
+""")
+def score_lm_q(spark, sf):
+    li = _t(spark, sf, "lineitem")
+    p = li.select(F.col("l_orderkey").alias("item"), (F.col("l_suppkey") % 3).alias("pred"),
+                  (F.col("l_partkey") % 3).alias("actual"))
+    return evals.score_lm(p)
+
+
+def _outcomes(spark, sf):
+    li = _t(spark, sf, "lineitem")
+    return (li.groupBy("l_orderkey", "l_linenumber")
+            .agg(F.bool_or(F.col("l_returnflag") == "R").alias("is_correct"))
+            .select(F.col("l_orderkey").alias("idx"), F.col("l_linenumber").alias("sample_no"), "is_correct"))
+
+
+_OUT_SQL = """
+o AS (SELECT l_orderkey AS idx, l_linenumber AS sample_no, bool_or(l_returnflag = 'R') AS is_correct
+      FROM lineitem GROUP BY 1, 2)
+"""
+
+
+@register("task_accuracy", "WITH " + _OUT_SQL + """,
+t AS (SELECT 'task' || (idx % 5) AS task, idx, bool_or(is_correct) AS is_correct FROM o GROUP BY 1, 2),
+r AS (SELECT task, is_correct, row_number() OVER (PARTITION BY task ORDER BY md5('1337:' || idx)) - 1 AS rk FROM t)
+SELECT task, count(*) AS n, round(avg(is_correct::INT::DOUBLE), 6) AS accuracy FROM r WHERE rk < 1000 GROUP BY task
+""")
+def task_accuracy_q(spark, sf):
+    o = _outcomes(spark, sf).groupBy("idx").agg(F.bool_or("is_correct").alias("is_correct"))
+    o = o.withColumn("task", F.concat(F.lit("task"), (F.col("idx") % 5).cast("string")))
+    return evals.task_accuracy(o, cap=1000, seed=1337)
+
+
+def _baselines(spark, sf):
+    r = _t(spark, sf, "region")
+    return r.select(F.concat(F.lit("task"), F.col("r_regionkey").cast("string")).alias("task"),
+                    (F.col("r_regionkey") * 10.0).alias("baseline"))
+
+
+_CENTER_SQL = "WITH " + _OUT_SQL + """,
+t AS (SELECT 'task' || (idx % 5) AS task, idx, bool_or(is_correct) AS is_correct FROM o GROUP BY 1, 2),
+a AS (SELECT task, count(*) AS n, round(avg(is_correct::INT::DOUBLE), 6) AS accuracy FROM t GROUP BY task),
+b AS (SELECT 'task' || r_regionkey AS task, r_regionkey * 10.0 AS baseline FROM region),
+c AS (SELECT task, n, accuracy, baseline, round((accuracy - 0.01 * baseline) / (1.0 - 0.01 * baseline), 6) AS centered
+      FROM a JOIN b USING (task))
+"""
+
+
+def _centered(spark, sf):
+    o = _outcomes(spark, sf).groupBy("idx").agg(F.bool_or("is_correct").alias("is_correct"))
+    o = o.withColumn("task", F.concat(F.lit("task"), (F.col("idx") % 5).cast("string")))
+    return evals.centered_score(evals.task_accuracy(o), _baselines(spark, sf))
+
+
+@register("centered_score", _CENTER_SQL + "SELECT task, n, accuracy, baseline, centered FROM c")
+def centered_q(spark, sf):
+    return _centered(spark, sf).select("task", "n", "accuracy", "baseline", "centered")
+
+
+@register("core_metric", _CENTER_SQL + """
+SELECT task, centered FROM c UNION ALL SELECT 'CORE', round(avg(centered), 6) FROM c
+""")
+def core_metric_q(spark, sf):
+    return evals.core_metric(_centered(spark, sf))
+
+
+@register("categorical_eval", """
+WITH lg AS (SELECT l_orderkey AS item, chr((64 + l_linenumber)::INT) AS letter, max(l_discount) AS logit FROM lineitem GROUP BY 1, 2),
+lt AS (SELECT o_orderkey AS item, chr((65 + i)::INT) AS letter, i AS letter_idx FROM orders, range(4) r(i)),
+v AS (SELECT lg.item, lg.letter, logit, letter_idx FROM lg JOIN lt ON lg.item = lt.item AND lg.letter = lt.letter),
+p AS (SELECT item, arg_max(letter, (logit, -letter_idx)) AS pred FROM v GROUP BY item)
+SELECT item, pred, chr(65 + (item % 4)::INT) AS gold, pred = chr(65 + (item % 4)::INT) AS is_correct
+FROM p JOIN (SELECT o_orderkey AS item FROM orders) USING (item)
+""")
+def categorical_eval_q(spark, sf):
+    li = _t(spark, sf, "lineitem")
+    logits = (li.groupBy("l_orderkey", "l_linenumber").agg(F.max("l_discount").alias("logit"))
+              .select(F.col("l_orderkey").alias("item"), F.chr(F.col("l_linenumber") + 64).alias("letter"), "logit"))
+    orders = _t(spark, sf, "orders").select(F.col("o_orderkey").alias("item"))
+    letters = orders.select("item", F.posexplode(F.array(*[F.lit(c) for c in "ABCD"])).alias("letter_idx", "letter"))
+    gold = orders.select("item", F.chr(65 + (F.col("item") % 4)).alias("gold"))
+    return evals.categorical_eval(logits, letters, gold)
+
+
+@register("generative_eval", "WITH " + _OUT_SQL + """
+SELECT count(*) AS n, round(avg(passed::INT::DOUBLE), 6) AS accuracy
+FROM (SELECT idx, bool_or(is_correct) AS passed FROM o GROUP BY idx)
+""")
+def generative_eval_q(spark, sf):
+    return evals.generative_eval(_outcomes(spark, sf))
+
+
+@register("grade_numeric", r"""
+WITH c AS (SELECT conv_id, turn, text || ' #### ' || length(text) AS ref,
+                  CASE WHEN turn % 3 = 0 THEN text ELSE text || ' #### ' || (length(text) - turn % 2) END AS pred
+           FROM conversations),
+x AS (SELECT conv_id, turn,
+             CASE WHEN regexp_matches(ref, '#### (\-?[0-9\.\,]+)') THEN replace(trim(regexp_extract(ref, '#### (\-?[0-9\.\,]+)', 1)), ',', '') END AS r,
+             CASE WHEN regexp_matches(pred, '#### (\-?[0-9\.\,]+)') THEN replace(trim(regexp_extract(pred, '#### (\-?[0-9\.\,]+)', 1)), ',', '') END AS p
+      FROM c)
+SELECT conv_id, turn, r IS NOT DISTINCT FROM p AS is_correct FROM x
+""")
+def grade_numeric_q(spark, sf):
+    c = _t(spark, sf, "conversations")
+    ref = F.concat("text", F.lit(" #### "), F.length("text"))
+    pred = F.when(F.col("turn") % 3 == 0, F.col("text")).otherwise(
+        F.concat("text", F.lit(" #### "), (F.length("text") - F.col("turn") % 2).cast("string")))
+    return c.select("conv_id", "turn", evals.grade_numeric(ref, pred).alias("is_correct"))
+
+
+@register("grade_letter", """
+SELECT o_orderkey AS item, list_contains(['A', 'B', 'C', 'D'], chr(65 + (o_custkey % 5)::INT))
+       AND chr(65 + (o_custkey % 5)::INT) = chr(65 + (o_orderkey % 4)::INT) AS is_correct FROM orders
+""")
+def grade_letter_q(spark, sf):
+    o = _t(spark, sf, "orders")
+    ans = F.chr(65 + F.col("o_custkey") % 5)
+    ref = F.chr(65 + F.col("o_orderkey") % 4)
+    letters = F.array(*[F.lit(c) for c in "ABCD"])
+    return o.select(F.col("o_orderkey").alias("item"), evals.grade_letter(ref, ans, letters).alias("is_correct"))
+
+
+@register("pass_at_k", "WITH " + _OUT_SQL + """,
+r AS (SELECT idx, is_correct, row_number() OVER (PARTITION BY idx ORDER BY sample_no) AS rk FROM o),
+f AS (SELECT idx, min(CASE WHEN is_correct THEN rk END) AS first_ok FROM r GROUP BY idx)
+SELECT k, round(avg(coalesce(first_ok <= k, false)::INT::DOUBLE), 6) AS pass_at_k FROM f, range(1, 9) t(k) GROUP BY k
+""")
+def pass_at_k_q(spark, sf):
+    return evals.pass_at_k(_outcomes(spark, sf), 8).withColumn("k", F.col("k").cast("long"))
+
+
+@register("chat_core", """
+WITH a AS (SELECT CASE l_linenumber WHEN 1 THEN 'ARC-Easy' WHEN 2 THEN 'ARC-Challenge' WHEN 3 THEN 'MMLU'
+                  WHEN 4 THEN 'GSM8K' WHEN 5 THEN 'HumanEval' WHEN 6 THEN 'SpellingBee' END AS task,
+                  avg((l_returnflag = 'R')::INT::DOUBLE) AS accuracy
+           FROM lineitem WHERE l_linenumber <= 6 GROUP BY 1),
+b AS (SELECT * FROM (VALUES ('ARC-Easy', 0.25), ('ARC-Challenge', 0.25), ('MMLU', 0.25), ('GSM8K', 0.0),
+                            ('HumanEval', 0.0), ('SpellingBee', 0.0)) t(task, baseline))
+SELECT round(avg((accuracy - baseline) / (1.0 - baseline)), 6) AS chatcore FROM a JOIN b USING (task) HAVING count(*) = 6
+""")
+def chat_core_q(spark, sf):
+    names = ["ARC-Easy", "ARC-Challenge", "MMLU", "GSM8K", "HumanEval", "SpellingBee"]
+    li = _t(spark, sf, "lineitem").where(F.col("l_linenumber") <= 6)
+    task = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("l_linenumber"))
+    accs = li.groupBy(task.alias("task")).agg(F.avg((F.col("l_returnflag") == "R").cast("double")).alias("accuracy"))
+    return evals.chat_core(accs)
+
+
+def _rewards(spark, sf):
+    return _outcomes(spark, sf).select(F.col("idx").alias("prompt"), "sample_no",
+                                       F.col("is_correct").cast("double").alias("reward"))
+
+
+_REW_SQL = _OUT_SQL + """,
+rw AS (SELECT idx AS prompt, sample_no, is_correct::INT::DOUBLE AS reward FROM o),
+adv AS (SELECT prompt, sample_no, reward, reward - avg(reward) OVER (PARTITION BY prompt) AS advantage FROM rw)
+"""
+
+
+@register("group_advantage", "WITH " + _REW_SQL + """
+SELECT prompt, sample_no, reward, round(advantage, 6) AS advantage FROM adv
+""")
+def group_advantage_q(spark, sf):
+    a = evals.group_advantage(_rewards(spark, sf))
+    return a.select("prompt", "sample_no", "reward", F.round("advantage", 6).alias("advantage"))
+
+
+@register("policy_objective", "WITH " + _REW_SQL + """,
+lp AS (SELECT l_orderkey AS prompt, l_linenumber AS sample_no, -ln(1 + l_discount) AS logp, (l_suppkey % 5) - 1 AS target FROM lineitem)
+SELECT prompt, sum((target >= 0)::BIGINT) AS n_valid,
+       round(sum(CASE WHEN target >= 0 THEN logp * advantage ELSE 0.0 END) / greatest(sum((target >= 0)::BIGINT), 1), 6) + 0.0 AS pg_obj
+FROM lp JOIN adv USING (prompt, sample_no) GROUP BY prompt
+""")
+def policy_objective_q(spark, sf):
+    li = _t(spark, sf, "lineitem")
+    lp = li.select(F.col("l_orderkey").alias("prompt"), F.col("l_linenumber").alias("sample_no"),
+                   (-F.log(1 + F.col("l_discount"))).alias("logp"), (F.col("l_suppkey") % 5 - 1).alias("target"))
+    adv = evals.group_advantage(_rewards(spark, sf))
+    return evals.policy_objective(lp, adv, by=["prompt"], keys=["prompt", "sample_no"])
+
+
+@register("rollout_stats", """
+WITH s AS (SELECT l_orderkey % 10 AS step, l_orderkey AS prompt, (l_returnflag = 'R')::INT::DOUBLE AS reward, l_quantity AS seq_len FROM lineitem),
+p AS (SELECT step, prompt, avg(reward) AS pm, sum(seq_len) AS sl, count(*) AS n FROM s GROUP BY 1, 2)
+SELECT step, round(avg(pm), 6) AS mean_reward, round(sum(sl) / sum(n), 6) AS mean_seq_len FROM p GROUP BY step
+""")
+def rollout_stats_q(spark, sf):
+    li = _t(spark, sf, "lineitem")
+    s = li.select((F.col("l_orderkey") % 10).alias("step"), F.col("l_orderkey").alias("prompt"),
+                  (F.col("l_returnflag") == "R").cast("double").alias("reward"), F.col("l_quantity").alias("seq_len"))
+    return evals.rollout_stats(s)
+
+
+@register("masked_token_mean", """
+SELECT user_id % 4 AS run, round(avg(CASE WHEN event_id % 300 - 1 <> -1 THEN abs(value) END), 6) AS mean_loss,
+       sum((event_id % 300 - 1 <> -1)::BIGINT) AS active_tokens FROM events GROUP BY 1
+""")
+def masked_token_mean_q(spark, sf):
+    return evals.masked_token_mean(_token_losses(spark, sf), by=["run"])
+
+
+def _run_metrics(spark, sf):
+    e = _t(spark, sf, "events")
+    return e.select(F.col("event_type").alias("run"), F.col("event_id").alias("step"),
+                    F.abs("value").alias("loss"), (1 + F.col("value") % 2).alias("dt"))
+
+
+@register("run_metrics", """
+WITH RECURSIVE m AS (SELECT event_type AS run, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS t,
+                            event_id AS step, abs(value) AS loss, 1 + value % 2 AS dt FROM events),
+e(run, t, step, ema, tw) AS (
+  SELECT run, t, step, 0.1 * loss, CASE WHEN t >= 10 THEN dt ELSE 0.0 END FROM m WHERE t = 0
+  UNION ALL
+  SELECT m.run, m.t, m.step, 0.9 * e.ema + 0.1 * m.loss, e.tw + CASE WHEN m.t >= 10 THEN m.dt ELSE 0.0 END
+  FROM e JOIN m ON m.run = e.run AND m.t = e.t + 1)
+SELECT run, step, round(ema / (1.0 - pow(0.9, t + 1)), 6) AS ema_loss, round(tw, 6) AS time_after_warmup FROM e
+""")
+def run_metrics_q(spark, sf):
+    r = evals.run_metrics(_run_metrics(spark, sf))
+    return r.select("run", "step", "ema_loss", "time_after_warmup")
+
+
+@register("best_checkpoint", """
+SELECT event_type AS run, arg_min(event_id, (abs(value), event_id)) AS best_step, min(abs(value)) AS best_loss
+FROM events GROUP BY 1
+""")
+def best_checkpoint_q(spark, sf):
+    m = _run_metrics(spark, sf).withColumnRenamed("loss", "val_loss")
+    return evals.best_checkpoint(m)
+
+
+@register("report_summary", """
+WITH kv AS (SELECT CASE doc_id % 4 WHEN 0 THEN 'base' WHEN 1 THEN 'mid' WHEN 2 THEN 'sft' ELSE 'rl' END AS stage,
+                   CASE WHEN doc_id % 3 = 0 THEN 'CORE' WHEN doc_id % 3 = 1 THEN 'ChatCORE' ELSE 'MMLU' END AS metric,
+                   quality FROM labels WHERE NOT (doc_id % 4 = 3 AND doc_id % 3 = 2)),
+a AS (SELECT metric, stage, round(avg(quality), 4)::VARCHAR AS v FROM kv GROUP BY 1, 2)
+SELECT metric,
+       coalesce(max(CASE WHEN stage = 'base' THEN v END), '-') AS base,
+       coalesce(max(CASE WHEN stage = 'mid' THEN v END), '-') AS mid,
+       coalesce(max(CASE WHEN stage = 'sft' THEN v END), '-') AS sft,
+       coalesce(max(CASE WHEN stage = 'rl' THEN v END), '-') AS rl,
+       CASE WHEN metric = 'CORE' THEN 0 WHEN metric = 'ChatCORE' THEN 2 ELSE 1 END AS sort_key
+FROM a GROUP BY metric
+""")
+def report_summary_q(spark, sf):
+    lab = _t(spark, sf, "labels")
+    stage = F.element_at(F.array(*[F.lit(s) for s in ["base", "mid", "sft", "rl"]]), (F.col("doc_id") % 4 + 1).cast("int"))
+    metric = F.when(F.col("doc_id") % 3 == 0, "CORE").when(F.col("doc_id") % 3 == 1, "ChatCORE").otherwise("MMLU")
+    kv = (lab.where(~((F.col("doc_id") % 4 == 3) & (F.col("doc_id") % 3 == 2)))
+          .groupBy(stage.alias("stage"), metric.alias("metric"))
+          .agg(F.round(F.avg("quality"), 4).cast("string").alias("value"))
+          .withColumn("run", F.lit("r0")))
+    return evals.report_summary(kv).drop("run")
+
+
+@register("cost_estimate", """
+SELECT p_partkey, round((CASE WHEN contains(p_name, 'H100') THEN 3.0 WHEN contains(p_name, 'A100') THEN 1.79
+                            WHEN contains(p_name, 'V100') THEN 0.55 ELSE 2.0 END)::DOUBLE * (p_size % 8 + 1), 6) AS hourly_rate,
+       round((CASE WHEN contains(p_name, 'H100') THEN 3.0 WHEN contains(p_name, 'A100') THEN 1.79
+                  WHEN contains(p_name, 'V100') THEN 0.55 ELSE 2.0 END)::DOUBLE * (p_size % 8 + 1) * (p_retailprice / 100.0), 6) AS estimated_total
+FROM (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'NVIDIA H100 80GB' WHEN 1 THEN 'A100-SXM' WHEN 2 THEN 'Tesla V100' ELSE p_name END AS p_name,
+             p_size, p_retailprice FROM part)
+""")
+def cost_estimate_q(spark, sf):
+    p = _t(spark, sf, "part")
+    name = F.element_at(F.array(F.lit("NVIDIA H100 80GB"), F.lit("A100-SXM"), F.lit("Tesla V100"), F.col("p_name")),
+                        (F.col("p_partkey") % 4 + 1).cast("int"))
+    runs = p.select("p_partkey", name.alias("device"), (F.col("p_size") % 8 + 1).alias("n_devices"),
+                    (F.col("p_retailprice") / 100.0).alias("hours"))
+    return evals.cost_estimate(runs).select("p_partkey", "hourly_rate", "estimated_total")
