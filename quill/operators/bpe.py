@@ -78,6 +78,8 @@ def pair_counts(words: DataFrame, ids: str = "ids", cnt: str = "cnt") -> DataFra
 # ---------------------------------------------------------------------------
 # D4 training
 
+TRAIN_STATS: dict[str, int] = {}
+
 def _to_tokstr(arr: Column) -> Column:
     return F.concat(F.lit(","), F.array_join(arr, ","), F.lit(","))
 
@@ -87,38 +89,65 @@ def _tokstr_ids(s: Column) -> Column:
     return F.transform(F.split(inner, ","), lambda x: x.cast("int"))
 
 
-def select_batch(top: list[tuple[int, int, int]], max_right: dict[int, int],
-                 max_left: dict[int, int]) -> list[tuple[int, int, int]]:
-    """Exact batch of merges from candidates sorted by (-count, left, right).
+def select_batch(top: list[tuple[int, int, int]], truncated: bool,
+                 max_merges: int) -> list[tuple[int, int, int]]:
+    """Exact batch of merges from the top candidates sorted by (-count, left, right).
 
-    ``max_right[t]``/``max_left[t]``: largest count of a pair ending/starting
-    with token ``t``. Accepted pairs keep their counts, and any pair a merge
-    creates is bounded by an old pair next to it, so each accepted pair is the
-    one sequential greedy training would pick next.
+    After the leader, a pair is accepted while it shares no joint token with
+    an accepted pair (so its count is untouched by their merges) and its count
+    strictly beats ``ub``: every pair next to an accepted pair (ending in its
+    left token or starting with its right token) — any pair a merge creates
+    is bounded by such a pair. Neighbours come from the candidate list; when
+    the list was cut at K pairs, unseen pairs are bounded by the K-th count.
     """
+    max_right: dict[int, int] = {}
+    max_left: dict[int, int] = {}
+    for left, right, cnt in top:
+        max_right[right] = max(max_right.get(right, -1), cnt)
+        max_left[left] = max(max_left.get(left, -1), cnt)
+    floor = top[-1][2] if truncated and top else -1
     accepted: list[tuple[int, int, int]] = []
     lefts: set[int] = set()
     rights: set[int] = set()
     ub = -1
     for left, right, cnt in top:
+        if len(accepted) >= max_merges:
+            break
         if accepted:
             if right in lefts or left in rights or cnt <= ub:
                 break
         accepted.append((left, right, cnt))
         lefts.add(left)
         rights.add(right)
-        ub = max(ub, max_right.get(left, -1), max_left.get(right, -1))
+        ub = max(ub, max_right.get(left, -1), max_left.get(right, -1), floor)
     return accepted
 
 
+_PAIR_RE = r"(?=,([0-9]+,[0-9]+),)"
+
+
+def _round_summary(words: DataFrame, limit: int) -> DataFrame:
+    """One job per round: pair counts (overlapping pairs straight from the
+    ``,id,id,`` form, partial + final aggregate) and the top ``limit`` pairs."""
+    pc = (words.select(F.explode(F.regexp_extract_all("tok", F.lit(_PAIR_RE), 1)).alias("pr"), "cnt")
+          .groupBy("pr").agg(F.sum("cnt").alias("cnt")))
+    parts = F.split("pr", ",")
+    pc = pc.select(parts[0].cast("int").alias("left"), parts[1].cast("int").alias("right"), "cnt")
+    return pc.orderBy(F.desc("cnt"), "left", "right").limit(limit)
+
+
 def train_bpe(texts: DataFrame, vocab_size: int, text: str = "text",
               pattern: str = SPLIT_PATTERN, special_tokens: list[str] | None = None,
-              max_candidates: int = 4096, checkpoint_every: int = 8,
+              max_candidates: int = 4096, checkpoint_every: int = 10,
               counts: DataFrame | None = None) -> DataFrame:
     """D4 (*action*): greedy BPE merges → ``(rank, left, right, new_id, cnt)``.
 
     ``vocab_size`` includes the special tokens; ``vocab_size - len(specials)``
     must be ≥ 256. Stops early when no pair is left (vocabulary shrinks).
+    The distinct-word table is the only data-sized state; it is cached per
+    round and cut from its lineage with a reliable checkpoint (in the
+    cluster's ``spark.checkpoint.dir``) every ``checkpoint_every`` rounds, so
+    a lost executor recomputes at most that many cheap map-only rounds.
     """
     spark = texts.sparkSession
     specials = SPECIAL_TOKENS if special_tokens is None else special_tokens
@@ -128,45 +157,48 @@ def train_bpe(texts: DataFrame, vocab_size: int, text: str = "text",
     ensure_checkpoint_dir(spark)
     if counts is None:
         counts = chunk_counts(texts, text, pattern)
+    # spread the distinct words over every core: each round is CPU-bound
+    # regex work, and AQE would otherwise coalesce a small table to one task
+    n_parts = max(spark.sparkContext.defaultParallelism,
+                  int(spark.conf.get("spark.sql.shuffle.partitions")))
     words = (words_from_chunks(counts).where(F.size("ids") >= 2)
-             .select(_to_tokstr(F.col("ids")).alias("tok"), "cnt"))
+             .select(_to_tokstr(F.col("ids")).alias("tok"), "cnt")
+             .repartition(n_parts))
     words = words.checkpoint(eager=True)
-    merges: list[tuple[int, int, int, int]] = []
+    merges: list[tuple[int, int, int, int, int]] = []
     rnd = 0
+    TRAIN_STATS.clear()
+    prev = None
     while len(merges) < n_merges:
-        ids = _tokstr_ids(F.col("tok"))
-        pc = pair_counts(words.select(ids.alias("ids"), "cnt"))
-        limit = min(max_candidates, n_merges - len(merges))
-        top = (pc.orderBy(F.desc("cnt"), "left", "right").limit(limit)
-               .select(F.lit("T").alias("k"), "left", "right", "cnt"))
-        mr = pc.groupBy("right").agg(F.max("cnt").alias("cnt")).select(
-            F.lit("R").alias("k"), F.lit(None).cast("int").alias("left"), "right", "cnt")
-        ml = pc.groupBy("left").agg(F.max("cnt").alias("cnt")).select(
-            F.lit("L").alias("k"), "left", F.lit(None).cast("int").alias("right"), "cnt")
-        rows = top.unionByName(mr).unionByName(ml).collect()  # ≤ limit + 2·vocab rows
-        cand = sorted(((r.left, r.right, r.cnt) for r in rows if r.k == "T"),
-                      key=lambda t: (-t[2], t[0], t[1]))
+        rows = _round_summary(words, max_candidates).collect()   # ≤ max_candidates rows
+        if prev is not None:
+            prev.unpersist()   # ``words`` is cached now
+            prev = None
+        cand = sorted(((r.left, r.right, r.cnt) for r in rows), key=lambda t: (-t[2], t[0], t[1]))
         if not cand:
             break
-        max_right = {r.right: r.cnt for r in rows if r.k == "R"}
-        max_left = {r.left: r.cnt for r in rows if r.k == "L"}
-        batch = select_batch(cand, max_right, max_left)
+        batch = select_batch(cand, len(cand) >= max_candidates, n_merges - len(merges))
         tok = F.col("tok")
         for left, right, cnt in batch:
             new_id = 256 + len(merges)
             merges.append((len(merges), left, right, new_id, cnt))
             tok = F.regexp_replace(tok, f",{left},{right}(?=,)", f",{new_id}")
+        rnd += 1
+        if len(merges) >= n_merges:
+            break
         # words of one token can never pair again
         nxt = words.select(tok.alias("tok"), "cnt").where(F.col("tok").rlike("^,[0-9]+,[0-9]"))
-        rnd += 1
         if rnd % checkpoint_every == 0:
             nxt = nxt.checkpoint(eager=True)
+            words.unpersist()
         else:
-            nxt = nxt.persist()
-            nxt.count()
-        words.unpersist()
+            nxt = nxt.persist()       # filled by the next round's job
+            prev = words
         words = nxt
+    if prev is not None:
+        prev.unpersist()
     words.unpersist()
+    TRAIN_STATS.update(rounds=rnd, merges=len(merges))
     schema = "rank INT, left INT, right INT, new_id INT, cnt LONG"
     return spark.createDataFrame(merges, schema)
 
