@@ -919,3 +919,83 @@ def cost_estimate_q(spark, sf):
     runs = p.select("p_partkey", name.alias("device"), (F.col("p_size") % 8 + 1).alias("n_devices"),
                     (F.col("p_retailprice") / 100.0).alias("hours"))
     return evals.cost_estimate(runs).select("p_partkey", "hourly_rate", "estimated_total")
+
+
+# ---------------------------------------------------------------------------
+# Tokenizer training and encoding (no SQL oracle: checked on rows here and
+# against an independent Python trainer/encoder in tests)
+
+_VOCAB = 256 + 9 + 128
+_MERGES_CACHE: dict[tuple[str, int], list] = {}
+
+
+def trained_merges(spark, sf, vocab_size: int = _VOCAB):
+    """Merges trained on the cropped documents (result-sized; memoised per run)."""
+    key = (sf, vocab_size)
+    if key not in _MERGES_CACHE:
+        docs = _t(spark, sf, "documents").select(tx.crop("text", _DOC_CAP).alias("text"))
+        _MERGES_CACHE[key] = [tuple(r) for r in bpe.train_bpe(docs, vocab_size).collect()]
+    return spark.createDataFrame(_MERGES_CACHE[key], "rank INT, left INT, right INT, new_id INT, cnt LONG")
+
+
+@register("bpe_train")
+def bpe_train_q(spark, sf):
+    return trained_merges(spark, sf)
+
+
+def _vocab(spark, sf):
+    return bpe.add_special_tokens(bpe.mergeable_ranks(trained_merges(spark, sf)))
+
+
+@register("mergeable_ranks")
+def mergeable_ranks_q(spark, sf):
+    return bpe.mergeable_ranks(trained_merges(spark, sf)).select("token_id", F.hex("token_bytes").alias("token_hex"))
+
+
+@register("vocab_with_specials")
+def vocab_q(spark, sf):
+    return _vocab(spark, sf).select("token_id", F.hex("token_bytes").alias("token_hex"), "special")
+
+
+@register("encode_docs")
+def encode_q(spark, sf):
+    m = trained_merges(spark, sf)
+    e = bpe.encode(_t(spark, sf, "documents").select("doc_id", "text"), m, prepend=_VOCAB - 9)
+    return e.select("doc_id", F.size("ids").alias("n_tokens"), F.md5(F.array_join("ids", ",")).alias("ids_md5"))
+
+
+@register("decode_roundtrip")
+def roundtrip_q(spark, sf):
+    m = trained_merges(spark, sf)
+    e = bpe.encode(_t(spark, sf, "documents").select("doc_id", "text"), m)
+    d = bpe.decode_bytes(e, _vocab(spark, sf), out="decoded")
+    return d.agg(F.count(F.lit(1)).alias("docs"),
+                 F.sum((F.col("decoded") != F.col("text")).cast("int")).alias("mismatches"))
+
+
+@register("token_byte_lengths")
+def token_bytes_q(spark, sf):
+    return bpe.token_byte_lengths(_vocab(spark, sf))
+
+
+@register("vocab_stats")
+def vocab_stats_q(spark, sf):
+    return bpe.vocab_stats(bpe.token_byte_lengths(_vocab(spark, sf)))
+
+
+@register("count_tokens")
+def count_tokens_q(spark, sf):
+    return bpe.count_tokens(_t(spark, sf, "documents").select("text"), trained_merges(spark, sf))
+
+
+@register("compression_report")
+def compression_q(spark, sf):
+    docs = _t(spark, sf, "documents").select("lang", "text")
+    empty = spark.createDataFrame([], "rank INT, left INT, right INT, new_id INT, cnt LONG")
+    return bpe.compression_report(docs, {"bytes": empty, "trained": trained_merges(spark, sf)}, by="lang")
+
+
+@register("training_budget")
+def training_budget_q(spark, sf):
+    c = bpe.count_tokens(_t(spark, sf, "documents").select("text"), trained_merges(spark, sf))
+    return pack.training_budget(c, total_batch_size=524_288, num_params=561_000_000)

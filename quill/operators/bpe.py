@@ -269,30 +269,43 @@ def _encode_chunk(chunk: str, ranks: dict[tuple[int, int], int]) -> list[int]:
     return ids
 
 
+_WORKER_CACHE: dict = {}
+
+
+def _cached_encoder(key, table):
+    """Per-Python-worker state: rank dict and chunk cache for one merge table."""
+    st = _WORKER_CACHE.get(key)
+    if st is None:
+        _WORKER_CACHE.clear()   # one table at a time per worker
+        st = (_ranks_dict(table), {})
+        _WORKER_CACHE[key] = st
+    return st
+
+
 def make_encoder(merges: DataFrame):
     """Arrow UDF ``ARRAY<STRING> chunks → ARRAY<INT> ids``.
 
     The merge table (bounded by the vocabulary) is collected once and shipped
-    in the closure; each Python worker caches chunk encodings.
+    in the closure; each Python worker caches chunk encodings (bounded).
     """
-    table = [(r.left, r.right, r.new_id) for r in merges.select("left", "right", "new_id").collect()]
-
-    @lru_cache(maxsize=1)
-    def ranks():
-        return _ranks_dict(table)
-
-    @lru_cache(maxsize=1 << 18)
-    def enc(chunk: str) -> tuple:
-        return tuple(_encode_chunk(chunk, ranks()))
+    table = [(int(r.left), int(r.right), int(r.new_id))
+             for r in merges.select("left", "right", "new_id").orderBy("new_id").collect()]
+    key = hash(tuple(table))
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def encode_chunks(chunks: pd.Series) -> pd.Series:
+        ranks, cache = _cached_encoder(key, table)
         out = []
         for arr in chunks:
             ids: list[int] = []
             if arr is not None:
                 for c in arr:
-                    ids.extend(enc(c))
+                    e = cache.get(c)
+                    if e is None:
+                        e = _encode_chunk(c, ranks)
+                        if len(cache) < (1 << 18):
+                            cache[c] = e
+                    ids.extend(e)
             out.append(ids)
         return pd.Series(out)
 
@@ -333,6 +346,12 @@ def decode_bytes(df: DataFrame, vocab: DataFrame, ids: str = "ids", out: str = "
 # D11 / D12 / D14
 
 
+@F.pandas_udf(T.IntegerType())
+def _replaced_utf8_len(b: pd.Series) -> pd.Series:
+    """UTF-8 length after decoding with U+FFFD replacement (vocabulary-sized input)."""
+    return pd.Series([len(bytes(x).decode("utf-8", "replace").encode("utf-8")) for x in b], dtype="int32")
+
+
 def token_byte_lengths(vocab: DataFrame, exact: bool = False) -> DataFrame:
     """``(token_id, n_bytes)``; specials 0.
 
@@ -343,8 +362,7 @@ def token_byte_lengths(vocab: DataFrame, exact: bool = False) -> DataFrame:
     if exact:
         nb = raw
     else:
-        # decode() replaces malformed input with U+FFFD, natively
-        nb = F.octet_length(F.encode(F.decode("token_bytes", "UTF-8"), "UTF-8"))
+        nb = _replaced_utf8_len(F.col("token_bytes"))
     return vocab.select("token_id", F.when(F.col("special").isNotNull(), 0).otherwise(nb).cast("int").alias("n_bytes"))
 
 
@@ -374,3 +392,29 @@ def vocab_stats(token_bytes: DataFrame) -> DataFrame:
                            F.round(F.avg(nz), 6).alias("mean_bytes"),
                            F.round(F.stddev_samp(nz), 6).alias("std_bytes"),
                            F.sum(F.when(F.col("n_bytes") == 0, 1).otherwise(0)).alias("num_special"))
+
+
+def compression_report(df: DataFrame, tokenizers: dict[str, DataFrame], by: str = "category",
+                       text: str = "text", pattern: str = SPLIT_PATTERN) -> DataFrame:
+    """Bytes, tokens and bytes/token per category and tokenizer, plus
+    the relative difference to the first tokenizer and the winner (ties allowed).
+
+    Per tokenizer: distinct (category, chunk) counts × encoded chunk length.
+    """
+    counts = (df.select(by, F.explode(pretokenize_col(text, pattern)).alias("chunk"))
+              .groupBy(by, "chunk").agg(F.count(F.lit(1)).alias("cnt")))
+    nbytes = df.groupBy(by).agg(F.sum(F.octet_length(text)).alias("bytes"))
+    per = None
+    for name, merges in tokenizers.items():
+        enc = make_encoder(merges)
+        t = (counts.select(by, (F.col("cnt") * F.size(enc(F.array("chunk")))).alias("t"))
+             .groupBy(by).agg(F.sum("t").alias("tokens")).withColumn("tokenizer", F.lit(name)))
+        per = t if per is None else per.unionByName(t)
+    r = per.join(nbytes, by).withColumn("ratio", F.round(F.col("bytes") / F.col("tokens"), 6))
+    first = next(iter(tokenizers))
+    base = r.where(F.col("tokenizer") == first).select(by, F.col("tokens").alias("base_tokens"))
+    best = r.groupBy(by).agg(F.max("ratio").alias("best_ratio"))
+    return (r.join(base, by).join(best, by)
+            .withColumn("relative_pct", F.round((F.col("base_tokens") - F.col("tokens")) / F.col("base_tokens") * 100, 6))
+            .withColumn("is_best", F.col("ratio") == F.col("best_ratio"))
+            .drop("base_tokens", "best_ratio"))
