@@ -999,3 +999,79 @@ def compression_q(spark, sf):
 def training_budget_q(spark, sf):
     c = bpe.count_tokens(_t(spark, sf, "documents").select("text"), trained_merges(spark, sf))
     return pack.training_budget(c, total_batch_size=524_288, num_params=561_000_000)
+
+
+# ---------------------------------------------------------------------------
+# Synthetic data (word list = distinct lower-case ASCII words of the documents)
+
+from quill.operators import synth  # noqa: E402
+
+
+def _words(spark, sf):
+    return synth.word_list_from_text(_t(spark, sf, "documents"))
+
+
+_WORDS_SQL = r"""
+words AS (SELECT DISTINCT w AS word FROM (SELECT unnest(regexp_extract_all(lower(text), '(\pL+)', 1)) AS w FROM documents)
+          WHERE regexp_matches(w, '^[a-z]+$')),
+wl AS (SELECT word, row_number() OVER (ORDER BY md5(word)) - 1 AS word_idx FROM words),
+nw AS (SELECT count(*) AS n FROM wl)
+"""
+
+
+def _u(field, expr):
+    return f"(('0x' || substring(md5('{field}:' || ({expr})), 1, 8))::UBIGINT::DOUBLE / 4294967296.0)"
+
+
+def _sql_list(values):
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+_SB_SQL = "WITH " + _WORDS_SQL + f""",
+d AS (SELECT doc_id AS idx, floor({_u('sb-word', 'doc_id')} * (SELECT n FROM nw))::BIGINT AS word_idx,
+             {_u('sb-mode', 'doc_id')} AS u_mode, {_u('sb-letter', 'doc_id')} AS u_letter,
+             {_u('sb-template', 'doc_id')} AS u_t, {_u('sb-lower', 'doc_id')} AS u_low,
+             {_u('sb-lq', 'doc_id')} AS u_lq, {_u('sb-wq', 'doc_id')} AS u_wq, {_u('sb-qmark', 'doc_id')} AS u_q
+      FROM documents),
+x AS (SELECT d.*, word,
+             CASE WHEN u_mode < 0.9 THEN substring(word, (floor(u_letter * length(word)) + 1)::INT, 1)
+                  ELSE substring('{synth.LETTERS}', (floor(u_letter * 26) + 1)::INT, 1) END AS letter
+      FROM d JOIN wl USING (word_idx)),
+y AS (SELECT *, length(word) - length(replace(word, letter, '')) AS count,
+             {_sql_list(synth.USER_MSG_TEMPLATES)}[(floor(u_t * {len(synth.USER_MSG_TEMPLATES)}) + 1)::INT] AS t0,
+             {_sql_list(synth.QUOTE_OPTIONS)}[(floor(u_lq * 3) + 1)::INT] AS lq,
+             {_sql_list(synth.QUOTE_OPTIONS)}[(floor(u_wq * 3) + 1)::INT] AS wq FROM x),
+z AS (SELECT *, replace(replace(CASE WHEN u_low < 0.3 THEN lower(t0) ELSE t0 END, '{{letter}}', lq || letter || lq),
+                        '{{word}}', wq || word || wq) AS m0 FROM y)
+SELECT idx, word, letter, count,
+       CASE WHEN u_q < 0.5 THEN m0 || '?' ELSE m0 END AS user_msg,
+       'We are asked to find the number ''' || letter || ''' in the word ''' || word || '''. Let me try a manual approach first.'
+         || chr(10) || chr(10) || 'First spell the word out:' || chr(10) || word || ':' || array_to_string(string_split(word, ''), ',')
+         || chr(10) || chr(10) || 'Then count the occurrences of ''' || letter || ''':' || chr(10)
+         || array_to_string(list_transform(range(1, length(word) + 1), lambda i:
+              CASE WHEN substring(word, i, 1) = letter
+                   THEN i || ':' || substring(word, i, 1) || ' hit! count=' || (i - length(replace(substring(word, 1, i), letter, ''))) || chr(10)
+                   ELSE i || ':' || substring(word, i, 1) || chr(10) END), '')
+         || chr(10) || 'This gives us ' || count || '.' AS manual_text,
+       '''' || word || '''.count(''' || letter || ''')' AS python_expr,
+       count::VARCHAR AS python_output,
+       chr(10) || chr(10) || 'Python gives us ' || count || '.' || chr(10) || chr(10) || 'My final answer is:' || chr(10) || chr(10) || '#### ' || count AS final_text
+FROM z
+"""
+
+
+@register("spelling_bee", _SB_SQL)
+def spelling_bee_q(spark, sf):
+    idx = _t(spark, sf, "documents").select(F.col("doc_id").alias("idx"))
+    return synth.spelling_bee(idx, _words(spark, sf))
+
+
+@register("simple_spelling", "WITH " + _WORDS_SQL + f""",
+sh AS (SELECT word, row_number() OVER (ORDER BY md5('42:' || word_idx)) - 1 AS sh_idx FROM wl),
+d AS (SELECT doc_id AS idx, floor({_u('ss-word', 'doc_id + 10000000')} * (SELECT n FROM nw))::BIGINT AS sh_idx FROM documents)
+SELECT idx, word, 'Spell the word: ' || word AS user_msg, word || ':' || array_to_string(string_split(word, ''), ',') AS assistant_msg
+FROM d JOIN sh USING (sh_idx)
+""")
+def simple_spelling_q(spark, sf):
+    idx = _t(spark, sf, "documents").select(F.col("doc_id").alias("idx"))
+    return synth.simple_spelling(idx, _words(spark, sf), split="test")
