@@ -1075,3 +1075,155 @@ FROM d JOIN sh USING (sh_idx)
 def simple_spelling_q(spark, sf):
     idx = _t(spark, sf, "documents").select(F.col("doc_id").alias("idx"))
     return synth.simple_spelling(idx, _words(spark, sf), split="test")
+
+
+# ---------------------------------------------------------------------------
+# Prompt rendering (ICL items from the benchmark table; few-shot via F2)
+
+from quill.operators import prompts  # noqa: E402
+
+
+def _bench(spark, sf):
+    return _t(spark, sf, "benchmark").select(F.col("item_id").alias("idx"), "text")
+
+
+def _mc_items(spark, sf):
+    b = _bench(spark, sf)
+    return b.select("idx", F.substring("text", 1, 40).alias("query"),
+                    F.array(*[F.substring("text", 41 + 10 * i, 10) for i in range(4)]).alias("choices"),
+                    (F.col("idx") % 4).cast("int").alias("gold"))
+
+
+def _shots(spark, sf):
+    return evals.fewshot_examples(_bench(spark, sf).select("idx"), 2, seed=1234, key="idx")
+
+
+_SHOTS_SQL = f"""
+p AS (SELECT item_id AS idx, row_number() OVER (ORDER BY item_id) - 1 AS pos, count(*) OVER () AS n FROM benchmark),
+s AS (SELECT idx, pos, n, 1 + floor(('0x' || substring(md5('1234:' || idx), 1, 8))::UBIGINT::DOUBLE / 4294967296.0 * (n - 2))::BIGINT AS o FROM p),
+shots AS (SELECT s.idx, j, p.idx AS shot_idx FROM s, range(2) r(j) JOIN p ON (s.pos + s.o + j) % s.n = p.pos)
+"""
+
+
+@register("render_mc", """
+SELECT item_id AS idx, 'Multiple Choice question: ' || substring(text, 1, 40) || chr(10)
+       || '- ' || substring(text, 41, 10) || '=A' || chr(10) || '- ' || substring(text, 51, 10) || '=B' || chr(10)
+       || '- ' || substring(text, 61, 10) || '=C' || chr(10) || '- ' || substring(text, 71, 10) || '=D' || chr(10)
+       || chr(10) || 'Respond only with the letter of the correct answer.' AS prompt
+FROM benchmark
+""")
+def render_mc_q(spark, sf):
+    it = _mc_items(spark, sf)
+    return it.select("idx", prompts.render_mc(F.col("query"), F.array(*[F.lit(c) for c in "ABCD"]),
+                                              F.col("choices")).alias("prompt"))
+
+
+@register("render_fewshot_mc", "WITH " + _SHOTS_SQL + """,
+it AS (SELECT item_id AS idx, substring(text, 1, 40) AS query,
+              [substring(text, 41, 10), substring(text, 51, 10), substring(text, 61, 10), substring(text, 71, 10)] AS choices,
+              (item_id % 4)::INT AS gold FROM benchmark),
+few AS (SELECT shots.idx, string_agg(it.query || ' ' || it.choices[it.gold + 1] || chr(10) || chr(10), '' ORDER BY j) AS fewshot
+        FROM shots JOIN it ON shots.shot_idx = it.idx GROUP BY shots.idx)
+SELECT it.idx, c.i - 1 AS choice_idx, coalesce(fewshot, '') || query || ' ' || it.choices[c.i] AS prompt
+FROM it LEFT JOIN few USING (idx), range(1, 5) c(i)
+""")
+def render_fewshot_mc_q(spark, sf):
+    return prompts.render_fewshot_mc(_mc_items(spark, sf), _shots(spark, sf))
+
+
+@register("render_fewshot_schema", "WITH " + _SHOTS_SQL + """,
+it AS (SELECT item_id AS idx, [substring(text, 1, 20), substring(text, 21, 20)] AS context_options,
+              substring(text, 41, 30) AS continuation, (item_id % 2)::INT AS gold FROM benchmark),
+few AS (SELECT shots.idx, string_agg(it.context_options[it.gold + 1] || ' ' || it.continuation || chr(10) || chr(10), '' ORDER BY j) AS fewshot
+        FROM shots JOIN it ON shots.shot_idx = it.idx GROUP BY shots.idx)
+SELECT it.idx, c.i - 1 AS option_idx, coalesce(fewshot, '') || it.context_options[c.i] || ' ' || continuation AS prompt
+FROM it LEFT JOIN few USING (idx), range(1, 3) c(i)
+""")
+def render_fewshot_schema_q(spark, sf):
+    b = _bench(spark, sf)
+    it = b.select("idx", F.array(F.substring("text", 1, 20), F.substring("text", 21, 20)).alias("context_options"),
+                  F.substring("text", 41, 30).alias("continuation"), (F.col("idx") % 2).cast("int").alias("gold"))
+    return prompts.render_fewshot_schema(it, _shots(spark, sf))
+
+
+_TRIM = r"regexp_replace({x}, '^[\t\n\x0B\f\r ]+|[\t\n\x0B\f\r ]+$', '', 'g')"
+
+
+@register("render_fewshot_lm", "WITH " + _SHOTS_SQL + f""",
+it AS (SELECT item_id AS idx, ' ' || substring(text, 1, 50) || '  ' AS context, substring(text, 51, 20) AS continuation FROM benchmark),
+few AS (SELECT shots.idx, string_agg({_TRIM.format(x='it.context')} || ' ' || it.continuation || chr(10) || chr(10), '' ORDER BY j) AS fewshot
+        FROM shots JOIN it ON shots.shot_idx = it.idx GROUP BY shots.idx)
+SELECT idx, {_TRIM.format(x="coalesce(fewshot, '') || " + _TRIM.format(x='context') + " || ' '")} AS prompt_without,
+       coalesce(fewshot, '') || {_TRIM.format(x='context')} || ' ' || continuation AS prompt_with
+FROM it LEFT JOIN few USING (idx)
+""")
+def render_fewshot_lm_q(spark, sf):
+    b = _bench(spark, sf)
+    it = b.select("idx", F.concat(F.lit(" "), F.substring("text", 1, 50), F.lit("  ")).alias("context"),
+                  F.substring("text", 51, 20).alias("continuation"))
+    return prompts.render_fewshot_lm(it, _shots(spark, sf))
+
+
+@register("build_prompt_batch", """
+WITH st AS (SELECT row_number() OVER (ORDER BY item_id) - 1 AS starter_idx, substring(text, 1, 40) AS text FROM benchmark),
+n AS (SELECT count(*) AS n FROM st),
+pk AS (SELECT doc_id AS idx, j, floor(('0x' || substring(md5('starter:' || doc_id || ':' || j), 1, 8))::UBIGINT::DOUBLE / 4294967296.0 * (SELECT n FROM n))::BIGINT AS starter_idx
+       FROM documents, range(5) r(j))
+SELECT idx, replace('Write a conversation. Inspiration:' || chr(10) || '%USER_FIRST_PROMPTS%' || chr(10) || 'End.',
+                    '%USER_FIRST_PROMPTS%', string_agg(text, chr(10) ORDER BY j)) AS prompt
+FROM pk JOIN st USING (starter_idx) GROUP BY idx
+""")
+def build_prompt_batch_q(spark, sf):
+    st = corpus.with_index(_t(spark, sf, "benchmark").select("item_id", F.substring("text", 1, 40).alias("text")),
+                           ["item_id"], out="starter_idx")
+    idx = _t(spark, sf, "documents").select(F.col("doc_id").alias("idx"))
+    return prompts.build_prompt_batch(idx, st.select("starter_idx", "text"),
+                                      "Write a conversation. Inspiration:\n%USER_FIRST_PROMPTS%\nEnd.")
+
+
+def _tool_answers(spark, sf):
+    """GSM-style answers: text, a calculator call (some with wrong results), a final answer."""
+    c = _t(spark, sf, "conversations").where(F.col("role") == "assistant")
+    n = F.length("text")
+    res = F.when(F.col("turn") % 4 == 1, n * 2 + 1).otherwise(n * 2)
+    ans = F.concat(F.substring("text", 1, 30), F.lit(" <<"), n.cast("string"), F.lit("*2="), res.cast("string"),
+                   F.lit(">> then <<"), F.lit("'"), F.substring("text", 1, 5), F.lit("'.count('e')"),
+                   F.lit(">>.\n#### "), res.cast("string"))
+    return c.select("conv_id", "turn", ans.alias("answer"))
+
+
+@register("parse_tool_calls")
+def parse_tool_calls_q(spark, sf):
+    a = _tool_answers(spark, sf)
+    p = a.select("conv_id", "turn", prompts.parse_tool_calls(F.col("answer")).alias("parts"))
+    return p.select("conv_id", "turn", F.size("parts").alias("n_parts"),
+                    F.array_join(F.transform("parts", lambda x: x["type"]), ",").alias("types"))
+
+
+@register("audit_tool_results")
+def audit_tool_results_q(spark, sf):
+    a = _tool_answers(spark, sf)
+    p = a.select("conv_id", "turn", prompts.parse_tool_calls(F.col("answer")).alias("parts"))
+    return prompts.audit_tool_results(p, ["conv_id", "turn"])
+
+
+@register("assemble_program")
+def assemble_program_q(spark, sf):
+    c = _t(spark, sf, "conversations")
+    prompt = F.concat(F.lit("import os\nfrom math import sqrt\n# helper\n\ndef f():\n    import sys\n"),
+                      F.lit('    """'), F.substring("text", 1, 20), F.lit('"""'))
+    completion = F.concat(F.lit("Sure:\n```python\ndef f():\n    return "), F.length("text").cast("string"),
+                          F.lit("\n```\n"))
+    prog = prompts.assemble_program(prompt, completion, F.lit("def check(fn):\n    assert fn() > 0"), F.lit("f"))
+    return c.select("conv_id", "turn", prog.alias("program"))
+
+
+@register("parse_structured_reply")
+def parse_structured_reply_q(spark, sf):
+    c = _t(spark, sf, "conversations")
+    msgs = (c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("m"))
+            .select("conv_id", F.to_json(F.struct(F.transform("m", lambda x: F.struct(
+                x["role"].alias("role"), x["text"].alias("content"))).alias("messages"))).alias("content")))
+    broken = F.when(F.col("conv_id") % 7 == 0, F.substring("content", 1, 20)).otherwise(F.col("content"))
+    r = prompts.parse_structured_reply(msgs.select("conv_id", broken.alias("content")))
+    return r.groupBy("valid").agg(F.count(F.lit(1)).alias("n"))
