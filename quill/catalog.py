@@ -1227,3 +1227,109 @@ def parse_structured_reply_q(spark, sf):
     broken = F.when(F.col("conv_id") % 7 == 0, F.substring("content", 1, 20)).otherwise(F.col("content"))
     r = prompts.parse_structured_reply(msgs.select("conv_id", broken.alias("content")))
     return r.groupBy("valid").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("render_conversation")
+def render_conversation_q(spark, sf):
+    r = chat.render_conversation(_t(spark, sf, "conversations"), trained_merges(spark, sf), max_tokens=2048)
+    return r.select("conv_id", F.size("ids").alias("n_tokens"), chat.supervised_tokens(r).alias("supervised"),
+                    F.md5(F.array_join("ids", ",")).alias("ids_md5"))
+
+
+@register("supervised_tokens")
+def supervised_tokens_q(spark, sf):
+    r = chat.render_conversation(_t(spark, sf, "conversations"), trained_merges(spark, sf), max_tokens=256)
+    return r.agg(F.count(F.lit(1)).alias("conversations"), F.sum(chat.supervised_tokens(r)).alias("supervised"))
+
+
+@register("pack_conversations")
+def pack_conversations_q(spark, sf):
+    r = chat.render_conversation(_t(spark, sf, "conversations"), trained_merges(spark, sf))
+    r = corpus.with_index(r, ["conv_id"])
+    p = pack.pack_conversations(r, 2, 128, rank=0, world=2)
+    return p.select("block", "row", F.md5(F.array_join("inputs", ",")).alias("inputs_md5"), "progress")
+
+
+@register("recipe_mixture")
+def recipe_q(spark, sf):
+    docs = corpus.slice_view(corpus.with_index(_t(spark, sf, "documents").select("doc_id"), ["doc_id"],
+                                               out="local_idx"), "local_idx", 0, 500)
+    convs = corpus.with_index(_t(spark, sf, "conversations").select("conv_id").distinct(), ["conv_id"],
+                              out="local_idx")
+    bench = corpus.with_index(_t(spark, sf, "benchmark").select("item_id"), ["item_id"], out="local_idx")
+    m = chat.recipe([docs.select("local_idx"), convs.select("local_idx"), bench.select("local_idx"),
+                     bench.select("local_idx")])
+    return m.select("task_idx", "copy", "local_idx", "idx")
+
+
+# ---------------------------------------------------------------------------
+# Shard assignment (sinks) and buffered shuffle: greedy segmentation checked
+# against a recursive CTE
+
+from quill.sources import sinks  # noqa: E402
+
+
+def _greedy_sql(items: str, order: str, weight: str, t: int) -> str:
+    return f"""
+gi AS (SELECT {order} AS o, {weight} AS w, row_number() OVER (ORDER BY {order}) - 1 AS i FROM {items}),
+rec(i, acc, seg) AS (
+  SELECT i, w, 0 FROM gi WHERE i = 0
+  UNION ALL
+  SELECT gi.i, CASE WHEN rec.acc >= {t} THEN gi.w ELSE rec.acc + gi.w END,
+         CASE WHEN rec.acc >= {t} THEN rec.seg + 1 ELSE rec.seg END
+  FROM rec JOIN gi ON gi.i = rec.i + 1),
+segs AS (SELECT gi.o, rec.seg, rec.seg = (SELECT count(*) FROM rec WHERE acc >= {t}) AS is_tail
+         FROM rec JOIN gi USING (i))
+"""
+
+
+@register("shard_by_chars", "WITH RECURSIVE d AS (SELECT doc_id, length(text) AS n, (row_number() OVER (ORDER BY doc_id) - 1) // 8 AS g FROM documents),"
+          + " grp AS (SELECT g, sum(n) AS chars FROM d GROUP BY g)," + _greedy_sql("grp", "g", "chars", 40000) + """
+SELECT doc_id, seg AS shard, is_tail FROM d JOIN segs ON d.g = segs.o
+""")
+def shard_by_chars_q(spark, sf):
+    d = _t(spark, sf, "documents").select("doc_id", "text")
+    return sinks.shard_by_chars(d, "doc_id", budget=40000, group=8).select(
+        "doc_id", F.col("shard").cast("long").alias("shard"), "is_tail")
+
+
+@register("shard_by_rows", """
+SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 64 AS shard FROM documents
+""")
+def shard_by_rows_q(spark, sf):
+    return sinks.shard_by_rows(_t(spark, sf, "documents").select("doc_id"), "doc_id", rows=64) \
+        .select("doc_id", "shard")
+
+
+@register("shard_qa_pairs", r"""
+WITH RECURSIVE s AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)),
+             lambda p: regexp_replace(p, '^[\t\n\x0B\f\r \x1C-\x1F]+|[\t\n\x0B\f\r \x1C-\x1F]+$', '', 'g')),
+             lambda p: p <> '') AS paras FROM documents),
+u AS (SELECT doc_id, paras, unnest(range(len(paras))) AS pos FROM s),
+m AS (SELECT doc_id, pos FROM u WHERE pos > 0 AND regexp_matches(paras[pos + 1], '^(?i:e\pL*)[\t\n\x0B\f\r ]*,')),
+pd AS (SELECT doc_id, count(*) AS n FROM m GROUP BY doc_id),
+""" + _greedy_sql("pd", "doc_id", "n", 5) + """
+SELECT m.doc_id, m.pos, seg AS shard, is_tail FROM m JOIN segs ON m.doc_id = segs.o
+""")
+def shard_qa_pairs_q(spark, sf):
+    pairs = corpus.extract_qa_pairs(_t(spark, sf, "documents"), _QA_SPEAKER, sep=r"\n")
+    return sinks.shard_qa_pairs(pairs, rows=5).select("doc_id", "pos", F.col("shard").cast("long").alias("shard"),
+                                                      "is_tail")
+
+
+@register("shuffle_buffered", r"""
+WITH RECURSIVE s AS (SELECT doc_id, text, string_split(text, '.') AS parts FROM documents),
+e AS (SELECT doc_id, text, len(parts) AS n, unnest(range(len(parts))) AS pos, parts FROM s),
+f AS (SELECT doc_id, pos, regexp_replace(parts[pos + 1], '^[\t\n\x0B\f\r \x1C-\x1F]+|[\t\n\x0B\f\r \x1C-\x1F]+$', '', 'g') AS s FROM e),
+sent AS (SELECT doc_id, pos FROM f WHERE s <> ''),
+pd AS (SELECT doc_id, count(*) AS n FROM sent GROUP BY doc_id),
+""" + _greedy_sql("pd", "doc_id", "n", 2000) + """,
+r AS (SELECT sent.doc_id, sent.pos, seg AS buffer,
+             row_number() OVER (ORDER BY seg, md5('42:' || sent.doc_id || ':' || sent.pos)) - 1 AS rank
+      FROM sent JOIN segs ON sent.doc_id = segs.o)
+SELECT doc_id, pos, buffer, rank FROM r WHERE rank < 20000
+""")
+def shuffle_buffered_q(spark, sf):
+    s = corpus.sentences(_t(spark, sf, "documents"))
+    b = corpus.shuffle_buffered(s, n=2000, seed=42, max_sentences=20000)
+    return b.select("doc_id", "pos", F.col("buffer").cast("long").alias("buffer"), "rank")

@@ -196,3 +196,45 @@ def ratio_split(df: DataFrame, key: str, val_ratio: float = 0.05, seed: int = 42
     n_val = F.least(F.greatest(F.lit(1), F.floor(F.col("__n") * F.lit(val_ratio))), F.col("__n") - 1)
     j = k.crossJoin(F.broadcast(n))
     return j.withColumn("split", F.when(F.col("rank") >= F.col("__n") - n_val, "val").otherwise("train")).drop("__n")
+
+
+def render_conversation(df: DataFrame, merges: DataFrame, max_tokens: int = 2048,
+                        key: str = "conv_id", turn: str = "turn", role: str = "role",
+                        text: str = "text", segments: DataFrame | None = None) -> DataFrame:
+    """C4: ``(conv_id, ids, mask)`` with truncation to ``max_tokens`` (Q12-Q15).
+
+    Segments are encoded map-side (text through the BPE encoder, specials by
+    a fixed id map after the merged ranks); token offsets are per-conversation
+    prefix sums; only the kept part (≤ max_tokens per conversation) is
+    collected, so no group is unbounded.
+    """
+    from quill.functions.text import SPECIAL_TOKENS
+    from quill.operators.bpe import make_encoder, pretokenize_col
+    from quill.plans.order import prefix_sum
+
+    segs = segments if segments is not None else render_segments(df, key, turn, role, text)
+    n_ranks = 256 + merges.count()
+    spec = F.create_map(*[x for i, s in enumerate(SPECIAL_TOKENS) for x in (F.lit(s), F.lit(n_ranks + i))])
+    enc = make_encoder(merges)
+    toks = F.when(F.col("kind") == "special", F.array(spec[F.col("value")])) \
+        .otherwise(enc(pretokenize_col(F.col("value"))))
+    s = segs.withColumn("toks", toks).withColumn("n", F.size("toks").cast("long"))
+    s = prefix_sum(s, ["seg_no"], "n", out="start", inclusive=False, partition_by=[key])
+    s = s.where(F.col("start") < max_tokens)
+    keep = F.least(F.col("n"), F.lit(max_tokens) - F.col("start")).cast("int")
+    s = s.select(key, "seg_no", F.slice("toks", 1, keep).alias("toks"),
+                 F.array_repeat(F.col("mask"), keep).alias("m"))
+    g = s.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("seg_no", "toks", "m"))).alias("__s"))
+    return g.select(key, F.flatten(F.transform("__s", lambda x: x["toks"])).alias("ids"),
+                    F.flatten(F.transform("__s", lambda x: x["m"])).alias("mask"))
+
+
+def supervised_tokens(rendered: DataFrame, mask: str = "mask") -> Column:
+    """C7 (per row): Σ mask[1:] — the BOS position is never a target."""
+    return F.aggregate(F.slice(mask, 2, F.greatest(F.size(mask) - 1, F.lit(0))), F.lit(0).cast("long"),
+                       lambda a, m: a + m)
+
+
+def recipe(sources: Sequence[DataFrame], seed: int = 42, local_idx: str = "local_idx") -> DataFrame:
+    """A named mixture is C8 over (sliced) task views; listing a view twice oversamples."""
+    return mix(sources, seed=seed, local_idx=local_idx)

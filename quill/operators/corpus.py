@@ -120,3 +120,22 @@ def stride(df: DataFrame, rank: int, world: int, group_size: int = 1024,
 
 def looks_like_question_col(col) -> Column:
     return looks_like_question(col)
+
+
+def shuffle_buffered(sents: DataFrame, n: int = 50_000, seed: int = 42, max_sentences: int | None = None,
+                     key: str = "doc_id", pos: str = "pos") -> DataFrame:
+    """Shuffle within document-aligned buffers of ≥ ``n`` sentences.
+
+    A buffer closes after the document that brings it to ``n`` sentences
+    (greedy segmentation over per-document counts, no sequential pass); the
+    final partial buffer is flushed too. Output order = (buffer, seeded key);
+    ``rank`` is the global position and ``max_sentences`` keeps the first ones.
+    """
+    from quill.plans.segment import greedy_segments
+    per_doc = sents.groupBy(key).agg(F.count(F.lit(1)).cast("long").alias("__n"))
+    buf = greedy_segments(per_doc, key, "__n", n, out="buffer").select(key, "buffer")
+    s = sents.join(buf, key).withColumn("shuffle_key", seeded_key(seed, key, pos))
+    s = dense_index(s, ["buffer", "shuffle_key"], out="rank")
+    if max_sentences is not None:
+        s = s.where(F.col("rank") < max_sentences)
+    return s

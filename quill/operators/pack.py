@@ -181,3 +181,24 @@ def training_budget(counts: DataFrame, total_batch_size: int, num_params: int,
         "tokens", iters.cast("long").alias("num_iterations"),
         F.round(F.lit(total_batch_size) * iters / F.lit(num_params), 6).alias("tokens_per_param"),
         F.ceil(chars_needed / chars_per_shard).cast("long").alias("shards_needed"))
+
+
+def pack_conversations(rendered: DataFrame, B: int, T: int, rank: int, world: int,
+                       idx: str = "idx", ids: str = "ids") -> DataFrame:
+    """Rendered conversations (dense ``idx``) strided by rank, then packed.
+
+    Adds ``progress`` = fraction of this rank's conversations consumed up to
+    the end of each block.
+    """
+    mine = rendered.where(F.pmod(F.col(idx), F.lit(world)) == rank)
+    total = mine.count()
+    p = token_offsets(mine, [idx], ids)
+    blocks = pack(mine, B, T, [idx], ids)
+    L = B * T + 1
+    # conversations started before the end of each block
+    ends = p.select(F.floor((F.col("offset") + F.size(ids) - 1) / L).alias("block")).groupBy("block") \
+        .agg(F.count(F.lit(1)).alias("__done"))
+    from quill.plans.order import prefix_sum
+    ends = prefix_sum(ends, ["block"], "__done", out="__cum")
+    return blocks.join(ends.select("block", "__cum"), "block", "left").withColumn(
+        "progress", F.round(F.coalesce(F.col("__cum"), F.lit(0)) / F.lit(max(total, 1)), 6)).drop("__cum")
