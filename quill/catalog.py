@@ -1333,3 +1333,28 @@ def shuffle_buffered_q(spark, sf):
     s = corpus.sentences(_t(spark, sf, "documents"))
     b = corpus.shuffle_buffered(s, n=2000, seed=42, max_sentences=20000)
     return b.select("doc_id", "pos", F.col("buffer").cast("long").alias("buffer"), "rank")
+
+
+# ---------------------------------------------------------------------------
+# Streaming: the corpus stream (A4) feeding the stateful packer (E3), run to
+# completion with an available-now trigger into the cluster's shared folder.
+
+import uuid  # noqa: E402
+
+from quill.session import ensure_checkpoint_dir  # noqa: E402
+from quill.streaming import stream  # noqa: E402
+
+
+@register("pack_stream")
+def pack_stream_q(spark, sf):
+    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/quill-stream-{uuid.uuid4().hex}"
+    ids = _cp_ids(spark, sf).withColumn("rank", F.lit(0))
+    ids.repartitionByRange(4, "doc_id").write.parquet(base + "/src")
+    schema = spark.read.parquet(base + "/src").schema
+    s = stream.stream_corpus(spark, base + "/src", schema, files_per_batch=1000, columns=("rank", "doc_id", "ids"))
+    q = (stream.pack_stream(s, 4, 64).writeStream.format("parquet").option("path", base + "/out")
+         .option("checkpointLocation", base + "/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = spark.read.parquet(base + "/out")
+    return out.select("block", "row", F.md5(F.array_join("inputs", ",")).alias("inputs_md5"),
+                      F.md5(F.array_join("targets", ",")).alias("targets_md5"))

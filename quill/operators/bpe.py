@@ -233,9 +233,9 @@ def add_special_tokens(ranks: DataFrame, specials: list[str] | None = None) -> D
     specials = SPECIAL_TOKENS if specials is None else specials
     spark = ranks.sparkSession
     sp = spark.createDataFrame([(i, s) for i, s in enumerate(specials)], "i INT, special STRING")
-    offset = ranks.agg(F.count(F.lit(1)).alias("n"))
-    sp = sp.crossJoin(F.broadcast(offset)).select(
-        (F.col("n") + F.col("i")).cast("int").alias("token_id"),
+    offset = ranks.agg(F.count(F.lit(1))).scalar()
+    sp = sp.select(
+        (offset + F.col("i")).cast("int").alias("token_id"),
         F.encode("special", "UTF-8").alias("token_bytes"), "special")
     return ranks.withColumn("special", F.lit(None).cast("string")).unionByName(sp)
 
@@ -376,10 +376,10 @@ def count_tokens(df: DataFrame, merges: DataFrame, text: str = "text",
     enc = make_encoder(merges)
     docs = df.agg(F.count(F.lit(1)).alias("docs"), F.sum(F.length(text)).alias("chars"))
     counts = chunk_counts(df, text, pattern)
-    toks = counts.select((F.col("cnt") * F.size(enc(F.array("chunk")))).alias("t")).agg(
-        F.sum("t").alias("chunk_tokens"))
-    j = docs.crossJoin(toks)
-    tokens = F.coalesce(F.col("chunk_tokens"), F.lit(0)) + (F.col("docs") if bos else F.lit(0))
+    chunk_tokens = counts.select((F.col("cnt") * F.size(enc(F.array("chunk")))).alias("t")).agg(
+        F.sum("t")).scalar()
+    j = docs
+    tokens = F.coalesce(chunk_tokens, F.lit(0)) + (F.col("docs") if bos else F.lit(0))
     return j.select("docs", "chars", tokens.alias("tokens"),
                     F.round(F.col("chars") / tokens, 6).alias("chars_per_token"),
                     F.round(tokens / F.col("docs"), 6).alias("tokens_per_doc"))

@@ -192,10 +192,9 @@ def ratio_split(df: DataFrame, key: str, val_ratio: float = 0.05, seed: int = 42
     """
     k = df.withColumn("shuffle_key", seeded_key(seed, key))
     k = dense_index(k, ["shuffle_key"], out="rank")
-    n = df.agg(F.count(F.lit(1)).alias("__n"))
-    n_val = F.least(F.greatest(F.lit(1), F.floor(F.col("__n") * F.lit(val_ratio))), F.col("__n") - 1)
-    j = k.crossJoin(F.broadcast(n))
-    return j.withColumn("split", F.when(F.col("rank") >= F.col("__n") - n_val, "val").otherwise("train")).drop("__n")
+    n = df.agg(F.count(F.lit(1))).scalar()   # scalar subquery
+    n_val = F.least(F.greatest(F.lit(1), F.floor(n * F.lit(val_ratio))), n - 1)
+    return k.withColumn("split", F.when(F.col("rank") >= n - n_val, "val").otherwise("train"))
 
 
 def render_conversation(df: DataFrame, merges: DataFrame, max_tokens: int = 2048,

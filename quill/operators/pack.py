@@ -37,9 +37,8 @@ def pack(df: DataFrame, B: int, T: int, order: Sequence[str] = ("doc_id",), ids:
     if epochs > 1:
         d = d.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
         # a single numeric order key for the prefix sum: epoch-major
-        n = df.agg(F.max(order[0]).alias("__mx"))
-        d = d.crossJoin(F.broadcast(n)).withColumn(
-            "__ord", F.col("epoch") * (F.col("__mx") + 1) + F.col(order[0])).drop("__mx")
+        mx = df.agg(F.max(order[0])).scalar()
+        d = d.withColumn("__ord", F.col("epoch") * (mx + 1) + F.col(order[0]))
         okeys = ["__ord", *order[1:]]
     else:
         okeys = order

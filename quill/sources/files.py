@@ -54,10 +54,8 @@ def read_split(spark: SparkSession, path: str, split: str, columns=("text",)) ->
 
 def split_column(df: DataFrame, shard: str = "shard") -> DataFrame:
     """A2 in column form: ``split`` = 'val' for the greatest shard, else 'train'."""
-    last = df.agg(F.max(shard).alias("__last"))
-    return (df.crossJoin(F.broadcast(last))   # one row
-            .withColumn("split", F.when(F.col(shard) == F.col("__last"), "val").otherwise("train"))
-            .drop("__last"))
+    last = df.agg(F.max(shard)).scalar()   # scalar subquery, evaluated once
+    return df.withColumn("split", F.when(F.col(shard) == last, "val").otherwise("train"))
 
 
 _MSG = T.ArrayType(T.StructType([T.StructField("role", T.StringType()),
@@ -67,11 +65,9 @@ _MSG = T.ArrayType(T.StructType([T.StructField("role", T.StringType()),
 def read_conversations_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """A5: one JSON array of messages per line; blank lines skipped.
 
-    Output ``(line_no, messages)``; validation is C1's job (reasons, not aborts).
+    Output ``(f, messages)``; validation is C1's job (reasons, not aborts).
     """
-    lines = spark.read.text(path).select(F.col("value"), F.col("_metadata.file_name").alias("f"),
-                                         F.col("_metadata.row_index").alias("line_no")) \
-        if False else spark.read.text(path).withColumn("f", F.col("_metadata.file_name"))
+    lines = spark.read.text(path).withColumn("f", F.col("_metadata.file_name"))
     lines = lines.withColumn("value", strip_ws("value")).where(F.col("value") != "")
     return lines.select("f", F.from_json("value", _MSG).alias("messages"))
 
