@@ -1358,3 +1358,34 @@ def pack_stream_q(spark, sf):
     out = spark.read.parquet(base + "/out")
     return out.select("block", "row", F.md5(F.array_join("inputs", ",")).alias("inputs_md5"),
                       F.md5(F.array_join("targets", ",")).alias("targets_md5"))
+
+
+@register("nfkc_docs")
+def nfkc_q(spark, sf):
+    d = _t(spark, sf, "documents").select("doc_id", "text")
+    n = d.select("doc_id", tx.nfkc("text").alias("norm"), "text")
+    return n.select("doc_id", (F.col("norm") != F.col("text")).alias("changed"), F.length("norm").alias("n_chars"))
+
+
+@register("wall_clock", """
+WITH s AS (SELECT user_id % 4 AS run, event_type AS section, event_id AS section_no, ts FROM events),
+st AS (SELECT run, min(ts) AS start_ts FROM s GROUP BY run),
+e AS (SELECT run, arg_max(ts, section_no) AS end_ts FROM s WHERE NOT contains(section, 'rl') GROUP BY run),
+x AS (SELECT run, floor(epoch(end_ts) - epoch(start_ts))::BIGINT AS seconds FROM e JOIN st USING (run))
+SELECT run, seconds, seconds // 3600 AS hours, (seconds % 3600) // 60 AS minutes FROM x
+""")
+def wall_clock_q(spark, sf):
+    e = _t(spark, sf, "events")
+    s = e.select((F.col("user_id") % 4).alias("run"), F.col("event_type").alias("section"),
+                 F.col("event_id").alias("section_no"), "ts")
+    st = s.groupBy("run").agg(F.min("ts").alias("start_ts"))
+    w = evals.wall_clock(s.join(st, "run"))
+    return w.select("run", "seconds", F.col("hours").cast("long").alias("hours"),
+                    F.col("minutes").cast("long").alias("minutes"))
+
+
+@register("roundtrip_check")
+def roundtrip_check_q(spark, sf):
+    m = trained_merges(spark, sf)
+    return bpe.roundtrip_check(_t(spark, sf, "documents").select("text"), m, _vocab(spark, sf),
+                               letters=["A", "B", "C", "D"])

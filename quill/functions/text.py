@@ -98,3 +98,21 @@ def extract_program(col) -> Column:
 def utf8_len(col) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return F.octet_length(c)
+
+
+def nfkc(col) -> Column:
+    """B1: NFKC normalization. Rows that are pure ASCII (already NFKC) skip
+    Python entirely; the rest go through an Arrow-batched UDF."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.when(c.rlike(r"[^\x00-\x7F]"), _nfkc_udf(c)).otherwise(c)
+
+
+def _nfkc_impl(s):
+    import unicodedata
+    import pandas as pd
+    return pd.Series([None if x is None else unicodedata.normalize("NFKC", x) for x in s], dtype=object)
+
+
+from pyspark.sql import types as _T  # noqa: E402
+
+_nfkc_udf = F.pandas_udf(_nfkc_impl, _T.StringType())

@@ -418,3 +418,18 @@ def compression_report(df: DataFrame, tokenizers: dict[str, DataFrame], by: str
             .withColumn("relative_pct", F.round((F.col("base_tokens") - F.col("tokens")) / F.col("base_tokens") * 100, 6))
             .withColumn("is_best", F.col("ratio") == F.col("best_ratio"))
             .drop("base_tokens", "best_ratio"))
+
+
+def roundtrip_check(df: DataFrame, merges: DataFrame, vocab: DataFrame, text: str = "text",
+                    letters: list[str] | None = None) -> DataFrame:
+    """Count of texts where decode(encode(x)) ≠ x, and letters that do not
+    encode to exactly one token (both must be 0)."""
+    e = encode(df.select(text), merges, text=text)
+    d = decode_bytes(e, vocab, out="__dec")
+    bad = d.agg(F.sum((F.col("__dec") != F.col(text)).cast("long")).alias("roundtrip_mismatches"))
+    if letters:
+        spark = df.sparkSession
+        ls = encode(spark.createDataFrame([(x,) for x in letters], "text STRING"), merges)
+        nl = ls.where(F.size("ids") != 1).count()
+        bad = bad.withColumn("multi_token_letters", F.lit(nl))
+    return bad

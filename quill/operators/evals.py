@@ -264,7 +264,9 @@ def wall_clock(sections: DataFrame, run: str = "run", section: str = "section",
     """last non-RL section timestamp − run start, as hours and minutes."""
     end = sections.where(~F.col(section).contains("rl")).groupBy(run).agg(
         F.max_by(ts, F.col("section_no")).alias("end_ts"), F.first(start).alias("start_ts"))
-    secs = (F.unix_timestamp("end_ts") - F.unix_timestamp("start_ts")).cast("long")
+    # whole seconds of the (microsecond) difference, truncated like int(total_seconds())
+    secs = F.floor(F.col("end_ts").cast("timestamp").cast("double")
+                   - F.col("start_ts").cast("timestamp").cast("double")).cast("long")
     return end.select(run, secs.alias("seconds"), F.floor(secs / 3600).alias("hours"),
                       F.floor((secs % 3600) / 60).alias("minutes"))
 
@@ -282,3 +284,24 @@ def cost_estimate(runs: DataFrame, name: str = "device", count: str = "n_devices
     r = device_rate(F.col(name), F.col(count))
     return runs.withColumn("hourly_rate", F.round(r, 6)).withColumn(
         "estimated_total", F.round(r * F.col(hours), 6))
+
+
+def parse_reports(spark, path: str) -> DataFrame:
+    """report sections (one Markdown file each, many runs keyed by folder)
+    → ``(run, section, key, value)`` from ``- key: value`` lines plus the
+    section ``timestamp`` as ``ts``."""
+    raw = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
+           .option("pathGlobFilter", "*.md").text(path)
+           .select(F.col("value"), F.col("_metadata.file_path").alias("p")))
+    parts = F.split("p", "/")
+    lines = raw.select(F.element_at(parts, -2).alias("run"),
+                       F.regexp_replace(F.element_at(parts, -1), r"\.md$", "").alias("section"),
+                       F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
+    kv = lines.select("run", "section", "line_no",
+                      F.regexp_extract("line", r"^-?\s*([^:]+?)\s*:\s*(.*)$", 1).alias("key"),
+                      F.regexp_extract("line", r"^-?\s*([^:]+?)\s*:\s*(.*)$", 2).alias("value"))
+    kv = kv.where(F.col("key") != "")
+    ts = (kv.where(F.col("key") == "timestamp")
+          .groupBy("run", "section").agg(F.min_by("value", "line_no").alias("ts_text")))
+    return kv.join(ts, ["run", "section"], "left").withColumn(
+        "ts", F.try_to_timestamp("ts_text", F.lit("yyyy-MM-dd HH:mm:ss"))).drop("ts_text")
