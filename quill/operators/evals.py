@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quill.functions.text import extract_answer
-from quill.plans.order import dense_index, seeded_int, seeded_key
+from quill.plans.order import dense_index, prefix_sum, seeded_int, seeded_key
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's.
@@ -215,32 +215,38 @@ def masked_token_mean(losses: DataFrame, by: list[str], target: str = "target_id
 
 
 EMA_BETA = 0.9
-EMA_HORIZON = 400   # 0.9**400 ≈ 5e-19: older terms are below double precision
+EMA_BLOCK = 1024   # 0.9**1024 ≈ 1e-47: a block's carry beyond its predecessor is below double precision
 
 
 def run_metrics(metrics: DataFrame, run: str = "run", step: str = "step", loss: str = "loss",
                 dt: str = "dt", val: str | None = None, warmup: int = 10) -> DataFrame:
     """debiased EMA(0.9) of loss, running min of ``val``, time after warm-up.
 
-    The EMA is Σ 0.1·0.9^(t−i)·loss_i over the last ``EMA_HORIZON`` steps
-    (exact to double precision), debiased by 1 − 0.9^(t+1) with t the 0-based
-    step position; windows are per run, ordered by step.
+    ``t`` = 0-based position of the step in its run (two-level prefix count,
+    so a huge run is still split by step ranges). The EMA
+    0.1·Σ 0.9^(t−i)·loss_i is computed per block of ``EMA_BLOCK`` positions
+    as a scaled running sum (a window partitioned by run and block, ≤ 1024
+    rows each) plus the carry of the previous block's final value; terms two
+    blocks back weigh < 1e-47. Debias: ÷ (1 − 0.9^(t+1)). Running min and the
+    time sum are two-level prefix aggregates.
     """
-    w = Window.partitionBy(run).orderBy(step)
-    d = metrics.withColumn("__t", F.row_number().over(w) - 1)
-    frame = w.rowsBetween(-EMA_HORIZON, 0)
-    lst = F.collect_list(F.struct(F.col("__t").alias("t"), F.col(loss).alias("x"))).over(frame)
-    d = d.withColumn("__l", lst)
-    ema = F.aggregate("__l", F.lit(0.0), lambda acc, e: acc + F.lit(1 - EMA_BETA)
-                      * F.pow(F.lit(EMA_BETA), F.col("__t") - e["t"]) * e["x"])
-    debiased = ema / (F.lit(1.0) - F.pow(F.lit(EMA_BETA), F.col("__t") + 1))
-    out = d.withColumn("ema_loss", F.round(debiased, 6))
+    d = dense_index(metrics, [step], out="__t", partition_by=[run])
+    d = d.withColumn("__b", F.floor(F.col("__t") / EMA_BLOCK)).withColumn("__o", F.col("__t") % EMA_BLOCK)
+    d = d.withColumn("__y", F.col(loss) * F.pow(F.lit(EMA_BETA), -F.col("__o")))
+    wb = Window.partitionBy(run, "__b").orderBy("__t").rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("__local", F.sum("__y").over(wb) * F.pow(F.lit(EMA_BETA), F.col("__o")))
+    ends = d.groupBy(run, "__b").agg((F.sum("__y") * F.pow(F.lit(EMA_BETA), F.max("__o"))).alias("__end"))
+    ends = ends.select(run, (F.col("__b") + 1).alias("__b"), "__end")
+    d = d.join(ends, [run, "__b"], "left")
+    ema = F.lit(1 - EMA_BETA) * (F.col("__local") + F.coalesce(F.col("__end"), F.lit(0.0))
+                                 * F.pow(F.lit(EMA_BETA), F.col("__o") + 1))
+    out = d.withColumn("ema_loss", F.round(ema / (F.lit(1.0) - F.pow(F.lit(EMA_BETA), F.col("__t") + 1)), 6))
     if val is not None:
-        out = out.withColumn("min_val", F.min(val).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    out = out.withColumn("time_after_warmup", F.round(F.sum(F.when(F.col("__t") >= warmup, F.col(dt))
-                                                          .otherwise(0.0)).over(
-        w.rowsBetween(Window.unboundedPreceding, 0)), 6))
-    return out.drop("__l", "__t")
+        out = prefix_sum(out, [step], val, out="min_val", partition_by=[run], agg="min")
+    out = prefix_sum(out, [step], F.when(F.col("__t") >= warmup, F.col(dt)).otherwise(F.lit(0.0)),
+                     out="__tw", partition_by=[run])
+    out = out.withColumn("time_after_warmup", F.round("__tw", 6))
+    return out.drop("__t", "__b", "__o", "__y", "__local", "__end", "__tw")
 
 
 def best_checkpoint(metrics: DataFrame, run: str = "run", step: str = "step", loss: str = "val_loss") -> DataFrame:

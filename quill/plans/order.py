@@ -57,7 +57,8 @@ def _bucket_column(df: DataFrame, key: str, n_buckets: int) -> Column:
 
 def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str,
                out: str = "prefix", inclusive: bool = True,
-               n_buckets: int | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
+               n_buckets: int | None = None, partition_by: Sequence[str] = (),
+               agg: str = "sum") -> DataFrame:
     """Running sum of ``value`` in ``order`` (a total order), optionally per group.
 
     ``order[0]`` must be numeric or an md5 hex string. Work is split into
@@ -66,15 +67,18 @@ def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str,
     """
     order = list(order)
     partition_by = list(partition_by)
+    fn = {"sum": F.sum, "min": F.min, "max": F.max}[agg]
+    combine = {"sum": lambda a, b: a + b, "min": F.least, "max": F.greatest}[agg]
     v = F.col(value) if isinstance(value, str) else value
     if n_buckets is None:
         n_buckets = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4)
     b = "__bucket"
     staged = df.withColumn("__v", v)
     staged = staged.withColumn(b, _bucket_column(df, order[0], n_buckets))
-    totals = (staged.groupBy(*partition_by, b).agg(F.sum("__v").alias("__t")))
+    totals = (staged.groupBy(*partition_by, b).agg(fn("__v").alias("__t")))
     wt = Window.partitionBy(*partition_by).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select(*partition_by, b, F.coalesce(F.sum("__t").over(wt), F.lit(0)).alias("__base"))
+    base0 = F.coalesce(fn("__t").over(wt), F.lit(0)) if agg == "sum" else fn("__t").over(wt)
+    bases = totals.select(*partition_by, b, base0.alias("__base"))
     # bases has at most n_buckets rows per group: size bounded by a parameter
     if not partition_by:
         bases = F.broadcast(bases)
@@ -82,8 +86,11 @@ def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str,
     lower = Window.unboundedPreceding
     upper = 0 if inclusive else -1
     wl = Window.partitionBy(*partition_by, b).orderBy(*order).rowsBetween(lower, upper)
-    running = F.coalesce(F.sum("__v").over(wl), F.lit(0))
-    return joined.withColumn(out, F.col("__base") + running).drop("__v", "__base", b)
+    if agg == "sum":
+        res = F.col("__base") + F.coalesce(F.sum("__v").over(wl), F.lit(0))
+    else:   # NULLs (no earlier rows) are ignored by least/greatest
+        res = combine(F.col("__base"), fn("__v").over(wl))
+    return joined.withColumn(out, res).drop("__v", "__base", b)
 
 
 def dense_index(df: DataFrame, order: Sequence[str], out: str = "idx",
