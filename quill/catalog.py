@@ -860,9 +860,9 @@ def _run_metrics(spark, sf):
 WITH RECURSIVE m AS (SELECT event_type AS run, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS t,
                             event_id AS step, abs(value) AS loss, 1 + value % 2 AS dt FROM events),
 e(run, t, step, ema, tw) AS (
-  SELECT run, t, step, 0.1 * loss, CASE WHEN t >= 10 THEN dt ELSE 0.0 END FROM m WHERE t = 0
+  SELECT run, t, step, 0.1 * loss, CASE WHEN step > 10 THEN dt ELSE 0.0 END FROM m WHERE t = 0
   UNION ALL
-  SELECT m.run, m.t, m.step, 0.9 * e.ema + 0.1 * m.loss, e.tw + CASE WHEN m.t >= 10 THEN m.dt ELSE 0.0 END
+  SELECT m.run, m.t, m.step, 0.9 * e.ema + 0.1 * m.loss, e.tw + CASE WHEN m.step > 10 THEN m.dt ELSE 0.0 END
   FROM e JOIN m ON m.run = e.run AND m.t = e.t + 1)
 SELECT run, step, round(ema / (1.0 - pow(0.9, t + 1)), 6) AS ema_loss, round(tw, 6) AS time_after_warmup FROM e
 """)

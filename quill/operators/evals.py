@@ -214,12 +214,16 @@ def masked_token_mean(losses: DataFrame, by: list[str], target: str = "target_id
                                    F.sum(act.cast("long")).alias("active_tokens"))
 
 
+# Fixed value: promised bf16 peak FLOP/s of one H100 SXM (MFU denominator).
+PEAK_FLOPS_PER_DEVICE = 989e12
 EMA_BETA = 0.9
 EMA_BLOCK = 1024   # 0.9**1024 ≈ 1e-47: a block's carry beyond its predecessor is below double precision
 
 
 def run_metrics(metrics: DataFrame, run: str = "run", step: str = "step", loss: str = "loss",
-                dt: str = "dt", val: str | None = None, warmup: int = 10) -> DataFrame:
+                dt: str = "dt", val: str | None = None, warmup: int = 10,
+                total_batch_size: int | None = None, flops_per_token: float | None = None,
+                world_size: int = 1) -> DataFrame:
     """debiased EMA(0.9) of loss, running min of ``val``, time after warm-up.
 
     ``t`` = 0-based position of the step in its run (two-level prefix count,
@@ -228,7 +232,8 @@ def run_metrics(metrics: DataFrame, run: str = "run", step: str = "step", loss:
     as a scaled running sum (a window partitioned by run and block, ≤ 1024
     rows each) plus the carry of the previous block's final value; terms two
     blocks back weigh < 1e-47. Debias: ÷ (1 − 0.9^(t+1)). Running min and the
-    time sum are two-level prefix aggregates.
+    time after warm-up (steps numbered above ``warmup``) are two-level prefix
+    aggregates; tok/s and MFU are per-row projections.
     """
     d = dense_index(metrics, [step], out="__t", partition_by=[run])
     d = d.withColumn("__b", F.floor(F.col("__t") / EMA_BLOCK)).withColumn("__o", F.col("__t") % EMA_BLOCK)
@@ -241,12 +246,22 @@ def run_metrics(metrics: DataFrame, run: str = "run", step: str = "step", loss:
     ema = F.lit(1 - EMA_BETA) * (F.col("__local") + F.coalesce(F.col("__end"), F.lit(0.0))
                                  * F.pow(F.lit(EMA_BETA), F.col("__o") + 1))
     out = d.withColumn("ema_loss", F.round(ema / (F.lit(1.0) - F.pow(F.lit(EMA_BETA), F.col("__t") + 1)), 6))
+    # running aggregates straight on the input (joined back on run, step)
+    keys = [run, step]
     if val is not None:
-        out = prefix_sum(out, [step], val, out="min_val", partition_by=[run], agg="min")
-    out = prefix_sum(out, [step], F.when(F.col("__t") >= warmup, F.col(dt)).otherwise(F.lit(0.0)),
-                     out="__tw", partition_by=[run])
-    out = out.withColumn("time_after_warmup", F.round("__tw", 6))
-    return out.drop("__t", "__b", "__o", "__y", "__local", "__end", "__tw")
+        # one row per training step: a per-run window is bounded by the run length
+        wr = Window.partitionBy(run).orderBy(step).rowsBetween(Window.unboundedPreceding, 0)
+        out = out.withColumn("min_val", F.min(val).over(wr))
+    # time counts only after the warm-up steps (step number > warmup)
+    tw = F.when(F.col(step) > warmup, F.col(dt)).otherwise(F.lit(0.0))
+    s = prefix_sum(metrics.select(*keys, dt), [step], tw, out="__S", partition_by=[run]).select(*keys, "__S")
+    out = out.join(s, keys).withColumn("time_after_warmup", F.round("__S", 6))
+    if total_batch_size is not None:
+        out = out.withColumn("tok_per_sec", F.floor(F.lit(total_batch_size) / F.col(dt)).cast("long"))
+        if flops_per_token is not None:
+            fps = F.lit(flops_per_token * total_batch_size) / F.col(dt)
+            out = out.withColumn("mfu", F.round(F.lit(100.0) * fps / F.lit(PEAK_FLOPS_PER_DEVICE * world_size), 6))
+    return out.drop("__t", "__b", "__o", "__y", "__local", "__end", "__S")
 
 
 def best_checkpoint(metrics: DataFrame, run: str = "run", step: str = "step", loss: str = "val_loss") -> DataFrame:

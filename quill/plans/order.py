@@ -45,7 +45,8 @@ def _bucket_column(df: DataFrame, key: str, n_buckets: int) -> Column:
         # md5 hex keys are uniform: the first 4 hex digits give 65,536 ranges.
         return F.floor(F.conv(F.substring(F.col(key), 1, 4), 16, 10).cast("long")
                        * F.lit(n_buckets) / F.lit(65536)).cast("int")
-    bounds = df.approxQuantile(key, [i / n_buckets for i in range(1, n_buckets)], 0.001)
+    bounds = df.select(F.col(key).cast("double").alias("__k")).approxQuantile(
+        "__k", [i / n_buckets for i in range(1, n_buckets)], 0.001)
     bounds = sorted(set(b for b in bounds if b is not None))
     if not bounds:
         return F.lit(0)
