@@ -1389,3 +1389,20 @@ def roundtrip_check_q(spark, sf):
     m = trained_merges(spark, sf)
     return bpe.roundtrip_check(_t(spark, sf, "documents").select("text"), m, _vocab(spark, sf),
                                letters=["A", "B", "C", "D"])
+
+
+@register("render_spelling_bee")
+def render_spelling_bee_q(spark, sf):
+    """Spelling-bee conversations (user string + assistant parts) rendered to ids/mask."""
+    idx = _t(spark, sf, "documents").select(F.col("doc_id").alias("idx"))
+    sb = synth.spelling_bee(idx, _words(spark, sf))
+    part = lambda t, c: F.struct(F.lit(t).alias("type"), c.alias("text"))
+    parts = F.array(part("text", F.col("manual_text")),
+                    part("text", F.lit("\n\nLet me double check this using Python:\n\n")),
+                    part("python", F.col("python_expr")), part("python_output", F.col("python_output")),
+                    part("text", F.col("final_text")))
+    conv = sb.select(F.col("idx").alias("conv_id"), F.col("user_msg").alias("user"), parts.alias("assistant_parts"))
+    segs = chat.render_part_segments(conv)
+    r = chat.render_conversation(None, trained_merges(spark, sf), segments=segs)
+    return r.select("conv_id", F.size("ids").alias("n_tokens"), chat.supervised_tokens(r).alias("supervised"),
+                    F.md5(F.array_join("ids", ",")).alias("ids_md5"))

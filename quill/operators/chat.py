@@ -237,3 +237,36 @@ def supervised_tokens(rendered: DataFrame, mask: str = "mask") -> Column:
 def recipe(sources: Sequence[DataFrame], seed: int = 42, local_idx: str = "local_idx") -> DataFrame:
     """A named mixture is C8 over (sliced) task views; listing a view twice oversamples."""
     return mix(sources, seed=seed, local_idx=local_idx)
+
+
+def render_part_segments(df: DataFrame, key: str = "conv_id", user: str = "user",
+                         parts: str = "assistant_parts") -> DataFrame:
+    """C5 for a user string + assistant parts (text / python / python_output).
+
+    Masks: BOS, user block, assistant_start and tool output (with its
+    specials) 0; assistant text, python call with its specials, assistant_end 1.
+    Output rows ``(conv_id, seg_no, kind, value, mask)``.
+    """
+    def seg(k, kind, value, mask):
+        return F.struct(F.lit(k).alias("k"), F.lit(kind).alias("kind"), value.alias("value"),
+                        F.lit(mask).alias("mask"))
+
+    def part_segs(p):
+        t = p["type"]
+        return (F.when(t == "python", F.array(seg(0, "special", F.lit("<|python_start|>"), 1),
+                                              seg(1, "text", p["text"], 1),
+                                              seg(2, "special", F.lit("<|python_end|>"), 1)))
+                .when(t == "python_output", F.array(seg(0, "special", F.lit("<|output_start|>"), 0),
+                                                    seg(1, "text", p["text"], 0),
+                                                    seg(2, "special", F.lit("<|output_end|>"), 0)))
+                .otherwise(F.array(seg(1, "text", p["text"], 1))))
+
+    head = F.array(seg(0, "special", F.lit("<|bos|>"), 0), seg(0, "special", F.lit("<|user_start|>"), 0),
+                   seg(0, "text", F.col(user), 0), seg(0, "special", F.lit("<|user_end|>"), 0),
+                   seg(0, "special", F.lit("<|assistant_start|>"), 0))
+    body = F.flatten(F.transform(F.col(parts), part_segs))
+    tail = F.array(seg(0, "special", F.lit("<|assistant_end|>"), 1))
+    allsegs = F.concat(head, body, tail)
+    x = df.select(key, F.posexplode(allsegs).alias("seg_no", "s"))
+    return x.select(key, F.col("seg_no").cast("long").alias("seg_no"), F.col("s.kind").alias("kind"),
+                    F.col("s.value").alias("value"), F.col("s.mask").alias("mask"))

@@ -34,3 +34,35 @@ def test_render_conversation_matches_naive(spark):
                for r in chat.render_conversation(df, merges, max_tokens=max_tokens).collect()}
         for c, msgs in convs.items():
             assert got[c] == _naive_render(msgs, mrows, 256 + len(mrows), max_tokens), (c, max_tokens)
+
+
+def test_render_parts_mask(spark):
+    df = spark.createDataFrame([(1, "How many r in strawberry?",
+                                 [("text", "Let me check "), ("python", "'strawberry'.count('r')"),
+                                  ("python_output", "3"), ("text", "#### 3")])],
+                               "conv_id LONG, user STRING, assistant_parts ARRAY<STRUCT<type: STRING, text: STRING>>")
+    segs = chat.render_part_segments(df)
+    merges = bpe.train_bpe(spark.createDataFrame([("strawberry count",)], "text STRING"), 9 + 256 + 5)
+    mrows = [(r.left, r.right, r.new_id) for r in merges.orderBy("new_id").collect()]
+    n_ranks = 256 + len(mrows)
+    sp = {s: n_ranks + i for i, s in enumerate(SPECIAL_TOKENS)}
+    want_ids, want_mask = [sp["<|bos|>"], sp["<|user_start|>"]], [0, 0]
+    e = naive_encode("How many r in strawberry?", mrows)
+    want_ids += e + [sp["<|user_end|>"], sp["<|assistant_start|>"]]
+    want_mask += [0] * len(e) + [0, 0]
+    for kind, text in [("text", "Let me check "), ("python", "'strawberry'.count('r')"),
+                       ("python_output", "3"), ("text", "#### 3")]:
+        e = naive_encode(text, mrows)
+        if kind == "python":
+            want_ids += [sp["<|python_start|>"]] + e + [sp["<|python_end|>"]]
+            want_mask += [1] * (len(e) + 2)
+        elif kind == "python_output":
+            want_ids += [sp["<|output_start|>"]] + e + [sp["<|output_end|>"]]
+            want_mask += [0] * (len(e) + 2)
+        else:
+            want_ids += e
+            want_mask += [1] * len(e)
+    want_ids.append(sp["<|assistant_end|>"])
+    want_mask.append(1)
+    r = chat.render_conversation(None, merges, segments=segs).collect()[0]
+    assert list(r.ids) == want_ids and list(r.mask) == want_mask
