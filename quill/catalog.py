@@ -1257,8 +1257,8 @@ def recipe_q(spark, sf):
     convs = corpus.with_index(_t(spark, sf, "conversations").select("conv_id").distinct(), ["conv_id"],
                               out="local_idx")
     bench = corpus.with_index(_t(spark, sf, "benchmark").select("item_id"), ["item_id"], out="local_idx")
-    m = chat.recipe([docs.select("local_idx"), convs.select("local_idx"), bench.select("local_idx"),
-                     bench.select("local_idx")])
+    b = bench.select("local_idx")
+    m = chat.recipe([docs.select("local_idx"), convs.select("local_idx"), b, b])   # b listed twice: oversampled
     return m.select("task_idx", "copy", "local_idx", "idx")
 
 
@@ -1406,3 +1406,32 @@ def render_spelling_bee_q(spark, sf):
     r = chat.render_conversation(None, trained_merges(spark, sf), segments=segs)
     return r.select("conv_id", F.size("ids").alias("n_tokens"), chat.supervised_tokens(r).alias("supervised"),
                     F.md5(F.array_join("ids", ",")).alias("ids_md5"))
+
+
+# oracles for queries registered above whose SQL reuses earlier pieces
+ORACLE["pack_stream"] = ORACLE["pack_blocks"].replace(
+    "       sum(CASE WHEN side = 'i' THEN tok END) AS inputs_sum\n", "       1 AS _drop\n").replace(
+    ",\n       1 AS _drop\n", "\n")
+ORACLE["recipe_mixture"] = """
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS local_idx FROM documents),
+c AS (SELECT row_number() OVER (ORDER BY conv_id) - 1 AS local_idx FROM (SELECT DISTINCT conv_id FROM conversations)),
+b AS (SELECT row_number() OVER (ORDER BY item_id) - 1 AS local_idx FROM benchmark),
+u AS (SELECT 0 AS task_idx, 0 AS copy, local_idx FROM d WHERE local_idx < 500
+      UNION ALL SELECT 1, 0, local_idx FROM c
+      UNION ALL SELECT 2, 0, local_idx FROM b
+      UNION ALL SELECT 3, 1, local_idx FROM b)
+SELECT task_idx, copy, local_idx, row_number() OVER (ORDER BY md5('42:' || task_idx || ':' || copy || ':' || local_idx)) - 1 AS idx
+FROM u
+"""
+ORACLE["parse_tool_calls"] = r"""
+WITH a AS (SELECT conv_id, turn,
+                  substring(text, 1, 30) || ' <<' || length(text) || '*2=' || (CASE WHEN turn % 4 = 1 THEN length(text) * 2 + 1 ELSE length(text) * 2 END)
+                  || '>> then <<''' || substring(text, 1, 5) || '''.count(''e'')>>.' || chr(10) || '#### '
+                  || (CASE WHEN turn % 4 = 1 THEN length(text) * 2 + 1 ELSE length(text) * 2 END) AS answer
+           FROM conversations WHERE role = 'assistant'),
+p AS (SELECT conv_id, turn, string_split(regexp_replace(answer, '(<<[^>]+>>)', chr(1) || '\1' || chr(1), 'g'), chr(1)) AS pieces FROM a)
+SELECT conv_id, turn,
+       list_sum(list_transform(pieces, lambda x: CASE WHEN starts_with(x, '<<') AND ends_with(x, '>>') THEN 2 ELSE 1 END)) AS n_parts,
+       array_to_string(list_transform(pieces, lambda x: CASE WHEN starts_with(x, '<<') AND ends_with(x, '>>') THEN 'python,python_output' ELSE 'text' END), ',') AS types
+FROM p
+"""
