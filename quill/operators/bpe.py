@@ -12,7 +12,7 @@ Plan shapes:
   after the leader while it shares no joint token with an accepted pair and
   its count strictly beats every pair next to an accepted pair (new pairs are
   bounded by those). Merges run natively as ``regexp_replace`` on a
-  ``,id,id,`` string form of each word.
+  ``<id><id>`` string form of each word (literal replace).
 * Encoding uses a per-worker cache inside an Arrow UDF over chunk arrays
   (map-only, no shuffle); counting tokens multiplies chunk counts by the
   token length of each distinct chunk, so token arrays are never built.
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quill.functions.text import SPECIAL_TOKENS, SPLIT_PATTERN, java_pattern
-from quill.session import ensure_checkpoint_dir
+from quill.session import ensure_checkpoint_dir, reliable_checkpoint
 
 # ---------------------------------------------------------------------------
 # D1 / D2 / D3
@@ -81,12 +81,18 @@ def pair_counts(words: DataFrame, ids: str = "ids", cnt: str = "cnt") -> DataFra
 TRAIN_STATS: dict[str, int] = {}
 
 def _to_tokstr(arr: Column) -> Column:
-    return F.concat(F.lit(","), F.array_join(arr, ","), F.lit(","))
+    """Token ids as ``<97><98><99>``: every token owns its delimiters, so a
+    literal left-to-right replace of ``<a><b>`` is exactly one BPE merge
+    (non-overlapping, runs like ``aaaa`` included)."""
+    return F.concat(F.lit("<"), F.array_join(arr, "><"), F.lit(">"))
 
 
 def _tokstr_ids(s: Column) -> Column:
-    inner = F.regexp_replace(s, "^,|,$", "")
-    return F.transform(F.split(inner, ","), lambda x: x.cast("int"))
+    return F.transform(F.regexp_extract_all(s, F.lit("<([0-9]+)>"), 1), lambda x: x.cast("int"))
+
+
+def _merge_tok(tok: Column, left: int, right: int, new_id: int) -> Column:
+    return F.replace(tok, F.lit(f"<{left}><{right}>"), F.lit(f"<{new_id}>"))
 
 
 def select_batch(top: list[tuple[int, int, int]], truncated: bool,
@@ -123,16 +129,17 @@ def select_batch(top: list[tuple[int, int, int]], truncated: bool,
     return accepted
 
 
-_PAIR_RE = r"(?=,([0-9]+,[0-9]+),)"
+_PAIR_RE = r"(?=(<[0-9]+><[0-9]+>))"
 
 
 def _round_summary(words: DataFrame, limit: int) -> DataFrame:
     """One job per round: pair counts (overlapping pairs straight from the
-    ``,id,id,`` form, partial + final aggregate) and the top ``limit`` pairs."""
+    ``<a><b>`` form, partial + final aggregate) and the top ``limit`` pairs."""
     pc = (words.select(F.explode(F.regexp_extract_all("tok", F.lit(_PAIR_RE), 1)).alias("pr"), "cnt")
           .groupBy("pr").agg(F.sum("cnt").alias("cnt")))
-    parts = F.split("pr", ",")
-    pc = pc.select(parts[0].cast("int").alias("left"), parts[1].cast("int").alias("right"), "cnt")
+    pat = r"^<([0-9]+)><([0-9]+)>$"
+    pc = pc.select(F.regexp_extract("pr", pat, 1).cast("int").alias("left"),
+                   F.regexp_extract("pr", pat, 2).cast("int").alias("right"), "cnt")
     return pc.orderBy(F.desc("cnt"), "left", "right").limit(limit)
 
 
@@ -164,7 +171,7 @@ def train_bpe(texts: DataFrame, vocab_size: int, text: str = "text",
     words = (words_from_chunks(counts).where(F.size("ids") >= 2)
              .select(_to_tokstr(F.col("ids")).alias("tok"), "cnt")
              .repartition(n_parts))
-    words = words.checkpoint(eager=True)
+    words = reliable_checkpoint(words)
     merges: list[tuple[int, int, int, int, int]] = []
     rnd = 0
     TRAIN_STATS.clear()
@@ -182,14 +189,14 @@ def train_bpe(texts: DataFrame, vocab_size: int, text: str = "text",
         for left, right, cnt in batch:
             new_id = 256 + len(merges)
             merges.append((len(merges), left, right, new_id, cnt))
-            tok = F.regexp_replace(tok, f",{left},{right}(?=,)", f",{new_id}")
+            tok = _merge_tok(tok, left, right, new_id)
         rnd += 1
         if len(merges) >= n_merges:
             break
         # words of one token can never pair again
-        nxt = words.select(tok.alias("tok"), "cnt").where(F.col("tok").rlike("^,[0-9]+,[0-9]"))
+        nxt = words.select(tok.alias("tok"), "cnt").where(F.col("tok").contains("><"))
         if rnd % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True)
+            nxt = reliable_checkpoint(nxt)
             words.unpersist()
         else:
             nxt = nxt.persist()       # filled by the next round's job
@@ -211,7 +218,7 @@ def apply_merges_col(ids: Column, merges: list[tuple[int, int, int]]) -> Column:
     """Apply ``(left, right, new_id)`` merges in order, left-to-right, non-overlapping."""
     tok = _to_tokstr(ids)
     for left, right, new_id in merges:
-        tok = F.regexp_replace(tok, f",{left},{right}(?=,)", f",{new_id}")
+        tok = _merge_tok(tok, left, right, new_id)
     return _tokstr_ids(tok)
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quill.plans.order import prefix_sum
-from quill.session import ensure_checkpoint_dir
+from quill.session import ensure_checkpoint_dir, reliable_checkpoint
 
 
 def greedy_segments(df: DataFrame, order: str, weight: str, threshold: int,
@@ -40,7 +40,7 @@ def greedy_segments(df: DataFrame, order: str, weight: str, threshold: int,
     ensure_checkpoint_dir(spark)
     items = prefix_sum(df, [order], F.lit(1).cast("long"), out="__pos", inclusive=False)
     items = prefix_sum(items, [order], F.col(weight).cast("long"), out="__P", inclusive=True)
-    items = items.checkpoint(eager=True)
+    items = reliable_checkpoint(items)
     n = items.count()
     if n == 0:
         return items.drop("__pos", "__P").withColumn(out, F.lit(0).cast("long")) \
@@ -57,18 +57,18 @@ def greedy_segments(df: DataFrame, order: str, weight: str, threshold: int,
     lb = prefix_sum(u, ["__key", "node"], F.col("typ").cast("long"), out="lb", inclusive=False)
     nxt = lb.where(F.col("typ") == 0).select("node", F.col("lb").alias("to"))
     sink = spark.range(1).select(F.lit(n).cast("long").alias("node"), F.lit(n).cast("long").alias("to"))
-    level = nxt.unionByName(sink).checkpoint(eager=True)
+    level = reliable_checkpoint(nxt.unionByName(sink))
     # 3. pointer doubling
     levels = [level]
     for _ in range(max(1, math.ceil(math.log2(n + 2)))):
         a, b = level.alias("a"), level.alias("b")
-        level = (a.join(b, F.col("a.to") == F.col("b.node"))
-                 .select(F.col("a.node").alias("node"), F.col("b.to").alias("to"))).checkpoint(eager=True)
+        level = reliable_checkpoint(a.join(b, F.col("a.to") == F.col("b.node"))
+                                    .select(F.col("a.node").alias("node"), F.col("b.to").alias("to")))
         levels.append(level)
     reach = spark.range(1).select(F.lit(-1).cast("long").alias("node"))
     for lv in reversed(levels[:-1]):
         step = reach.join(lv, "node").select(F.col("to").alias("node"))
-        reach = reach.unionByName(step).distinct().checkpoint(eager=True)
+        reach = reliable_checkpoint(reach.unionByName(step).distinct())
     closes = reach.where((F.col("node") >= 0) & (F.col("node") < n)).select(
         F.col("node").alias("__pos"), F.lit(True).alias("is_close"))
     n_closes = closes.count()

@@ -62,3 +62,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def reliable_checkpoint(df):
+    """``checkpoint()`` into the cluster's checkpoint directory without computing
+    the plan twice: the eager checkpoint job reads the persisted copy."""
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.persist()
+    cp = df.checkpoint(eager=True)
+    df.unpersist()
+    return cp
