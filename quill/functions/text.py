@@ -35,9 +35,7 @@ MC_HEADER = "Multiple Choice question: "
 MC_FOOTER = "\nRespond only with the letter of the correct answer."
 # ---------------------------------------------------------------------------
 
-# Python's str.strip() whitespace: Unicode White_Space plus the ASCII
-# separators 0x1C-0x1F. Spark's trim() strips spaces only.
-_WS = r"[\s\x{1C}-\x{1F}]"
+# Spark's trim() strips spaces only; strip_ws() below follows str.strip().
 
 
 def java_pattern(pattern: str) -> str:
@@ -45,10 +43,15 @@ def java_pattern(pattern: str) -> str:
     return "(?U)(" + pattern + ")"
 
 
+# Characters Python's str.isspace() accepts (what str.strip() removes).
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+                 + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000")
+
+
 def strip_ws(col) -> Column:
-    """Python ``str.strip()`` semantics."""
+    """Python ``str.strip()`` semantics (``btrim`` over the whitespace set, no regex)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.regexp_replace(c, r"(?U)^" + _WS + r"+|" + _WS + r"+$", "")
+    return F.btrim(c, F.lit(PY_WHITESPACE))
 
 
 def rstrip_chars(col, chars: str) -> Column:
