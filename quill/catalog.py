@@ -1435,3 +1435,49 @@ SELECT conv_id, turn,
        array_to_string(list_transform(pieces, lambda x: CASE WHEN starts_with(x, '<<') AND ends_with(x, '>>') THEN 'python,python_output' ELSE 'text' END), ',') AS types
 FROM p
 """
+
+
+# ---------------------------------------------------------------------------
+# Type normalization for the comparison: Spark integer columns are widened to
+# bigint (see ``__spark_entry__``), and DuckDB's wider or decimal result
+# types (sums → HUGEINT, decimal literals, recursive-CTE INTEGER) are cast
+# back to BIGINT / DOUBLE. Values are unchanged.
+ORACLE_CASTS: dict[str, dict[str, str]] = {
+    "audit_request_limits": {"total_len": "BIGINT"},
+    "centered_score": {"baseline": "DOUBLE"},
+    "char_budget": {"chars_before": "BIGINT"},
+    "chunk_stats_by_lang": {"n_chunks": "BIGINT"},
+    "masked_token_mean": {"active_tokens": "BIGINT"},
+    "match_speaker": {"n_speaker": "BIGINT", "n_comma": "BIGINT", "n_question": "BIGINT"},
+    "pack_blocks": {"inputs_sum": "BIGINT"},
+    "pair_counts": {"cnt": "BIGINT"},
+    "parse_tool_calls": {"n_parts": "BIGINT"},
+    "policy_objective": {"n_valid": "BIGINT"},
+    "pretokenize_docs": {"chunk_chars": "BIGINT"},
+    "read_corpus_shards": {"n_chars": "BIGINT"},
+    "sequence_tasks": {"idx": "BIGINT"},
+    "shard_by_chars": {"shard": "BIGINT"},
+    "shard_qa_pairs": {"shard": "BIGINT"},
+    "shuffle_buffered": {"buffer": "BIGINT"},
+    "token_offsets": {"offset": "BIGINT"},
+    "group_advantage": {"sample_no": "BIGINT"},
+    "mix_tasks": {"task_idx": "BIGINT", "copy": "BIGINT"},
+    "recipe_mixture": {"task_idx": "BIGINT", "copy": "BIGINT"},
+    "option_spans_mc": {"option": "BIGINT", "start": "BIGINT", "end": "BIGINT"},
+    "option_spans_schema": {"option": "BIGINT", "start": "BIGINT", "end": "BIGINT"},
+    "render_segments": {"mask": "BIGINT"},
+    "render_completion_segments": {"mask": "BIGINT"},
+    "report_summary": {"sort_key": "BIGINT"},
+    "score_options": {"pred": "BIGINT", "gold": "BIGINT"},
+}
+ORACLE_CASTS["pair_counts"].update({"left": "BIGINT", "right": "BIGINT"})
+ORACLE_CASTS["sequence_tasks"].update({"task_idx": "BIGINT"})
+
+
+def normalized_oracle(name: str) -> str:
+    sql = ORACLE[name]
+    casts = ORACLE_CASTS.get(name)
+    if not casts:
+        return sql
+    rep = ", ".join(f'CAST("{c}" AS {t}) AS "{c}"' for c, t in casts.items())
+    return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) AS oracle_q"
