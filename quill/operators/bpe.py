@@ -373,6 +373,14 @@ def token_byte_lengths(vocab: DataFrame, exact: bool = False) -> DataFrame:
     return vocab.select("token_id", F.when(F.col("special").isNotNull(), 0).otherwise(nb).cast("int").alias("n_bytes"))
 
 
+def cap_docs_by_groups(df: DataFrame, order: str, max_docs: int, group_size: int = 1024) -> DataFrame:
+    """Q27: ``max_docs`` is tested after each whole row group, so the cap
+    overshoots to the end of the group that reaches it."""
+    from quill.plans.order import dense_index
+    d = dense_index(df, [order], out="__p")
+    return d.where(F.floor(F.col("__p") / group_size) * group_size < max_docs).drop("__p")
+
+
 def count_tokens(df: DataFrame, merges: DataFrame, text: str = "text",
                  pattern: str = SPLIT_PATTERN, bos: bool = True) -> DataFrame:
     """Docs, chars, tokens (+1 BOS per doc), chars/token, tokens/doc.

@@ -199,7 +199,8 @@ def ratio_split(df: DataFrame, key: str, val_ratio: float = 0.05, seed: int = 42
 
 def render_conversation(df: DataFrame, merges: DataFrame, max_tokens: int = 2048,
                         key: str = "conv_id", turn: str = "turn", role: str = "role",
-                        text: str = "text", segments: DataFrame | None = None) -> DataFrame:
+                        text: str = "text", segments: DataFrame | None = None,
+                        special_tokens: list[str] | None = None) -> DataFrame:
     """C4: ``(conv_id, ids, mask)`` with truncation to ``max_tokens`` (Q12-Q15).
 
     Segments are encoded map-side (text through the BPE encoder, specials by
@@ -212,8 +213,12 @@ def render_conversation(df: DataFrame, merges: DataFrame, max_tokens: int = 2048
     from quill.plans.order import prefix_sum
 
     segs = segments if segments is not None else render_segments(df, key, turn, role, text)
+    specials = SPECIAL_TOKENS if special_tokens is None else special_tokens
+    # a vocabulary without the python/output specials renders bare text with
+    # the same masks (Q14): their special segments are simply dropped
+    segs = segs.where((F.col("kind") != "special") | F.col("value").isin(*specials))
     n_ranks = 256 + merges.count()
-    spec = F.create_map(*[x for i, s in enumerate(SPECIAL_TOKENS) for x in (F.lit(s), F.lit(n_ranks + i))])
+    spec = F.create_map(*[x for i, s in enumerate(specials) for x in (F.lit(s), F.lit(n_ranks + i))])
     enc = make_encoder(merges)
     toks = F.when(F.col("kind") == "special", F.array(spec[F.col("value")])) \
         .otherwise(enc(pretokenize_col(F.col("value"))))

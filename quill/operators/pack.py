@@ -201,3 +201,11 @@ def pack_conversations(rendered: DataFrame, B: int, T: int, rank: int, world: in
     ends = prefix_sum(ends, ["block"], "__done", out="__cum")
     return blocks.join(ends.select("block", "__cum"), "block", "left").withColumn(
         "progress", F.round(F.coalesce(F.col("__cum"), F.lit(0)) / F.lit(max(total, 1)), 6)).drop("__cum")
+
+
+def sft_steps(n_examples: int, examples_per_step: int, epochs: int = 1, mode: str = "floor") -> int:
+    """Q25: optimizer steps for SFT — floor division (chat SFT) or at least one
+    ceil step (the parliamentary SFT). Scalar planning arithmetic on a count."""
+    if mode == "floor":
+        return (n_examples // examples_per_step) * epochs
+    return max(1, -(-n_examples // examples_per_step) * epochs)

@@ -52,3 +52,16 @@ def test_option_spans_and_crop(spark):
     c = pack.crop_left(df.withColumn("start", F.lit(2)).withColumn("end", F.size("ids")), 3)
     r = c.where("item = 0 AND option = 0").collect()[0]
     assert list(r.ids) == [2, 3, 4] and (r.start, r.end) == (1, 3) and r.span_ok
+
+
+def test_sft_steps_floor_and_ceil():
+    assert pack.sft_steps(23, 8, 2, "floor") == 4
+    assert pack.sft_steps(23, 8, 2, "ceil") == 6
+    assert pack.sft_steps(3, 8, 1, "floor") == 0 and pack.sft_steps(3, 8, 1, "ceil") == 1
+
+
+def test_max_docs_overshoots_to_group_end(spark):
+    from quill.operators.bpe import cap_docs_by_groups
+    df = spark.range(3000).withColumnRenamed("id", "doc_id")
+    assert cap_docs_by_groups(df, "doc_id", 1500).count() == 2048
+    assert cap_docs_by_groups(df, "doc_id", 1024).count() == 1024

@@ -66,3 +66,19 @@ def test_render_parts_mask(spark):
     want_mask.append(1)
     r = chat.render_conversation(None, merges, segments=segs).collect()[0]
     assert list(r.ids) == want_ids and list(r.mask) == want_mask
+
+
+def test_render_without_python_specials_falls_back(spark):
+    df = spark.createDataFrame([(1, "q", [("python", "1+1"), ("python_output", "2"), ("text", "ok")])],
+                               "conv_id LONG, user STRING, assistant_parts ARRAY<STRUCT<type: STRING, text: STRING>>")
+    merges = bpe.train_bpe(spark.createDataFrame([("ok",)], "text STRING"), 5 + 256 + 1,
+                           special_tokens=SPECIAL_TOKENS[:5])
+    r = chat.render_conversation(None, merges, segments=chat.render_part_segments(df),
+                                 special_tokens=SPECIAL_TOKENS[:5]).collect()[0]
+    n_ranks = 257
+    mrows = [(r_.left, r_.right, r_.new_id) for r_ in merges.collect()]
+    body = naive_encode("1+1", mrows) + naive_encode("2", mrows) + naive_encode("ok", mrows)
+    want_mask = [0, 0] + [0] * len(naive_encode("q", mrows)) + [0, 0] + \
+        [1] * len(naive_encode("1+1", mrows)) + [0] * len(naive_encode("2", mrows)) + [1] * len(naive_encode("ok", mrows)) + [1]
+    assert list(r.mask) == want_mask
+    assert list(r.ids)[-1] == n_ranks + 4 and all(i < n_ranks for i in list(r.ids)[-1 - len(body):-1])
