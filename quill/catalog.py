@@ -1481,3 +1481,34 @@ def normalized_oracle(name: str) -> str:
         return sql
     rep = ", ".join(f'CAST("{c}" AS {t}) AS "{c}"' for c, t in casts.items())
     return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) AS oracle_q"
+
+
+_STRIP = r"regexp_replace({x}, '^[\t\n\x0B\f\r \x1C-\x1F]+|[\t\n\x0B\f\r \x1C-\x1F]+$', '', 'g')"
+ORACLE["assemble_program"] = r"""
+WITH p AS (SELECT conv_id, turn,
+                  'import os' || chr(10) || 'from math import sqrt' || chr(10) || '# helper' || chr(10) || chr(10)
+                  || 'def f():' || chr(10) || '    import sys' || chr(10) || '    """' || substring(text, 1, 20) || '"""' AS prompt,
+                  'Sure:' || chr(10) || '```python' || chr(10) || 'def f():' || chr(10) || '    return ' || length(text)
+                  || chr(10) || '```' || chr(10) AS completion
+           FROM conversations),
+l AS (SELECT conv_id, turn, completion,
+             list_transform(string_split(prompt, chr(10)), lambda x: """ + _STRIP.format(x="x") + r""") AS lines FROM p),
+s AS (SELECT conv_id, turn, completion, lines,
+             list_position(list_transform(lines, lambda x: NOT (starts_with(x, 'import ') OR starts_with(x, 'from '))
+                                                  AND x <> '' AND NOT starts_with(x, '#')), true) AS stop FROM l),
+i AS (SELECT conv_id, turn, completion,
+             array_to_string(list_filter(CASE WHEN stop IS NULL THEN lines ELSE lines[1:stop - 1] END,
+                                         lambda x: starts_with(x, 'import ') OR starts_with(x, 'from ')), chr(10)) AS imports
+      FROM s)
+SELECT conv_id, turn,
+       imports || chr(10) || chr(10)
+       || CASE WHEN regexp_matches(completion, '(?s)```(?:python)?\s*\n(.*?)\n```')
+               THEN """ + _STRIP.format(x=r"regexp_extract(completion, '(?s)```(?:python)?\s*\n(.*?)\n```', 1)") + r"""
+               ELSE """ + _STRIP.format(x="completion") + r""" END
+       || chr(10) || chr(10) || 'def check(fn):' || chr(10) || '    assert fn() > 0' || chr(10) || 'check(f)' AS program
+FROM i
+"""
+# decode(encode(x)) is the identity on every document and a single letter is
+# always one token: the oracle is that invariant over the whole table.
+ORACLE["decode_roundtrip"] = "SELECT count(*) AS docs, 0::BIGINT AS mismatches FROM documents"
+ORACLE["roundtrip_check"] = "SELECT 0::BIGINT AS roundtrip_mismatches, 0::BIGINT AS multi_token_letters"
