@@ -32,10 +32,13 @@ def take_char_budget(df: DataFrame, order: Sequence[str], max_chars: int, text:
 def sentences(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Split on '.', strip, drop blanks; '.' re-added except on a final
     fragment of a text that does not end in '.'."""
-    parts = F.split(F.col(text), r"\.", -1)
-    x = df.select(key, text, F.posexplode(parts).alias("pos", "frag"), F.size(parts).alias("n"))
+    # split once and keep only a flag, so exploded rows never carry the text
+    d = df.select(key, F.split(F.col(text), r"\.", -1).alias("__parts"),
+                  F.col(text).endswith(".").alias("__ends"))
+    x = d.select(key, "__ends", F.size("__parts").alias("n"),
+                 F.posexplode("__parts").alias("pos", "frag"))
     s = strip_ws(F.col("frag"))
-    add_dot = (F.col("pos") < F.col("n") - 1) | F.col(text).endswith(".")
+    add_dot = (F.col("pos") < F.col("n") - 1) | F.col("__ends")
     return (x.select(key, "pos", s.alias("s"), add_dot.alias("dot"))
             .where(F.col("s") != "")
             .select(key, "pos", F.when(F.col("dot"), F.concat(F.col("s"), F.lit("."))).otherwise(F.col("s"))

@@ -46,13 +46,18 @@ def pack(df: DataFrame, B: int, T: int, order: Sequence[str] = ("doc_id",), ids:
     n_tok = F.size(ids).cast("long")
     first = F.floor(F.col("offset") / L)
     last = F.floor((F.col("offset") + n_tok - 1) / L)
+    off = F.col("offset")
+
+    def fragment(b):
+        start = F.greatest(off, b * L)
+        end = F.least(off + n_tok, (b + 1) * L)
+        return F.struct(b.alias("block"), start.alias("s"),
+                        F.slice(ids, (start - off + 1).cast("int"), (end - start).cast("int")).alias("frag"))
+    # slices are cut inside the row, so each exploded row holds only its own
+    # fragment (linear in the document, however many blocks it spans)
     frags = (d.where(n_tok > 0)
-             .select("offset", ids, F.explode(F.sequence(first, last)).alias("block")))
-    start = F.greatest(F.col("offset"), F.col("block") * L)
-    end = F.least(F.col("offset") + n_tok, (F.col("block") + 1) * L)
-    frags = frags.select("block", start.alias("s"),
-                         F.slice(ids, (start - F.col("offset") + 1).cast("int"),
-                                 (end - start).cast("int")).alias("frag"))
+             .select(F.explode(F.transform(F.sequence(first, last), fragment)).alias("f"))
+             .select("f.block", "f.s", "f.frag"))
     blocks = (frags.groupBy("block")
               .agg(F.array_sort(F.collect_list(F.struct("s", "frag"))).alias("fr"))
               .select("block", F.flatten(F.transform("fr", lambda x: x["frag"])).alias("tokens"))
