@@ -1352,8 +1352,15 @@ def pack_stream_q(spark, sf):
     ids.repartitionByRange(4, "doc_id").write.parquet(base + "/src")
     schema = spark.read.parquet(base + "/src").schema
     s = stream.stream_corpus(spark, base + "/src", schema, files_per_batch=1000, columns=("rank", "doc_id", "ids"))
-    q = (stream.pack_stream(s, 4, 64).writeStream.format("parquet").option("path", base + "/out")
-         .option("checkpointLocation", base + "/ckpt").trigger(availableNow=True).start())
+    # state partitions are fixed at the first start from the shuffle setting:
+    # size them to the number of ranks (one here), then restore the session
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        q = (stream.pack_stream(s, 4, 64).writeStream.format("parquet").option("path", base + "/out")
+             .option("checkpointLocation", base + "/ckpt").trigger(availableNow=True).start())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
     q.awaitTermination()
     out = spark.read.parquet(base + "/out")
     return out.select("block", "row", F.md5(F.array_join("inputs", ",")).alias("inputs_md5"),
