@@ -80,6 +80,17 @@ def pair_counts(words: DataFrame, ids: str = "ids", cnt: str = "cnt") -> DataFra
 
 TRAIN_STATS: dict[str, int] = {}
 
+# Merge tables and vocabularies are result-sized (bounded by the vocabulary
+# size); they are collected or shipped only after this bound is checked.
+MAX_VOCAB_ROWS = 1 << 21
+
+
+def _bounded_collect(df: DataFrame, what: str):
+    rows = df.limit(MAX_VOCAB_ROWS + 1).collect()
+    if len(rows) > MAX_VOCAB_ROWS:
+        raise ValueError(f"{what} exceeds {MAX_VOCAB_ROWS} rows; not a vocabulary-sized table")
+    return rows
+
 def _to_tokstr(arr: Column) -> Column:
     """Token ids as ``<97><98><99>``: every token owns its delimiters, so a
     literal left-to-right replace of ``<a><b>`` is exactly one BPE merge
@@ -227,7 +238,7 @@ def mergeable_ranks(merges: DataFrame) -> DataFrame:
 
     The merge table is result-sized (≤ vocabulary); bytes are built low → high.
     """
-    rows = sorted(merges.select("new_id", "left", "right").collect())
+    rows = sorted(_bounded_collect(merges.select("new_id", "left", "right"), "merge table"))
     table: dict[int, bytes] = {i: bytes([i]) for i in range(256)}
     for new_id, left, right in rows:
         table[new_id] = table[left] + table[right]
@@ -296,7 +307,7 @@ def make_encoder(merges: DataFrame):
     in the closure; each Python worker caches chunk encodings (bounded).
     """
     table = [(int(r.left), int(r.right), int(r.new_id))
-             for r in merges.select("left", "right", "new_id").orderBy("new_id").collect()]
+             for r in _bounded_collect(merges.select("left", "right", "new_id").orderBy("new_id"), "merge table")]
     key = hash(tuple(table))
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
@@ -338,7 +349,7 @@ def decode_bytes(df: DataFrame, vocab: DataFrame, ids: str = "ids", out: str = "
     The vocabulary (bounded) is broadcast; token bytes are concatenated in
     position order inside each row with ``aggregate`` — no shuffle of tokens.
     """
-    rows = vocab.select("token_id", "token_bytes").collect()
+    rows = _bounded_collect(vocab.select("token_id", "token_bytes"), "vocabulary")
     table = {int(r.token_id): bytes(r.token_bytes) for r in rows}
 
     @F.pandas_udf(T.StringType())
