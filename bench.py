@@ -29,6 +29,10 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, app="quill-bench")
     sf = sf_dir.rsplit("sf", 1)[-1] if "sf" in sf_dir else sf_dir
+    try:
+        sf = float(sf)
+    except ValueError:
+        pass
     times: dict[str, float] = {}
     extra: dict[str, float] = {}
 
