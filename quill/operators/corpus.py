@@ -85,8 +85,8 @@ def extract_qa_pairs(df: DataFrame, speaker_pattern: str, text: str = "text",
             F.when(i > 0, F.when(looks_like_question(F.col("paras")[i - 1]), F.col("paras")[i - 1])
                    .otherwise(heading)).alias("question"),
             p.alias("answer")))
-    return (arr.select(key, F.explode(pairs).alias("q"))
-            .where(F.col("q.is_match") & (F.col("q.pos") > 0))
+    kept = F.filter(pairs, lambda q: q["is_match"] & (q["pos"] > 0))   # only pairs become rows
+    return (arr.select(key, F.explode(kept).alias("q"))
             .select(key, F.col("q.pos").alias("pos"), F.col("q.question").alias("question"),
                     F.col("q.answer").alias("answer")))
 
