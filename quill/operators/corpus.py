@@ -25,7 +25,8 @@ def take_char_budget(df: DataFrame, order: Sequence[str], max_chars: int, text:
     """
     if doc_cap is not None:
         df = crop_text(df, text, doc_cap)
-    with_prefix = prefix_sum(df, order, F.length(text).cast("long"), out="chars_before", inclusive=False)
+    with_prefix = prefix_sum(df, order, F.length(text).cast("long"), out="chars_before", inclusive=False,
+                             stop_above=max_chars)
     return with_prefix.where(F.col("chars_before") <= max_chars)
 
 

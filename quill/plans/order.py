@@ -59,12 +59,14 @@ def _bucket_column(df: DataFrame, key: str, n_buckets: int) -> Column:
 def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str,
                out: str = "prefix", inclusive: bool = True,
                n_buckets: int | None = None, partition_by: Sequence[str] = (),
-               agg: str = "sum") -> DataFrame:
+               agg: str = "sum", stop_above: float | None = None) -> DataFrame:
     """Running sum of ``value`` in ``order`` (a total order), optionally per group.
 
     ``order[0]`` must be numeric or an md5 hex string. Work is split into
     ``n_buckets`` range buckets; only per-bucket totals pass through a small
-    window and a broadcast.
+    window and a broadcast. ``stop_above`` (non-negative values only) drops
+    rows of buckets whose running base already exceeds it — for budgets that
+    keep a prefix of a huge input.
     """
     order = list(order)
     partition_by = list(partition_by)
@@ -84,6 +86,10 @@ def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str,
     if not partition_by:
         bases = F.broadcast(bases)
     joined = staged.join(bases, on=[*partition_by, b], how="left")
+    if stop_above is not None and agg == "sum":
+        # a running sum never falls below its bucket's base (non-negative
+        # values): buckets already past the limit skip the local sort entirely
+        joined = joined.where(F.col("__base") <= stop_above)
     lower = Window.unboundedPreceding
     upper = 0 if inclusive else -1
     wl = Window.partitionBy(*partition_by, b).orderBy(*order).rowsBetween(lower, upper)
