@@ -104,3 +104,17 @@ def test_mix_oversamples_and_is_a_permutation(spark):
     m = chat.mix([a, b, b], seed=42).collect()
     assert sorted(r.idx for r in m) == list(range(11))
     assert sum(1 for r in m if r.task_idx == 2 and r.copy == 1) == 3
+
+
+def test_char_budget_stop_above_matches_sequential(spark):
+    rows = [(i, "x" * ((i * 37) % 11)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    for budget in (0, 5, 97, 1000, 10**6):
+        kept = sorted(r.doc_id for r in corpus.take_char_budget(df, ["doc_id"], budget, doc_cap=None).collect())
+        want, n = [], 0
+        for i, t in rows:
+            want.append(i)
+            n += len(t)
+            if n > budget:
+                break
+        assert kept == want, budget
