@@ -139,7 +139,4 @@ def shuffle_buffered(sents: DataFrame, n: int = 50_000, seed: int = 42, max_sent
     per_doc = sents.groupBy(key).agg(F.count(F.lit(1)).cast("long").alias("__n"))
     buf = greedy_segments(per_doc, key, "__n", n, out="buffer").select(key, "buffer")
     s = sents.join(buf, key).withColumn("shuffle_key", seeded_key(seed, key, pos))
-    s = dense_index(s, ["buffer", "shuffle_key"], out="rank")
-    if max_sentences is not None:
-        s = s.where(F.col("rank") < max_sentences)
-    return s
+    return dense_index(s, ["buffer", "shuffle_key"], out="rank", below=max_sentences)

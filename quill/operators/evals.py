@@ -107,7 +107,7 @@ def task_accuracy(outcomes: DataFrame, by: str = "task", key: str = "idx", corre
     o = outcomes
     if cap is not None:
         o = o.withColumn("__k", seeded_key(seed, key))
-        o = dense_index(o, ["__k"], out="__r", partition_by=[by]).where(F.col("__r") < cap)
+        o = dense_index(o, ["__k"], out="__r", partition_by=[by], below=cap)
     return o.groupBy(by).agg(F.count(F.lit(1)).alias("n"),
                              F.round(F.avg(F.col(correct).cast("double")), 6).alias("accuracy"))
 

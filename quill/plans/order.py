@@ -50,10 +50,13 @@ def _bucket_column(df: DataFrame, key: str, n_buckets: int) -> Column:
     bounds = sorted(set(b for b in bounds if b is not None))
     if not bounds:
         return F.lit(0)
-    # Binary search over the literal boundary array, JVM-side.
-    arr = F.array(*[F.lit(float(b)) for b in bounds])
+    # bucket = number of boundaries ≤ key, as plain comparisons: no lambda, so
+    # self-joins of this plan (bases joined back to rows) re-alias cleanly
     k = F.col(key).cast("double")
-    return F.size(F.filter(arr, lambda b: b <= k)).cast("int")
+    bucket = F.lit(0)
+    for b in bounds:
+        bucket = bucket + (k >= F.lit(float(b))).cast("int")
+    return bucket.cast("int")
 
 
 def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str,
@@ -101,7 +104,12 @@ def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str,
 
 
 def dense_index(df: DataFrame, order: Sequence[str], out: str = "idx",
-                partition_by: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
-    """0-based position in ``order`` without a single-partition window."""
-    return prefix_sum(df, order, F.lit(1), out=out, inclusive=False,
-                      partition_by=partition_by, n_buckets=n_buckets)
+                partition_by: Sequence[str] = (), n_buckets: int | None = None,
+                below: int | None = None) -> DataFrame:
+    """0-based position in ``order`` without a single-partition window.
+
+    ``below`` keeps only positions < below, skipping later buckets before
+    their sort (a top-n cap over a huge input)."""
+    d = prefix_sum(df, order, F.lit(1), out=out, inclusive=False, partition_by=partition_by,
+                   n_buckets=n_buckets, stop_above=None if below is None else below - 1)
+    return d if below is None else d.where(F.col(out) < below)

@@ -84,8 +84,7 @@ def test_run_metrics_ema_across_blocks(spark):
     import random
     rng = random.Random(1)
     rows = [("r1" if i % 3 else "r2", i * 2, rng.uniform(0.5, 5.0), 1.0, rng.uniform(1, 3)) for i in range(3000)]
-    # through Parquet like real inputs (a local relation trips a Catalyst
-    # attribute-binding bug in this plan shape)
+    # through Parquet like real inputs
     path = os.path.join(tempfile.mkdtemp(prefix="quill-rm-", dir="/tmp"), "m.parquet")
     spark.createDataFrame(rows, "run STRING, step LONG, loss DOUBLE, dt DOUBLE, val DOUBLE").write.parquet(path)
     df = spark.read.parquet(path)
