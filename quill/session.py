@@ -6,8 +6,11 @@ These helpers exist for tests, the bench and the driver contract.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -46,20 +49,46 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) a fresh scratch directory is created and registered.
+    ``spark.checkpoint.dir`` is read from the session. Where it is unset, a
+    scratch directory is registered in local mode only: on a cluster a
+    machine-local folder would be invisible to the other machines.
     """
     sc = spark.sparkContext
+    ship_package(spark)
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="quill-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the executors, once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_quill_shipped", False):
+        return
+    sc._quill_shipped = True
+    package = os.path.dirname(os.path.abspath(__file__))
+    if not os.path.isdir(package):      # already running from a shipped archive
+        return
+    folder = tempfile.mkdtemp(prefix="quill-src-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "quill_src.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for top, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(top, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(archive)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
