@@ -11,8 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quill.llm import bpe_codec, fertility, packing
-from quill.llm.tables import named
+from quill.llm import bpe_codec, fertility, ngram_join, packing, quality_cnn, toxicity
+from quill.llm.tables import crc32_mod, named
+
+
+def op1_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = named(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, named(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", (crc32_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_passages")
+
+
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(named(spark, sf_dir, "documents"))
 
 
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,11 +34,18 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(named(spark, sf_dir, "documents"))
 
 
+def op8_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = named(spark, sf_dir, "documents")
+    weights = quality_cnn.fit(docs, named(spark, sf_dir, "labels"))
+    return quality_cnn.score(docs, weights).select(
+        "doc_id", (crc32_mod("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op10_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.judged(named(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "n_tokens", "chars_per_token", "byte_share", "token_entropy")
 
 
-QUERIES = {f.__name__: f for f in (op6_bpe_codec, op7_best_fit_packing, op10_tokeniser_fertility)}
+QUERIES = {f.__name__: f for f in (op1_toxic_segments, op2_ngram_jaccard_join, op6_bpe_codec, op7_best_fit_packing, op8_quality_cnn, op10_tokeniser_fertility)}
 ORACLE: dict[str, str] = {}
