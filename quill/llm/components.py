@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quill.llm.tables import stored
+from quill.llm.tables import skew_join, stored
 
 MAX_ROUNDS = 60
 
@@ -33,9 +33,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m"))
         low = low.select("u", F.least("u", "m").alias("m"))
-        large = both.where(F.col("v") > F.col("u")).join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = skew_join(both.where(F.col("v") > F.col("u")), low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = (skew_join(large, low, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         e = stored(small, "edges")
         now = _mark(e)

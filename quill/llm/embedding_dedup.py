@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quill.llm.components import components
-from quill.llm.tables import map_arrow, stored
+from quill.llm.tables import map_arrow, skew_join, stored
 
 BLOCK = 2000            # classes of one block
 
@@ -108,7 +108,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vec: str = "embedding",
     group = F.to_json(F.struct(F.col("label"), F.size("v").alias("dim")))
     vectors = classes.select(group.alias("grp"), "node", "copies", "v")
     blocks = vectors.groupBy("grp").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / BLOCK)).cast("int").alias("blocks"))
-    dealt = vectors.join(blocks, "grp").withColumn("block", F.pmod("node", F.col("blocks")).cast("int"))
+    dealt = skew_join(vectors, blocks, "grp").withColumn("block", F.pmod("node", F.col("blocks")).cast("int"))
     placed = dealt.select("grp", "node", "copies", "v", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     keys = ["grp", "lo", "hi"]
     placed = (placed.select("grp", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "copies", "v")
@@ -153,7 +153,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vec: str = "embedding",
     others = solved.where(F.col("to").isNull()).groupBy("node").agg(F.sum("links").alias("others"))
     named = classes.join(found, "node", "left").withColumn("root", F.coalesce("component", "node")).join(others, "node", "left")
     lowest = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = named.join(lowest, "root").select("cls", "component_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    named = skew_join(named, lowest, "root").select("cls", "component_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
     linked = rows.select(F.col("id").alias(key), "cls").join(named, "cls").select(key, "n_links", F.coalesce("component_id", key).alias("component_id"))
     v = F.col(vec).cast("array<double>")
     finite = F.col(label).isNotNull() & F.col(vec).isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull())

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quill.llm import bpe_codec, embedding_dedup, fertility, ngram_join, packing, quality_cnn, toxicity
+from quill.llm import bpe_codec, embedding_dedup, fertility, ngram_join, packing, quality_cnn, toxicity, warc_zip
 from quill.llm.tables import crc32_mod, named
 
 
@@ -45,11 +45,15 @@ def op8_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (crc32_mod("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op9_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zip.archive(named(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.judged(named(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "n_tokens", "chars_per_token", "byte_share", "token_entropy")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxic_segments, op2_ngram_jaccard_join, op3_embedding_dedup, op6_bpe_codec, op7_best_fit_packing, op8_quality_cnn, op10_tokeniser_fertility)}
+QUERIES = {f.__name__: f for f in (op1_toxic_segments, op2_ngram_jaccard_join, op3_embedding_dedup, op6_bpe_codec, op7_best_fit_packing, op8_quality_cnn, op9_warc_zip, op10_tokeniser_fertility)}
 ORACLE: dict[str, str] = {}

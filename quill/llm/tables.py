@@ -54,3 +54,17 @@ def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` with this package's sources sent to the executors first."""
     ship_package(df.sparkSession)
     return df.mapInArrow(fn, schema)
+
+
+def skew_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """Equi-join on one column whose right side is an aggregate by that column.
+
+    Such a side already lies by the key, so Spark would not exchange it again, and
+    adaptive execution splits a hot key only where both sides are exchanged. The
+    join therefore runs on a key derived from ``on``.
+    """
+    def derived(df):
+        c = F.col(on)
+        return F.bitwise_not(c) if dict(df.dtypes)[on] == "bigint" else F.concat(F.lit("="), c.cast("string"))
+    r = right.withColumn("__key", derived(right)).drop(on)
+    return left.withColumn("__key", derived(left)).join(r, "__key", how).drop("__key")
