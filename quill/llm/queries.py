@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quill.llm import bpe_codec, embedding_dedup, fertility, ngram_join, packing, quality_cnn, toxicity, warc_zip
+from quill.llm import bpe_codec, embedding_dedup, fertility, ngram_join, packing, ppm, quality_cnn, toxicity, warc_zip
 from quill.llm.tables import crc32_mod, named
 
 
@@ -30,6 +30,11 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(named(spark, sf_dir, "embeddings"))
 
 
+def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_held_out(named(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encoding_digests(named(spark, sf_dir, "documents"))
 
@@ -55,5 +60,5 @@ def op10_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_tokens", "chars_per_token", "byte_share", "token_entropy")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxic_segments, op2_ngram_jaccard_join, op3_embedding_dedup, op6_bpe_codec, op7_best_fit_packing, op8_quality_cnn, op9_warc_zip, op10_tokeniser_fertility)}
+QUERIES = {f.__name__: f for f in (op1_toxic_segments, op2_ngram_jaccard_join, op3_embedding_dedup, op5_ppm, op6_bpe_codec, op7_best_fit_packing, op8_quality_cnn, op9_warc_zip, op10_tokeniser_fertility)}
 ORACLE: dict[str, str] = {}
