@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quill.llm.tables import map_arrow, stored, text_bytes
+from quill.llm.tables import map_arrow, skew_join, stored, text_bytes
 from quill.llm.words import windows, word_hashes
 
 VOCAB = "piece_bpe_32k.model"
@@ -99,15 +99,19 @@ def base_counts(t: bytes) -> tuple[int, int, int, int, int, list[bytes]]:
     return n, chars, sum(map(t.count, SYMBOLS)), len(lines) - len(set(lines)), repeat, words
 
 
-def measures(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", vocab: str = VOCAB) -> DataFrame:
-    """One narrow row per document: base counts and token measures."""
-    kinds = dict(df.dtypes)
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens", "n_byte_tokens", "token_entropy")
+_KINDS = [pa.int64()] * 7 + [pa.float64()]
+
+
+def measures(df: DataFrame, text: str = "text", vocab: str = VOCAB, out: str = "__fertility") -> DataFrame:
+    """``df`` with a struct of base counts and token measures of each whole text."""
+    names = df.columns
 
     def run(batches):
         v = _vocab(vocab)
         for b in batches:
-            cols = [[] for _ in range(9)]
-            for t in b.column(2).to_pylist():
+            cols = [[] for _ in MEASURES]
+            for t in b.column(len(names)).to_pylist():
                 *base, words = base_counts(t)
                 n = fell = 0
                 entropy = 0.0
@@ -119,49 +123,56 @@ def measures(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
                     c = np.bincount(ids) if n > 4000 else np.unique(ids, return_counts=True)[1]
                     c = c[c > 0]
                     entropy = float(np.log2(n) - (c * np.log2(c)).sum() / n)
-                for col, x in zip(cols, (*base, n, fell, entropy, len(t)), strict=True):
+                for col, x in zip(cols, (*base, n, fell, entropy), strict=True):
                     col.append(x)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), *(pa.array(c, pa.int64()) for c in cols[:7]), pa.array(cols[7], pa.float64()), pa.array(cols[8], pa.int64())],
-                names=[key, "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens", "n_byte_tokens", "token_entropy", "n_bytes"])
-    language = F.col(lang) if lang in kinds else F.lit(None)
-    return map_arrow(df.select(key, language.cast("string").alias("lang"), text_bytes(text).alias("text")), run, f"`{key}` {kinds[key]}, lang string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
-             "n_tokens bigint, n_byte_tokens bigint, token_entropy double, n_bytes bigint")
-
-
-def judged(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", vocab: str = VOCAB, min_docs: int = 200,
-           min_words: int = 10, max_repeat_percent: int = 20) -> DataFrame:
-    """Measures, ``base_failed`` and ``kept`` of each document row."""
-    m = stored(measures(df, key, text, lang, vocab), "fertility")
-    rates = (m.withColumn("chars_per_token", F.col("word_chars") / F.col("n_tokens"))
-             .withColumn("byte_share", F.col("n_byte_tokens") / F.col("n_tokens"))
-             # of the entropy that so many draws could have at most
-             .withColumn("token_entropy_rate", F.col("token_entropy") / F.log2(F.greatest(F.col("n_tokens"), F.lit(2)))))
-    names = list(BANDS)
-    quartiles = [F.percentile_approx(c, [0.25, 0.5, 0.75], 1000).alias(f"q_{c}") for c in names]
-    judged_rows = rates.where(F.col("n_words") >= min_words)
-    by_lang = judged_rows.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), *quartiles)
-    overall = judged_rows.agg(*quartiles).select(*(F.col(f"q_{c}").alias(f"all_{c}") for c in names))
-    by_lang = by_lang.where(F.col("docs") >= min_docs).withColumnRenamed("lang", "__lang")
-    d = rates.join(by_lang, F.col("lang").eqNullSafe(F.col("__lang")), "left")
-    row = overall.collect()             # one row
-    fallback = row[0].asDict() if row else {}
+            found = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(cols, _KINDS, strict=True)], names=list(MEASURES))
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(names))), found], names=[*names, out])
+    fields = ", ".join(f"{m}: {'double' if m == 'token_entropy' else 'bigint'}" for m in MEASURES)
+    schema = ", ".join(f"`{c}` {t}" for c, t in df.dtypes) + f", {out} struct<{fields}>"
+    return map_arrow(df.withColumn(out, text_bytes(text)), run, schema)
+
+
+def _judge(measured: DataFrame, lang: str, out: str, min_docs: int, min_words: int, max_repeat_percent: int) -> DataFrame:
+    """``measured`` (a written table) with the rates, ``base_failed`` and ``kept`` in the struct ``out``."""
+    def m(name):
+        return F.col(f"{out}.{name}")
+    tokens = F.greatest(m("n_tokens"), F.lit(1))
+    language = F.col(lang).cast("string") if lang in measured.columns else F.lit(None).cast("string")
+    rate = {"chars_per_token": m("word_chars") / tokens, "byte_share": m("n_byte_tokens") / tokens,
+            # of the entropy that so many draws could have at most
+            "token_entropy_rate": m("token_entropy") / F.log2(F.greatest(tokens, F.lit(2)))}
+    judged_rows = measured.where(m("n_words") >= min_words).select(language.alias("lang"), *(c.alias(n) for n, c in rate.items()))
+    quartiles = [F.percentile_approx(c, [0.25, 0.5, 0.75], 1000).alias(c) for c in rate]
+    by_lang = judged_rows.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), *quartiles).where(F.col("docs") >= min_docs)
+    bands = by_lang.select(F.col("lang").alias("__lang"), F.struct(*rate).alias("__bands"))
+    whole = judged_rows.agg(*quartiles).collect()[0]        # one row
+    d = measured.withColumn("__language", language)
+    d = skew_join(d.withColumn("__lang", F.coalesce("__language", F.lit(""))), bands.withColumn("__lang", F.coalesce("__lang", F.lit(""))), "__lang", "left")
     ok = F.lit(True)
-    for c, rule in BANDS.items():
-        whole = fallback.get(f"all_{c}")
-        q = F.coalesce(F.col(f"q_{c}"), F.array(*(F.lit(float(x)) for x in whole)) if whole else F.lit(None).cast("array<double>"))
-        width = F.greatest(rule["k"] * (q[2] - q[0]), F.lit(rule["floor"])) * F.sqrt(1 + rule["short"] / F.greatest(F.col("n_tokens"), F.lit(1)))
+    for name, rule in BANDS.items():
+        q = F.coalesce(F.col(f"__bands.{name}"), F.array(*(F.lit(float(x)) for x in whole[name])) if whole[name] else F.lit(None).cast("array<double>"))
+        width = F.greatest(rule["k"] * (q[2] - q[0]), F.lit(rule["floor"])) * F.sqrt(1 + rule["short"] / tokens)
         if not rule.get("upper_only"):
-            ok = ok & (F.col(c) >= q[1] - width)
+            ok = ok & (rate[name] >= q[1] - width)
         if not rule.get("lower_only"):
-            ok = ok & (F.col(c) <= q[1] + width)
-    failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    return d.select(*m.columns, *names, failed.alias("base_failed"), (~failed & F.coalesce(ok, F.lit(False))).alias("kept"))
+            ok = ok & (rate[name] <= q[1] + width)
+    failed = (m("n_words") < min_words) | (100 * m("n_repeat_words") > max_repeat_percent * m("n_words"))
+    verdict = F.struct(f"{out}.*", *(c.alias(n) for n, c in rate.items()), failed.alias("base_failed"), (~failed & F.coalesce(ok, F.lit(False))).alias("kept"))
+    return d.withColumn(out, verdict).drop("__language", "__lang", "__bands")
 
 
-def keep_good(df: DataFrame, key: str = "doc_id", **kw) -> DataFrame:
-    """Rows of ``df`` that the rules keep. Rows that share a key are judged together:
-    all stay only if each is kept."""
-    v = judged(df, key, **kw).groupBy(key).agg(F.min("kept").alias("__kept"))
-    good = v.where("__kept").select(F.col(key).alias("__key"))
-    return df.join(good, F.col(key).eqNullSafe(F.col("__key")), "left_semi")
+def judged(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", vocab: str = VOCAB, min_docs: int = 200,
+           min_words: int = 10, max_repeat_percent: int = 20) -> DataFrame:
+    """Key, measures, rates, ``base_failed`` and ``kept`` of each row."""
+    language = F.col(lang).cast("string") if lang in df.columns else F.lit(None).cast("string")
+    narrow = measures(df.select(F.col(key).alias("__id"), language.alias("__lang0"), F.col(text).alias("__text")), "__text", vocab).drop("__text")
+    d = _judge(stored(narrow, "fertility"), "__lang0", "__fertility", min_docs, min_words, max_repeat_percent)
+    return d.select(F.col("__id").alias(key), "__fertility.*")
+
+
+def keep_good(df: DataFrame, text: str = "text", lang: str = "lang", vocab: str = VOCAB, min_docs: int = 200,
+              min_words: int = 10, max_repeat_percent: int = 20) -> DataFrame:
+    """Rows of ``df`` that the rules keep. The rows are written once with their
+    measures, so the verdict meets its row without a join of texts."""
+    d = _judge(stored(measures(df, text, vocab), "fertility"), lang, "__fertility", min_docs, min_words, max_repeat_percent)
+    return d.where("__fertility.kept").select(*df.columns)

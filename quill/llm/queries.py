@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from quill.llm import bpe_codec, embedding_dedup, fertility, ngram_join, packing, ppm, quality_cnn, toxicity, warc_zip
 from quill.llm.tables import crc32_mod, named
 
@@ -61,4 +62,5 @@ def op10_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_toxic_segments, op2_ngram_jaccard_join, op3_embedding_dedup, op5_ppm, op6_bpe_codec, op7_best_fit_packing, op8_quality_cnn, op9_warc_zip, op10_tokeniser_fertility)}
-ORACLE: dict[str, str] = {}
+QUERIES["pipeline"] = corpus_pipeline.run
+ORACLE: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
