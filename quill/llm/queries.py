@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quill.llm import bpe_codec, embedding_dedup, fertility, ngram_join, packing, ppm, quality_cnn, toxicity, warc_zip
+from quill.llm import bpe_codec, embedding_dedup, fertility, html_wrapper, ngram_join, packing, ppm, quality_cnn, toxicity, warc_zip
 from quill.llm.tables import crc32_mod, named
 
 
@@ -31,6 +31,11 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(named(spark, sf_dir, "embeddings"))
 
 
+def op4_html_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrapper.extract(named(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score_held_out(named(spark, sf_dir, "documents")).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
@@ -61,6 +66,6 @@ def op10_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_tokens", "chars_per_token", "byte_share", "token_entropy")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxic_segments, op2_ngram_jaccard_join, op3_embedding_dedup, op5_ppm, op6_bpe_codec, op7_best_fit_packing, op8_quality_cnn, op9_warc_zip, op10_tokeniser_fertility)}
+QUERIES = {f.__name__: f for f in (op1_toxic_segments, op2_ngram_jaccard_join, op3_embedding_dedup, op4_html_wrapper, op5_ppm, op6_bpe_codec, op7_best_fit_packing, op8_quality_cnn, op9_warc_zip, op10_tokeniser_fertility)}
 QUERIES["pipeline"] = corpus_pipeline.run
 ORACLE: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
