@@ -43,7 +43,7 @@ SYMBOLS = 257           # 256 bytes and the end
 END, SHIFT = 256, 9
 HEAVY = 1 << 18
 MAX_ENTRIES = 4_000_000
-SLAB = 2_000_000        # symbols or words handled at once
+SLAB = 1_000_000        # symbols or words handled at once
 
 
 def events(text: bytes) -> bytes:
@@ -56,7 +56,7 @@ def runs(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     text each belongs to. Before a text stand end symbols."""
     size = sum(len(t) + 1 + order for t in texts)
     sym = np.full(size, END, np.int64)
-    own = np.empty(size, np.int64)
+    own = np.empty(size, np.int32)
     real = np.zeros(size, bool)
     at = 0
     for i, t in enumerate(texts):
@@ -113,7 +113,7 @@ def counts(df: DataFrame, train: str, text: str, order: int) -> DataFrame:
                 if y:
                     texts.append(events(t))
                 size += len(t) + 1
-                if size >= SLAB * 4:
+                if size >= SLAB * 2:
                     yield from flush()
                     words, texts, size = ([], []), [], 0
                     if sum(len(c) for c, _ in grams) > SLAB * 2:
