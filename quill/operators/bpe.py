@@ -20,7 +20,8 @@ Plan shapes:
 
 from __future__ import annotations
 
-from functools import lru_cache
+import heapq
+import json
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -83,6 +84,7 @@ TRAIN_STATS: dict[str, int] = {}
 # Merge tables and vocabularies are result-sized (bounded by the vocabulary
 # size); they are collected or shipped only after this bound is checked.
 MAX_VOCAB_ROWS = 1 << 21
+MAX_NESTED = 100        # merges of one round as nested replaces; more go through a fold
 
 
 def _bounded_collect(df: DataFrame, what: str):
@@ -200,7 +202,11 @@ def train_bpe(texts: DataFrame, vocab_size: int, text: str = "text",
         for left, right, cnt in batch:
             new_id = 256 + len(merges)
             merges.append((len(merges), left, right, new_id, cnt))
-            tok = _merge_tok(tok, left, right, new_id)
+            if len(batch) <= MAX_NESTED:
+                tok = _merge_tok(tok, left, right, new_id)
+        if len(batch) > MAX_NESTED:     # a fold keeps the expression flat
+            steps = [[f"<{a}><{b}>", f"<{c}>"] for _, a, b, c, _ in merges[-len(batch):]]
+            tok = F.aggregate(F.from_json(F.lit(json.dumps(steps)), "array<array<string>>"), tok, lambda s, m: F.replace(s, m[0], m[1]))
         rnd += 1
         if len(merges) >= n_merges:
             break
@@ -226,11 +232,14 @@ def train_bpe(texts: DataFrame, vocab_size: int, text: str = "text",
 
 
 def apply_merges_col(ids: Column, merges: list[tuple[int, int, int]]) -> Column:
-    """Apply ``(left, right, new_id)`` merges in order, left-to-right, non-overlapping."""
-    tok = _to_tokstr(ids)
-    for left, right, new_id in merges:
-        tok = _merge_tok(tok, left, right, new_id)
-    return _tokstr_ids(tok)
+    """Apply ``(left, right, new_id)`` merges in order, left-to-right, non-overlapping.
+
+    One fold over a literal array of steps: the expression's depth does not grow
+    with the number of merges."""
+    if not merges:
+        return _tokstr_ids(_to_tokstr(ids))
+    steps = F.from_json(F.lit(json.dumps([[f"<{a}><{b}>", f"<{c}>"] for a, b, c in merges])), "array<array<string>>")
+    return _tokstr_ids(F.aggregate(steps, _to_tokstr(ids), lambda s, m: F.replace(s, m[0], m[1])))
 
 
 def mergeable_ranks(merges: DataFrame) -> DataFrame:
@@ -268,23 +277,37 @@ def special_id(vocab: DataFrame, name: str) -> int | None:
 # D8 encode / D9 decode
 
 
+CHUNK_CACHE = 1 << 18
+
+
 def _ranks_dict(merges_rows) -> dict[tuple[int, int], int]:
     return {(int(l), int(r)): int(n) for l, r, n in merges_rows}
 
 
-def _encode_chunk(chunk: str, ranks: dict[tuple[int, int], int]) -> list[int]:
-    ids = list(chunk.encode("utf-8"))
-    while len(ids) >= 2:
-        best = None
-        best_i = -1
-        for i in range(len(ids) - 1):
-            r = ranks.get((ids[i], ids[i + 1]))
-            if r is not None and (best is None or r < best):
-                best, best_i = r, i
-        if best is None:
-            break
-        ids[best_i:best_i + 2] = [best]
-    return ids
+def _encode_chunk(chunk: str, merged: dict[tuple[int, int], int]) -> list[int]:
+    """Ids of one chunk: the bytes form a linked list, every mergeable neighbour
+    pair waits in a heap by (merged id, place), and a merge adds the at most two
+    pairs it creates. O(n log n) in the bytes of the chunk."""
+    token = list(chunk.encode("utf-8"))
+    n = len(token)
+    after = list(range(1, n + 1))
+    before = list(range(-1, n - 1))
+    waiting = [(m, i, token[i], token[i + 1]) for i in range(n - 1)
+               if (m := merged.get((token[i], token[i + 1]))) is not None]
+    heapq.heapify(waiting)
+    while waiting:
+        m, i, left, right = heapq.heappop(waiting)
+        j = after[i]
+        if token[i] != left or j >= n or token[j] != right:
+            continue            # an earlier merge took one of the two
+        token[i], token[j] = m, -1
+        after[i] = after[j]
+        if after[i] < n:
+            before[after[i]] = i
+        for a, b in ((before[i], i), (i, after[i])):
+            if a >= 0 and b < n and (x := merged.get((token[a], token[b]))) is not None:
+                heapq.heappush(waiting, (x, a, token[a], token[b]))
+    return [t for t in token if t >= 0]
 
 
 _WORKER_CACHE: dict = {}
@@ -321,8 +344,9 @@ def make_encoder(merges: DataFrame):
                     e = cache.get(c)
                     if e is None:
                         e = _encode_chunk(c, ranks)
-                        if len(cache) < (1 << 18):
-                            cache[c] = e
+                        if len(cache) >= CHUNK_CACHE:
+                            cache.clear()       # costs time only
+                        cache[c] = e
                     ids.extend(e)
             out.append(ids)
         return pd.Series(out)

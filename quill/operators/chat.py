@@ -28,7 +28,7 @@ def _expected(pos: Column) -> Column:
 
 
 def validate_conversations(df: DataFrame, ruleset: str = "chat", key: str = "conv_id",
-                           turn: str = "turn", role: str = "role") -> DataFrame:
+                           turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """Reject reasons per conversation (``reasons`` joined by ';', '' when valid).
 
     Rulesets: ``chat`` optional leading system, ≥2 after it, alternating from
@@ -41,8 +41,10 @@ def validate_conversations(df: DataFrame, ruleset: str = "chat", key: str = "con
     agg = df.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_messages"),
         F.max(sys0.cast("int")).alias("has_system"),
-        F.sum((r != _expected(t)).cast("int")).alias("viol0"),
-        F.sum(((t >= 1) & (r != _expected(t - 1))).cast("int")).alias("viol1"),
+        # null-safe: an absent role is a wrong one
+        F.sum((~r.eqNullSafe(_expected(t))).cast("int")).alias("viol0"),
+        F.sum(((t >= 1) & ~r.eqNullSafe(_expected(t - 1))).cast("int")).alias("viol1"),
+        F.sum(F.col(text).isNull().cast("int")).alias("n_null") if text in df.columns else F.lit(0).alias("n_null"),
         F.max(F.when(t == 1, r)).alias("role1"),
     )
     n, hs = F.col("n_messages"), F.col("has_system") == 1
@@ -60,6 +62,7 @@ def validate_conversations(df: DataFrame, ruleset: str = "chat", key: str = "con
                   (viol > 0, "bad_alternation")]
     else:
         raise ValueError(f"unknown ruleset {ruleset}")
+    checks.append((F.col("n_null") > 0, "missing_content"))
     reasons = F.concat_ws(";", *[F.when(c, F.lit(name)) for c, name in checks])
     return agg.select(key, "n_messages", reasons.alias("reasons"), (reasons == "").alias("valid"))
 
@@ -73,7 +76,7 @@ def audit_request_limits(df: DataFrame, key: str = "conv_id", role: str = "role"
         F.sum((ln == 0).cast("int")).alias("n_empty"),
         F.max(ln).alias("max_len"),
         F.sum(ln).alias("total_len"),
-        F.sum((~F.col(role).isin("user", "assistant")).cast("int")).alias("n_bad_role"))
+        F.sum((~F.coalesce(F.col(role).isin("user", "assistant"), F.lit(False))).cast("int")).alias("n_bad_role"))
     checks = [(F.col("n_messages") > MAX_MESSAGES_PER_REQUEST, "too_many_messages"),
               (F.col("n_empty") > 0, "empty_message"),
               (F.col("max_len") > MAX_MESSAGE_LENGTH, "message_too_long"),
@@ -107,11 +110,13 @@ def render_segments(df: DataFrame, key: str = "conv_id", turn: str = "turn", rol
 
     BOS (mask 0); user: user_start, text, user_end (all 0); assistant:
     assistant_start (0), text (1), assistant_end (1). ``kind`` is
-    'special' or 'text'. String content only (parts go through
+    'special' or 'text'. Any other role, or none, is an error: it must not
+    become supervised text. String content only (parts go through
     ``render_part_segments``).
     """
     m = df if merged else merge_system(df, key, turn, role, text)
-    is_user = F.col(role) == "user"
+    is_user = (F.when(F.col(role) == "user", True).when(F.col(role) == "assistant", False)
+               .otherwise(F.raise_error(F.concat(F.lit("cannot render role "), F.coalesce(F.col(role), F.lit("NULL"))))))
     segs = F.array(
         F.struct(F.lit(0).alias("k"), F.lit("special").alias("kind"),
                  F.when(is_user, "<|user_start|>").otherwise("<|assistant_start|>").alias("value"),

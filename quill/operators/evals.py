@@ -33,6 +33,7 @@ DEFAULT_RATE = 2.0
 # Report stages and the chat metrics extracted from evaluation sections.
 STAGES = ["base", "mid", "sft", "rl"]
 CHAT_METRICS = ["ARC-Easy", "ARC-Challenge", "MMLU", "GSM8K", "HumanEval", "ChatCORE"]
+STAGE_METRICS = {"base": ["CORE"], "mid": CHAT_METRICS, "sft": CHAT_METRICS, "rl": ["GSM8K"]}
 # ---------------------------------------------------------------------------
 
 BROADCAST_ROW_LIMIT = 1 << 20
@@ -272,9 +273,18 @@ def best_checkpoint(metrics: DataFrame, run: str = "run", step: str = "step", lo
 
 
 def report_summary(kv: DataFrame, run: str = "run", stage: str = "stage", metric: str = "metric",
-                   value: str = "value") -> DataFrame:
-    """metric × stage pivot, '-' for missing; CORE first, ChatCORE last."""
-    p = kv.groupBy(run, metric).pivot(stage, STAGES).agg(F.first(value))
+                   value: str = "value", line: str = "line_no") -> DataFrame:
+    """metric × stage pivot, '-' for missing; CORE first, ChatCORE last.
+
+    A stage reports its own metrics only, found by containment in the logged key;
+    of several matches the last line counts. Other keys stay out."""
+    own = F.array().cast("array<string>")
+    for s, ms in STAGE_METRICS.items():
+        found = F.array_compact(F.array(*(F.when(F.col(metric).contains(m), F.lit(m)) for m in ms)))
+        own = F.when(F.col(stage) == s, found).otherwise(own)
+    order = F.col(line) if line in kv.columns else F.col(value)
+    kv = kv.select(run, stage, F.explode(own).alias(metric), value, order.alias("__line"))
+    p = kv.groupBy(run, metric).pivot(stage, STAGES).agg(F.max_by(value, F.struct("__line", value)))
     for s in STAGES:
         p = p.withColumn(s, F.coalesce(F.col(s).cast("string"), F.lit("-")))
     sort_key = F.when(F.col(metric) == "CORE", 0).when(F.col(metric) == "ChatCORE", 2).otherwise(1)

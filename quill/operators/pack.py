@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quill.plans.order import prefix_sum
+from quill.session import reliable_checkpoint
 
 
 def token_offsets(df: DataFrame, order: Sequence[str], ids: str = "ids",
@@ -34,15 +35,12 @@ def pack(df: DataFrame, B: int, T: int, order: Sequence[str] = ("doc_id",), ids:
     L = B * T + 1
     order = list(order)
     d = df.select(*order, ids)
+    d = token_offsets(d, order, ids)
     if epochs > 1:
-        d = d.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
-        # a single numeric order key for the prefix sum: epoch-major
-        mx = df.agg(F.max(order[0])).scalar()
-        d = d.withColumn("__ord", F.col("epoch") * (mx + 1) + F.col(order[0]))
-        okeys = ["__ord", *order[1:]]
-    else:
-        okeys = order
-    d = token_offsets(d, okeys, ids)
+        # every epoch is the same stream, moved by the tokens of those before it
+        total = d.agg(F.max(F.col("offset") + F.size(ids))).scalar()
+        d = (d.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
+             .withColumn("offset", F.col("offset") + F.col("epoch") * F.coalesce(total, F.lit(0))))
     n_tok = F.size(ids).cast("long")
     first = F.floor(F.col("offset") / L)
     last = F.floor((F.col("offset") + n_tok - 1) / L)
@@ -194,18 +192,20 @@ def pack_conversations(rendered: DataFrame, B: int, T: int, rank: int, world: in
     Adds ``progress`` = fraction of this rank's conversations consumed up to
     the end of each block.
     """
-    mine = rendered.where(F.pmod(F.col(idx), F.lit(world)) == rank)
+    # rendered once: its rows feed the offsets, the blocks and the counts
+    mine = reliable_checkpoint(rendered.where(F.pmod(F.col(idx), F.lit(world)) == rank))
     total = mine.count()
     p = token_offsets(mine, [idx], ids)
     blocks = pack(mine, B, T, [idx], ids)
     L = B * T + 1
-    # conversations started before the end of each block
-    ends = p.select(F.floor((F.col("offset") + F.size(ids) - 1) / L).alias("block")).groupBy("block") \
-        .agg(F.count(F.lit(1)).alias("__done"))
-    from quill.plans.order import prefix_sum
-    ends = prefix_sum(ends, ["block"], "__done", out="__cum")
-    return blocks.join(ends.select("block", "__cum"), "block", "left").withColumn(
-        "progress", F.round(F.coalesce(F.col("__cum"), F.lit(0)) / F.lit(max(total, 1)), 6)).drop("__cum")
+    # conversations that end in each block; blocks in which none ends still count
+    # those before them
+    ends = p.select(F.floor((F.col("offset") + F.size(ids) - 1) / L).alias("block"), F.lit(1).alias("__done"))
+    every = blocks.select("block", F.lit(0).alias("__done")).distinct()
+    per = ends.unionByName(every).groupBy("block").agg(F.sum("__done").alias("__done"))
+    cum = prefix_sum(per, ["block"], "__done", out="__cum")
+    return blocks.join(cum.select("block", "__cum"), "block", "left").withColumn(
+        "progress", F.round(F.col("__cum") / F.lit(max(total, 1)), 6)).drop("__cum")
 
 
 def sft_steps(n_examples: int, examples_per_step: int, epochs: int = 1, mode: str = "floor") -> int:

@@ -20,6 +20,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+SAMPLE_PER_BUCKET = 20
+
+
 def seeded_key(seed, *cols) -> Column:
     """Hex md5 of ``seed:c1:c2…`` — the shuffle sort key."""
     parts = [F.lit(str(seed))] + [F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
@@ -39,24 +42,28 @@ def seeded_int(seed, n, *cols) -> Column:
 
 
 def _bucket_column(df: DataFrame, key: str, n_buckets: int) -> Column:
-    """Range bucket of a numeric or md5-hex order key."""
+    """Range bucket of a numeric or string order key; NULL keys come first, as they
+    do in an ascending sort, in a bucket of their own."""
     dtype = dict(df.dtypes)[key]
     if dtype == "string":
-        # md5 hex keys are uniform: the first 4 hex digits give 65,536 ranges.
-        return F.floor(F.conv(F.substring(F.col(key), 1, 4), 16, 10).cast("long")
-                       * F.lit(n_buckets) / F.lit(65536)).cast("int")
-    bounds = df.select(F.col(key).cast("double").alias("__k")).approxQuantile(
-        "__k", [i / n_buckets for i in range(1, n_buckets)], 0.001)
-    bounds = sorted(set(b for b in bounds if b is not None))
-    if not bounds:
-        return F.lit(0)
+        # a sample of bounded size, fixed by the keys themselves; Spark and Python
+        # both order strings by code point
+        sample = (df.select(F.col(key).alias("__k")).where(F.col(key).isNotNull())
+                  .orderBy(F.xxhash64("__k")).limit(SAMPLE_PER_BUCKET * n_buckets).collect())
+        keys = sorted(r[0] for r in sample)
+        bounds = sorted({keys[i * len(keys) // n_buckets] for i in range(1, n_buckets)}) if keys else []
+        k = F.col(key)
+    else:
+        bounds = df.select(F.col(key).cast("double").alias("__k")).approxQuantile(
+            "__k", [i / n_buckets for i in range(1, n_buckets)], 0.001)
+        bounds = [float(b) for b in sorted(set(b for b in bounds if b is not None))]
+        k = F.col(key).cast("double")
     # bucket = number of boundaries ≤ key, as plain comparisons: no lambda, so
     # self-joins of this plan (bases joined back to rows) re-alias cleanly
-    k = F.col(key).cast("double")
     bucket = F.lit(0)
     for b in bounds:
-        bucket = bucket + (k >= F.lit(float(b))).cast("int")
-    return bucket.cast("int")
+        bucket = bucket + (k >= F.lit(b)).cast("int")
+    return F.when(F.col(key).isNull(), F.lit(-1)).otherwise(bucket).cast("int")
 
 
 def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str,
@@ -65,7 +72,7 @@ def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str,
                agg: str = "sum", stop_above: float | None = None) -> DataFrame:
     """Running sum of ``value`` in ``order`` (a total order), optionally per group.
 
-    ``order[0]`` must be numeric or an md5 hex string. Work is split into
+    ``order[0]`` must be numeric or a string. Work is split into
     ``n_buckets`` range buckets; only per-bucket totals pass through a small
     window and a broadcast. ``stop_above`` (non-negative values only) drops
     rows of buckets whose running base already exceeds it — for budgets that

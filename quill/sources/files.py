@@ -27,7 +27,7 @@ def read_corpus(spark: SparkSession, path: str, columns=("text",)) -> DataFrame:
 
     Only the requested columns reach the Parquet reader.
     """
-    df = spark.read.parquet(path)
+    df = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)   # no .tmp leftovers
     return df.select(*columns, F.col("_metadata.file_name").alias("shard"),
                      F.col("_metadata.row_index").alias("row_in_shard"))
 
