@@ -58,7 +58,7 @@ _DOC_CAP = 10_000
 
 
 def chunk_stats_by_lang(spark, sf):
-    docs = _t(spark, sf, "documents").select("lang", tx.crop("text", _DOC_CAP).alias("text"))
+    docs = _t(spark, sf, "documents").select("lang", "text")
     counts = (docs.select("lang", F.explode(bpe.pretokenize_col("text")).alias("chunk"))
               .groupBy("lang", "chunk").agg(F.count(F.lit(1)).alias("cnt")))
     return counts.groupBy("lang").agg(
@@ -71,7 +71,7 @@ def chunk_stats_by_lang(spark, sf):
 
 register("chunk_stats_by_lang", f"""
 WITH c AS (
-  SELECT lang, unnest(regexp_extract_all(substring(text, 1, {_DOC_CAP}), '{_RE2}', 1)) AS chunk
+  SELECT lang, unnest(regexp_extract_all(text, '{_RE2}', 1)) AS chunk
   FROM documents),
 g AS (SELECT lang, chunk, count(*) AS cnt FROM c GROUP BY lang, chunk)
 SELECT lang, sum(cnt) AS n_chunks, count(*) AS n_distinct_chunks,
@@ -781,18 +781,18 @@ def pass_at_k_q(spark, sf):
 
 
 @register("chat_core", """
-WITH a AS (SELECT CASE l_linenumber WHEN 1 THEN 'ARC-Easy' WHEN 2 THEN 'ARC-Challenge' WHEN 3 THEN 'MMLU'
+WITH a AS (SELECT CASE (l_linenumber - 1) % 6 + 1 WHEN 1 THEN 'ARC-Easy' WHEN 2 THEN 'ARC-Challenge' WHEN 3 THEN 'MMLU'
                   WHEN 4 THEN 'GSM8K' WHEN 5 THEN 'HumanEval' WHEN 6 THEN 'SpellingBee' END AS task,
                   avg((l_returnflag = 'R')::INT::DOUBLE) AS accuracy
-           FROM lineitem WHERE l_linenumber <= 6 GROUP BY 1),
+           FROM lineitem GROUP BY 1),
 b AS (SELECT * FROM (VALUES ('ARC-Easy', 0.25), ('ARC-Challenge', 0.25), ('MMLU', 0.25), ('GSM8K', 0.0),
                             ('HumanEval', 0.0), ('SpellingBee', 0.0)) t(task, baseline))
 SELECT round(avg((accuracy - baseline) / (1.0 - baseline)), 6) AS chatcore FROM a JOIN b USING (task) HAVING count(*) = 6
 """)
 def chat_core_q(spark, sf):
     names = ["ARC-Easy", "ARC-Challenge", "MMLU", "GSM8K", "HumanEval", "SpellingBee"]
-    li = _t(spark, sf, "lineitem").where(F.col("l_linenumber") <= 6)
-    task = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("l_linenumber"))
+    li = _t(spark, sf, "lineitem")
+    task = F.element_at(F.array(*[F.lit(n) for n in names]), ((F.col("l_linenumber") - 1) % 6 + 1).cast("int"))
     accs = li.groupBy(task.alias("task")).agg(F.avg((F.col("l_returnflag") == "R").cast("double")).alias("accuracy"))
     return evals.chat_core(accs)
 
@@ -1089,8 +1089,9 @@ def _bench(spark, sf):
 
 def _mc_items(spark, sf):
     b = _bench(spark, sf)
-    return b.select("idx", F.substring("text", 1, 40).alias("query"),
-                    F.array(*[F.substring("text", 41 + 10 * i, 10) for i in range(4)]).alias("choices"),
+    q = F.floor(F.length("text") / 4).cast("int") + 1
+    return b.select("idx", F.col("text").alias("query"),
+                    F.array(*[F.substr("text", q * i + 1, q) for i in range(4)]).alias("choices"),
                     (F.col("idx") % 4).cast("int").alias("gold"))
 
 
@@ -1106,11 +1107,11 @@ shots AS (SELECT s.idx, j, p.idx AS shot_idx FROM s, range(2) r(j) JOIN p ON (s.
 
 
 @register("render_mc", """
-SELECT item_id AS idx, 'Multiple Choice question: ' || substring(text, 1, 40) || chr(10)
-       || '- ' || substring(text, 41, 10) || '=A' || chr(10) || '- ' || substring(text, 51, 10) || '=B' || chr(10)
-       || '- ' || substring(text, 61, 10) || '=C' || chr(10) || '- ' || substring(text, 71, 10) || '=D' || chr(10)
+SELECT item_id AS idx, 'Multiple Choice question: ' || text || chr(10)
+       || '- ' || substring(text, 1, q) || '=A' || chr(10) || '- ' || substring(text, q + 1, q) || '=B' || chr(10)
+       || '- ' || substring(text, 2 * q + 1, q) || '=C' || chr(10) || '- ' || substring(text, 3 * q + 1, q) || '=D' || chr(10)
        || chr(10) || 'Respond only with the letter of the correct answer.' AS prompt
-FROM benchmark
+FROM (SELECT *, length(text) // 4 + 1 AS q FROM benchmark)
 """)
 def render_mc_q(spark, sf):
     it = _mc_items(spark, sf)
@@ -1119,9 +1120,9 @@ def render_mc_q(spark, sf):
 
 
 @register("render_fewshot_mc", "WITH " + _SHOTS_SQL + """,
-it AS (SELECT item_id AS idx, substring(text, 1, 40) AS query,
-              [substring(text, 41, 10), substring(text, 51, 10), substring(text, 61, 10), substring(text, 71, 10)] AS choices,
-              (item_id % 4)::INT AS gold FROM benchmark),
+it AS (SELECT item_id AS idx, text AS query,
+              [substring(text, 1, q), substring(text, q + 1, q), substring(text, 2 * q + 1, q), substring(text, 3 * q + 1, q)] AS choices,
+              (item_id % 4)::INT AS gold FROM (SELECT *, length(text) // 4 + 1 AS q FROM benchmark)),
 few AS (SELECT shots.idx, string_agg(it.query || ' ' || it.choices[it.gold + 1] || chr(10) || chr(10), '' ORDER BY j) AS fewshot
         FROM shots JOIN it ON shots.shot_idx = it.idx GROUP BY shots.idx)
 SELECT it.idx, c.i - 1 AS choice_idx, coalesce(fewshot, '') || query || ' ' || it.choices[c.i] AS prompt
@@ -1132,8 +1133,8 @@ def render_fewshot_mc_q(spark, sf):
 
 
 @register("render_fewshot_schema", "WITH " + _SHOTS_SQL + """,
-it AS (SELECT item_id AS idx, [substring(text, 1, 20), substring(text, 21, 20)] AS context_options,
-              substring(text, 41, 30) AS continuation, (item_id % 2)::INT AS gold FROM benchmark),
+it AS (SELECT item_id AS idx, [substring(text, 1, q), substring(text, q + 1, q)] AS context_options,
+              text AS continuation, (item_id % 2)::INT AS gold FROM (SELECT *, length(text) // 2 + 1 AS q FROM benchmark)),
 few AS (SELECT shots.idx, string_agg(it.context_options[it.gold + 1] || ' ' || it.continuation || chr(10) || chr(10), '' ORDER BY j) AS fewshot
         FROM shots JOIN it ON shots.shot_idx = it.idx GROUP BY shots.idx)
 SELECT it.idx, c.i - 1 AS option_idx, coalesce(fewshot, '') || it.context_options[c.i] || ' ' || continuation AS prompt
@@ -1141,8 +1142,9 @@ FROM it LEFT JOIN few USING (idx), range(1, 3) c(i)
 """)
 def render_fewshot_schema_q(spark, sf):
     b = _bench(spark, sf)
-    it = b.select("idx", F.array(F.substring("text", 1, 20), F.substring("text", 21, 20)).alias("context_options"),
-                  F.substring("text", 41, 30).alias("continuation"), (F.col("idx") % 2).cast("int").alias("gold"))
+    q = F.floor(F.length("text") / 2).cast("int") + 1
+    it = b.select("idx", F.array(F.substr("text", F.lit(1), q), F.substr("text", q + 1, q)).alias("context_options"),
+                  F.col("text").alias("continuation"), (F.col("idx") % 2).cast("int").alias("gold"))
     return prompts.render_fewshot_schema(it, _shots(spark, sf))
 
 
@@ -1150,7 +1152,7 @@ _TRIM = r"regexp_replace({x}, '^[\t\n\x0B\f\r ]+|[\t\n\x0B\f\r ]+$', '', 'g')"
 
 
 @register("render_fewshot_lm", "WITH " + _SHOTS_SQL + f""",
-it AS (SELECT item_id AS idx, ' ' || substring(text, 1, 50) || '  ' AS context, substring(text, 51, 20) AS continuation FROM benchmark),
+it AS (SELECT item_id AS idx, ' ' || text || '  ' AS context, reverse(text) AS continuation FROM benchmark),
 few AS (SELECT shots.idx, string_agg({_TRIM.format(x='it.context')} || ' ' || it.continuation || chr(10) || chr(10), '' ORDER BY j) AS fewshot
         FROM shots JOIN it ON shots.shot_idx = it.idx GROUP BY shots.idx)
 SELECT idx, {_TRIM.format(x="coalesce(fewshot, '') || " + _TRIM.format(x='context') + " || ' '")} AS prompt_without,
@@ -1159,13 +1161,13 @@ FROM it LEFT JOIN few USING (idx)
 """)
 def render_fewshot_lm_q(spark, sf):
     b = _bench(spark, sf)
-    it = b.select("idx", F.concat(F.lit(" "), F.substring("text", 1, 50), F.lit("  ")).alias("context"),
-                  F.substring("text", 51, 20).alias("continuation"))
+    it = b.select("idx", F.concat(F.lit(" "), F.col("text"), F.lit("  ")).alias("context"),
+                  F.reverse("text").alias("continuation"))
     return prompts.render_fewshot_lm(it, _shots(spark, sf))
 
 
 @register("build_prompt_batch", """
-WITH st AS (SELECT row_number() OVER (ORDER BY item_id) - 1 AS starter_idx, substring(text, 1, 40) AS text FROM benchmark),
+WITH st AS (SELECT row_number() OVER (ORDER BY item_id) - 1 AS starter_idx, text FROM benchmark),
 n AS (SELECT count(*) AS n FROM st),
 pk AS (SELECT doc_id AS idx, j, floor(('0x' || substring(md5('starter:' || doc_id || ':' || j), 1, 8))::UBIGINT::DOUBLE / 4294967296.0 * (SELECT n FROM n))::BIGINT AS starter_idx
        FROM documents, range(5) r(j))
@@ -1174,7 +1176,7 @@ SELECT idx, replace('Write a conversation. Inspiration:' || chr(10) || '%USER_FI
 FROM pk JOIN st USING (starter_idx) GROUP BY idx
 """)
 def build_prompt_batch_q(spark, sf):
-    st = corpus.with_index(_t(spark, sf, "benchmark").select("item_id", F.substring("text", 1, 40).alias("text")),
+    st = corpus.with_index(_t(spark, sf, "benchmark").select("item_id", "text"),
                            ["item_id"], out="starter_idx")
     idx = _t(spark, sf, "documents").select(F.col("doc_id").alias("idx"))
     return prompts.build_prompt_batch(idx, st.select("starter_idx", "text"),
@@ -1186,8 +1188,8 @@ def _tool_answers(spark, sf):
     c = _t(spark, sf, "conversations").where(F.col("role") == "assistant")
     n = F.length("text")
     res = F.when(F.col("turn") % 4 == 1, n * 2 + 1).otherwise(n * 2)
-    ans = F.concat(F.substring("text", 1, 30), F.lit(" <<"), n.cast("string"), F.lit("*2="), res.cast("string"),
-                   F.lit(">> then <<"), F.lit("'"), F.substring("text", 1, 5), F.lit("'.count('e')"),
+    ans = F.concat(F.col("text"), F.lit(" <<"), n.cast("string"), F.lit("*2="), res.cast("string"),
+                   F.lit(">> then <<"), F.lit("'"), F.col("text"), F.lit("'.count('e')"),
                    F.lit(">>.\n#### "), res.cast("string"))
     return c.select("conv_id", "turn", ans.alias("answer"))
 
@@ -1211,20 +1213,24 @@ def audit_tool_results_q(spark, sf):
 def assemble_program_q(spark, sf):
     c = _t(spark, sf, "conversations")
     prompt = F.concat(F.lit("import os\nfrom math import sqrt\n# helper\n\ndef f():\n    import sys\n"),
-                      F.lit('    """'), F.substring("text", 1, 20), F.lit('"""'))
+                      F.lit('    """'), F.col("text"), F.lit('"""'))
     completion = F.concat(F.lit("Sure:\n```python\ndef f():\n    return "), F.length("text").cast("string"),
                           F.lit("\n```\n"))
     prog = prompts.assemble_program(prompt, completion, F.lit("def check(fn):\n    assert fn() > 0"), F.lit("f"))
     return c.select("conv_id", "turn", prog.alias("program"))
 
 
-@register("parse_structured_reply")
+@register("parse_structured_reply", """
+SELECT valid, count(*) AS n FROM (
+  SELECT conv_id, conv_id % 7 <> 0 AND bool_and(role = CASE WHEN pos % 2 = 1 THEN 'user' ELSE 'assistant' END) AS valid
+  FROM (SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pos FROM conversations) GROUP BY conv_id) GROUP BY valid
+""")
 def parse_structured_reply_q(spark, sf):
     c = _t(spark, sf, "conversations")
     msgs = (c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("m"))
             .select("conv_id", F.to_json(F.struct(F.transform("m", lambda x: F.struct(
                 x["role"].alias("role"), x["text"].alias("content"))).alias("messages"))).alias("content")))
-    broken = F.when(F.col("conv_id") % 7 == 0, F.substring("content", 1, 20)).otherwise(F.col("content"))
+    broken = F.when(F.col("conv_id") % 7 == 0, F.concat(F.lit("Sure: "), F.col("content"))).otherwise(F.col("content"))
     r = prompts.parse_structured_reply(msgs.select("conv_id", broken.alias("content")))
     return r.groupBy("valid").agg(F.count(F.lit(1)).alias("n"))
 
@@ -1238,7 +1244,7 @@ def render_conversation_q(spark, sf):
 
 @register("supervised_tokens")
 def supervised_tokens_q(spark, sf):
-    r = chat.render_conversation(_t(spark, sf, "conversations"), trained_merges(spark, sf), max_tokens=256)
+    r = chat.render_conversation(_t(spark, sf, "conversations"), trained_merges(spark, sf), max_tokens=2048)
     return r.agg(F.count(F.lit(1)).alias("conversations"), F.sum(chat.supervised_tokens(r)).alias("supervised"))
 
 
@@ -1432,8 +1438,8 @@ FROM u
 """
 ORACLE["parse_tool_calls"] = r"""
 WITH a AS (SELECT conv_id, turn,
-                  substring(text, 1, 30) || ' <<' || length(text) || '*2=' || (CASE WHEN turn % 4 = 1 THEN length(text) * 2 + 1 ELSE length(text) * 2 END)
-                  || '>> then <<''' || substring(text, 1, 5) || '''.count(''e'')>>.' || chr(10) || '#### '
+                  text || ' <<' || length(text) || '*2=' || (CASE WHEN turn % 4 = 1 THEN length(text) * 2 + 1 ELSE length(text) * 2 END)
+                  || '>> then <<''' || text || '''.count(''e'')>>.' || chr(10) || '#### '
                   || (CASE WHEN turn % 4 = 1 THEN length(text) * 2 + 1 ELSE length(text) * 2 END) AS answer
            FROM conversations WHERE role = 'assistant'),
 p AS (SELECT conv_id, turn, string_split(regexp_replace(answer, '(<<[^>]+>>)', chr(1) || '\1' || chr(1), 'g'), chr(1)) AS pieces FROM a)
@@ -1494,7 +1500,7 @@ _STRIP = r"regexp_replace({x}, '^[\t\n\x0B\f\r \x1C-\x1F]+|[\t\n\x0B\f\r \x1C-\x
 ORACLE["assemble_program"] = r"""
 WITH p AS (SELECT conv_id, turn,
                   'import os' || chr(10) || 'from math import sqrt' || chr(10) || '# helper' || chr(10) || chr(10)
-                  || 'def f():' || chr(10) || '    import sys' || chr(10) || '    """' || substring(text, 1, 20) || '"""' AS prompt,
+                  || 'def f():' || chr(10) || '    import sys' || chr(10) || '    """' || text || '"""' AS prompt,
                   'Sure:' || chr(10) || '```python' || chr(10) || 'def f():' || chr(10) || '    return ' || length(text)
                   || chr(10) || '```' || chr(10) AS completion
            FROM conversations),
@@ -1527,7 +1533,9 @@ ORACLE["roundtrip_check"] = "SELECT 0::BIGINT AS roundtrip_mismatches, 0::BIGINT
 def _train_sql(n: int) -> str:
     steps = [f"""w0 AS MATERIALIZED (
   SELECT c, cnt, '<' || array_to_string(list_transform(regexp_extract_all(hex(encode(c)), '..'), lambda x: ('0x' || x)::INT), '><') || '>' AS tok
-  FROM (SELECT c, count(*) AS cnt FROM (SELECT unnest(regexp_extract_all(text, '{_RE2}', 1)) AS c FROM documents) GROUP BY c))"""]
+  FROM (SELECT c, sum(n)::BIGINT AS cnt FROM (
+          SELECT unnest(regexp_extract_all(text, '{_RE2}', 1)) AS c, 1 AS n FROM documents
+          UNION ALL SELECT unnest(regexp_extract_all(value, '{_RE2}', 1)), 0 FROM ({ORACLE["render_segments"]}) WHERE kind = 'text') GROUP BY c))"""]
     for i in range(n):
         steps.append(f"""b{i} AS MATERIALIZED (
   SELECT p[1]::INT AS l, p[2]::INT AS r, sum(cnt)::BIGINT AS n
@@ -1583,3 +1591,34 @@ for _name, _casts in {"bpe_train": {"rank": "BIGINT", "left": "BIGINT", "right":
                       "vocab_with_specials": {"token_id": "BIGINT"}, "token_byte_lengths": {"token_id": "BIGINT", "n_bytes": "BIGINT"},
                       "vocab_stats": {"min_bytes": "BIGINT", "max_bytes": "BIGINT"}}.items():
     ORACLE_CASTS.setdefault(_name, {}).update(_casts)
+
+
+def _rendered_sql(max_tokens: int) -> str:
+    """Ids and masks of every conversation (``rendered``), after the training CTEs."""
+    return _TRAIN_SQL.rstrip() + f""",
+seg AS MATERIALIZED ({ORACLE["render_segments"]}),
+pieces AS (
+  SELECT conv_id, seg_no, 0 AS i, id::VARCHAR AS ids, 1 AS n, mask FROM seg JOIN specials ON value = special WHERE kind = 'special'
+  UNION ALL SELECT conv_id, seg_no, i, replace(trim(tok, '<>'), '><', ','), n_tok, mask
+  FROM (SELECT conv_id, seg_no, mask, unnest(chunks) AS c, unnest(range(1, len(chunks) + 1)) AS i
+        FROM (SELECT *, regexp_extract_all(value, '{_RE2}', 1) AS chunks FROM seg WHERE kind = 'text')) JOIN final USING (c)),
+rendered AS (SELECT conv_id, string_split(string_agg(ids, ',' ORDER BY seg_no, i), ',')[1:{max_tokens}] AS ids,
+                    string_split(rtrim(string_agg(repeat(mask::VARCHAR || ',', n::INT), '' ORDER BY seg_no, i), ','), ',')[1:{max_tokens}] AS masks
+             FROM pieces GROUP BY conv_id),
+supervised AS (SELECT conv_id, ids, coalesce(list_sum(list_transform(masks[2:], lambda x: x::BIGINT)), 0)::BIGINT AS n FROM rendered)
+"""
+
+
+ORACLE["render_conversation"] = _rendered_sql(2048) + "SELECT conv_id, len(ids) AS n_tokens, n AS supervised, md5(array_to_string(ids, ',')) AS ids_md5 FROM supervised"
+ORACLE["supervised_tokens"] = _rendered_sql(2048) + "SELECT count(*) AS conversations, sum(n)::BIGINT AS supervised FROM supervised"
+# two streams of conversations, blocks of 2 * 128 + 1 tokens, the incomplete one dropped
+ORACLE["pack_conversations"] = _rendered_sql(2048).rstrip() + """,
+mine AS (SELECT conv_id, ids, sum(len(ids)) OVER (ORDER BY conv_id) AS stop
+         FROM (SELECT *, row_number() OVER (ORDER BY conv_id) - 1 AS idx FROM rendered) WHERE idx % 2 = 0),
+stream AS (SELECT unnest(ids) AS tok, unnest(range(stop::BIGINT - len(ids), stop::BIGINT)) AS pos FROM mine),
+blocks AS (SELECT pos // 257 AS block, list(tok ORDER BY pos) AS toks FROM stream GROUP BY 1 HAVING count(*) = 257)
+SELECT block, r AS row, md5(array_to_string(toks[r * 128 + 1:r * 128 + 128], ',')) AS inputs_md5,
+       round((SELECT count(*) FROM mine WHERE stop <= (block + 1) * 257) / (SELECT count(*) FROM mine), 6) AS progress
+FROM blocks, range(2) t(r)"""
+for _name, _casts in {"render_conversation": {"n_tokens": "BIGINT"}, "pack_conversations": {"block": "BIGINT", "row": "BIGINT"}}.items():
+    ORACLE_CASTS.setdefault(_name, {}).update(_casts)
