@@ -1622,3 +1622,216 @@ SELECT block, r AS row, md5(array_to_string(toks[r * 128 + 1:r * 128 + 128], ','
 FROM blocks, range(2) t(r)"""
 for _name, _casts in {"render_conversation": {"n_tokens": "BIGINT"}, "pack_conversations": {"block": "BIGINT", "row": "BIGINT"}}.items():
     ORACLE_CASTS.setdefault(_name, {}).update(_casts)
+
+
+# ---------------------------------------------------------------------------
+# Readers and sinks, over files that Spark writes from the given tables into the
+# cluster's shared folder
+
+import uuid  # noqa: E402
+
+from quill.session import ensure_checkpoint_dir  # noqa: E402
+from quill.sources import files, tasks  # noqa: E402
+
+
+def _folder(spark, name: str) -> str:
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
+def _put(spark, path: str, text: str) -> None:
+    """One small file on shared storage."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(hadoop, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
+@register("conversations_jsonl", """
+SELECT turn - min(turn) OVER (PARTITION BY conv_id) AS turn, role, md5(text) AS text_md5 FROM conversations
+""")
+def conversations_jsonl_q(spark, sf):
+    """Written one array per line, read back, and put into the long form."""
+    path = _folder(spark, "jsonl")
+    sinks.write_conversations_jsonl(_t(spark, sf, "conversations"), path)
+    turns = files.messages_to_turns(files.read_conversations_jsonl(spark, path))
+    return turns.select(F.col("turn").cast("long").alias("turn"), "role", F.md5("text").alias("text_md5"))
+
+
+_QA_STRIP = r"regexp_replace({x}, '^[\t\n\x0B\f\r \x1C-\x1F]+|[\t\n\x0B\f\r \x1C-\x1F]+$', '', 'g')"
+
+
+@register("read_qa", r"""
+SELECT q, a FROM (SELECT md5(""" + _QA_STRIP.format(x="text") + r""") AS q, CASE WHEN turn % 3 = 0 THEN NULL ELSE md5(role) END AS a,
+                         """ + _QA_STRIP.format(x="text") + r""" AS s FROM conversations) WHERE a IS NOT NULL AND s <> ''
+""")
+def read_qa_q(spark, sf):
+    c = _t(spark, sf, "conversations")
+    qa = files.read_qa(c.select(F.concat(F.lit("\n "), F.col("text"), F.lit(" \t")).alias("question"),
+                                F.when(F.col("turn") % 3 == 0, "  ").otherwise(F.concat(F.lit(" "), F.col("role"), F.lit("\n"))).alias("answer")))
+    turns = F.col("messages")
+    return qa.select(F.md5(turns[0]["content"]).alias("q"), F.md5(turns[1]["content"]).alias("a"))
+
+
+@register("task_mmlu", f"""
+SELECT md5(prompt) AS user_md5, chr((65 + idx % 4)::INT) AS answer, 'subject' || (idx % 3) AS subject, true AS valid FROM ({ORACLE["render_mc"]})
+""")
+def task_mmlu_q(spark, sf):
+    it = _mc_items(spark, sf).select(F.col("query").alias("question"), "choices", F.col("gold").alias("answer"),
+                                     F.concat(F.lit("subject"), (F.col("idx") % 3).cast("string")).alias("subject"))
+    t = tasks.task_mmlu(it.select(F.struct("*").alias("train")), subset="auxiliary_train")
+    return t.select(F.md5(F.col("messages")[0]["content"]).alias("user_md5"), F.col("messages")[1]["content"].alias("answer"), "subject", "valid")
+
+
+@register("task_arc", f"""
+SELECT md5(prompt) AS user_md5, CASE WHEN idx % 7 = 0 THEN 'Z' ELSE chr((65 + idx % 4)::INT) END AS answer, idx % 7 <> 0 AS valid FROM ({ORACLE["render_mc"]})
+""")
+def task_arc_q(spark, sf):
+    it = _mc_items(spark, sf)
+    rows = it.select(F.col("query").alias("question"), F.struct(F.array(*[F.lit(c) for c in "ABCD"]).alias("label"), F.col("choices").alias("text")).alias("choices"),
+                     F.when(F.col("idx") % 7 == 0, "Z").otherwise(F.chr(F.col("gold") + 65)).alias("answerKey"))
+    t = tasks.task_arc(rows)
+    return t.select(F.md5(F.col("messages")[0]["content"]).alias("user_md5"), F.col("messages")[1]["content"].alias("answer"), "valid")
+
+
+@register("task_gsm8k", f"""
+SELECT md5(c.text) AS user_md5, types FROM ({ORACLE["parse_tool_calls"]}) p JOIN conversations c ON p.conv_id = c.conv_id AND p.turn = c.turn
+""")
+def task_gsm8k_q(spark, sf):
+    c = _t(spark, sf, "conversations").select("conv_id", "turn", F.col("text").alias("question"))
+    t = tasks.task_gsm8k(_tool_answers(spark, sf).join(c, ["conv_id", "turn"]))
+    return t.select(F.md5("user").alias("user_md5"), F.array_join(F.transform("assistant_parts", lambda x: x["type"]), ",").alias("types"))
+
+
+@register("task_humaneval", """
+SELECT md5(text) AS user_md5, md5(text || chr(10) || reverse(text)) AS assistant_md5, 'f' || item_id AS entry_point, 'check' AS test FROM benchmark
+""")
+def task_humaneval_q(spark, sf):
+    b = _t(spark, sf, "benchmark")
+    t = tasks.task_humaneval(b.select(F.col("text").alias("prompt"), F.reverse("text").alias("canonical_solution"),
+                                      F.concat(F.lit("f"), F.col("item_id").cast("string")).alias("entry_point"), F.lit("check").alias("test")))
+    return t.select(F.md5(F.col("messages")[0]["content"]).alias("user_md5"), F.md5(F.col("messages")[1]["content"]).alias("assistant_md5"), "entry_point", "test")
+
+
+@register("read_word_list", "WITH " + _WORDS_SQL + " SELECT word FROM words")
+def read_word_list_q(spark, sf):
+    path = _folder(spark, "words")
+    _words(spark, sf).select(F.concat(F.lit("  "), F.col("word"), F.lit(" ")).alias("value")).write.text(path)
+    return files.read_word_list(spark, path)
+
+
+@register("icl_bundle", """
+SELECT 'task' || (item_id % 3) AS label, CASE item_id % 3 WHEN 0 THEN 'multiple_choice' WHEN 1 THEN 'schema' ELSE 'language_modeling' END AS task_type,
+       (item_id % 3) * 5 AS num_fewshot, CASE item_id % 3 WHEN 0 THEN chr(10) || 'Answer: ' ELSE ' ' END AS continuation_delimiter,
+       0.25 * (item_id % 3) AS baseline, count(*) AS n_items, sum(length(text))::BIGINT AS n_chars FROM benchmark GROUP BY ALL
+""")
+def icl_bundle_q(spark, sf):
+    """A bundle written from the benchmark (config, baselines, items) and read back."""
+    path = _folder(spark, "bundle")
+    kinds = ["multiple_choice", "schema", "language_modeling"]
+    entries = "".join(f"- label: task{i}\n  icl_task_type: {k}\n  dataset_uri: task{i}.jsonl\n  num_fewshot: [{i * 5}, 9]\n"
+                      + ('  continuation_delimiter: "\\nAnswer: "\n' if i == 0 else "") for i, k in enumerate(kinds))
+    _put(spark, f"{path}/core.yaml", "icl_tasks:\n" + entries)
+    _put(spark, f"{path}/eval_meta_data.csv", "Eval Task,Random baseline\n" + "".join(f"task{i},{0.25 * i}\n" for i in range(3)))
+    b = _t(spark, sf, "benchmark")
+    for i in range(3):
+        b.where(F.col("item_id") % 3 == i).select("item_id", "text").write.json(f"{path}/eval_data/task{i}.jsonl")
+    config, baselines, items = tasks.read_icl_bundle(spark, path)
+    out = None
+    for t in config:
+        d = items[t["label"]].agg(F.count(F.lit(1)).alias("n_items"), F.sum(F.length("text")).alias("n_chars")).select(
+            F.lit(t["label"]).alias("label"), F.lit(t["task_type"]).alias("task_type"), F.lit(t["num_fewshot"]).cast("long").alias("num_fewshot"),
+            F.lit(t["continuation_delimiter"]).alias("continuation_delimiter"), "n_items", "n_chars")
+        out = d if out is None else out.unionByName(d)
+    return out.join(baselines.withColumnRenamed("task", "label"), "label")
+
+
+@register("shard_manifest", """
+SELECT i AS shard_idx, 'missing' AS status FROM (SELECT unnest(range((SELECT ceil(count(*) / 64.0)::BIGINT + 3 FROM documents))) AS i)
+WHERE i >= (SELECT ceil(count(*) / 64.0)::BIGINT FROM documents)
+""")
+def shard_manifest_q(spark, sf):
+    path = _folder(spark, "shards")
+    docs = _t(spark, sf, "documents")
+    sinks.write_shards_by_rows(docs, path, "doc_id", rows=64)
+    return files.shard_manifest(spark, path, -(-docs.count() // 64) + 3)
+
+
+@register("publish_shards", "SELECT true AS first_written, false AS second_written, count(*) AS n_rows, sum(length(text))::BIGINT AS n_chars FROM documents")
+def publish_shards_q(spark, sf):
+    path = _folder(spark, "published") + "/corpus"
+    docs = _t(spark, sf, "documents")
+
+    def write(p):
+        sinks.write_shards_by_chars(docs, p, "doc_id", budget=100_000, group=16)
+    first, second = sinks.publish(spark, write, path), sinks.publish(spark, write, path)
+    return files.read_corpus(spark, path).agg(F.lit(first).alias("first_written"), F.lit(second).alias("second_written"),
+                                              F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("text")).alias("n_chars"))
+
+
+@register("artifact_catalog", """
+WITH f AS (SELECT 'd' || (o_custkey % 7) AS tag, o_orderkey AS step, o_orderdate AS mtime FROM orders WHERE o_orderkey % 5 <> 0)
+SELECT tag, max(step)::BIGINT AS last_step, max(mtime)::VARCHAR AS mtime, tag = (SELECT max(tag) FROM f) AS is_default FROM f GROUP BY tag
+""")
+def artifact_catalog_q(spark, sf):
+    o = _t(spark, sf, "orders")
+    name = F.format_string("%s_%06d.pt", F.when(F.col("o_orderkey") % 5 == 0, "optim").otherwise("model"), F.col("o_orderkey"))
+    listing = o.select(F.concat(F.lit("d"), (F.col("o_custkey") % 7).cast("string")).alias("tag"), name.alias("file_name"), F.col("o_orderdate").alias("mtime"))
+    return files.artifact_catalog(listing).withColumn("mtime", F.col("mtime").cast("string"))
+
+
+@register("apply_merges", _TRAIN_SQL + f"""SELECT md5(c) AS chunk_md5, replace(trim(tok, '<>'), '><', ',') AS ids FROM final
+WHERE c IN (SELECT unnest(regexp_extract_all(text, '{_RE2}', 1)) FROM documents)""")
+def apply_merges_q(spark, sf):
+    m = [(r["left"], r["right"], r.new_id) for r in trained_merges(spark, sf).orderBy("rank").collect()]
+    words = bpe.words_from_chunks(bpe.chunk_counts(_t(spark, sf, "documents")))
+    return words.select(F.md5("chunk").alias("chunk_md5"), F.array_join(bpe.apply_merges_col(F.col("ids"), m), ",").alias("ids"))
+
+
+@register("results_csv", _CENTER_SQL + """
+SELECT task, accuracy, centered FROM c UNION ALL SELECT 'CORE', NULL, round(avg(centered), 6) FROM c
+""")
+def results_csv_q(spark, sf):
+    path = _folder(spark, "results")
+    sinks.write_results_csv(_centered(spark, sf), path)
+    return spark.read.option("header", True).schema("task string, accuracy double, centered double").csv(path)
+
+
+@register("option_spans_lm", """
+SELECT item_id, greatest(length(text) - 7, 0) AS start, length(text) AS "end", true AS is_prefix FROM benchmark
+""")
+def option_spans_lm_q(spark, sf):
+    codes = F.transform(F.split("text", ""), lambda x: F.ascii(x))
+    b = _t(spark, sf, "benchmark").select("item_id", codes.alias("ids_with"))
+    b = b.withColumn("ids_without", F.slice("ids_with", 1, F.greatest(F.size("ids_with") - 7, F.lit(0))))
+    return pack.lm_spans(b).select("item_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "is_prefix")
+
+
+@register("parse_reports", """
+WITH m AS (SELECT 'r' || (doc_id % 2) AS run, CASE doc_id % 3 WHEN 0 THEN 'base-model-evaluation' WHEN 1 THEN 'chat-sft' ELSE 'chat-rl' END AS section, count(*) AS n,
+                  round(avg(quality), 4) AS q FROM labels GROUP BY 1, 2)
+SELECT run, section, 'documents' AS key, n::VARCHAR AS value, CASE section WHEN 'base-model-evaluation' THEN 5 WHEN 'chat-sft' THEN 8 ELSE 10 END AS section_no, 5400 AS wall_seconds FROM m
+UNION ALL SELECT run, section, 'quality', q::VARCHAR, CASE section WHEN 'base-model-evaluation' THEN 5 WHEN 'chat-sft' THEN 8 ELSE 10 END, 5400 FROM m
+""")
+def parse_reports_q(spark, sf):
+    """Reports of two runs written from the labels, parsed, with their wall clock."""
+    path = _folder(spark, "reports")
+    sections = ["base-model-evaluation", "chat-sft", "chat-rl"]
+    lab = _t(spark, sf, "labels")
+    rows = lab.groupBy((F.col("doc_id") % 2).alias("r"), (F.col("doc_id") % 3).alias("s")).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("quality"), 4).cast("string").alias("q")).collect()     # six rows
+    for r in rows:
+        _put(spark, f"{path}/r{r.r}/{sections[r.s]}.md",
+             f"## Section\ntimestamp: 2024-01-01 0{r.s + 1}:30:00\n\n- documents: {r.n}\n- quality: {r.q}\n")
+        _put(spark, f"{path}/r{r.r}/header.md", "# Report\n\nRun started: 2024-01-01 01:00:00\n")
+    kv = evals.parse_reports(spark, path)
+    wall = evals.wall_clock(kv, ts="ts").select("run", F.col("seconds").alias("wall_seconds"))
+    return (kv.where(F.col("key").isin("documents", "quality")).join(wall, "run")
+            .select("run", "section", "key", "value", F.col("section_no").cast("long").alias("section_no"), "wall_seconds"))
+
+
+for _name, _casts in {"conversations_jsonl": {"turn": "BIGINT"}, "icl_bundle": {"num_fewshot": "BIGINT", "baseline": "DOUBLE"}, "shard_manifest": {"shard_idx": "BIGINT"},
+                      "option_spans_lm": {"start": "BIGINT", "end": "BIGINT"}, "parse_reports": {"section_no": "BIGINT", "wall_seconds": "BIGINT"}}.items():
+    ORACLE_CASTS.setdefault(_name, {}).update(_casts)

@@ -33,6 +33,11 @@ DEFAULT_RATE = 2.0
 # Report stages and the chat metrics extracted from evaluation sections.
 STAGES = ["base", "mid", "sft", "rl"]
 CHAT_METRICS = ["ARC-Easy", "ARC-Challenge", "MMLU", "GSM8K", "HumanEval", "ChatCORE"]
+# Report sections in their order.
+REPORT_SECTIONS = [
+    "tokenizer-training", "tokenizer-evaluation", "base-model-training", "base-model-loss", "base-model-evaluation", "midtraining",
+    "chat-evaluation-mid", "chat-sft", "chat-evaluation-sft", "chat-rl", "chat-evaluation-rl",
+]
 STAGE_METRICS = {"base": ["CORE"], "mid": CHAT_METRICS, "sft": CHAT_METRICS, "rl": ["GSM8K"]}
 # ---------------------------------------------------------------------------
 
@@ -294,7 +299,7 @@ def report_summary(kv: DataFrame, run: str = "run", stage: str = "stage", metric
 def wall_clock(sections: DataFrame, run: str = "run", section: str = "section", ts: str = "ts",
                start: str = "start_ts") -> DataFrame:
     """last non-RL section timestamp − run start, as hours and minutes."""
-    end = sections.where(~F.col(section).contains("rl")).groupBy(run).agg(
+    end = sections.where(~F.col(section).contains("rl") & F.col("section_no").isNotNull()).groupBy(run).agg(
         F.max_by(ts, F.col("section_no")).alias("end_ts"), F.first(start).alias("start_ts"))
     # whole seconds of the (microsecond) difference, truncated like int(total_seconds())
     secs = F.floor(F.col("end_ts").cast("timestamp").cast("double")
@@ -335,5 +340,11 @@ def parse_reports(spark, path: str) -> DataFrame:
     kv = kv.where(F.col("key") != "")
     ts = (kv.where(F.col("key") == "timestamp")
           .groupBy("run", "section").agg(F.min_by("value", "line_no").alias("ts_text")))
-    return kv.join(ts, ["run", "section"], "left").withColumn(
-        "ts", F.try_to_timestamp("ts_text", F.lit("yyyy-MM-dd HH:mm:ss"))).drop("ts_text")
+    # when the run began stands in its header; sections count in their fixed order
+    start = (kv.where((F.col("section") == "header") & (F.col("key") == "Run started"))
+             .groupBy("run").agg(F.min_by("value", "line_no").alias("start_text")))
+    stamp = F.lit("yyyy-MM-dd HH:mm:ss")
+    number = F.array_position(F.array(*(F.lit(x) for x in REPORT_SECTIONS)), F.col("section")).cast("int")
+    return (kv.join(ts, ["run", "section"], "left").join(start, "run", "left")
+            .withColumn("ts", F.try_to_timestamp("ts_text", stamp)).withColumn("start_ts", F.try_to_timestamp("start_text", stamp))
+            .withColumn("section_no", F.when(number > 0, number)).drop("ts_text", "start_text"))

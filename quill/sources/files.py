@@ -72,6 +72,14 @@ def read_conversations_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return lines.select("f", F.from_json("value", _MSG).alias("messages"))
 
 
+def messages_to_turns(df: DataFrame, messages: str = "messages") -> DataFrame:
+    """Conversations as arrays → the long form that C1-C6 take: the other columns
+    plus ``turn, role, text``."""
+    rest = [c for c in df.columns if c != messages]
+    return df.select(*rest, F.posexplode(messages).alias("turn", "__m")).select(
+        *rest, "turn", F.col("__m.role").alias("role"), F.col("__m.content").alias("text"))
+
+
 def read_qa(df: DataFrame) -> DataFrame:
     """Messages JSON when present, else trimmed question/answer (both non-empty)."""
     if "messages" in df.columns:

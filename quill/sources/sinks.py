@@ -65,8 +65,8 @@ def qa_messages_json(q: pd.Series, a: pd.Series) -> pd.Series:
                                  ensure_ascii=True) for x, y in zip(q, a)], dtype=object)
 
 
-def _write_shards(df: DataFrame, path: str, order: str, compat: bool) -> None:
-    w = (df.repartition("shard").sortWithinPartitions("shard", order).drop(order)
+def _write_shards(df: DataFrame, path: str, order: list[str], compat: bool) -> None:
+    w = (df.repartition("shard").sortWithinPartitions("shard", *order).drop(*order)
          .write.mode("overwrite").option("compression", "zstd")
          .option("parquet.block.row.count.limit", str(ROW_GROUP_ROWS))
          .option("parquet.compression.codec.zstd.level", "3"))
@@ -89,8 +89,9 @@ def _flatten_shards(spark: SparkSession, path: str) -> None:
         idx = int(name.split("=", 1)[1])
         parts = [p.getPath() for p in fs.listStatus(st.getPath()) if p.getPath().getName().endswith(".parquet")]
         for k, p in enumerate(sorted(parts, key=lambda q: q.getName())):
-            suffix = "" if k == 0 else f".{k}"
-            fs.rename(p, jvm.org.apache.hadoop.fs.Path(root, SHARD_NAME.format(idx) + suffix))
+            # a shard that rolled over keeps its rows under names that readers find
+            name = SHARD_NAME.format(idx) if k == 0 else SHARD_NAME.format(idx).replace(".parquet", f"-{k}.parquet")
+            fs.rename(p, jvm.org.apache.hadoop.fs.Path(root, name))
         fs.delete(st.getPath(), True)
 
 
@@ -99,24 +100,23 @@ def write_shards_by_chars(df: DataFrame, path: str, order: str, text: str = "tex
                           keep_tail: bool = True, compat: bool = False) -> None:
     """K1 (*action*): text shards closed by chars and row multiple, zstd, 1024-row groups."""
     a = shard_by_chars(df, order, text, budget, group, keep_tail).select("__pos", text, "shard")
-    _write_shards(a, path, "__pos", compat)
+    _write_shards(a, path, ["__pos"], compat)
 
 
 def write_shards_by_rows(df: DataFrame, path: str, order: str, text: str = "text",
                          rows: int = ROWS_PER_TEXT_SHARD) -> None:
     """K2 (*action*): text shards of ``rows`` rows."""
     a = shard_by_rows(df, order, rows).select("__pos", text, "shard")
-    _write_shards(a, path, "__pos", False)
+    _write_shards(a, path, ["__pos"], False)
 
 
 def write_qa_shards(pairs: DataFrame, path: str, doc: str = "doc_id", pos: str = "pos",
                     rows: int = ROWS_PER_TEXT_SHARD) -> None:
     """K3 (*action*): question, answer, messages (ASCII-escaped JSON) shards."""
     a = shard_qa_pairs(pairs, doc, rows)
-    a = a.withColumn("__o", F.col(doc) * F.lit(1 << 20) + F.col(pos))
-    a = a.select("__o", "shard", "question", "answer",
+    a = a.select(F.col(doc).alias("__doc"), F.col(pos).alias("__pos"), "shard", "question", "answer",
                  qa_messages_json(F.col("question"), F.col("answer")).alias("messages"))
-    _write_shards(a, path, "__o", False)
+    _write_shards(a, path, ["__doc", "__pos"], False)
 
 
 def publish(spark: SparkSession, write_fn, final_path: str, skip_if_complete: bool = True) -> bool:
@@ -135,15 +135,26 @@ def publish(spark: SparkSession, write_fn, final_path: str, skip_if_complete: bo
     if fs.exists(tmp):
         fs.delete(tmp, True)
     write_fn(final_path + ".tmp")
-    if fs.exists(final):
-        fs.delete(final, True)
-    fs.rename(tmp, final)
+    # the old output steps aside first, so that one of the two is always there
+    old = jvm.org.apache.hadoop.fs.Path(final_path + ".old")
+    if fs.exists(old):
+        fs.delete(old, True)
+    had = fs.exists(final) and fs.rename(final, old)
+    if not fs.rename(tmp, final):
+        if had:
+            fs.rename(old, final)
+        raise OSError(f"cannot publish {final_path}")
+    if had:
+        fs.delete(old, True)
     return True
 
 
 def write_results_csv(scores: DataFrame, path: str) -> None:
-    """K5 (*action*): result-sized table (task, accuracy, centered + CORE row) as one CSV."""
-    scores.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """K5 (*action*): result-sized table as one CSV: (task, accuracy, centered) and the
+    CORE row, whose accuracy is empty."""
+    core = scores.agg(F.round(F.avg("centered"), 6).alias("centered")).select(
+        F.lit("CORE").alias("task"), F.lit(None).cast("double").alias("accuracy"), "centered")
+    scores.select("task", "accuracy", "centered").unionByName(core).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def conversations_jsonl(df: DataFrame, valid: DataFrame | None = None, key: str = "conv_id",

@@ -8,8 +8,6 @@ DataFrame expressions. Conversations are
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,13 +61,14 @@ def read_icl_bundle(spark: SparkSession, bundle_dir: str) -> tuple[list[dict], D
     """
     import yaml  # optional dependency, only for reading the bundle's config
 
-    with open(os.path.join(bundle_dir, "core.yaml"), encoding="utf-8") as f:
-        config = yaml.safe_load(f)
+    # through Spark's reader: the bundle may lie where only Spark can read
+    lines = spark.read.option("wholetext", True).text(f"{bundle_dir}/core.yaml").collect()
+    config = yaml.safe_load("\n".join(r[0] for r in lines))
     tasks = [{"label": t["label"], "task_type": t["icl_task_type"], "dataset_uri": t["dataset_uri"],
               "num_fewshot": t["num_fewshot"][0], "continuation_delimiter": t.get("continuation_delimiter", " ")}
              for t in config["icl_tasks"]]
-    baselines = (spark.read.option("header", True).csv(os.path.join(bundle_dir, "eval_meta_data.csv"))
+    baselines = (spark.read.option("header", True).csv(f"{bundle_dir}/eval_meta_data.csv")
                  .select(F.col("Eval Task").alias("task"), F.col("Random baseline").cast("double").alias("baseline")))
-    items = {t["label"]: spark.read.json(os.path.join(bundle_dir, "eval_data", t["dataset_uri"]))
+    items = {t["label"]: spark.read.json(f"{bundle_dir}/eval_data/{t['dataset_uri']}")
              for t in tasks}
     return tasks, baselines, items
