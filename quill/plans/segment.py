@@ -56,18 +56,22 @@ def greedy_segments(df: DataFrame, order: str, weight: str, threshold: int,
     u = u.withColumn("__key", F.col("v") * 2 + F.col("typ"))
     lb = prefix_sum(u, ["__key", "node"], F.col("typ").cast("long"), out="lb", inclusive=False)
     nxt = lb.where(F.col("typ") == 0).select("node", F.col("lb").alias("to"))
-    sink = spark.range(1).select(F.lit(n).cast("long").alias("node"), F.lit(n).cast("long").alias("to"))
-    level = reliable_checkpoint(nxt.unionByName(sink))
+    # nodes without a next close (to = n) have arrived: they are carried along and
+    # never joined, so no key collects them
+    level = reliable_checkpoint(nxt)
     # 3. pointer doubling
     levels = [level]
-    for _ in range(max(1, math.ceil(math.log2(n + 2)))):
-        a, b = level.alias("a"), level.alias("b")
+    for _ in range(max(1, math.ceil(math.log2(n + 2))) - 1):
+        live = level.where(F.col("to") < n)
+        if live.isEmpty():
+            break
+        a, b = live.alias("a"), level.alias("b")
         level = reliable_checkpoint(a.join(b, F.col("a.to") == F.col("b.node"))
                                     .select(F.col("a.node").alias("node"), F.col("b.to").alias("to")))
         levels.append(level)
     reach = spark.range(1).select(F.lit(-1).cast("long").alias("node"))
-    for lv in reversed(levels[:-1]):
-        step = reach.join(lv, "node").select(F.col("to").alias("node"))
+    for lv in reversed(levels):
+        step = reach.join(lv.where(F.col("to") < n), "node").select(F.col("to").alias("node"))
         reach = reliable_checkpoint(reach.unionByName(step).distinct())
     closes = reach.where((F.col("node") >= 0) & (F.col("node") < n)).select(
         F.col("node").alias("__pos"), F.lit(True).alias("is_close"))
