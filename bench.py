@@ -15,7 +15,6 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from quill import catalog  # noqa: E402
-from quill.functions.text import crop  # noqa: E402
 from quill.operators import bpe, pack  # noqa: E402
 from quill.session import build_session  # noqa: E402
 
@@ -48,7 +47,7 @@ def main():
     timed("chunk_stats_by_lang", lambda: _force(q["chunk_stats_by_lang"](spark, sf_dir)))
     timed("pretokenize_chunk_counts", lambda: _force(q["chunk_counts"](spark, sf_dir)))
 
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(crop("text", 10_000).alias("text"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text")
     merges_box = {}
 
     def train():

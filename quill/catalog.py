@@ -1351,25 +1351,33 @@ from quill.session import ensure_checkpoint_dir  # noqa: E402
 from quill.streaming import stream  # noqa: E402
 
 
+_RANKS = 4
+
+
 @register("pack_stream")
 def pack_stream_q(spark, sf):
-    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/quill-stream-{uuid.uuid4().hex}"
-    ids = _cp_ids(spark, sf).withColumn("rank", F.lit(0))
-    ids.repartitionByRange(4, "doc_id").write.parquet(base + "/src")
+    """Four ranks, four micro-batches: the source files hold ascending ranges of
+    documents and arrive in that order."""
+    base = _folder(spark, "stream")
+    ids = _cp_ids(spark, sf).withColumn("rank", F.pmod("doc_id", F.lit(_RANKS)).cast("int"))
+    cuts = ids.approxQuantile("doc_id", [0.25, 0.5, 0.75], 0.01)
+    for lo, hi in zip([None, *cuts], [*cuts, None]):
+        part = ids if lo is None else ids.where(F.col("doc_id") > lo)
+        (part if hi is None else part.where(F.col("doc_id") <= hi)).coalesce(1).write.mode("append").parquet(base + "/src")
     schema = spark.read.parquet(base + "/src").schema
-    s = stream.stream_corpus(spark, base + "/src", schema, files_per_batch=1000, columns=("rank", "doc_id", "ids"))
+    s = stream.stream_corpus(spark, base + "/src", schema, files_per_batch=1, columns=("rank", "doc_id", "ids"))
     # state partitions are fixed at the first start from the shuffle setting:
-    # size them to the number of ranks (one here), then restore the session
+    # size them to the number of ranks, then restore the session
     prev = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    spark.conf.set("spark.sql.shuffle.partitions", str(_RANKS))
     try:
-        q = (stream.pack_stream(s, 4, 64).writeStream.format("parquet").option("path", base + "/out")
+        q = (stream.pack_stream(s, _B, _T).writeStream.format("parquet").option("path", base + "/out")
              .option("checkpointLocation", base + "/ckpt").trigger(availableNow=True).start())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", prev)
     q.awaitTermination()
     out = spark.read.parquet(base + "/out")
-    return out.select("block", "row", F.md5(F.array_join("inputs", ",")).alias("inputs_md5"),
+    return out.select("rank", "block", "row", F.md5(F.array_join("inputs", ",")).alias("inputs_md5"),
                       F.md5(F.array_join("targets", ",")).alias("targets_md5"))
 
 
@@ -1422,9 +1430,15 @@ def render_spelling_bee_q(spark, sf):
 
 
 # oracles for queries registered above whose SQL reuses earlier pieces
-ORACLE["pack_stream"] = ORACLE["pack_blocks"].replace(
-    "       sum(CASE WHEN side = 'i' THEN tok END) AS inputs_sum\n", "       1 AS _drop\n").replace(
-    ",\n       1 AS _drop\n", "\n")
+_L = _B * _T + 1
+ORACLE["pack_stream"] = f"""
+WITH cp AS (SELECT doc_id, 0 AS p, 0 AS tok FROM documents
+            UNION ALL SELECT doc_id, i, unicode(substring(text, i, 1)) FROM documents, range(1, length(text) + 1) r(i)),
+st AS (SELECT doc_id % {_RANKS} AS rank, row_number() OVER (PARTITION BY doc_id % {_RANKS} ORDER BY doc_id, p) - 1 AS g, tok FROM cp),
+b AS (SELECT rank, g // {_L} AS block, list(tok ORDER BY g) AS toks FROM st GROUP BY 1, 2 HAVING count(*) = {_L})
+SELECT rank, block, r AS "row", md5(array_to_string(toks[r * {_T} + 1:r * {_T} + {_T}], ',')) AS inputs_md5,
+       md5(array_to_string(toks[r * {_T} + 2:r * {_T} + {_T} + 1], ',')) AS targets_md5
+FROM b, range({_B}) t(r)"""
 ORACLE["recipe_mixture"] = """
 WITH d AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS local_idx FROM documents),
 c AS (SELECT row_number() OVER (ORDER BY conv_id) - 1 AS local_idx FROM (SELECT DISTINCT conv_id FROM conversations)),
@@ -1463,6 +1477,7 @@ ORACLE_CASTS: dict[str, dict[str, str]] = {
     "masked_token_mean": {"active_tokens": "BIGINT"},
     "match_speaker": {"n_speaker": "BIGINT", "n_comma": "BIGINT", "n_question": "BIGINT"},
     "pack_blocks": {"inputs_sum": "BIGINT"},
+    "pack_stream": {"rank": "BIGINT", "block": "BIGINT", "row": "BIGINT"},
     "pair_counts": {"cnt": "BIGINT"},
     "parse_tool_calls": {"n_parts": "BIGINT"},
     "policy_objective": {"n_valid": "BIGINT"},
