@@ -145,14 +145,15 @@ def select_batch(top: list[tuple[int, int, int]], truncated: bool,
 _PAIR_RE = r"(?=(<[0-9]+><[0-9]+>))"
 
 
-def _round_summary(words: DataFrame, limit: int) -> DataFrame:
-    """One job per round: pair counts (overlapping pairs straight from the
-    ``<a><b>`` form, partial + final aggregate) and the top ``limit`` pairs."""
-    pc = (words.select(F.explode(F.regexp_extract_all("tok", F.lit(_PAIR_RE), 1)).alias("pr"), "cnt")
-          .groupBy("pr").agg(F.sum("cnt").alias("cnt")))
+def _pairs_of(tok: str, cnt: Column) -> tuple[Column, Column]:
+    """Overlapping pairs straight from the ``<a><b>`` form, each with a weight."""
+    return F.explode(F.regexp_extract_all(tok, F.lit(_PAIR_RE), 1)).alias("pr"), cnt.alias("cnt")
+
+
+def _top_pairs(pairs: DataFrame, limit: int) -> DataFrame:
     pat = r"^<([0-9]+)><([0-9]+)>$"
-    pc = pc.select(F.regexp_extract("pr", pat, 1).cast("int").alias("left"),
-                   F.regexp_extract("pr", pat, 2).cast("int").alias("right"), "cnt")
+    pc = pairs.select(F.regexp_extract("pr", pat, 1).cast("int").alias("left"),
+                      F.regexp_extract("pr", pat, 2).cast("int").alias("right"), "cnt")
     return pc.orderBy(F.desc("cnt"), "left", "right").limit(limit)
 
 
@@ -185,15 +186,17 @@ def train_bpe(texts: DataFrame, vocab_size: int, text: str = "text",
              .select(_to_tokstr(F.col("ids")).alias("tok"), "cnt")
              .repartition(n_parts))
     words = reliable_checkpoint(words)
+    pairs = words.select(*_pairs_of("tok", F.col("cnt"))).groupBy("pr").agg(F.sum("cnt").alias("cnt"))
+    pairs = reliable_checkpoint(pairs)
     merges: list[tuple[int, int, int, int, int]] = []
     rnd = 0
     TRAIN_STATS.clear()
-    prev = None
+    spent: list[DataFrame] = []         # cached inputs of the tables of this round
     while len(merges) < n_merges:
-        rows = _round_summary(words, max_candidates).collect()   # ≤ max_candidates rows
-        if prev is not None:
-            prev.unpersist()   # ``words`` is cached now
-            prev = None
+        rows = _top_pairs(pairs, max_candidates).collect()   # ≤ max_candidates rows
+        for old in spent:               # both tables are cached now
+            old.unpersist()
+        spent = []
         cand = sorted(((r.left, r.right, r.cnt) for r in rows), key=lambda t: (-t[2], t[0], t[1]))
         if not cand:
             break
@@ -210,18 +213,23 @@ def train_bpe(texts: DataFrame, vocab_size: int, text: str = "text",
         rnd += 1
         if len(merges) >= n_merges:
             break
-        # words of one token can never pair again
-        nxt = words.select(tok.alias("tok"), "cnt").where(F.col("tok").contains("><"))
+        # only words that a merge changes move the pair counts; words of one token
+        # can never pair again
+        stepped = words.withColumn("was", F.when(F.col("tok") != tok, F.col("tok"))).withColumn("tok", tok).persist()
+        moved = stepped.where(F.col("was").isNotNull())
+        deltas = moved.select(*_pairs_of("tok", F.col("cnt"))).unionByName(moved.select(*_pairs_of("was", -F.col("cnt"))))
+        counted = (pairs.unionByName(deltas).groupBy("pr").agg(F.sum("cnt").alias("cnt")).where(F.col("cnt") > 0))
         if rnd % checkpoint_every == 0:
-            nxt = reliable_checkpoint(nxt)
-            words.unpersist()
+            counted = reliable_checkpoint(counted)
+            left_over = reliable_checkpoint(stepped.where(F.col("tok").contains("><")).select("tok", "cnt"))
+            for old in (words, pairs, stepped):
+                old.unpersist()
+            words, pairs = left_over, counted
         else:
-            nxt = nxt.persist()       # filled by the next round's job
-            prev = words
-        words = nxt
-    if prev is not None:
-        prev.unpersist()
-    words.unpersist()
+            spent = [words, pairs]
+            words, pairs = stepped.where(F.col("tok").contains("><")).select("tok", "cnt"), counted.persist()
+    for old in (*spent, words, pairs):
+        old.unpersist()
     TRAIN_STATS.update(rounds=rnd, merges=len(merges))
     schema = "rank INT, left INT, right INT, new_id INT, cnt LONG"
     return spark.createDataFrame(merges, schema)
