@@ -24,14 +24,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quill.llm.tables import map_arrow, skew_join, stored, text_bytes
+from quill.llm.tables import map_arrow, skew_join, stored
 from quill.llm.words import windows, word_hashes
 
 VOCAB = "piece_bpe_32k.model"
-CACHE_ENTRIES = 1 << 19
+CACHE_ENTRIES = 1 << 18
 SPACES = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
 SYMBOLS = tuple(bytes([c]) for c in b"#*$%&|<>")
 
@@ -105,14 +105,14 @@ _KINDS = [pa.int64()] * 7 + [pa.float64()]
 
 def measures(df: DataFrame, text: str = "text", vocab: str = VOCAB, out: str = "__fertility") -> DataFrame:
     """``df`` with a struct of base counts and token measures of each whole text."""
-    names = df.columns
+    names, at = df.columns, df.columns.index(text)
 
     def run(batches):
         v = _vocab(vocab)
         for b in batches:
             cols = [[] for _ in MEASURES]
-            for t in b.column(len(names)).to_pylist():
-                *base, words = base_counts(t)
+            for t in b.column(at).cast(pa.binary()).to_pylist():
+                *base, words = base_counts(t or b"")
                 n = fell = 0
                 entropy = 0.0
                 if words:
@@ -129,7 +129,12 @@ def measures(df: DataFrame, text: str = "text", vocab: str = VOCAB, out: str = "
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(names))), found], names=[*names, out])
     fields = ", ".join(f"{m}: {'double' if m == 'token_entropy' else 'bigint'}" for m in MEASURES)
     schema = ", ".join(f"`{c}` {t}" for c, t in df.dtypes) + f", {out} struct<{fields}>"
-    return map_arrow(df.withColumn(out, text_bytes(text)), run, schema)
+    return map_arrow(df, run, schema)
+
+
+def _name(col: str) -> Column:
+    """A language as a join key; null is a language of its own."""
+    return F.coalesce(F.concat(F.lit("="), F.col(col)), F.lit("null"))
 
 
 def _judge(measured: DataFrame, lang: str, out: str, min_docs: int, min_words: int, max_repeat_percent: int) -> DataFrame:
@@ -144,10 +149,12 @@ def _judge(measured: DataFrame, lang: str, out: str, min_docs: int, min_words: i
     judged_rows = measured.where(m("n_words") >= min_words).select(language.alias("lang"), *(c.alias(n) for n, c in rate.items()))
     quartiles = [F.percentile_approx(c, [0.25, 0.5, 0.75], 1000).alias(c) for c in rate]
     by_lang = judged_rows.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), *quartiles).where(F.col("docs") >= min_docs)
-    bands = by_lang.select(F.col("lang").alias("__lang"), F.struct(*rate).alias("__bands"))
+    # a written table of known size: Spark broadcasts it if it is small, and only then
+    # do the texts stay where they are
+    bands = stored(by_lang.select(_name("lang").alias("__lang"), F.struct(*rate).alias("__bands")), "bands")
     whole = judged_rows.agg(*quartiles).collect()[0]        # one row
     d = measured.withColumn("__language", language)
-    d = skew_join(d.withColumn("__lang", F.coalesce("__language", F.lit(""))), bands.withColumn("__lang", F.coalesce("__lang", F.lit(""))), "__lang", "left")
+    d = skew_join(d.withColumn("__lang", _name("__language")), bands, "__lang", "left")
     ok = F.lit(True)
     for name, rule in BANDS.items():
         q = F.coalesce(F.col(f"__bands.{name}"), F.array(*(F.lit(float(x)) for x in whole[name])) if whole[name] else F.lit(None).cast("array<double>"))

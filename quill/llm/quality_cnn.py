@@ -125,7 +125,7 @@ def train(docs: list[tuple[bytes, int]], steps: int = 400, batch: int = 32, rate
     return w
 
 
-def probabilities(texts: list[bytes], w: dict, slab: int = 1024) -> np.ndarray:
+def probabilities(texts: list[bytes], w: dict, slab: int = 512) -> np.ndarray:
     """One probability per whole text; work goes in slabs of chunks, so a text of
     any length needs bounded memory."""
     if not texts:
@@ -192,12 +192,12 @@ def score(docs: DataFrame, weights: dict, key: str = "doc_id", text: str = "text
 def keep_good(docs: DataFrame, weights: dict, key: str = "doc_id", text: str = "text", threshold: float = 0.7) -> DataFrame:
     """Rows of ``docs`` that score at least ``threshold``; the text goes to Python and
     the verdict comes back beside its row, so no join is needed."""
-    names = docs.columns
-    mark = "__score"
+    at = docs.columns.index(text)
 
     def run(batches):
         for b in batches:
-            texts = [t or b"" for t in b.column(len(names)).to_pylist()]
+            texts = [t or b"" for t in b.column(at).cast(pa.binary()).to_pylist()]
             keep = pa.array(probabilities(texts, weights) >= threshold)
-            yield b.select(range(len(names))).filter(keep)
-    return map_arrow(docs.withColumn(mark, text_bytes(text)), run, ", ".join(f"`{c}` {t}" for c, t in docs.dtypes))
+            del texts
+            yield b.filter(keep)
+    return map_arrow(docs, run, ", ".join(f"`{c}` {t}" for c, t in docs.dtypes))
