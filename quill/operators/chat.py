@@ -249,6 +249,26 @@ def recipe(sources: Sequence[DataFrame], seed: int = 42, local_idx: str = "local
     return mix(sources, seed=seed, local_idx=local_idx)
 
 
+# The named mixtures as (source, first rows kept or None for all).
+RECIPES = {
+    "mid-train": [("smoltalk", None), ("mmlu-auxiliary", None), ("gsm8k", None), ("identity", None), ("identity", None),
+                  ("simple-spelling", 200_000), ("spelling-bee", 80_000)],
+    "mid-val": [("smoltalk-test", None), ("mmlu-test", 5_200), ("gsm8k-test", 420)],
+    "sft": [("arc-easy", None), ("arc-challenge", None), ("gsm8k", None), ("smoltalk", 10_000), ("identity", None),
+            ("simple-spelling", 300), ("spelling-bee", 300)],
+}
+
+
+def named_recipe(name: str, sources: dict[str, DataFrame], seed: int = 42, local_idx: str = "local_idx") -> DataFrame:
+    """One of ``RECIPES`` over task tables with a dense ``local_idx``; a source that
+    is listed twice is oversampled, a missing one is an error."""
+    missing = sorted({s for s, _ in RECIPES[name]} - sources.keys())
+    if missing:
+        raise ValueError(f"recipe {name} needs {', '.join(missing)}")
+    parts = [sources[s] if stop is None else sources[s].where(F.col(local_idx) < stop) for s, stop in RECIPES[name]]
+    return recipe([p.select(local_idx) for p in parts], seed, local_idx)
+
+
 def render_part_segments(df: DataFrame, key: str = "conv_id", user: str = "user",
                          parts: str = "assistant_parts") -> DataFrame:
     """C5 for a user string + assistant parts (text / python / python_output).

@@ -132,20 +132,26 @@ def core_metric(centered: DataFrame, by: str = "task", label: str = "CORE") -> D
 
 
 def categorical_eval(logits: DataFrame, letters: DataFrame, gold: DataFrame, item: str = "item",
-                     letter: str = "letter", logit: str = "logit") -> DataFrame:
+                     letter: str = "letter", logit: str = "logit", max_problems: int | None = None) -> DataFrame:
     """F8: argmax over the item's own letters (semi join), first letter on ties.
 
-    ``letters``: (item, letter, letter_idx).
+    ``letters``: (item, letter, letter_idx). ``max_problems`` keeps the first
+    problems in item order.
     """
+    if max_problems is not None:
+        gold = dense_index(gold, [item], out="__p", below=max_problems).drop("__p")
     valid = logits.join(letters, [item, letter], "inner")
     pred = valid.groupBy(item).agg(
         F.max_by(letter, F.struct(F.col(logit), -F.col("letter_idx"))).alias("pred"))
     return pred.join(gold, item).withColumn("is_correct", F.col("pred") == F.col("gold"))
 
 
-def generative_eval(outcomes: DataFrame, key: str = "idx", correct: str = "is_correct") -> DataFrame:
-    """a problem passes if any sample is correct; accuracy over problems."""
+def generative_eval(outcomes: DataFrame, key: str = "idx", correct: str = "is_correct", max_problems: int | None = None) -> DataFrame:
+    """a problem passes if any sample is correct; accuracy over problems, or over
+    the first ``max_problems`` of them in key order."""
     per = outcomes.groupBy(key).agg(F.bool_or(correct).alias("passed"))
+    if max_problems is not None:
+        per = dense_index(per, [key], out="__p", below=max_problems).drop("__p")
     return per.agg(F.count(F.lit(1)).alias("n"),
                    F.round(F.avg(F.col("passed").cast("double")), 6).alias("accuracy"))
 

@@ -173,11 +173,25 @@ def crop_left(df: DataFrame, max_tokens: int, ids: str = "ids", start: str = "st
 
 
 def training_budget(counts: DataFrame, total_batch_size: int, num_params: int,
-                    chars_per_shard: int = 250_000_000) -> DataFrame:
-    """iterations = max(1, max(1, tokens − 1) div batch); tokens:params ratio;
-    shards needed for 20 tokens/param at the measured chars/token."""
+                    chars_per_shard: int = 250_000_000, num_iterations: int | None = None,
+                    target_flops: float | None = None, flops_per_token: float | None = None,
+                    param_data_ratio: float | None = None) -> DataFrame:
+    """Iterations, tokens:params ratio and shards needed for 20 tokens/param at
+    the measured chars/token.
+
+    Iterations are, in this order: those given; those that spend ``target_flops`` at
+    ``flops_per_token``; those of ``param_data_ratio`` tokens per parameter; else one
+    pass over the data, max(1, max(1, tokens − 1) div batch)."""
     sup = F.greatest(F.col("tokens") - 1, F.lit(1))
     iters = F.greatest(F.floor(sup / total_batch_size), F.lit(1))
+    if num_iterations:
+        iters = F.lit(int(num_iterations))
+    elif target_flops:
+        if not flops_per_token:
+            raise ValueError("target_flops needs flops_per_token")
+        iters = F.lit(round(target_flops / (flops_per_token * total_batch_size)))
+    elif param_data_ratio:
+        iters = F.lit(int(param_data_ratio * num_params // total_batch_size))
     chars_needed = F.lit(20 * num_params) * F.col("chars_per_token")
     return counts.select(
         "tokens", iters.cast("long").alias("num_iterations"),

@@ -133,3 +133,33 @@ def test_publish_replaces_whole_outputs(spark, tmp_path):
     assert sinks.publish(spark, write(3), path) and not sinks.publish(spark, write(5), path)
     assert sinks.publish(spark, write(7), path, skip_if_complete=False)
     assert spark.read.parquet(path).count() == 7 and not (tmp_path / "out.old").exists()
+
+
+def test_problem_caps(spark):
+    outcomes = spark.createDataFrame([(i, i < 2) for i in range(6)], "idx bigint, is_correct boolean")
+    r = evals.generative_eval(outcomes, max_problems=4).collect()[0]
+    assert (r.n, r.accuracy) == (4, 0.5)
+    logits = spark.createDataFrame([(i, x, v) for i in range(3) for x, v in (("A", 0.1), ("B", 0.9))], "item bigint, letter string, logit double")
+    letters = spark.createDataFrame([(i, x, k) for i in range(3) for k, x in enumerate("AB")], "item bigint, letter string, letter_idx int")
+    gold = spark.createDataFrame([(0, "B"), (1, "A"), (2, "B")], "item bigint, gold string")
+    assert sorted((r.item, r.is_correct) for r in evals.categorical_eval(logits, letters, gold, max_problems=2).collect()) == [(0, True), (1, False)]
+
+
+def test_iteration_rules_in_order(spark):
+    c = spark.createDataFrame([(10_001, 4.0)], "tokens bigint, chars_per_token double")
+
+    def n(**kw):
+        return pack.training_budget(c, 100, 1_000, **kw).collect()[0].num_iterations
+    assert n() == 100 and n(param_data_ratio=20) == 200
+    assert n(target_flops=6e6, flops_per_token=600, param_data_ratio=20) == 100
+    assert n(num_iterations=7, target_flops=6e6, flops_per_token=600) == 7
+
+
+def test_named_recipes(spark):
+    def table(n):
+        return spark.range(n).select(F.col("id").alias("local_idx"))
+    names = ["arc-easy", "arc-challenge", "gsm8k", "smoltalk", "identity", "simple-spelling", "spelling-bee"]
+    m = chat.named_recipe("sft", {x: table(400) for x in names})
+    assert m.count() == 5 * 400 + 2 * 300
+    with pytest.raises(ValueError, match="smoltalk-test"):
+        chat.named_recipe("mid-val", {})
