@@ -127,6 +127,7 @@ def measures(df: DataFrame, text: str = "text", vocab: str = VOCAB, out: str = "
                     col.append(x)
             found = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(cols, _KINDS, strict=True)], names=list(MEASURES))
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(names))), found], names=[*names, out])
+        v.clear()               # the worker goes on to other stages
     fields = ", ".join(f"{m}: {'double' if m == 'token_entropy' else 'bigint'}" for m in MEASURES)
     schema = ", ".join(f"`{c}` {t}" for c, t in df.dtypes) + f", {out} struct<{fields}>"
     return map_arrow(df, run, schema)
