@@ -11,8 +11,12 @@ Two kinds of rules over each whole text:
 
 The rejection bands come from the table itself, per language: quartiles over all
 documents of that language (an approximate quantile sketch of fixed size). The
-bands widen for short texts, whose measures vary more. Languages with fewer than
-``min_docs`` documents use the bands of the whole table.
+bands widen for short texts, whose measures vary more. The median is always that of
+the document's own language. Its quartile distance is averaged with the mean distance
+within all languages, as if ``prior_docs`` further documents had that one: a language
+of few documents leans on the others for its spread, and the weight fades smoothly.
+A language of one document has that document as its median, so only the plain
+counts can reject it.
 
 Null or empty texts have no words and fail the word count. A null language is a
 group of its own. Repeated rows are judged each for itself.
@@ -138,7 +142,7 @@ def _name(col: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(col)), F.lit("null"))
 
 
-def _judge(measured: DataFrame, lang: str, out: str, min_docs: int, min_words: int, max_repeat_percent: int) -> DataFrame:
+def _judge(measured: DataFrame, lang: str, out: str, prior_docs: int, min_words: int, max_repeat_percent: int) -> DataFrame:
     """``measured`` (a written table) with the rates, ``base_failed`` and ``kept`` in the struct ``out``."""
     def m(name):
         return F.col(f"{out}.{name}")
@@ -149,38 +153,44 @@ def _judge(measured: DataFrame, lang: str, out: str, min_docs: int, min_words: i
             "token_entropy_rate": m("token_entropy") / F.log2(F.greatest(tokens, F.lit(2)))}
     judged_rows = measured.where(m("n_words") >= min_words).select(language.alias("lang"), *(c.alias(n) for n, c in rate.items()))
     quartiles = [F.percentile_approx(c, [0.25, 0.5, 0.75], 1000).alias(c) for c in rate]
-    by_lang = judged_rows.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), *quartiles).where(F.col("docs") >= min_docs)
+    by_lang = judged_rows.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), *quartiles)
     # a written table of known size: Spark broadcasts it if it is small, and only then
     # do the texts stay where they are
-    bands = stored(by_lang.select(_name("lang").alias("__lang"), F.struct(*rate).alias("__bands")), "bands")
-    whole = judged_rows.agg(*quartiles).collect()[0]        # one row
+    bands = stored(by_lang.select(_name("lang").alias("__lang"), F.struct("docs", *rate).alias("__bands")), "bands")
+
+    def distance(name):
+        return F.col(f"__bands.{name}")[2] - F.col(f"__bands.{name}")[0]
+    more = F.col("__bands.docs") - 1        # one document has no spread
+    # one row: mean quartile distances within the languages
+    within = bands.agg(*(F.try_divide(F.sum(more * distance(c)), F.sum(more)).alias(c) for c in rate)).collect()[0]
     d = measured.withColumn("__language", language)
     d = skew_join(d.withColumn("__lang", _name("__language")), bands, "__lang", "left")
     ok = F.lit(True)
     for name, rule in BANDS.items():
-        q = F.coalesce(F.col(f"__bands.{name}"), F.array(*(F.lit(float(x)) for x in whole[name])) if whole[name] else F.lit(None).cast("array<double>"))
-        width = F.greatest(rule["k"] * (q[2] - q[0]), F.lit(rule["floor"])) * F.sqrt(1 + rule["short"] / tokens)
+        median, docs = F.col(f"__bands.{name}")[1], F.col("__bands.docs")
+        spread = (docs * distance(name) + F.lit(prior_docs * (within[name] or 0.0))) / (docs + prior_docs)
+        width = F.greatest(rule["k"] * spread, F.lit(rule["floor"])) * F.sqrt(1 + rule["short"] / tokens)
         if not rule.get("upper_only"):
-            ok = ok & (rate[name] >= q[1] - width)
+            ok = ok & (rate[name] >= median - width)
         if not rule.get("lower_only"):
-            ok = ok & (rate[name] <= q[1] + width)
+            ok = ok & (rate[name] <= median + width)
     failed = (m("n_words") < min_words) | (100 * m("n_repeat_words") > max_repeat_percent * m("n_words"))
     verdict = F.struct(f"{out}.*", *(c.alias(n) for n, c in rate.items()), failed.alias("base_failed"), (~failed & F.coalesce(ok, F.lit(False))).alias("kept"))
     return d.withColumn(out, verdict).drop("__language", "__lang", "__bands")
 
 
-def judged(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", vocab: str = VOCAB, min_docs: int = 200,
+def judged(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", vocab: str = VOCAB, prior_docs: int = 20,
            min_words: int = 10, max_repeat_percent: int = 20) -> DataFrame:
     """Key, measures, rates, ``base_failed`` and ``kept`` of each row."""
     language = F.col(lang).cast("string") if lang in df.columns else F.lit(None).cast("string")
     narrow = measures(df.select(F.col(key).alias("__id"), language.alias("__lang0"), F.col(text).alias("__text")), "__text", vocab).drop("__text")
-    d = _judge(stored(narrow, "fertility"), "__lang0", "__fertility", min_docs, min_words, max_repeat_percent)
+    d = _judge(stored(narrow, "fertility"), "__lang0", "__fertility", prior_docs, min_words, max_repeat_percent)
     return d.select(F.col("__id").alias(key), "__fertility.*")
 
 
-def keep_good(df: DataFrame, text: str = "text", lang: str = "lang", vocab: str = VOCAB, min_docs: int = 200,
+def keep_good(df: DataFrame, text: str = "text", lang: str = "lang", vocab: str = VOCAB, prior_docs: int = 20,
               min_words: int = 10, max_repeat_percent: int = 20) -> DataFrame:
     """Rows of ``df`` that the rules keep. The rows are written once with their
     measures, so the verdict meets its row without a join of texts."""
-    d = _judge(stored(measures(df, text, vocab), "fertility"), lang, "__fertility", min_docs, min_words, max_repeat_percent)
+    d = _judge(stored(measures(df, text, vocab), "fertility"), lang, "__fertility", prior_docs, min_words, max_repeat_percent)
     return d.where("__fertility.kept").select(*df.columns)

@@ -124,6 +124,19 @@ def test_fertility_bands_reject_the_odd_one_out(spark):
     assert all(v[i] for i, *_ in plain) and not any(v[i] for i, *_ in noise)
 
 
+def test_fertility_bands_are_those_of_the_own_language_at_any_size(spark):
+    rng = np.random.default_rng(0)
+
+    def table(docs):
+        plain = [(i, " ".join(rng.choice(["the", "house", "water", "people", "small", "great"], 80)) + f" {i}", "en") for i in range(docs)]
+        other = [(10_000 + i, " ".join("".join(rng.choice(list("ЖЩЫЮ漢字猫"), 9)) for _ in range(80)), "xx") for i in range(docs)]
+        odd = [(20_000, other[0][1], "en"), (20_001, plain[0][1], "xx")]      # each in the other's language
+        return spark.createDataFrame(plain + other + odd, SCHEMA)
+    for docs in (20, 300):
+        v = {r.doc_id: r.kept or r.base_failed for r in fertility.judged(table(docs)).collect()}
+        assert {i for i, ok in v.items() if not ok} == {20_000, 20_001}
+
+
 def test_near_duplicates(odd, none, spark):
     rows = {(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(odd).collect()}
     assert {(1, 6, 1), (2, 6, 1), (None, 6, 1), (3, 0, 3), (4, 0, 4), (5, 0, 5), (None, 0, None), (8, 1, 8), (9, 1, 8)} <= rows
