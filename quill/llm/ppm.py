@@ -12,10 +12,12 @@ uniform choice among symbols no context has seen. A text's score is its log10
 probability.
 
 The counts are gathered from every training text: symbol runs of ``order + 1`` are
-counted in each task and summed by Spark; shorter contexts follow by summing. The
-trie goes to the tasks only if it has at most ``max_entries`` runs; otherwise the
-order is lowered until it has (runs of two symbols always fit), so what is
-broadcast has a fixed bound and every text is still scored.
+counted in each task and summed by Spark; shorter contexts follow by counting. The
+order is the same at every size. Levels of at most ``max_entries`` runs go to the
+tasks as a trie (runs of two symbols always fit). Longer levels stay written tables:
+the distinct runs of the texts are joined with them level by level, from the longest
+context down, those left over are looked up in the trie, and each text sums its
+runs. What is broadcast has a fixed bound, and the scores are the same either way.
 
 ``base_score`` is the unigram word model of the same training texts with add-one
 smoothing. Words that make up at least 1 / ``HEAVY`` of all tokens (at most that
@@ -32,10 +34,10 @@ import secrets
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quill.llm.tables import crc32_mod, map_arrow, stored, text_bytes
+from quill.llm.tables import crc32_mod, map_arrow, skew_join, stored, text_bytes
 from quill.llm.words import word_hashes
 
 ORDER = 5
@@ -138,6 +140,35 @@ def bucket(x: np.ndarray) -> np.ndarray:
     return np.where(x < 4, x, np.minimum(np.floor(2 * np.log2(np.maximum(x, 4))), BUCKETS - 1)).astype(np.int64)
 
 
+def escapes(esc: np.ndarray, stay: np.ndarray) -> np.ndarray:
+    """Escape probabilities by the cells of ``_left_out``."""
+    hits = ((esc + 0.5) / (esc + stay + 1)).reshape(BUCKETS, BUCKETS)
+    return np.clip(hits, 1e-6, 1 - 1e-6)
+
+
+def _left_out(n: np.ndarray, total: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each counted occurrence of runs seen ``n`` times is left out in turn and looked
+    up in what remains of its context, as cells of (total, kinds): how many escape,
+    being their symbol's only one, and how many stay."""
+    c, d = total - 1, kinds - (n == 1)
+    ok = c > 0
+    once, more = ok & (n == 1), ok & (n > 1)
+    cell = bucket(c) * BUCKETS + bucket(d)
+    size = BUCKETS * BUCKETS
+    return np.bincount(cell[once], minlength=size), np.bincount(cell[more], n[more], size)
+
+
+def _points(escape: np.ndarray, known: np.ndarray, hit: np.ndarray, n: np.ndarray, c_all: np.ndarray, c_kinds: np.ndarray) -> np.ndarray:
+    """What one level adds to the log10 probability of each run."""
+    out = np.zeros(len(known))
+    p = escape[bucket(c_all), bucket(c_kinds)]
+    # what an escape leaves goes to the seen symbols, each discounted alike
+    out[hit] = np.log10((1 - p[hit]) * (n[hit] - 0.5) / (c_all[hit] - 0.5 * c_kinds[hit]))
+    open_ = known & ~hit & (c_kinds > 0)
+    out[open_] = np.log10(p[open_])
+    return out
+
+
 class Trie:
     """Counts of every context order as sorted arrays."""
 
@@ -169,27 +200,20 @@ class Trie:
         self.escape = [self._escapes(k) for k in range(order + 1)]
 
     def _escapes(self, k: int) -> np.ndarray:
-        """Escape probability by (total, kinds) of a context, as buckets: each counted
-        occurrence is left out in turn and looked up in what remains of its context;
-        it escapes when it was its symbol's only one."""
-        code, n, ctxs, total, kinds, at, _ = self.levels[k]
-        hits = np.full((BUCKETS, BUCKETS), 0.5)
-        if len(code):
-            own = np.repeat(np.arange(len(ctxs)), kinds)
-            c, d = total[own] - 1, kinds[own] - (n == 1)
-            ok = c > 0
-            once, more = ok & (n == 1), ok & (n > 1)
-            cell = bucket(c) * BUCKETS + bucket(d)
-            esc = np.bincount(cell[once], minlength=BUCKETS * BUCKETS)
-            stay = np.bincount(cell[more], n[more], BUCKETS * BUCKETS)
-            hits = ((esc + 0.5) / (esc + stay + 1)).reshape(BUCKETS, BUCKETS)
-        return np.clip(hits, 1e-6, 1 - 1e-6)
-
-    def log10(self, code: np.ndarray) -> np.ndarray:
-        """log10 probability of the last symbol of each run given those before it."""
+        """Escape probability by (total, kinds) of a context, as buckets."""
+        code, n, ctxs, total, kinds, _, _ = self.levels[k]
+        if not len(code):
+            return np.full((BUCKETS, BUCKETS), 0.5)
+        own = np.repeat(np.arange(len(ctxs)), kinds)
+        return escapes(*_left_out(n, total[own], kinds[own]))
+
+    def log10(self, code: np.ndarray, gone_n: np.ndarray | None = None, gone_kinds: np.ndarray | None = None) -> np.ndarray:
+        """log10 probability of the last symbol of each run given those before it;
+        ``gone``: what a context longer than the trie's has excluded."""
         out = np.zeros(len(code))
         left = np.arange(len(code))
-        gone_n, gone_kinds = np.zeros(len(code)), np.zeros(len(code))       # excluded by the longer context
+        gone_n = np.zeros(len(code)) if gone_n is None else gone_n.copy()       # excluded by the longer context
+        gone_kinds = np.zeros(len(code)) if gone_kinds is None else gone_kinds.copy()
         for k in range(self.order, -1, -1):
             grams, n, ctxs, total, kinds, _, below = self.levels[k]
             if not len(left) or not len(grams):
@@ -200,12 +224,8 @@ class Trie:
             g = np.minimum(np.searchsorted(grams, run), len(grams) - 1)
             hit = known & (grams[g] == run)
             c_all, c_kinds = total[c] - gone_n[left], kinds[c] - gone_kinds[left]
-            p = self.escape[k][bucket(c_all), bucket(c_kinds)]
-            # what an escape leaves goes to the seen symbols, each discounted alike
-            out[left[hit]] += np.log10((1 - p[hit]) * (n[g[hit]] - 0.5) / (c_all[hit] - 0.5 * c_kinds[hit]))
+            out[left] += _points(self.escape[k], known, hit, n[g], c_all, c_kinds)
             esc = known & ~hit
-            open_ = esc & (c_kinds > 0)
-            out[left[open_]] += np.log10(p[open_])
             gone_n[left[esc]], gone_kinds[left[esc]] = below[c[esc]], kinds[c[esc]]
             left = left[~hit]
         if len(left):
@@ -220,14 +240,73 @@ class Trie:
         return np.bincount(own, self.log10(every)[at], len(texts))
 
 
-def trie_of(run_counts: DataFrame, order: int, max_entries: int) -> Trie:
-    """The trie of the longest contexts that fit ``max_entries``."""
-    table = run_counts.select("code", F.col("train").alias("n"))
-    while order > 1 and table.count() > max_entries:
-        table = table.groupBy(F.col("code").bitwiseAND(F.lit((1 << (SHIFT * order)) - 1)).alias("code")).agg(F.sum("n").alias("n"))
+def trie_of(run_counts: DataFrame, order: int, max_entries: int) -> tuple[Trie, list[DataFrame]]:
+    """The trie of the longest contexts that fit ``max_entries``, and the tables (code, n)
+    of the levels above it, the longest first, with the trie's own level at the end."""
+    level = run_counts.select("code", F.col("train").alias("n"))
+    tables = [level]
+    while order > 1 and level.count() > max_entries:
+        # as in the trie: a run counts once for every longer run that ends in it
+        level = stored(level.groupBy(_last("code", order).alias("code")).agg(F.count(F.lit(1)).alias("n")), "ppm-level")
+        tables.append(level)
         order -= 1
-    got = table.toArrow()           # at most max_entries rows of 16 bytes
-    return Trie(got.column("code").to_numpy(), got.column("n").to_numpy(), order)
+    got = level.toArrow()           # at most max_entries rows of 16 bytes
+    return Trie(got.column("code").to_numpy(), got.column("n").to_numpy(), order), tables
+
+
+def _last(code: str, symbols: int) -> Column:
+    return F.col(code).bitwiseAND(F.lit((1 << (SHIFT * symbols)) - 1))
+
+
+def _cells(levels: DataFrame) -> np.ndarray:
+    """Escape probabilities from rows (n, total, kinds) of all runs of a level."""
+    def run(batches):
+        esc, stay = np.zeros(BUCKETS * BUCKETS), np.zeros(BUCKETS * BUCKETS)
+        for b in batches:
+            more = _left_out(*(c.to_numpy() for c in b.columns))
+            esc, stay = esc + more[0], stay + more[1]
+        at = np.flatnonzero(esc + stay)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(esc[at].astype(np.int64)), pa.array(stay[at].astype(np.int64))], names=["cell", "esc", "stay"])
+    esc, stay = np.zeros(BUCKETS * BUCKETS), np.zeros(BUCKETS * BUCKETS)
+    for cell, e, s in map_arrow(levels, run, "cell bigint, esc bigint, stay bigint").groupBy("cell").agg(F.sum("esc"), F.sum("stay")).collect():
+        esc[cell], stay[cell] = e, s
+    return escapes(esc, stay)
+
+
+def log10_of(codes: DataFrame, trie, tables: list[DataFrame], order: int) -> DataFrame:
+    """(code, points): log10 probability of distinct runs ``codes``, over the written
+    levels (at most SYMBOLS runs share a context) and then the broadcast ``trie``."""
+    left = codes.select("code", F.lit(0.0).alias("points"), F.lit(0.0).alias("gone_n"), F.lit(0.0).alias("gone_kinds"))
+    done = []
+    for k, (level, low) in zip(range(order, -1, -1), zip(tables, tables[1:])):
+        below = level.withColumn("low", _last("code", k)).join(low.select(F.col("code").alias("low"), F.col("n").alias("below")), "low")
+        contexts = stored(below.groupBy(F.shiftright("code", SHIFT).alias("ctx")).agg(
+            F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"), F.sum("below").alias("below")), "ppm-contexts")
+        escape = _cells(level.withColumn("ctx", F.shiftright("code", SHIFT)).join(contexts, "ctx").select("n", "total", "kinds"))
+        asked = left.withColumn("run", _last("code", k + 1)).withColumn("ctx", F.shiftright("run", SHIFT))
+        asked = skew_join(asked, contexts, "ctx", "left")
+        asked = skew_join(asked, level.withColumnRenamed("code", "run"), "run", "left").select("code", "points", "gone_n", "gone_kinds", "n", "total", "kinds", "below")
+
+        def step(batches, escape=escape):
+            for b in batches:
+                code, points, gone_n, gone_kinds, n, total, kinds, below = (c.fill_null(0).to_numpy(zero_copy_only=False) for c in b.columns)
+                known, hit = kinds > 0, n > 0
+                points = points + _points(escape, known, hit, n, total - gone_n, kinds - gone_kinds)
+                yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(points), pa.array(np.where(known, below, gone_n).astype(np.float64)),
+                                                  pa.array(np.where(known, kinds, gone_kinds).astype(np.float64)), pa.array(hit)],
+                                                 names=["code", "points", "gone_n", "gone_kinds", "hit"])
+        both = stored(map_arrow(asked, step, "code bigint, points double, gone_n double, gone_kinds double, hit boolean"), "ppm-asked")
+        done.append(both.where("hit").select("code", "points"))
+        left = both.where("not hit").drop("hit")
+
+    def rest(batches):
+        for b in batches:
+            code, points, gone_n, gone_kinds = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(points + trie.value[0].log10(code, gone_n, gone_kinds))], names=["code", "points"])
+    out = map_arrow(left, rest, "code bigint, points double")
+    for d in done:
+        out = out.unionAll(d)
+    return out
 
 
 def score(df: DataFrame, train: str, key: str = "doc_id", text: str = "text", order: int = ORDER, max_entries: int = MAX_ENTRIES) -> DataFrame:
@@ -246,7 +325,9 @@ def score(df: DataFrame, train: str, key: str = "doc_id", text: str = "text", or
     heavy = words.where(F.col("total") > least).select("code", "train").toArrow()
     code = heavy.column("code").to_numpy().view(np.uint64)
     o = np.argsort(code)
-    shared = spark.sparkContext.broadcast((trie_of(table.where("kind = 1"), order, max_entries), code[o], heavy.column("train").to_numpy()[o]))
+    trie, levels = trie_of(table.where("kind = 1"), order, max_entries)
+    joined = len(levels) > 1
+    shared = spark.sparkContext.broadcast((trie, code[o], heavy.column("train").to_numpy()[o]))
 
     def run(batches):
         trie, code, n = shared.value
@@ -262,7 +343,7 @@ def score(df: DataFrame, train: str, key: str = "doc_id", text: str = "text", or
                     size += len(texts[hi])
                     hi += 1
                 part = texts[lo:hi]
-                points = trie.score([events(t) for t in part])
+                points = np.zeros(len(part)) if joined else trie.score([events(t) for t in part])
                 n_words, logs, known, rest, times = [], [], [], [], []
                 for t in part:
                     h = word_hashes(t)
@@ -287,8 +368,22 @@ def score(df: DataFrame, train: str, key: str = "doc_id", text: str = "text", or
                     [pa.array(ids.astype(np.int64)), keys.slice(lo, m), flags.slice(lo, m), pa.array(n_words, pa.int64()), pa.array(logs), pa.array(known, pa.int64()),
                      pa.array(points), pa.array(rest, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32()))],
                     names=["row", "key", "train", "n_words", "logs", "known", "score", "rest", "times"])
+                if joined:              # the text's runs, in rows of bounded size without a word count
+                    for i, t in zip(ids.tolist(), part, strict=True):
+                        w, tf = np.unique(runs([events(t)], order)[0], return_counts=True)
+                        for at in range(0, len(w), 50_000):
+                            s = slice(at, at + 50_000)
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array([i], pa.int64()), pa.nulls(1, keys.type), pa.nulls(1, flags.type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.float64()),
+                                 pa.nulls(1, pa.int64()), pa.nulls(1, pa.float64()), pa.array([w[s]], pa.list_(pa.int64())), pa.array([tf[s].astype(np.int32)], pa.list_(pa.int32()))],
+                                names=["row", "key", "train", "n_words", "logs", "known", "score", "rest", "times"])
                 lo = hi
     scored = stored(map_arrow(docs, run, f"row bigint, key {kind}, train boolean, n_words bigint, logs double, known bigint, score double, rest array<bigint>, times array<int>"), "ppm-scored")
+    if joined:
+        asked = scored.where("n_words is null").select("row", F.explode(F.arrays_zip("rest", "times")).alias("w")).select("row", F.col("w.rest").alias("code"), F.col("w.times").alias("times"))
+        points = stored(log10_of(asked.select("code").distinct(), shared, levels, order), "ppm-points")
+        points = skew_join(asked, points, "code").groupBy("row").agg(F.sum(F.col("times") * F.col("points")).alias("score"))
+        scored = scored.where("n_words is not null").drop("score").join(points, "row")
     rare = scored.select("row", F.explode(F.arrays_zip("rest", "times")).alias("w")).select("row", F.col("w.rest").alias("code"), F.col("w.times").alias("times"))
     c = F.coalesce("train", F.lit(0))
     light = words.where(F.col("total") <= least).select("code", "train")

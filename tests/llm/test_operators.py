@@ -243,6 +243,13 @@ def test_ppm_shorter_contexts_when_the_trie_is_too_large(odd):
     assert len(small) == len(ODD) and all(r.score < 0 for r in small)
 
 
+def test_ppm_scores_do_not_depend_on_the_size_of_the_trie(odd):
+    want = sorted((str(r.doc_id), r.n_tokens, r.n_known, r.base_score, r.score) for r in ppm.score_held_out(odd).collect())
+    got = sorted((str(r.doc_id), r.n_tokens, r.n_known, r.base_score, r.score) for r in ppm.score_held_out(odd, max_entries=200).collect())
+    for a, b in zip(want, got, strict=True):
+        assert a[:3] == b[:3] and b[3:] == pytest.approx(a[3:], rel=1e-9)
+
+
 def test_classifiers_on_odd_and_empty_tables(odd, none, spark):
     labels = spark.createDataFrame([(i, i % 2, 1 - i % 2) for i in range(1, 12)] + [(None, 1, 1), (6, None, None)], "doc_id bigint, quality int, toxic int")
     w = quality_cnn.fit(odd, labels, steps=5)
