@@ -10,11 +10,12 @@ these are aligned with each other in the same way, so a host with a third of all
 pages costs one small row per task.
 
 A wrapper tells template text (the same on all of three or more different pages)
-from content, and for hosts without article markup the element that holds most of
-the varying, unlinked text. A page's text is then what lies in its ``article`` or
-``main`` elements, or in that element, without menus, headers, footers, sidebars,
-notices, adverts, forms, comments, scripts and styles, which are known by tag, role
-and class.
+from content, and the region of a host's pages: the element that holds most of the
+varying, unlinked text. Article markup is a prior within it: the search for the
+region goes into elements that contain an ``article`` or ``main`` element and ends at
+one, and of a region that contains some only these count. A page's text is what lies
+there without template text and without menus, headers, footers, sidebars, notices,
+adverts, forms, comments, scripts and styles, which are known by tag, role and class.
 
 Character references are decoded, white space inside a block becomes one space, and
 blocks are joined by an empty line, in page order. Null, empty or text-less html
@@ -52,6 +53,7 @@ OUT_ROLES = set("navigation banner contentinfo complementary search form dialog
 OUT_WORDS = set("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion sidebar menu nav navbar navigation breadcrumb breadcrumbs "
                 "footer masthead cookie cookies consent gdpr notice notices popup modal comment comments disqus reply replies respond share sharing social "
                 "related recommended recommendations newsletter subscribe subscription signup login toolbar pagination pager teaser skip".split())
+MAIN = "@main"          # marks the key of an element that is main by role or itemprop
 WHOLE = {"html", "body", "main", "article"}
 MAX_DEPTH = 150         # deeper elements are taken as part of their ancestor, as browsers do
 MAX_ITEMS = 4000        # of a wrapper; pages that would make it larger leave it as it is
@@ -78,6 +80,8 @@ def _element(tag: str, attrs: str) -> Element:
         out = True
     main = tag in ("article", "main") or role == "main" or found.get("itemprop", "").lower() == "articlebody"
     cls = ".".join(sorted(found.get("class", "").split())[:3])
+    if main and tag not in ("article", "main"):
+        cls += MAIN
     return Element(tag, f"{tag}.{cls}" if cls else tag, out, main)
 
 
@@ -272,15 +276,23 @@ def decide(w: list, pages: int) -> dict:
             total += 0.0 if c[KEY] != "#" and out(c[KEY]) else v
         weights[path] = max(weights.get(path, 0.0), total)
         return total
+    def is_main(x: list) -> bool:
+        return x[KEY].partition(".")[0] in ("article", "main") or x[KEY].endswith(MAIN)
+
+    def holds_main(x: list) -> bool:
+        return not out(x[KEY]) and (is_main(x) or any(map(holds_main, x[KIDS])))
     weights: dict = {}
     weigh(w, "", True)
     region, here = "", w
     while True:
         elements = [c for c in here[KIDS] if c[KEY] != "#" and not out(c[KEY])]
+        elements = [c for c in elements if holds_main(c)] or elements
         best = max(elements, key=lambda c: weights[f"{region}/{c[KEY]}"], default=None)
         if best is None or weights[f"{region}/{best[KEY]}"] < 0.7 * weights[region] or best[REPEATED] or best[KEY].partition(".")[0] in ("p", "pre", "h1", "h2"):
             return {"region": region, "drop": drop}
         region, here = f"{region}/{best[KEY]}", best
+        if is_main(best):
+            return {"region": region, "drop": drop}
 
 
 def main_text(page: str, rule: dict | None = None) -> str:
@@ -292,13 +304,19 @@ def main_text(page: str, rule: dict | None = None) -> str:
 
     def has_main(e: Element) -> bool:
         return any(isinstance(c, Element) and not c.out and (c.main or has_main(c)) for c in e.kids)
-    marked = has_main(root)
-    if not marked and rule["region"]:       # a page without the host's element is judged by itself
-        here = [root]
-        for key in rule["region"][1:].split("/"):
-            here = [c for e in here for c in e.kids if isinstance(c, Element) and c.key == key]
-        if not here:
-            rule = decide(skeleton(root), 1)
+
+    def spots(e: Element, path: str, in_main: bool) -> list:
+        """Elements of the region, and whether each is main or lies in one that is."""
+        in_main = in_main or e.main
+        if path == rule["region"]:
+            return [(e, in_main)]
+        return [x for c in e.kids if isinstance(c, Element) and not c.out and f"{rule['region']}/".startswith(f"{path}/{c.key}/")
+                for x in spots(c, f"{path}/{c.key}", in_main)]
+    found = spots(root, "", False)
+    if not found:               # a page without the host's region is judged by itself
+        rule = decide(skeleton(root), 1)
+        found = spots(root, "", False)
+    marked = any(in_main or has_main(e) for e, in_main in found)
     blocks: list[str] = []
     line: list[str] = []
 
@@ -309,14 +327,15 @@ def main_text(page: str, rule: dict | None = None) -> str:
         line.clear()
 
     # explicit stack: pages may nest deeper than the recursion limit
-    todo: list = [(root, "", False, False)]
+    todo: list = [(root, "", False, False, False)]
     while todo:
-        e, path, inside, closing = todo.pop()
+        e, path, in_region, in_main, closing = todo.pop()
         if closing:
             flush()
             continue
+        inside = in_region and (in_main or not marked)
         if isinstance(e, str):
-            if inside and (marked or (path, _hash(clean(e))) not in template):
+            if inside and (path, _hash(clean(e))) not in template:
                 line.append(e)
             continue
         if e.out or e.tag == "header" and not (marked and inside):
@@ -326,12 +345,12 @@ def main_text(page: str, rule: dict | None = None) -> str:
         if e.tag == "br":
             line.append(" ")
             continue
-        inside = inside or (e.main if marked else path == rule["region"])
+        in_region, in_main = in_region or path == rule["region"], in_main or e.main
         if e.tag in BLOCK:
             flush()
-            todo.append((None, "", False, True))
+            todo.append((None, "", False, False, True))
         for c in reversed(e.kids):
-            todo.append((c, path if isinstance(c, str) else f"{path}/{c.key}", inside, False))
+            todo.append((c, path if isinstance(c, str) else f"{path}/{c.key}", in_region, in_main, False))
     flush()
     return "\n\n".join(blocks)
 

@@ -239,6 +239,23 @@ def test_wrapper_forms_and_main_text():
     assert html_wrapper.main_text("<main>" + "<div>" * 3000 + "deep" + "</div>" * 3000 + "<p>on</main>") == "deep\n\non"
 
 
+def host_rule(pages):
+    w = None
+    for p in pages:
+        new = (html_wrapper.skeleton(html_wrapper.parse(p)), [html_wrapper._hash(p)])
+        w = new if w is None else html_wrapper._merge(w, new)
+    return html_wrapper.decide(w[0], len(w[1]))
+
+
+def test_wrapper_drops_template_text_of_marked_pages():
+    pages = [f"<body><div>Site</div><article><h1>Title {i}</h1><div class=box>Read it in our app</div><p>{'text of it ' * 20}{i}</article>"
+             f"<section><article>Other {i}</article></section>" for i in range(4)]
+    rule = host_rule(pages)
+    assert html_wrapper.main_text(pages[1], rule) == "Title 1\n\n" + "text of it " * 20 + "1"
+    role = [p.replace("<article>", "<div role=main>", 1).replace("</article>", "</div>", 1) for p in pages]
+    assert html_wrapper.main_text(role[1], host_rule(role)) == "Title 1\n\n" + "text of it " * 20 + "1"
+
+
 def test_fertility_counts_by_brute_force():
     rng = random.Random(4)
     for _ in range(200):
