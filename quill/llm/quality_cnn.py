@@ -8,8 +8,9 @@ the same chunk. A document is the mean and the maximum of its chunks' features,
 and a logistic layer turns them into one probability.
 
 Training is plain back-propagation (Adam) on a bounded sample of labelled rows:
-``max_docs`` documents with the lowest hash of their id, up to ``max_chunks``
-chunks spread evenly over each. Scoring covers every byte of every document.
+``max_docs`` documents with the lowest hash of their id, or as many of these as have
+``max_bytes`` together. Training and scoring cover every byte of a document; both go
+over its chunks in slabs, so a text of any length needs bounded memory.
 
 Null and empty texts are one chunk of padding and get a score like any other.
 Without labelled rows every score is 0.5; with one class only, the score follows
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quill.llm.tables import crc32_mod, map_arrow, text_bytes
+from quill.llm.tables import crc32_mod, map_arrow, stored, text_bytes
 
 CHUNK, STRIDE, STEP, DIM, FILTERS = 512, 448, 4, 8, 24
 PAD = 256
@@ -67,11 +68,29 @@ def respond(x: np.ndarray, w: dict) -> tuple[np.ndarray, np.ndarray]:
     return np.maximum(top, 0), at
 
 
-def _doc_features(f: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
-    """Mean and maximum of the rows of each owner (owners ascend, none is missing)."""
-    count = np.bincount(owner, minlength=n)
-    first = np.cumsum(count) - count
-    return np.add.reduceat(f, first) / count[:, None], np.maximum.reduceat(f, first), count
+def slabs(sizes: list[int], part, slab: int = 512):
+    """``part(i, lo, hi)`` of all chunks of documents with so many chunks each, in
+    order, as (chunks, the document each belongs to)."""
+    held, owners, size = [], [], 0
+    for i, n in enumerate(sizes):
+        for lo in range(0, n, slab):
+            hi = min(n, lo + slab)
+            held.append(part(i, lo, hi))
+            owners.append(np.full(hi - lo, i))
+            size += hi - lo
+            if size >= slab:
+                yield np.concatenate(held), np.concatenate(owners)
+                held, owners, size = [], [], 0
+    if size:
+        yield np.concatenate(held), np.concatenate(owners)
+
+
+def _pool(f: np.ndarray, owner: np.ndarray, total: np.ndarray, most: np.ndarray, count: np.ndarray):
+    """Adds a slab's features (owners ascend) to the sums, maxima and counts of its texts."""
+    who, first = np.unique(owner, return_index=True)
+    total[who] += np.add.reduceat(f, first)
+    most[who] = np.maximum(most[who], np.maximum.reduceat(f, first))
+    count[who] += np.diff(np.append(first, len(owner)))
 
 
 def train(docs: list[tuple[bytes, int]], steps: int = 400, batch: int = 32, rate: float = 4e-3, seed: int = 7) -> dict:
@@ -85,7 +104,7 @@ def train(docs: list[tuple[bytes, int]], steps: int = 400, batch: int = 32, rate
     if not docs or ones in (0, len(docs)):
         return w
     chunks = [np.frombuffer(t, np.int16).reshape(-1, CHUNK) for t, _ in docs]
-    again = [repeats(c) for c in chunks]
+    again = [np.concatenate([repeats(c[lo:lo + 512]) for lo in range(0, len(c), 512)]) for c in chunks]
     y_all = np.array([y for _, y in docs], np.float32)
     m = {k: np.zeros_like(v) for k, v in w.items()}
     v2 = {k: np.zeros_like(v) for k, v in w.items()}
@@ -94,29 +113,38 @@ def train(docs: list[tuple[bytes, int]], steps: int = 400, batch: int = 32, rate
         while len(order) < batch:
             order += rng.permutation(len(docs)).tolist()
         pick, order = order[:batch], order[batch:]
-        x = np.concatenate([chunks[i] for i in pick])
-        owner = np.repeat(np.arange(len(pick)), [len(chunks[i]) for i in pick])
-        top, at = respond(x, w)
-        f = np.column_stack([top, np.concatenate([again[i] for i in pick])])
-        mean, most, count = _doc_features(f, owner, len(pick))
-        d = np.column_stack([mean, most])
+        k = FILTERS + 1
+        sizes = [len(chunks[i]) for i in pick]
+
+        def part(i, lo, hi, pick=pick):
+            return chunks[pick[i]][lo:hi]
+        share = np.concatenate([again[i] for i in pick])
+        total, most, count = np.zeros((batch, k), np.float32), np.full((batch, k), -np.inf, np.float32), np.zeros(batch)
+        seen, lo = [], 0            # of each chunk only its responses and their places are kept
+        for x, owner in slabs(sizes, part):
+            top, at = respond(x, w)
+            f = np.column_stack([top, share[lo:lo + len(x)]])
+            _pool(f, owner, total, most, count)
+            seen.append((f, at.astype(np.int16)))
+            lo += len(x)
+        d = np.column_stack([total / count[:, None], most])
         p = 1 / (1 + np.exp(-(d @ w["out"] + w["b"][0])))
         e = ((p - y_all[pick]) / len(pick)).astype(np.float32)
         g = {"out": d.T @ e + 1e-4 * w["out"], "b": np.array([e.sum()], np.float32)}
-        k = FILTERS + 1
-        gf = e[owner, None] * w["out"][:k] / count[owner, None]
-        gf = gf + e[owner, None] * w["out"][k:] * (f == most[owner])
-        gf = (gf[:, :FILTERS] * (top > 0)).astype(np.float32)
-        g["fb"] = gf.sum(axis=0)
-        blocks = w["emb"][x].reshape(len(x), CHUNK // STEP, STEP * DIM)
-        rows = np.arange(len(x))[:, None]
-        left, right = blocks[rows, at], blocks[rows, at + 1]     # chunk x filter x (STEP * DIM)
-        g["filt"] = np.concatenate([np.einsum("cf,cfd->df", gf, left), np.einsum("cf,cfd->df", gf, right)], axis=1)
-        g["emb"] = np.zeros_like(w["emb"])
-        bytes_ = x.reshape(len(x), CHUNK // STEP, STEP)
-        for where, half in ((at, w["filt"][:, :FILTERS]), (at + 1, w["filt"][:, FILTERS:])):
-            back = gf[:, :, None] * half.T[None]                 # chunk x filter x (STEP * DIM)
-            np.add.at(g["emb"], bytes_[rows, where].reshape(-1), back.reshape(-1, DIM))
+        g |= {name: np.zeros_like(w[name]) for name in ("fb", "filt", "emb")}
+        for (x, owner), (f, at) in zip(slabs(sizes, part), seen, strict=True):
+            gf = e[owner, None] * w["out"][:k] / count[owner, None]
+            gf = gf + e[owner, None] * w["out"][k:] * (f == most[owner])
+            gf = (gf[:, :FILTERS] * (f[:, :FILTERS] > 0)).astype(np.float32)
+            g["fb"] += gf.sum(axis=0)
+            blocks = w["emb"][x].reshape(len(x), CHUNK // STEP, STEP * DIM)
+            rows = np.arange(len(x))[:, None]
+            left, right = blocks[rows, at], blocks[rows, at + 1]     # chunk x filter x (STEP * DIM)
+            g["filt"] += np.concatenate([np.einsum("cf,cfd->df", gf, left), np.einsum("cf,cfd->df", gf, right)], axis=1)
+            bytes_ = x.reshape(len(x), CHUNK // STEP, STEP)
+            for where, half in ((at, w["filt"][:, :FILTERS]), (at + 1, w["filt"][:, FILTERS:])):
+                back = gf[:, :, None] * half.T[None]                 # chunk x filter x (STEP * DIM)
+                np.add.at(g["emb"], bytes_[rows, where].reshape(-1), back.reshape(-1, DIM))
         for name, grad in g.items():
             m[name] = 0.9 * m[name] + 0.1 * grad
             v2[name] = 0.999 * v2[name] + 0.001 * grad * grad
@@ -132,52 +160,36 @@ def probabilities(texts: list[bytes], w: dict, slab: int = 512) -> np.ndarray:
         return np.empty(0)
     k = FILTERS + 1
     total, most, count = np.zeros((len(texts), k)), np.full((len(texts), k), -np.inf), np.zeros(len(texts))
-    held, owners, size = [], [], 0
+    starts = [chunk_starts(len(t)) for t in texts]
 
-    def flush():
-        x, owner = np.concatenate(held), np.concatenate(owners)
-        f = np.column_stack([respond(x, w)[0], repeats(x)])
-        who, first = np.unique(owner, return_index=True)
-        total[who] += np.add.reduceat(f, first)
-        most[who] = np.maximum(most[who], np.maximum.reduceat(f, first))
-        count[who] += np.diff(np.append(first, len(owner)))
-
-    for i, t in enumerate(texts):
-        at = chunk_starts(len(t))
-        for lo in range(0, len(at), slab):
-            part = at[lo:lo + slab]
-            held.append(chunks_of(t[part[0]:part[-1] + CHUNK], part - part[0]))
-            owners.append(np.full(len(part), i))
-            size += len(part)
-            if size >= slab:
-                flush()
-                held, owners, size = [], [], 0
-    if size:
-        flush()
+    def part(i, lo, hi):
+        at = starts[i][lo:hi]
+        return chunks_of(texts[i][at[0]:at[-1] + CHUNK], at - at[0])
+    for x, owner in slabs(list(map(len, starts)), part, slab):
+        _pool(np.column_stack([respond(x, w)[0], repeats(x)]), owner, total, most, count)
     d = np.column_stack([total / count[:, None], most])
     return 1 / (1 + np.exp(-np.clip(d @ w["out"] + w["b"][0], -50, 50)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", key: str = "doc_id", text: str = "text", folds: int = 4,
-        held_out: int = 2, max_docs: int = 3000, max_chunks: int = 6, **kw) -> dict:
+        held_out: int = 2, max_docs: int = 3000, max_bytes: int = 1 << 26, **kw) -> dict:
     """Weights learned from the labelled rows outside the held-out fold."""
     rows = (labels.where(F.col(target).isNotNull() & F.col(key).isNotNull() & (crc32_mod(key, folds) != held_out))
             .select(F.col(key).alias("__key"), (F.col(target) > 0).cast("int").alias("__label"))
             .orderBy(F.xxhash64("__key"), "__key", "__label").limit(max_docs).dropDuplicates(["__key"]))
     few = docs.select(key, text_bytes(text).alias("text")).join(F.broadcast(rows), F.col(key) == F.col("__key")).select("__key", "text", "__label")
-
-    def cut(batches):
-        for b in batches:
-            out = []
-            for t in b.column(1).to_pylist():
-                at = chunk_starts(len(t))
-                at = at[np.unique(np.linspace(0, len(at) - 1, min(len(at), max_chunks)).astype(int))]
-                out.append(chunks_of(t, at).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary()), b.column(2)], names=["__key", "chunks", "__label"])
-    # at most max_docs rows of max_chunks chunks reach the driver
-    sample = map_arrow(few, cut, f"__key {dict(rows.dtypes)['__key']}, chunks binary, __label int").dropDuplicates(["__key"]).collect()
+    few = stored(few, "cnn-sample")
+    # whole rows until they have max_bytes together, in the order of the sample; what is
+    # asked first are lengths, at most max_docs of them
+    sizes = few.groupBy("__key").agg(F.max(F.octet_length("text")).alias("n")).orderBy(F.xxhash64("__key"), "__key").collect()
+    before = np.cumsum([0, *(r.n for r in sizes)])[:-1]
+    fits = int(np.searchsorted(before, max_bytes))
+    if fits < len(sizes):
+        last = sizes[fits]["__key"]
+        few = few.where(F.xxhash64("__key") < F.xxhash64(F.lit(last).cast(dict(rows.dtypes)["__key"])))
+    sample = few.dropDuplicates(["__key"]).collect()
     sample = sorted(sample, key=lambda r: (str(r[0]), r[2]))
-    return train([(bytes(r[1]), int(r[2])) for r in sample], **kw)
+    return train([(chunks_of(r[1], chunk_starts(len(r[1]))).tobytes(), int(r[2])) for r in sample], **kw)
 
 
 def score(docs: DataFrame, weights: dict, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -350,3 +350,32 @@ def test_held_out_accuracy(spark):
     assert np.mean([r.predicted == labels[r.doc_id].quality for r in rows]) >= 0.93
     rows = [r for r in queries.op1_toxic_segments(spark, "/root/testdata/sf0.01").where("held_out").collect() if r.doc_id in labels]
     assert np.mean([r.predicted == labels[r.doc_id].toxic for r in rows]) >= 0.93
+
+
+def test_classifier_learns_from_all_chunks_of_long_documents(spark):
+    """Held-out accuracy on documents of more than six chunks whose mark lies in one chunk."""
+    rng = np.random.default_rng(6)
+    plain = [f"word{i}" for i in range(50)]
+    rows, labels = [], []
+    for i in range(300):
+        w = rng.choice(plain, 1500).tolist()            # some 20 chunks
+        if i % 2 == 0:
+            at = int(rng.integers(0, 1450))
+            w[at:at + 30] = ["##|##|##"] * 30
+        rows.append((i, " ".join(w), "en"))
+        labels.append((i, i % 2))
+    df = spark.createDataFrame(rows, SCHEMA)
+    w = quality_cnn.fit(df, spark.createDataFrame(labels, "doc_id bigint, quality int"), steps=150)
+    out = [r for r in quality_cnn.score(df, w).collect() if in_fold(r.doc_id, 4, 2)]
+    assert len(out) > 40 and np.mean([(r.score >= 0.5) == (r.doc_id % 2 == 1) for r in out]) >= 0.95
+
+
+def test_classifier_samples_whole_rows(spark, monkeypatch):
+    got = []
+    monkeypatch.setattr(quality_cnn, "train", lambda docs, **kw: got.append([len(t) // 2 // quality_cnn.CHUNK for t, _ in docs]))
+    df = spark.createDataFrame([(i, "ab " * 3000, "en") for i in range(40)], SCHEMA)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    quality_cnn.fit(df, labels)
+    quality_cnn.fit(df, labels, max_bytes=40_000)
+    n = len(quality_cnn.chunk_starts(9000))
+    assert len(got[0]) > 20 and set(got[0]) == {n} and got[1] == [n] * 5
