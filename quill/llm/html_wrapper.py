@@ -7,7 +7,10 @@ tags match; neighbouring items of the same kind become a repeated group; a stret
 found on one side only becomes optional; differing texts at one place turn template
 text into a slot. Tasks infer wrappers of their own pages and send one per host;
 these are aligned with each other in the same way, so a host with a third of all
-pages costs one small row per task.
+pages costs one small row per task. Wrappers that grow too large are generalised and
+still aligned: optional siblings of one tag become one group, then all siblings of
+one tag, whatever their class, long rows of them first, and at last what lies deepest
+becomes a slot.
 
 A wrapper tells template text (the same on all of three or more different pages)
 from content, and the region of a host's pages: the element that holds most of the
@@ -30,7 +33,9 @@ import hashlib
 import html
 import json
 import re
+from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,7 +61,8 @@ OUT_WORDS = set("ad ads advert adverts advertisement advertising sponsor sponsor
 MAIN = "@main"          # marks the key of an element that is main by role or itemprop
 WHOLE = {"html", "body", "main", "article"}
 MAX_DEPTH = 150         # deeper elements are taken as part of their ancestor, as browsers do
-MAX_ITEMS = 4000        # of a wrapper; pages that would make it larger leave it as it is
+MAX_ITEMS = 4000        # of two wrappers that are aligned; larger ones are generalised first
+ANY = ".*"              # in a key: elements of this tag, whatever their class
 
 
 class Element:
@@ -244,6 +250,53 @@ def size(w: list) -> int:
     return 1 + sum(map(size, w[KIDS]))
 
 
+def _gathered(w: list, many: int | None) -> list:
+    """Siblings of one tag as one optional, repeated group: the optional ones, and all
+    where a tag has ``many`` siblings."""
+    kids: list = []
+    at: dict = {}
+    count = Counter(x[KEY].partition(".")[0] for x in w[KIDS])
+    for x in w[KIDS]:
+        x = _gathered(x, many)
+        tag = x[KEY].partition(".")[0]
+        if not (x[OPTIONAL] or many and count[tag] >= many):
+            kids.append(x)
+        elif tag not in at:
+            at[tag] = len(kids)
+            kids.append(x)
+        else:
+            old = kids[at[tag]]
+            new = align(old, x)
+            new[KEY] = x[KEY] if x[KEY] == old[KEY] else tag + ANY
+            new[REPEATED] = new[OPTIONAL] = 1
+            kids[at[tag]] = _gathered(new, many)
+    return [*w[:KIDS], kids, *w[TEXT:]]
+
+
+def _cut(w: list, depth: int) -> list:
+    """A wrapper with one optional slot in place of what lies below a depth."""
+    def sums(x):
+        return np.array(x[CHARS:LINKED + 1]) + sum(map(sums, x[KIDS]))
+    if not w[KIDS]:
+        return w
+    if depth == 0:
+        chars, linked = sums(w).tolist()
+        return [*w[:KIDS], [["#", 1, 1, [], "", chars, linked]], *w[TEXT:]]
+    return [*w[:KIDS], [_cut(x, depth - 1) for x in w[KIDS]], *w[TEXT:]]
+
+
+def generalised(w: list, most: int) -> list:
+    """A wrapper of at most ``most`` items that covers what ``w`` covers."""
+    for many in (None, 65, 9, 2):       # the longest rows of siblings first
+        if size(w) > most:
+            w = _gathered(w, many)
+    depth = 24
+    while size(w) > most and depth >= 0:
+        w = _cut(w, depth)
+        depth -= 1
+    return w
+
+
 def expression(w: list) -> str:
     """The wrapper as a readable regular expression."""
     if w[KEY] == "#":
@@ -285,7 +338,7 @@ def decide(w: list, pages: int) -> dict:
     weigh(w, "", True)
     region, here = "", w
     while True:
-        elements = [c for c in here[KIDS] if c[KEY] != "#" and not out(c[KEY])]
+        elements = [c for c in here[KIDS] if c[KEY] != "#" and not out(c[KEY]) and not c[KEY].endswith(ANY)]
         elements = [c for c in elements if holds_main(c)] or elements
         best = max(elements, key=lambda c: weights[f"{region}/{c[KEY]}"], default=None)
         if best is None or weights[f"{region}/{best[KEY]}"] < 0.7 * weights[region] or best[REPEATED] or best[KEY].partition(".")[0] in ("p", "pre", "h1", "h2"):
@@ -362,7 +415,9 @@ def _host(url: str) -> Column:
 def _merge(old, new):
     """Two (wrapper, hashes of up to three different pages) of one host."""
     (a, x), (b, y) = old, new
-    return (align(a, b) if size(a) + size(b) <= MAX_ITEMS else a), sorted({*x, *y})[:3]
+    if size(a) + size(b) > MAX_ITEMS:
+        a, b = generalised(a, MAX_ITEMS // 2), generalised(b, MAX_ITEMS // 2)
+    return align(a, b), sorted({*x, *y})[:3]
 
 
 def wrappers(df: DataFrame, url: str = "url", page: str = "html") -> DataFrame:

@@ -256,6 +256,23 @@ def test_wrapper_drops_template_text_of_marked_pages():
     assert html_wrapper.main_text(role[1], host_rule(role)) == "Title 1\n\n" + "text of it " * 20 + "1"
 
 
+def test_wrapper_aligns_pages_however_large():
+    def page(i, rows):
+        table = "".join(f"<tr class=r{i}x{k}><td>=</td></tr>" for k in range(rows))
+        return f"<body><div>Site name</div><div class=box><b>own {i}</b><p>{'some words ' * 2000}{i}</p><table>{table}</table></div><p>end</p></body>"
+    pages = [page(0, 3000), page(1, 2), page(2, 2500), page(3, 1)]
+    for order in (pages, pages[::-1], pages[1:] + pages[:1]):
+        rule = host_rule(order)
+        for i, p in enumerate(pages):
+            got = html_wrapper.main_text(p, rule)
+            assert f"own {i}" in got and f"some words {i}" in got and "Site name" not in got
+            assert got.count("=") == p.count("<td>")
+    w = html_wrapper.skeleton(html_wrapper.parse("".join(f"<x{i}><y{i}>" for i in range(3000))))
+    for p in pages:
+        w = html_wrapper._merge((w, []), (html_wrapper.skeleton(html_wrapper.parse(p)), []))[0]
+        assert html_wrapper.size(w) <= html_wrapper.MAX_ITEMS
+
+
 def test_fertility_counts_by_brute_force():
     rng = random.Random(4)
     for _ in range(200):
