@@ -82,27 +82,34 @@ def plan(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]
         return True
 
     def complement(first: int, gap: int) -> bool:
-        if n[gap] and consume((first, gap)):
-            return True
+        n[first] -= 1           # the piece being placed: what is found can then be consumed
+        rest = fill(gap)
+        n[first] += 1
+        return rest is not None and consume((first, *rest))
+
+    def fill(gap: int) -> tuple[int, ...] | None:
+        if n[gap]:
+            return (gap,)
         a = np.arange((gap + 1) // 2, gap)
         have = np.where(a == gap - a, n[a] // 2, np.minimum(n[a], n[gap - a]))
-        for i in np.argsort(-have, kind="stable")[:4]:
-            if have[i] and consume((first, int(a[i]), int(gap - a[i]))):
-                return True
+        if have.any():
+            i = have.argmax()
+            return int(a[i]), int(gap - a[i])
         small = np.flatnonzero(n[:gap - 1])
         if not len(small):
-            return False
+            return None
         x, y = np.meshgrid(small, small, indexing="ij")
         z = gap - x - y
         ok = (x >= y) & (y >= z) & (z > 0)
         x, y, z = x[ok], y[ok], z[ok]
         have = np.minimum(np.minimum(n[x], n[y]), n[z])
-        have = np.where((x == y) | (y == z), have // 2, have)
+        have = np.where((x == y), np.minimum(n[x] // 2, n[z]), have)
+        have = np.where((y == z), np.minimum(n[y] // 2, n[x]), have)
         have = np.where((x == y) & (y == z), n[x] // 3, have)
-        for i in np.argsort(-have, kind="stable")[:4]:
-            if have[i] and consume((first, int(x[i]), int(y[i]), int(z[i]))):
-                return True
-        return False
+        if not have.any():
+            return None
+        i = have.argmax()
+        return int(x[i]), int(y[i]), int(z[i])
 
     if n[capacity]:
         consume((capacity,))

@@ -113,6 +113,13 @@ def test_packing_plan_uses_each_piece_once_and_is_tight():
             assert sum(t for _, t in layout) <= 1.1 * least + 2
 
 
+def test_packing_finds_a_triple_with_a_single_third_piece():
+    counts = np.zeros(101, np.int64)
+    counts[[50, 27, 10]] = 1
+    counts[20] = 2
+    assert ((50, 20, 20, 10), 1) in packing.plan(counts, 100)
+
+
 def test_packing_finds_exact_triples():
     counts = np.zeros(101, int)
     counts[[52, 20, 16, 12]] = 10
