@@ -4,10 +4,11 @@ Seeded randomness is ``md5('<seed>:<id>')``: the same bits in Spark and in
 DuckDB, stable across partition counts and retries. We promise a fixed,
 well-mixed order, not any particular RNG sequence.
 
-Prefix sums never use an unpartitioned window. Rows are cut into buckets by
-value ranges of the order key (boundaries from ``approxQuantile`` are
-computed once and folded into the plan as literals, so a retried task sees
-the same buckets); per-bucket totals are tiny and get a small window, their
+Prefix sums never use an unpartitioned window. The input is evaluated once, into
+a table in the shared checkpoint folder. A bounded sample of its order keys gives
+range bounds over the whole order tuple (so many rows with one first key are
+still split); each row finds its bucket by binary search in that sorted array,
+whose size is a parameter. Per-bucket totals are tiny and get a small window, their
 running bases are broadcast back (size bound = number of buckets), and the
 local running sum is a window partitioned by bucket.
 """
@@ -19,8 +20,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quill.session import written
 
 SAMPLE_PER_BUCKET = 20
+ROWS_PER_BUCKET = 4096     # default buckets hold no fewer rows
 
 
 def seeded_key(seed, *cols) -> Column:
@@ -41,29 +44,30 @@ def seeded_int(seed, n, *cols) -> Column:
     return F.floor(seeded_uniform(seed, *cols) * n_col).cast("long")
 
 
-def _bucket_column(df: DataFrame, key: str, n_buckets: int) -> Column:
-    """Range bucket of a numeric or string order key; NULL keys come first, as they
-    do in an ascending sort, in a bucket of their own."""
-    dtype = dict(df.dtypes)[key]
-    if dtype == "string":
-        # a sample of bounded size, fixed by the keys themselves; Spark and Python
-        # both order strings by code point
-        sample = (df.select(F.col(key).alias("__k")).where(F.col(key).isNotNull())
-                  .orderBy(F.xxhash64("__k")).limit(SAMPLE_PER_BUCKET * n_buckets).collect())
-        keys = sorted(r[0] for r in sample)
-        bounds = sorted({keys[i * len(keys) // n_buckets] for i in range(1, n_buckets)}) if keys else []
-        k = F.col(key)
-    else:
-        bounds = df.select(F.col(key).cast("double").alias("__k")).approxQuantile(
-            "__k", [i / n_buckets for i in range(1, n_buckets)], 0.001)
-        bounds = [float(b) for b in sorted(set(b for b in bounds if b is not None))]
-        k = F.col(key).cast("double")
-    # bucket = number of boundaries ≤ key, as plain comparisons: no lambda, so
-    # self-joins of this plan (bases joined back to rows) re-alias cleanly
-    bucket = F.lit(0)
-    for b in bounds:
-        bucket = bucket + (k >= F.lit(b)).cast("int")
-    return F.when(F.col(key).isNull(), F.lit(-1)).otherwise(bucket).cast("int")
+def _range_bounds(rows: DataFrame, order: Sequence[str], n_buckets: int, n_rows: int) -> str:
+    """JSON array of at most ``n_buckets - 1`` ascending order tuples that cut ``rows``
+    into even ranges. The sample (about ``SAMPLE_PER_BUCKET`` tuples a bucket) is
+    picked by the tuples' own hashes, so it does not depend on partitioning."""
+    keys = rows.select(F.struct(*(F.col(c).alias(f"k{i}") for i, c in enumerate(order))).alias("k"))
+    want = SAMPLE_PER_BUCKET * n_buckets
+    if n_rows > want:
+        keys = keys.where(F.pmod(F.xxhash64("k"), F.lit(1 << 40)) <= (1 << 40) * want // n_rows)
+    picked = keys.distinct().agg(F.array_sort(F.collect_list("k")).alias("a"))
+    cuts = F.expr(f"array_distinct(transform(sequence(1, {n_buckets - 1}), "
+                  f"i -> element_at(a, cast(i * size(a) div {n_buckets} as int) + 1)))")
+    return picked.select(F.when(F.size("a") > 0, F.to_json(cuts))).collect()[0][0] or "[]"
+
+
+def _bucket_column(rows: DataFrame, order: Sequence[str], bounds: str, n_buckets: int) -> Column:
+    """Number of bounds that are not above the row's order tuple: a binary search,
+    one halving of the step at a time. NULLs come first, as in an ascending sort."""
+    kinds = dict(rows.dtypes)
+    spec = "array<struct<" + ",".join(f"k{i}:{kinds[c]}" for i, c in enumerate(order)) + ">>"
+    table = F.from_json(F.lit(bounds), spec)    # folded into one literal when the plan is made
+    key = F.struct(*(F.col(c).alias(f"k{i}") for i, c in enumerate(order)))
+    steps = F.array(*(F.lit(1 << s) for s in reversed(range(n_buckets.bit_length()))))
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= F.size(table)) & (F.get(table, at + step - 1) <= key), at + step).otherwise(at))
 
 
 def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str,
@@ -72,30 +76,34 @@ def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str,
                agg: str = "sum", stop_above: float | None = None) -> DataFrame:
     """Running sum of ``value`` in ``order`` (a total order), optionally per group.
 
-    ``order[0]`` must be numeric or a string. Work is split into
-    ``n_buckets`` range buckets; only per-bucket totals pass through a small
+    ``order`` may hold columns of any sortable type. Work is split into at most
+    ``n_buckets`` range buckets (by default four a shuffle partition, fewer on small
+    inputs); only per-bucket totals pass through a small
     window and a broadcast. ``stop_above`` (non-negative values only) drops
     rows of buckets whose running base already exceeds it — for budgets that
-    keep a prefix of a huge input.
+    keep a prefix of a huge input. The input is evaluated and written once, here.
     """
     order = list(order)
     partition_by = list(partition_by)
     fn = {"sum": F.sum, "min": F.min, "max": F.max}[agg]
     combine = {"sum": lambda a, b: a + b, "min": F.least, "max": F.greatest}[agg]
     v = F.col(value) if isinstance(value, str) else value
+    rows = written(df.withColumn("__v", v), "prefix")
+    n_rows = rows().count()
     if n_buckets is None:
-        n_buckets = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4)
+        n_buckets = min(max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4), n_rows // ROWS_PER_BUCKET + 1)
     b = "__bucket"
-    staged = df.withColumn("__v", v)
-    staged = staged.withColumn(b, _bucket_column(df, order[0], n_buckets))
-    totals = (staged.groupBy(*partition_by, b).agg(fn("__v").alias("__t")))
+    if n_buckets > 1:
+        bounds = _range_bounds(rows(), order, n_buckets, n_rows)
+    staged = [r.withColumn(b, _bucket_column(r, order, bounds, n_buckets) if n_buckets > 1 else F.lit(0)) for r in (rows(), rows())]
+    totals = staged[0].groupBy(*partition_by, b).agg(fn("__v").alias("__t"))
     wt = Window.partitionBy(*partition_by).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     base0 = F.coalesce(fn("__t").over(wt), F.lit(0)) if agg == "sum" else fn("__t").over(wt)
     bases = totals.select(*partition_by, b, base0.alias("__base"))
     # bases has at most n_buckets rows per group: size bounded by a parameter
     if not partition_by:
         bases = F.broadcast(bases)
-    joined = staged.join(bases, on=[*partition_by, b], how="left")
+    joined = staged[1].join(bases, on=[*partition_by, b], how="left")
     if stop_above is not None and agg == "sum":
         # a running sum never falls below its bucket's base (non-negative
         # values): buckets already past the limit skip the local sort entirely

@@ -10,6 +10,7 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -101,3 +102,21 @@ def reliable_checkpoint(df):
     cp = df.checkpoint(eager=True)
     df.unpersist()
     return cp
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder, deleted at the application's end."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop)
+    fs.deleteOnExit(hadoop)
+    return path
+
+
+def written(df, name: str):
+    """``df`` written once to a shared table. Returns a function that reads it: two
+    reads are two relations, so joining them needs no re-aliasing of attributes."""
+    spark, schema, path = df.sparkSession, df.schema, shared_folder(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return lambda: spark.read.schema(schema).parquet(path)
