@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from quill.session import written
 
 SAMPLE_PER_BUCKET = 20
-ROWS_PER_BUCKET = 4096     # default buckets hold no fewer rows
+ROWS_PER_BUCKET = 512      # default buckets hold no fewer rows
 
 
 def seeded_key(seed, *cols) -> Column:
