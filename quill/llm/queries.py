@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quill.llm import bpe_codec, embedding_dedup, fertility, html_wrapper, ngram_join, packing, ppm, quality_cnn, toxicity, warc_zip
+from quill.llm import bpe_codec, embedding_dedup, fertility, html_wrapper, merkle, ngram_join, packing, ppm, quality_cnn, token_alignment, toxicity, warc_zip, wu_manber
 from quill.llm.tables import crc32_mod, named
 
 
@@ -66,6 +66,19 @@ def op10_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_tokens", "chars_per_token", "byte_share", "token_entropy")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxic_segments, op2_ngram_jaccard_join, op3_embedding_dedup, op4_html_wrapper, op5_ppm, op6_bpe_codec, op7_best_fit_packing, op8_quality_cnn, op9_warc_zip, op10_tokeniser_fertility)}
+def op11_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wu_manber.report(named(spark, sf_dir, "documents"), named(spark, sf_dir, "benchmark"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment(named(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(named(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxic_segments, op2_ngram_jaccard_join, op3_embedding_dedup, op4_html_wrapper, op5_ppm, op6_bpe_codec, op7_best_fit_packing, op8_quality_cnn, op9_warc_zip, op10_tokeniser_fertility,
+                                  op11_wu_manber, op12_token_alignment, op13_merkle_manifest)}
 QUERIES["pipeline"] = corpus_pipeline.run
 ORACLE: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}

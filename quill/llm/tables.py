@@ -9,7 +9,11 @@ application ends.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,3 +72,17 @@ def skew_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner") ->
         return F.bitwise_not(c) if dict(df.dtypes)[on] == "bigint" else F.concat(F.lit("="), c.cast("string"))
     r = right.withColumn("__key", derived(right)).drop(on)
     return left.withColumn("__key", derived(left)).join(r, "__key", how).drop("__key")
+
+
+def slabs(batch: pa.RecordBatch, column: int, budget: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of a batch whose ``column`` holds at most ``budget`` bytes (of a
+    list: items) together; a longer row comes alone. So memory does not follow the batch."""
+    values = batch.column(column)
+    size = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
+    ends = np.cumsum(pc.fill_null(size, 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(ends):
+        before = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + budget, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
