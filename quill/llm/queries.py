@@ -1,8 +1,8 @@
 """Thin queries over the given tables, one for each operator, and the pipeline.
 
 Each query applies its operator to its whole table and derives the columns the
-contract names. None has an oracle in SQL (tokenisers, models, archives and
-similarity components are beyond it); tests/llm compares each with a brute-force
+contract names. ``oracles.SQL`` has DuckDB SQL for those that SQL can express;
+the others (tokenisers, models, wrappers) are compared in tests/llm with a brute-force
 version, a round trip or held-out accuracy.
 """
 
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quill.llm import bpe_codec, embedding_dedup, fertility, html_wrapper, merkle, ngram_join, packing, ppm, quality_cnn, token_alignment, toxicity, warc_zip, wu_manber
+from quill.llm import bpe_codec, embedding_dedup, fertility, html_wrapper, merkle, ngram_join, oracles, packing, ppm, quality_cnn, token_alignment, toxicity, warc_zip, wu_manber
 from quill.llm.tables import crc32_mod, named
 
 
@@ -81,4 +81,6 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_toxic_segments, op2_ngram_jaccard_join, op3_embedding_dedup, op4_html_wrapper, op5_ppm, op6_bpe_codec, op7_best_fit_packing, op8_quality_cnn, op9_warc_zip, op10_tokeniser_fertility,
                                   op11_wu_manber, op12_token_alignment, op13_merkle_manifest)}
 QUERIES["pipeline"] = corpus_pipeline.run
-ORACLE: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+ORACLE: dict[str, str] = dict(oracles.SQL)
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
