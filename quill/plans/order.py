@@ -95,19 +95,24 @@ def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str,
     b = "__bucket"
     if n_buckets > 1:
         bounds = _range_bounds(rows(), order, n_buckets, n_rows)
-    staged = [r.withColumn(b, _bucket_column(r, order, bounds, n_buckets) if n_buckets > 1 else F.lit(0)) for r in (rows(), rows())]
-    totals = staged[0].groupBy(*partition_by, b).agg(fn("__v").alias("__t"))
-    wt = Window.partitionBy(*partition_by).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    base0 = F.coalesce(fn("__t").over(wt), F.lit(0)) if agg == "sum" else fn("__t").over(wt)
-    bases = totals.select(*partition_by, b, base0.alias("__base"))
-    # bases has at most n_buckets rows per group: size bounded by a parameter
-    if not partition_by:
-        bases = F.broadcast(bases)
-    joined = staged[1].join(bases, on=[*partition_by, b], how="left")
-    if stop_above is not None and agg == "sum":
-        # a running sum never falls below its bucket's base (non-negative
-        # values): buckets already past the limit skip the local sort entirely
-        joined = joined.where(F.col("__base") <= stop_above)
+        staged = [r.withColumn(b, _bucket_column(r, order, bounds, n_buckets)) for r in (rows(), rows())]
+        totals = staged[0].groupBy(*partition_by, b).agg(fn("__v").alias("__t"))
+        wt = Window.partitionBy(*partition_by).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+        base0 = F.coalesce(fn("__t").over(wt), F.lit(0)) if agg == "sum" else fn("__t").over(wt)
+        # bases has at most n_buckets rows per group: size bounded by a parameter
+        bases = totals.select(*(F.col(p).alias(f"__p{i}") for i, p in enumerate(partition_by)), F.col(b).alias("__b"), base0.alias("__base"))
+        if not partition_by:
+            bases = F.broadcast(bases)
+        same = F.col(b) == F.col("__b")
+        for i, p in enumerate(partition_by):        # null is a group like others
+            same = same & F.col(p).eqNullSafe(F.col(f"__p{i}"))
+        joined = staged[1].join(bases, same, "left").drop(*(f"__p{i}" for i in range(len(partition_by))), "__b")
+        if stop_above is not None and agg == "sum":
+            # a running sum never falls below its bucket's base (non-negative
+            # values): buckets already past the limit skip the local sort entirely
+            joined = joined.where(F.col("__base") <= stop_above)
+    else:
+        joined = rows().withColumn(b, F.lit(0)).withColumn("__base", F.lit(0 if agg == "sum" else None).cast(dict(rows().dtypes)["__v"]))
     lower = Window.unboundedPreceding
     upper = 0 if inclusive else -1
     wl = Window.partitionBy(*partition_by, b).orderBy(*order).rowsBetween(lower, upper)

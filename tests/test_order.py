@@ -75,3 +75,9 @@ def test_empty(spark):
     df = spark.createDataFrame([], "k string, v int")
     assert prefix_sum(df, ["k"], "v", n_buckets=5).count() == 0
     assert dense_index(df, ["k"]).count() == 0
+
+
+def test_null_group(spark):
+    df = spark.range(3_000).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"))
+    got = {r.id: r.idx for r in dense_index(df, ["id"], partition_by=["g"], n_buckets=9).collect()}
+    assert got == {i: i // 3 for i in range(3_000)}
