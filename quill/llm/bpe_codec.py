@@ -287,7 +287,7 @@ def encoding_digests(df: DataFrame, key: str = "doc_id", text: str = "text", voc
 
 
 class LibraryCodec:
-    """Same ids, with the pieces encoded by tiktoken over the vocabulary's rank file.
+    """Same ids, encoded by tiktoken over the vocabulary's rank file, without a cache.
     For stages that need ids quickly and are not about the encoder itself."""
 
     def __init__(self, ranks_path: str, pattern: str, special: str, special_id: int):
@@ -298,21 +298,9 @@ class LibraryCodec:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.one = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.special, self.special_id = special, pack([special_id])
-        self.chunks = _Chunks(self)
-
-    def encode_piece(self, piece: str) -> list[int]:
-        return self.one(piece)
-
-    def encode_chunk(self, chunk: str) -> bytes:
-        return pack(self.one(chunk))
 
     def encode(self, text: str) -> bytes:
-        def plain(t):
-            if not t:
-                return b""
-            parts = safe_parts(t)
-            return self.encode_chunk(parts[0]) + b"".join(map(self.chunks.__getitem__, parts[1:]))
-        return self.special_id.join(map(plain, text.split(self.special)))
+        return self.special_id.join(np.array(self.one(t), "<u4").tobytes() for t in text.split(self.special))
 
 
 @lru_cache(maxsize=2)

@@ -35,7 +35,7 @@ from quill.llm.tables import map_arrow, skew_join, stored
 from quill.llm.words import windows, word_hashes
 
 VOCAB = "piece_bpe_32k.model"
-CACHE_ENTRIES = 1 << 18
+MARK = "\u2581"
 SPACES = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
 SYMBOLS = tuple(bytes([c]) for c in b"#*$%&|<>")
 
@@ -49,32 +49,31 @@ BANDS = {
 }
 
 
-class _Words(dict):
-    """Word -> (number of tokens, tokens that are single bytes, ids as int32 bytes)."""
+class _Pieces:
+    """A vocabulary whose pieces hold the word mark only in front, so the pieces of a text of
+    words joined by single spaces are those of its words, one after another."""
 
     def __init__(self, path):
-        super().__init__()
         import sentencepiece
         self.sp = sentencepiece.SentencePieceProcessor(model_file=path)
         size = self.sp.get_piece_size()
         self.is_byte = np.fromiter((self.sp.is_byte(i) for i in range(size)), bool, size)
-        self.size = size
+        self.joins = all(MARK not in self.sp.id_to_piece(i).lstrip(MARK) for i in range(size))
 
-    def fill(self, words):
-        if len(self) > CACHE_ENTRIES:
-            self.clear()
-        new = [w for w in set(words) if w not in self]
-        if new:
-            for w, ids in zip(new, self.sp.encode([w.decode("utf-8", "replace") for w in new], num_threads=1), strict=True):
-                self[w] = np.array(ids, "<i4").tobytes()
+    def ids(self, words: list[bytes]) -> np.ndarray:
+        """Ids of all words. A word that ends with the mark itself could melt with the next one's."""
+        text = b" ".join(words).decode("utf-8", "replace")
+        if self.joins and MARK not in text:
+            return np.array(self.sp.encode(text), np.int32)
+        return np.concatenate([np.array(self.sp.encode(w.decode("utf-8", "replace")), np.int32) for w in words])
 
 
 @lru_cache(maxsize=1)
-def _vocab(vocab: str) -> _Words:
+def _vocab(vocab: str) -> _Pieces:
     import os
 
     import public_tokenizers
-    return _Words(vocab if os.path.sep in vocab else public_tokenizers.path(vocab))
+    return _Pieces(vocab if os.path.sep in vocab else public_tokenizers.path(vocab))
 
 
 def base_counts(t: bytes) -> tuple[int, int, int, int, int, list[bytes]]:
@@ -120,8 +119,7 @@ def measures(df: DataFrame, text: str = "text", vocab: str = VOCAB, out: str = "
                 n = fell = 0
                 entropy = 0.0
                 if words:
-                    v.fill(words)
-                    ids = np.frombuffer(b"".join(map(v.__getitem__, words)), "<i4")
+                    ids = v.ids(words)
                     n = len(ids)
                     fell = int(v.is_byte[ids].sum())
                     c = np.bincount(ids) if n > 4000 else np.unique(ids, return_counts=True)[1]
@@ -131,7 +129,6 @@ def measures(df: DataFrame, text: str = "text", vocab: str = VOCAB, out: str = "
                     col.append(x)
             found = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(cols, _KINDS, strict=True)], names=list(MEASURES))
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(names))), found], names=[*names, out])
-        v.clear()               # the worker goes on to other stages
     fields = ", ".join(f"{m}: {'double' if m == 'token_entropy' else 'bigint'}" for m in MEASURES)
     schema = ", ".join(f"`{c}` {t}" for c, t in df.dtypes) + f", {out} struct<{fields}>"
     return map_arrow(df, run, schema)

@@ -8,6 +8,7 @@ application ends.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Iterator
 
@@ -54,10 +55,31 @@ def named(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+BATCH_BYTES = 4 << 20       # of rows that an operator's Python sees at once
+
+
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package's sources sent to the executors first."""
+    """``mapInArrow`` with this package's sources sent to the executors first. ``fn`` gets
+    batches of at most ``BATCH_BYTES`` (a longer row comes alone), and what the worker
+    no longer needs goes back to the system when the task ends."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches):
+        try:
+            yield from fn(part for batch in batches for part in _rows_up_to(batch, _row_bytes(batch), BATCH_BYTES))
+        finally:
+            release_memory()
+    return df.mapInArrow(run, schema)
+
+
+def release_memory() -> None:
+    """Freed memory back to the system: workers are reused by later stages."""
+    import ctypes
+    import gc
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):      # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
@@ -74,15 +96,32 @@ def skew_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner") ->
     return left.withColumn("__key", derived(left)).join(r, "__key", how).drop("__key")
 
 
-def slabs(batch: pa.RecordBatch, column: int, budget: int) -> Iterator[pa.RecordBatch]:
-    """Consecutive rows of a batch whose ``column`` holds at most ``budget`` bytes (of a
-    list: items) together; a longer row comes alone. So memory does not follow the batch."""
-    values = batch.column(column)
-    size = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
-    ends = np.cumsum(pc.fill_null(size, 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    at = 0
+def _column_bytes(values: pa.Array) -> np.ndarray | int:
+    """Bytes of each row of a column; a list counts eight for an item."""
+    kind = values.type
+    if pa.types.is_list(kind):
+        size = pc.multiply(pc.list_value_length(values), 8)
+    elif pa.types.is_binary(kind) or pa.types.is_string(kind) or pa.types.is_large_binary(kind) or pa.types.is_large_string(kind):
+        size = pc.binary_length(values)
+    else:
+        return 8
+    return pc.fill_null(size, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _row_bytes(batch: pa.RecordBatch) -> np.ndarray:
+    return sum((_column_bytes(c) for c in batch.columns), np.zeros(batch.num_rows, np.int64))
+
+
+def _rows_up_to(batch: pa.RecordBatch, size: np.ndarray, budget: int) -> Iterator[pa.RecordBatch]:
+    ends, at = np.cumsum(size), 0
     while at < len(ends):
         before = int(ends[at - 1]) if at else 0
         to = max(at + 1, int(np.searchsorted(ends, before + budget, side="right")))
         yield batch.slice(at, to - at)
         at = to
+
+
+def slabs(batch: pa.RecordBatch, column: int, budget: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of a batch whose ``column`` holds at most ``budget`` bytes
+    together; a longer row comes alone."""
+    return _rows_up_to(batch, _column_bytes(batch.column(column)), budget)

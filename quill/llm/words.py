@@ -71,7 +71,7 @@ def _hash_block(buf, starts, ends, table):
     return mix((s[ends] - s[starts]) * inv[starts] + (ends - starts).astype(np.uint64))
 
 
-def word_hashes(text: bytes, fold: bool = True, block: int = 1 << 20) -> np.ndarray:
+def word_hashes(text: bytes, fold: bool = True, block: int = 1 << 18) -> np.ndarray:
     """uint64 hash of each word, in order. Long texts go block by block, cut
     between words, so the tables of powers stay small."""
     buf = np.frombuffer(text, np.uint8)
