@@ -1,7 +1,9 @@
 import random
 from collections import Counter
 
+import pytest
 import regex
+from pyspark.sql import functions as F
 
 from naive import _merge, naive_chunk_counts, naive_encode, naive_train
 from quill.functions.text import SPLIT_PATTERN
@@ -97,3 +99,30 @@ def test_apply_merges_left_to_right(spark):
     df = spark.createDataFrame([([97, 97, 97, 97],), ([97, 97, 97],)], "ids ARRAY<INT>")
     out = [list(r[0]) for r in df.select(bpe.apply_merges_col(df.ids, [(97, 97, 256)])).collect()]
     assert out == [_merge([97] * 4, (97, 97), 256), _merge([97] * 3, (97, 97), 256)]
+
+
+@pytest.mark.parametrize("hot", [0, 3, 1 << 18])
+def test_encode_by_dictionary(spark, hot):
+    texts = [(1, "the cat the hat the bat"), (1, "the cat the hat the bat"), (2, None), (3, ""), (4, "x" * 300 + " the " + "x" * 300), (5, "é\U0001f642 漢 the"), (None, "the")]
+    df = spark.createDataFrame(texts, "doc_id int, text string").withColumn("ids", F.lit("old")).withColumn("more", F.lit(7)).repartition(3)
+    merges = bpe.train_bpe(df, 256 + 9 + 12)
+    want = sorted((str(r.doc_id), str(r.text), tuple(r.ids)) for r in bpe.encode_inline(df, merges).collect())
+    got = bpe.encode(df, merges, hot_chunks=hot)
+    assert got.columns == ["doc_id", "text", "more", "ids"]
+    assert sorted((str(r.doc_id), str(r.text), tuple(r.ids)) for r in got.collect()) == want
+    both = bpe.encode(df, merges, prepend=900, append=901, hot_chunks=hot).where("doc_id = 3").collect()[0]
+    assert list(both.ids) == [900, 901]
+    assert bpe.encode(df.limit(0), merges, hot_chunks=hot).count() == 0
+
+
+def test_each_distinct_chunk_is_encoded_once(spark):
+    df = spark.createDataFrame([(i, "alpha beta alpha " * (1 + i % 3)) for i in range(50)], "doc_id int, text string")
+    merges = bpe.train_bpe(df, 256 + 9 + 5)
+    words = bpe.chunk_dictionary(bpe.pretokenize(df).selectExpr("explode(chunks) AS chunk"), merges)
+    assert words.count() == words.select("chunk").distinct().count() == len({c for r in bpe.pretokenize(df).collect() for c in r.chunks})
+
+
+def test_decode_unknown_id(spark):
+    vocab = bpe.add_special_tokens(bpe.mergeable_ranks(spark.createDataFrame([], "rank INT, left INT, right INT, new_id INT, cnt LONG")), ["<s>"])
+    df = spark.createDataFrame([([104, 99999, 105],)], "ids array<int>")
+    assert bpe.decode_bytes(df, vocab, out="t").collect()[0].t == "h�i"
