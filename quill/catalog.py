@@ -1294,17 +1294,24 @@ segs AS (SELECT gi.o, rec.seg, rec.seg = (SELECT count(*) FROM rec WHERE acc >=
 SELECT doc_id, seg AS shard, is_tail FROM d JOIN segs ON d.g = segs.o
 """)
 def shard_by_chars_q(spark, sf):
-    d = _t(spark, sf, "documents").select("doc_id", "text")
-    return sinks.shard_by_chars(d, "doc_id", budget=40000, group=8).select(
-        "doc_id", F.col("shard").cast("long").alias("shard"), "is_tail")
+    path = _folder(spark, "by-chars")
+    sinks.write_shards_by_chars(_t(spark, sf, "documents"), path, "doc_id", budget=40000, group=8, keep=("doc_id", "is_tail"))
+    return _read_shards(spark, path, "doc_id", "is_tail")
+
+
+def _read_shards(spark, path, *columns):
+    """Rows of written shards with the number in their file's name."""
+    number = F.regexp_extract("shard", r"^shard_([0-9]+)\.parquet$", 1).cast("long")
+    return files.read_corpus(spark, path, columns).withColumn("shard", number).select(*columns, "shard")
 
 
 @register("shard_by_rows", """
 SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 64 AS shard FROM documents
 """)
 def shard_by_rows_q(spark, sf):
-    return sinks.shard_by_rows(_t(spark, sf, "documents").select("doc_id"), "doc_id", rows=64) \
-        .select("doc_id", "shard")
+    path = _folder(spark, "by-rows")
+    sinks.write_shards_by_rows(_t(spark, sf, "documents"), path, "doc_id", rows=64, keep=("doc_id",))
+    return _read_shards(spark, path, "doc_id")
 
 
 @register("shard_qa_pairs", r"""
@@ -1319,8 +1326,10 @@ SELECT m.doc_id, m.pos, seg AS shard, is_tail FROM m JOIN segs ON m.doc_id = seg
 """)
 def shard_qa_pairs_q(spark, sf):
     pairs = corpus.extract_qa_pairs(_t(spark, sf, "documents"), _QA_SPEAKER, sep=r"\n")
-    return sinks.shard_qa_pairs(pairs, rows=5).select("doc_id", "pos", F.col("shard").cast("long").alias("shard"),
-                                                      "is_tail")
+    path = _folder(spark, "qa")
+    pairs = pairs.withColumn("doc", F.col("doc_id"))
+    sinks.write_qa_shards(pairs, path, doc="doc", rows=5, keep=("doc_id", "pos", "is_tail"))
+    return _read_shards(spark, path, "doc_id", "pos", "is_tail")
 
 
 @register("shuffle_buffered", r"""
@@ -1347,7 +1356,10 @@ def shuffle_buffered_q(spark, sf):
 
 import uuid  # noqa: E402
 
+from quill.plans.order import dense_index  # noqa: E402
 from quill.session import ensure_checkpoint_dir  # noqa: E402
+from quill.sources.corpus_stream import stream_epochs  # noqa: E402
+from quill.sources.shard_writer import write_shards  # noqa: E402
 from quill.streaming import stream  # noqa: E402
 
 
@@ -1356,31 +1368,40 @@ _RANKS = 4
 
 @register("pack_stream")
 def pack_stream_q(spark, sf):
-    """Four ranks, four micro-batches: the source files hold ascending ranges of
-    documents and arrive in that order."""
+    """Four ranks; the source files hold documents in any order and arrive one by one."""
     base = _folder(spark, "stream")
     ids = _cp_ids(spark, sf).withColumn("rank", F.pmod("doc_id", F.lit(_RANKS)).cast("int"))
-    cuts = ids.approxQuantile("doc_id", [0.25, 0.5, 0.75], 0.01)
-    for lo, hi in zip([None, *cuts], [*cuts, None]):
-        part = ids if lo is None else ids.where(F.col("doc_id") > lo)
-        (part if hi is None else part.where(F.col("doc_id") <= hi)).coalesce(1).write.mode("append").parquet(base + "/src")
+    dense_index(ids, ["doc_id"], out="seq", partition_by=["rank"]).write.parquet(base + "/src")
     schema = spark.read.parquet(base + "/src").schema
-    s = stream.stream_corpus(spark, base + "/src", schema, files_per_batch=1, columns=("rank", "doc_id", "ids"))
-    # state partitions are fixed at the first start from the shuffle setting:
-    # size them to the number of ranks, then restore the session
-    prev = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(_RANKS))
-    try:
+    s = stream.stream_corpus(spark, base + "/src", schema, files_per_batch=2, columns=("rank", "seq", "ids"))
+    with stream.stateful(spark, _RANKS):
         q = (stream.pack_stream(s, _B, _T).writeStream.format("parquet").option("path", base + "/out")
              .option("checkpointLocation", base + "/ckpt").trigger(availableNow=True).start())
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", prev)
-    q.awaitTermination()
+        q.awaitTermination()
     out = spark.read.parquet(base + "/out")
     return out.select("rank", "block", "row", F.md5(F.array_join("inputs", ",")).alias("inputs_md5"),
                       F.md5(F.array_join("targets", ",")).alias("targets_md5"))
 
 
+@register("stream_epochs", f"""
+WITH d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM documents),
+g AS (SELECT doc_id, pos, pos // 64 AS shard, pos % 64 // 8 AS row_group, pos % 64 // 8 % {_RANKS} AS rank FROM d),
+r AS (SELECT *, row_number() OVER (PARTITION BY rank ORDER BY pos) - 1 AS n, count(*) OVER (PARTITION BY rank) AS many FROM g)
+SELECT epoch, printf('shard_%05d.parquet', shard) AS shard, row_group, rank, n + epoch * many AS seq, doc_id FROM r, range(2) e(epoch)
+""")
+def stream_epochs_q(spark, sf):
+    """Two epochs of the documents as a sharded corpus, with a stop and a restart between them."""
+    base = _folder(spark, "epochs")
+    docs = sinks.shard_by_rows(_t(spark, sf, "documents"), "doc_id", rows=64)
+    write_shards(docs.select("__pos", "doc_id", "shard"), base + "/corpus", ["__pos"], row_group_rows=8)
+    for epochs in (1, 2):
+        s = stream_epochs(spark, base + "/corpus", base + "/progress", "doc_id bigint", ranks=_RANKS, groups=100, epochs=epochs)
+        q = (s.writeStream.format("parquet").option("path", base + "/out").option("checkpointLocation", base + "/ckpt").start())
+        q.processAllAvailable()
+        q.stop()
+    return spark.read.parquet(base + "/out").select("epoch", "shard", "row_group", "rank", "seq", "doc_id")
+
+
 @register("nfkc_docs")
 def nfkc_q(spark, sf):
     d = _t(spark, sf, "documents").select("doc_id", "text")

@@ -1,8 +1,8 @@
 """Sinks: sharded Parquet writers, Q/A shards, CSV results, JSONL, publish.
 
 Shard ids are computed as DataFrame columns (dense positions, greedy
-segmentation) so the assignment itself is checkable in SQL; writers then
-repartition by shard so each shard is written by exactly one task.
+segmentation) so the assignment itself is checkable in SQL; the writers hand them to
+``shard_writer``: one task per shard names its file, one commit publishes all.
 """
 
 from __future__ import annotations
@@ -16,13 +16,13 @@ from pyspark.sql import types as T
 
 from quill.plans.order import dense_index
 from quill.plans.segment import greedy_segments
+from quill.sources.shard_writer import write_shards
 
 # ---------------------------------------------------------------------------
 # Fixed values of the corpus shard layout.
 CHARS_PER_SHARD = 250_000_000
 ROW_GROUP_ROWS = 1024
 ROWS_PER_TEXT_SHARD = 10_000
-SHARD_NAME = "shard_{:05d}.parquet"
 # ---------------------------------------------------------------------------
 
 
@@ -65,58 +65,29 @@ def qa_messages_json(q: pd.Series, a: pd.Series) -> pd.Series:
                                  ensure_ascii=True) for x, y in zip(q, a)], dtype=object)
 
 
-def _write_shards(df: DataFrame, path: str, order: list[str], compat: bool) -> None:
-    w = (df.repartition("shard").sortWithinPartitions("shard", *order).drop(*order)
-         .write.mode("overwrite").option("compression", "zstd")
-         .option("parquet.block.row.count.limit", str(ROW_GROUP_ROWS))
-         .option("parquet.compression.codec.zstd.level", "3"))
-    if compat:
-        w = w.option("parquet.enable.dictionary", "false")
-    w.partitionBy("shard").parquet(path)
-    _flatten_shards(df.sparkSession, path)
-
-
-def _flatten_shards(spark: SparkSession, path: str) -> None:
-    """Rename ``shard=N/part-*.parquet`` to ``shard_%05d.parquet`` (metadata only)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if not (st.isDirectory() and name.startswith("shard=")):
-            continue
-        idx = int(name.split("=", 1)[1])
-        parts = [p.getPath() for p in fs.listStatus(st.getPath()) if p.getPath().getName().endswith(".parquet")]
-        for k, p in enumerate(sorted(parts, key=lambda q: q.getName())):
-            # a shard that rolled over keeps its rows under names that readers find
-            name = SHARD_NAME.format(idx) if k == 0 else SHARD_NAME.format(idx).replace(".parquet", f"-{k}.parquet")
-            fs.rename(p, jvm.org.apache.hadoop.fs.Path(root, name))
-        fs.delete(st.getPath(), True)
-
-
 def write_shards_by_chars(df: DataFrame, path: str, order: str, text: str = "text",
                           budget: int = CHARS_PER_SHARD, group: int = ROW_GROUP_ROWS,
-                          keep_tail: bool = True, compat: bool = False) -> None:
-    """K1 (*action*): text shards closed by chars and row multiple, zstd, 1024-row groups."""
-    a = shard_by_chars(df, order, text, budget, group, keep_tail).select("__pos", text, "shard")
-    _write_shards(a, path, ["__pos"], compat)
+                          keep_tail: bool = True, compat: bool = False, keep: tuple[str, ...] = ()) -> None:
+    """K1 (*action*): text shards closed by chars and row multiple, zstd, 1024-row groups;
+    ``keep`` names columns written beside the text."""
+    a = shard_by_chars(df, order, text, budget, group, keep_tail).select("__pos", *keep, text, "shard")
+    write_shards(a, path, ["__pos"], ROW_GROUP_ROWS, dictionary=not compat)
 
 
 def write_shards_by_rows(df: DataFrame, path: str, order: str, text: str = "text",
-                         rows: int = ROWS_PER_TEXT_SHARD) -> None:
+                         rows: int = ROWS_PER_TEXT_SHARD, keep: tuple[str, ...] = ()) -> None:
     """K2 (*action*): text shards of ``rows`` rows."""
-    a = shard_by_rows(df, order, rows).select("__pos", text, "shard")
-    _write_shards(a, path, ["__pos"], False)
+    a = shard_by_rows(df, order, rows).select("__pos", *keep, text, "shard")
+    write_shards(a, path, ["__pos"], ROW_GROUP_ROWS)
 
 
 def write_qa_shards(pairs: DataFrame, path: str, doc: str = "doc_id", pos: str = "pos",
-                    rows: int = ROWS_PER_TEXT_SHARD) -> None:
+                    rows: int = ROWS_PER_TEXT_SHARD, keep: tuple[str, ...] = ()) -> None:
     """K3 (*action*): question, answer, messages (ASCII-escaped JSON) shards."""
     a = shard_qa_pairs(pairs, doc, rows)
-    a = a.select(F.col(doc).alias("__doc"), F.col(pos).alias("__pos"), "shard", "question", "answer",
+    a = a.select(F.col(doc).alias("__doc"), F.col(pos).alias("__pos"), "shard", *keep, "question", "answer",
                  qa_messages_json(F.col("question"), F.col("answer")).alias("messages"))
-    _write_shards(a, path, ["__doc", "__pos"], False)
+    write_shards(a, path, ["__doc", "__pos"], ROW_GROUP_ROWS)
 
 
 def publish(spark: SparkSession, write_fn, final_path: str, skip_if_complete: bool = True) -> bool:

@@ -3,11 +3,13 @@ import os
 import tempfile
 
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from quill.operators import chat, corpus
 from quill.sources import files, sinks
+from quill.sources.shard_writer import ShardSource, ShardsWritten, write_shards
 
 
 def _tmp():
@@ -77,3 +79,29 @@ def test_results_csv(spark):
     out = os.path.join(_tmp(), "csv")
     sinks.write_results_csv(spark.createDataFrame([("t", 0.5, 0.1)], "task STRING, accuracy DOUBLE, centered DOUBLE"), out)
     assert any(n.endswith(".csv") for n in os.listdir(out))
+
+
+def test_shard_writer_commits_all_or_nothing(spark, tmp_path):
+    out = str(tmp_path / "out")
+    df = spark.range(100).selectExpr("id", "id % 7 AS shard", "cast(id AS string) AS text").repartition(5)
+    write_shards(df, out, ["id"], row_group_rows=4)
+    assert sorted(n for n in os.listdir(out) if n.startswith("shard_")) == [f"shard_{k:05d}.parquet" for k in range(7)]
+    for k in range(7):
+        t = pq.ParquetFile(os.path.join(out, f"shard_{k:05d}.parquet"))
+        assert t.read().column("text").to_pylist() == [str(i) for i in range(100) if i % 7 == k]
+        assert [t.metadata.row_group(i).num_rows for i in range(t.num_row_groups - 1)] == [4] * (t.num_row_groups - 1)
+    with open(os.path.join(out, "_shards.json")) as f:
+        assert [x["rows"] for x in json.load(f)] == [15, 15] + [14] * 5
+    bad = df.selectExpr("id", "shard", "CASE WHEN id = 50 THEN cast(raise_error('no') AS string) ELSE text END AS text")
+    with pytest.raises(Exception, match="no"):
+        write_shards(bad, out, ["id"])
+    assert files.read_corpus(spark, out).count() == 100         # the old output is whole
+    assert os.listdir(tmp_path) == ["out"]                      # and nothing is left over
+    write_shards(df.limit(0), out, ["id"])
+    assert sorted(os.listdir(out)) == ["_SUCCESS", "_shards.json"]
+
+
+def test_shard_writer_refuses_a_shard_of_two_tasks():
+    w = ShardSource({"path": "/tmp/never-written"}).writer(None, True)
+    with pytest.raises(ValueError, match="several tasks"):
+        w.commit([ShardsWritten([(1, 5)]), None, ShardsWritten([(1, 6)])])

@@ -1,31 +1,117 @@
+import json
 import os
+import random
 import tempfile
 
-from pyspark.sql import functions as F
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
 
 from quill.operators import pack
-from quill.streaming.stream import pack_stream, stream_corpus
+from quill.sources import corpus_stream
+from quill.streaming.stream import pack_stream, stateful, stream_corpus
 
 
-def test_pack_stream_equals_batch_pack(spark):
+def _run(spark, base, stream, B, T):
+    with stateful(spark, 2):
+        q = (pack_stream(stream, B, T).writeStream.format("parquet").option("path", os.path.join(base, "out"))
+             .option("checkpointLocation", os.path.join(base, "ckpt")).trigger(availableNow=True).start())
+        q.awaitTermination(300)
+    return sorted((r.rank, r.block, r.row, list(r.inputs), list(r.targets)) for r in spark.read.parquet(os.path.join(base, "out")).collect())
+
+
+def test_pack_stream_in_any_order_and_over_a_restart(spark):
+    """Documents arrive in any order, some twice, and the query is stopped half-way."""
     base = tempfile.mkdtemp(prefix="quill-stream-", dir="/tmp")
     src = os.path.join(base, "src")
-    docs = [(i, [0] + list(range(1, 3 + (i * 7) % 23))) for i in range(40)]
-    # one file per micro-batch, written in document order
-    for f in range(4):
-        part = spark.createDataFrame([(0, d, ids) for d, ids in docs[f * 10:(f + 1) * 10]],
-                                     "rank INT, doc_id LONG, ids ARRAY<INT>")
-        part.coalesce(1).write.mode("append").parquet(src)
-    schema = spark.read.parquet(src).schema
-    s = stream_corpus(spark, src, schema, files_per_batch=1, columns=("rank", "doc_id", "ids"))
-    out = os.path.join(base, "out")
-    q = (pack_stream(s, 2, 8).writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", os.path.join(base, "ckpt")).trigger(availableNow=True).start())
-    q.awaitTermination(300)
-    got = sorted((r.block, r.row, list(r.inputs), list(r.targets)) for r in spark.read.parquet(out).collect())
-    # file arrival order follows the write order; compare with the batch packer on the same order
-    order = {r.doc_id: r.f for r in spark.read.parquet(src).select("doc_id", F.col("_metadata.file_modification_time").alias("f")).collect()}
-    bdf = spark.createDataFrame([(d, ids) for d, ids in docs], "doc_id LONG, ids ARRAY<INT>")
-    want = sorted((r.block, r.row, list(r.inputs), list(r.targets)) for r in pack.pack(bdf, 2, 8).collect())
-    assert len(order) == 40
-    assert got == want
+    rng = random.Random(5)
+    docs = {rank: [[0] + list(range(1, 1 + rng.randint(0, 40))) for _ in range(30)] for rank in (0, 1)}
+    docs[0][7] = list(range(200))       # longer than several blocks
+    rows = [(rank, i, ids) for rank in docs for i, ids in enumerate(docs[rank])]
+    rng.shuffle(rows)
+    rows.insert(40, rows[3])
+    schema = "rank int, seq bigint, ids array<int>"
+
+    def put(part):
+        for at in range(0, len(part), 8):
+            spark.createDataFrame(part[at:at + 8], schema).coalesce(1).write.mode("append").parquet(src)
+    put(rows[:30])
+
+    def source():
+        return stream_corpus(spark, src, spark.read.parquet(src).schema, files_per_batch=2, columns=("rank", "seq", "ids"))
+    early = _run(spark, base, source(), 2, 8)
+    put(rows[30:])
+    got = _run(spark, base, source(), 2, 8)
+    want = []
+    for rank, each in docs.items():
+        bdf = spark.createDataFrame(list(enumerate(each)), "doc_id bigint, ids array<int>")
+        want += [(rank, r.block, r.row, list(r.inputs), list(r.targets)) for r in pack.pack(bdf, 2, 8).collect()]
+    assert got == sorted(want) and len(early) < len(got)
+
+
+@pytest.fixture()
+def corpus(tmp_path):
+    folder = tmp_path / "corpus"
+    folder.mkdir()
+    n = 0
+    for k, rows in enumerate((10, 3, 0, 9)):
+        t = pa.table({"doc": pa.array(range(n, n + rows), pa.int64()), "text": [f"t{i}" for i in range(n, n + rows)]})
+        pq.write_table(t, folder / f"shard_{k:05d}.parquet", row_group_size=4)
+        n += rows
+    (folder / "shard_00009.parquet.tmp").write_bytes(b"unfinished")
+    return str(folder), str(tmp_path / "progress")
+
+
+def _expected(epochs, ranks):
+    seq, out = [0] * ranks, []
+    for e in range(epochs):
+        n = 0
+        for k, rows in enumerate((10, 3, 0, 9)):
+            for i in range(rows):
+                rank = i // 4 % ranks
+                out.append((e, f"shard_{k:05d}.parquet", i // 4, i % 4, rank, seq[rank], n + i))
+                seq[rank] += 1
+            n += rows
+    return sorted(out)
+
+
+def test_epochs_and_restart(spark, corpus, tmp_path):
+    path, progress = corpus
+    for epochs in (1, 3):
+        s = corpus_stream.stream_epochs(spark, path, progress, "doc bigint", ranks=2, groups=2, epochs=epochs)
+        q = s.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ckpt")).start()
+        q.processAllAvailable()
+        q.stop()
+        got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select("epoch", "shard", "row_group", "row", "rank", "seq", "doc").collect())
+        assert got == _expected(epochs, 2)
+
+
+def _reader(path, progress, **kw):
+    from pyspark.sql.types import _parse_datatype_string  # noqa: PLC0415
+    options = {"path": path, "progress": progress, "columns": "doc bigint", **{k: str(v) for k, v in kw.items()}}
+    source = corpus_stream.CorpusSource(options)
+    return source.streamReader(_parse_datatype_string(source.schema()))
+
+
+def test_offsets_continue_endlessly(spark, corpus):
+    path, progress = corpus
+    r = _reader(path, progress, groups=5)
+    start, docs = r.initialOffset(), []
+    for _ in range(6):          # six row groups hold an epoch of 22 rows; no end is given
+        end = r.latestOffset()
+        for p in r.partitions(start, end):
+            docs += [x for b in r.read(p) for x in b.column("doc").to_pylist()]
+        start = end
+    assert docs[:66] == [*range(22)] * 3 and end["epoch"] >= 3
+    again = _reader(path, progress, groups=5)       # a new process goes on where the last one was
+    assert again.partitions(end, again.latestOffset())[0].seq == end["seq"][0]
+    with open(os.path.join(progress, "position.json")) as f:
+        assert json.load(f)["epoch"] >= end["epoch"]
+    with pytest.raises(ValueError, match="does not lead"):
+        _reader(path, progress, epochs=9).partitions({**end, "epoch": 8}, {**end, "epoch": 0})
+
+
+def test_empty_corpus(spark, tmp_path):
+    (tmp_path / "none").mkdir()
+    r = _reader(str(tmp_path / "none"), str(tmp_path / "p"))
+    assert r.latestOffset() == r.initialOffset() and r.partitions(r.initialOffset(), r.latestOffset()) == []
