@@ -157,6 +157,10 @@ def _pairs_of(tok: str, cnt: Column) -> tuple[Column, Column]:
     return F.explode(F.regexp_extract_all(tok, F.lit(_PAIR_RE), 1)).alias("pr"), cnt.alias("cnt")
 
 
+def _weighted_pairs(tok: str, weight: Column) -> Column:
+    return F.transform(F.regexp_extract_all(tok, F.lit(_PAIR_RE), 1), lambda p: F.struct(p.alias("pr"), weight.alias("cnt")))
+
+
 def _top_pairs(pairs: DataFrame, limit: int) -> DataFrame:
     pat = r"^<([0-9]+)><([0-9]+)>$"
     pc = pairs.select(F.regexp_extract("pr", pat, 1).cast("int").alias("left"),
@@ -166,7 +170,7 @@ def _top_pairs(pairs: DataFrame, limit: int) -> DataFrame:
 
 def train_bpe(texts: DataFrame, vocab_size: int, text: str = "text",
               pattern: str = SPLIT_PATTERN, special_tokens: list[str] | None = None,
-              max_candidates: int = 4096, checkpoint_every: int = 10,
+              max_candidates: int = 4096, checkpoint_every: int = 6,
               counts: DataFrame | None = None) -> DataFrame:
     """D4 (*action*): greedy BPE merges → ``(rank, left, right, new_id, cnt)``.
 
@@ -224,7 +228,8 @@ def train_bpe(texts: DataFrame, vocab_size: int, text: str = "text",
         # can never pair again
         stepped = words.withColumn("was", F.when(F.col("tok") != tok, F.col("tok"))).withColumn("tok", tok).persist()
         moved = stepped.where(F.col("was").isNotNull())
-        deltas = moved.select(*_pairs_of("tok", F.col("cnt"))).unionByName(moved.select(*_pairs_of("was", -F.col("cnt"))))
+        changes = F.concat(_weighted_pairs("tok", F.col("cnt")), _weighted_pairs("was", -F.col("cnt")))
+        deltas = moved.select(F.explode(changes).alias("d")).select("d.pr", "d.cnt")
         counted = (pairs.unionByName(deltas).groupBy("pr").agg(F.sum("cnt").alias("cnt")).where(F.col("cnt") > 0))
         if rnd % checkpoint_every == 0:
             counted = reliable_checkpoint(counted)
