@@ -215,7 +215,8 @@ def read(manifest: DataFrame, folder: str, key: str, kind: str) -> DataFrame:
                                                          names=[key, "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "payload"])
                         i = j
     t = "bigint" if kind in ("bigint", "int", "smallint", "tinyint") else "string"
-    spread = manifest.repartition(F.col("path"))
+    # a number of its own keeps adaptive execution from merging the tiny rows: a task an archive
+    spread = manifest.repartitionByRange(max(1, manifest.count()), "path")
     return map_arrow(spread, run, f"`{key}` {t}, payload_bytes bigint, payload_digest string, record_type string, refers_to {t}, url string, payload binary")
 
 
