@@ -15,8 +15,8 @@ count per length, whatever the size of the data):
 The plan is a list of (lengths of a sequence, how many such sequences); every
 entry of it exhausts a length or a group, so its size depends on ``capacity``,
 not on the data. Each piece gets its rank within its length from a two-level
-count (hash buckets per length, then a window within one bucket), and the rank
-finds its sequence and offset in the plan by binary search. No sequence, length
+count (hash buckets per length, as many as its own count needs, then a window within
+one bucket), and the rank finds its sequence and offset in the plan by binary search. No sequence, length
 or copy group has to fit one task.
 
 A null text is empty and still has its end token. Repeated rows are packed as
@@ -25,6 +25,7 @@ often as they occur. An empty table gives no rows.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections import Counter
 
@@ -36,7 +37,8 @@ from pyspark.sql import functions as F
 from quill.llm.bpe_codec import library_codec
 from quill.llm.tables import map_arrow, stored, text_bytes
 
-BUCKETS = 64        # hash buckets per length for the two-level rank
+MOST_BUCKETS = 1 << 16      # about; a bucket holds at least LEAST_ROWS and at most this part of all rows
+LEAST_ROWS = 1 << 10
 
 
 def pieces(df: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = 1024, end_id: int = 2,
@@ -165,16 +167,22 @@ def places(layout: list[tuple[tuple[int, ...], int]], capacity: int) -> tuple[np
 
 def pack(df: DataFrame, capacity: int = 1024, length: str = "length", order: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows that carry a length in 1..capacity."""
-    bucket = F.pmod(F.xxhash64(*order), F.lit(BUCKETS)).cast("int")
-    rows = stored(df.withColumn("__bucket", bucket), "pieces")
-    # at most capacity * BUCKETS rows, whatever the input
-    hist = rows.groupBy(length, "__bucket").count().collect()
-    counts = np.zeros((capacity + 1, BUCKETS), np.int64)
-    for size, b, c in hist:
-        counts[size, b] = c
-    bases = np.cumsum(counts, axis=1) - counts
-    key, seq, off = places(plan(counts.sum(axis=1), capacity), capacity)
-    shared = df.sparkSession.sparkContext.broadcast((bases, key, seq, off))
+    rows = stored(df, "pieces")
+    n = np.zeros(capacity + 1, np.int64)
+    for size, c in rows.groupBy(length).count().collect():      # at most capacity rows
+        n[size] = c
+    per_bucket = max(LEAST_ROWS, int(n.sum()) // MOST_BUCKETS)
+    buckets = np.maximum(1, -(-n // per_bucket))                # of each length, by its own count
+    many = F.get(F.from_json(F.lit(json.dumps(buckets.tolist())), "array<int>"), F.col(length).cast("int"))
+    rows = rows.withColumn("__bucket", F.pmod(F.xxhash64(*order), many).cast("int"))
+    first = np.cumsum(buckets) - buckets                        # place of a length's buckets
+    counts = np.zeros(int(buckets.sum()), np.int64)
+    for size, b, c in rows.groupBy(length, "__bucket").count().collect():   # at most MOST_BUCKETS + 2 * capacity rows
+        counts[first[size] + b] = c
+    bases = np.cumsum(counts) - counts
+    bases -= np.repeat(bases[first], buckets)                   # ranks start anew in each length
+    key, seq, off = places(plan(n, capacity), capacity)
+    shared = df.sparkSession.sparkContext.broadcast((bases, first, key, seq, off))
     w = Window.partitionBy(length, "__bucket").orderBy(*order)
     ranked = rows.withColumn("__rank", F.row_number().over(w).cast("long") - 1)
     at, bk, rk = (ranked.columns.index(c) for c in (length, "__bucket", "__rank"))
@@ -182,10 +190,10 @@ def pack(df: DataFrame, capacity: int = 1024, length: str = "length", order: tup
     schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes if c != "__bucket") + ", sequence_id bigint, offset bigint"
 
     def place(batches):
-        bases, key, seq, off = shared.value
+        bases, first, key, seq, off = shared.value
         for b in batches:
             size = b.column(at).to_numpy(zero_copy_only=False)
-            rank = bases[size, b.column(bk).to_numpy(zero_copy_only=False)] + b.column(rk).to_numpy(zero_copy_only=False)
+            rank = bases[first[size] + b.column(bk).to_numpy(zero_copy_only=False)] + b.column(rk).to_numpy(zero_copy_only=False)
             i = np.searchsorted(key, (size << 44) + rank, side="right") - 1
             s = seq[i] + (rank - (key[i] - (size << 44)))
             yield pa.RecordBatch.from_arrays([b.column(c) for c in names] + [pa.array(s), pa.array(off[i])],
