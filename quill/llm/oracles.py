@@ -82,4 +82,36 @@ top AS (SELECT node AS root FROM c3)
 SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified FROM cw2, top
 """
 
-SQL = {"op11_wu_manber": OP11, "op13_merkle_manifest": OP13}
+#: Pairs that share a shingle, then everything reachable by links.
+OP2 = rf"""
+WITH RECURSIVE doc AS (SELECT doc_id, regexp_extract_all({_lower('text')}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+gram AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (
+  SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM doc WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM gram GROUP BY doc_id),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM gram a JOIN gram b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM met JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
+lowest AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc.doc_id, coalesce(n, 0) AS n_shingles, component_id FROM doc LEFT JOIN size USING (doc_id) JOIN lowest ON lowest.a = doc.doc_id
+"""
+
+OP3 = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+good AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
+least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+many AS (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY a)
+SELECT v.vec_id, coalesce(n_links, 0) AS n_links, component_id, v.vec_id = component_id AS kept FROM v JOIN least USING (vec_id) LEFT JOIN many USING (vec_id)
+"""
+
+OP9 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h) AS payload_bytes, sha256(h) AS payload_digest, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to FROM d
+"""
+
+SQL = {"op2_ngram_jaccard_join": OP2, "op3_embedding_dedup": OP3, "op9_warc_zip": OP9, "op11_wu_manber": OP11, "op13_merkle_manifest": OP13}

@@ -279,3 +279,41 @@ def test_oracles(spark, name):
     columns = [c[0] for c in want.description]
     got = queries.QUERIES[name](spark, SF_SMALL).select(*columns)
     assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(want.fetchall(), key=str)
+
+
+def test_archives_are_read_by_a_task_each(spark, tmp_path):
+    from quill.llm import warc_zip
+    for i in range(9):
+        (tmp_path / "m").mkdir(exist_ok=True)
+    spark.range(9).selectExpr("concat('pages-', uuid(), '.zip') AS path", "1L AS records").repartition(4).write.parquet(str(tmp_path / "m" / "t"))
+    plan = warc_zip.read(spark.read.parquet(str(tmp_path / "m" / "t")), str(tmp_path), "page_id", "bigint")
+    assert plan.rdd.getNumPartitions() == 9
+
+
+@pytest.mark.parametrize("rows", [1, 1 << 10])
+def test_packing_ranks_at_any_number_of_buckets(spark, rows, monkeypatch):
+    from quill.llm import packing
+    monkeypatch.setattr(packing, "LEAST_ROWS", rows)
+    df = spark.range(600).selectExpr("id AS doc_id", "0 AS piece", "CASE WHEN id % 3 = 0 THEN 100L ELSE id % 90 + 1 END AS length").repartition(4)
+    got = packing.pack(df, 100, order=("doc_id", "piece")).collect()
+    assert sorted(r.doc_id for r in got) == list(range(600))
+    by = defaultdict(list)
+    for r in got:
+        by[r.sequence_id].append((r.offset, r.length))
+    for parts in by.values():
+        at = 0
+        for off, n in sorted(parts):
+            assert off == at
+            at += n
+        assert at <= 100
+
+
+def test_long_sets_cut_a_cluster_into_blocks(spark, monkeypatch):
+    from quill.llm import ngram_join
+    base = [f"w{i}" for i in range(400)]
+    texts = [(i, " ".join([*base[:390], f"x{i}", *base[391:]])) for i in range(40)] + [(100, "other words entirely here now")]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    want = sorted(map(tuple, ngram_join.near_duplicates(df).collect()))
+    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", 1000)
+    assert sorted(map(tuple, ngram_join.near_duplicates(df).collect())) == want
+    assert {c for _, _, c in want} == {0, 100}
