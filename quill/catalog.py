@@ -626,10 +626,13 @@ def bits_per_byte_q(spark, sf):
 
 
 @register("fewshot_examples", """
-WITH p AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS pos, count(*) OVER () AS n FROM benchmark),
-s AS (SELECT item_id, pos, n, 1 + floor(('0x' || substring(md5('1234:' || item_id), 1, 8))::UBIGINT::DOUBLE / 4294967296.0 * (n - 3))::BIGINT AS o FROM p),
-k AS (SELECT item_id, j, (pos + o + j) % n AS shot_pos FROM s, range(3) r(j))
-SELECT k.item_id, k.j, p.item_id AS shot_item_id FROM k JOIN p ON k.shot_pos = p.pos
+WITH p AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS pos, count(*) OVER () - 1 AS m FROM benchmark),
+t AS (SELECT item_id, pos, m, list_transform(range(3), lambda i: floor(('0x' || substring(md5('1234:' || item_id || ':' || i), 1, 8))::UBIGINT::DOUBLE
+      / 4294967296.0 * (m - 3 + i + 1))::BIGINT) AS t FROM p),
+a AS (SELECT *, t[1] AS r0, CASE WHEN t[2] = t[1] THEN m - 2 ELSE t[2] END AS r1 FROM t),
+b AS (SELECT *, CASE WHEN t[3] IN (r0, r1) THEN m - 1 ELSE t[3] END AS r2 FROM a),
+k AS (SELECT item_id, pos, j, [r0, r1, r2][j + 1] AS r FROM b, range(3) r(j))
+SELECT k.item_id, k.j, p.item_id AS shot_item_id FROM k JOIN p ON k.r + (k.r >= k.pos)::BIGINT = p.pos
 """)
 def fewshot_q(spark, sf):
     return evals.fewshot_examples(_t(spark, sf, "benchmark").select("item_id"), 3, seed=1234, key="item_id")
@@ -1101,8 +1104,10 @@ def _shots(spark, sf):
 
 _SHOTS_SQL = f"""
 p AS (SELECT item_id AS idx, row_number() OVER (ORDER BY item_id) - 1 AS pos, count(*) OVER () AS n FROM benchmark),
-s AS (SELECT idx, pos, n, 1 + floor(('0x' || substring(md5('1234:' || idx), 1, 8))::UBIGINT::DOUBLE / 4294967296.0 * (n - 2))::BIGINT AS o FROM p),
-shots AS (SELECT s.idx, j, p.idx AS shot_idx FROM s, range(2) r(j) JOIN p ON (s.pos + s.o + j) % s.n = p.pos)
+t AS (SELECT idx, pos, n, list_transform(range(2), lambda i: floor(('0x' || substring(md5('1234:' || idx || ':' || i), 1, 8))::UBIGINT::DOUBLE
+      / 4294967296.0 * (n - 3 + i + 1))::BIGINT) AS t FROM p),
+s AS (SELECT idx, pos, [t[1], CASE WHEN t[2] = t[1] THEN n - 2 ELSE t[2] END] AS r FROM t),
+shots AS (SELECT s.idx, j, p.idx AS shot_idx FROM s, range(2) k(j) JOIN p ON s.r[j + 1] + (s.r[j + 1] >= s.pos)::BIGINT = p.pos)
 """
 
 
@@ -1256,16 +1261,15 @@ def pack_conversations_q(spark, sf):
     return p.select("block", "row", F.md5(F.array_join("inputs", ",")).alias("inputs_md5"), "progress")
 
 
+_MID_TRAIN = {"smoltalk": ("documents", "doc_id"), "mmlu-auxiliary": ("pages", "page_id"), "gsm8k": ("conversations", "conv_id"),
+              "identity": ("benchmark", "item_id"), "simple-spelling": ("lineitem", "l_orderkey"), "spelling-bee": ("orders", "o_orderkey")}
+
+
 @register("recipe_mixture")
 def recipe_q(spark, sf):
-    docs = corpus.slice_view(corpus.with_index(_t(spark, sf, "documents").select("doc_id"), ["doc_id"],
-                                               out="local_idx"), "local_idx", 0, 500)
-    convs = corpus.with_index(_t(spark, sf, "conversations").select("conv_id").distinct(), ["conv_id"],
-                              out="local_idx")
-    bench = corpus.with_index(_t(spark, sf, "benchmark").select("item_id"), ["item_id"], out="local_idx")
-    b = bench.select("local_idx")
-    m = chat.recipe([docs.select("local_idx"), convs.select("local_idx"), b, b])   # b listed twice: oversampled
-    return m.select("task_idx", "copy", "local_idx", "idx")
+    """The mid-training recipe over whole tables as its sources (one of them listed twice)."""
+    sources = {name: corpus.with_index(_t(spark, sf, table).select(key).distinct(), [key], out="local_idx") for name, (table, key) in _MID_TRAIN.items()}
+    return chat.named_recipe("mid-train", sources).select("task_idx", "copy", "local_idx", "idx")
 
 
 # ---------------------------------------------------------------------------
@@ -1460,14 +1464,11 @@ b AS (SELECT rank, g // {_L} AS block, list(tok ORDER BY g) AS toks FROM st GROU
 SELECT rank, block, r AS "row", md5(array_to_string(toks[r * {_T} + 1:r * {_T} + {_T}], ',')) AS inputs_md5,
        md5(array_to_string(toks[r * {_T} + 2:r * {_T} + {_T} + 1], ',')) AS targets_md5
 FROM b, range({_B}) t(r)"""
-ORACLE["recipe_mixture"] = """
-WITH d AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS local_idx FROM documents),
-c AS (SELECT row_number() OVER (ORDER BY conv_id) - 1 AS local_idx FROM (SELECT DISTINCT conv_id FROM conversations)),
-b AS (SELECT row_number() OVER (ORDER BY item_id) - 1 AS local_idx FROM benchmark),
-u AS (SELECT 0 AS task_idx, 0 AS copy, local_idx FROM d WHERE local_idx < 500
-      UNION ALL SELECT 1, 0, local_idx FROM c
-      UNION ALL SELECT 2, 0, local_idx FROM b
-      UNION ALL SELECT 3, 1, local_idx FROM b)
+ORACLE["recipe_mixture"] = "WITH u AS (" + " UNION ALL ".join(
+    f"SELECT {i} AS task_idx, {copy} AS copy, local_idx FROM (SELECT row_number() OVER (ORDER BY {_MID_TRAIN[s][1]}) - 1 AS local_idx "
+    f"FROM (SELECT DISTINCT {_MID_TRAIN[s][1]} FROM {_MID_TRAIN[s][0]}))" + ("" if stop is None else f" WHERE local_idx < {stop}")
+    for i, (s, stop, copy) in enumerate([("smoltalk", None, 0), ("mmlu-auxiliary", None, 0), ("gsm8k", None, 0), ("identity", None, 0), ("identity", None, 1),
+                                         ("simple-spelling", 200_000, 0), ("spelling-bee", 80_000, 0)])) + """)
 SELECT task_idx, copy, local_idx, row_number() OVER (ORDER BY md5('42:' || task_idx || ':' || copy || ':' || local_idx)) - 1 AS idx
 FROM u
 """
@@ -1871,3 +1872,99 @@ def parse_reports_q(spark, sf):
 for _name, _casts in {"conversations_jsonl": {"turn": "BIGINT"}, "icl_bundle": {"num_fewshot": "BIGINT", "baseline": "DOUBLE"}, "shard_manifest": {"shard_idx": "BIGINT"},
                       "option_spans_lm": {"start": "BIGINT", "end": "BIGINT"}, "parse_reports": {"section_no": "BIGINT", "wall_seconds": "BIGINT"}}.items():
     ORACLE_CASTS.setdefault(_name, {}).update(_casts)
+
+
+# ---------------------------------------------------------------------------
+# Content with parts, tasks as data, the buffered shuffle as a stream
+
+from quill.operators import content  # noqa: E402
+from quill.operators.task import Task, evaluate  # noqa: E402
+from quill.streaming.shuffle import BufferedShuffle  # noqa: E402
+
+
+def _hex_ids(text: str) -> str:
+    return f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::INT)"
+
+
+def _ids(*parts: str) -> str:
+    """SQL list of the ids of special tokens (by name) and texts (in parentheses), with 256 byte tokens."""
+    lists = [f"[{256 + tx.SPECIAL_TOKENS.index(f'<|{p}|>')}]" if not p.startswith("(") else _hex_ids(p) for p in parts]
+    return "flatten([" + ", ".join(lists) + "])"
+
+
+@register("render_parts_jsonl", f"""
+WITH c AS (SELECT conv_id, turn, role, text, lag(role) OVER w = 'system' AND turn = 1 AS after_system, lag(text) OVER w AS before
+           FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+m AS (SELECT conv_id, turn, role, CASE WHEN after_system THEN before || chr(10) || chr(10) || text ELSE text END AS text,
+             turn = 0 OR coalesce(after_system, false) AS leads, (conv_id + turn) % 2 = 0 AS split, length(text) // 2 AS h FROM c WHERE NOT (turn = 0 AND role = 'system')),
+s AS (SELECT conv_id, turn,
+  CASE WHEN leads THEN [256] ELSE CAST([] AS INT[]) END || CASE WHEN role = 'user' THEN {_ids('user_start', '(text)', 'user_end')}
+    WHEN split THEN {_ids('assistant_start', '(substring(text, 1, h))', 'python_start', '(CAST(h AS VARCHAR))', 'python_end', 'output_start', "('=' || h)", 'output_end', '(substring(text, h + 1))', 'assistant_end')}
+    ELSE {_ids('assistant_start', '(text)', 'assistant_end')} END AS ids,
+  CASE WHEN role = 'user' THEN 0 WHEN split THEN strlen(text) + length(CAST(h AS VARCHAR)) + 3 ELSE strlen(text) + 1 END AS supervised FROM m),
+r AS (SELECT conv_id, flatten(list(ids ORDER BY turn)) AS ids, sum(supervised) AS supervised FROM s GROUP BY conv_id)
+SELECT md5(array_to_string(ids, ',')) AS ids_md5, len(ids) AS n_ids, supervised::BIGINT AS supervised FROM r
+""")
+def render_parts_jsonl_q(spark, sf):
+    """Conversations written as JSON lines, half of the assistants' answers as lists of parts, read
+    back in both shapes and rendered with the 256 byte tokens."""
+    c = _t(spark, sf, "conversations")
+    half = F.floor(F.length("text") / 2).cast("int")
+
+    def part(kind, text):
+        return F.struct(F.lit(kind).alias("type"), text.alias("text"))
+    parts = F.array(part("text", F.substr("text", F.lit(1), half)), part("python", half.cast("string")),
+                    part("python_output", F.concat(F.lit("="), half.cast("string"))), part("text", F.substr("text", half + 1)))
+    split = (F.col("role") == "assistant") & ((F.col("conv_id") + F.col("turn")) % 2 == 0)
+    as_json = F.concat(F.lit('{"role":"'), F.col("role"), F.lit('","content":'),
+                       F.when(split, F.to_json(parts)).otherwise(F.regexp_replace(F.to_json(F.struct(F.col("text").alias("c"))), r'^\{"c":|\}$', "")), F.lit("}"))
+    lines = c.select("conv_id", "turn", as_json.alias("m")).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "m"))).alias("ms"))
+    path = _folder(spark, "parts") + "/lines"
+    lines.select(F.concat(F.lit("["), F.array_join(F.transform("ms", lambda x: x["m"]), ","), F.lit("]")).alias("value")).write.text(path)
+    segments = content.render_parts(content.read_parts_jsonl(spark, path))
+    empty = spark.createDataFrame([], "rank INT, left INT, right INT, new_id INT, cnt LONG")
+    r = chat.render_conversation(None, empty, max_tokens=1 << 30, key="conv", segments=segments)
+    return r.select(F.md5(F.array_join("ids", ",")).alias("ids_md5"), F.size("ids").alias("n_ids"), chat.supervised_tokens(r).alias("supervised"))
+
+
+@register("evaluate_tasks", """
+WITH mc AS (SELECT row_number() OVER (ORDER BY item_id) - 1 AS i, chr((65 + item_id % 4)::INT) AS ref FROM benchmark),
+num AS (SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS i, length(text) AS ref FROM conversations),
+ex AS (SELECT 'letters' AS task, (i - 1) // 2 AS idx, ref FROM mc WHERE i >= 1 AND (i - 1) % 2 = 0
+       UNION ALL SELECT 'numbers', i, CAST(ref AS VARCHAR) FROM num),
+s AS (SELECT task, idx, n, CASE WHEN task = 'letters' THEN chr((65 + (idx + n) % 5)::INT) = ref ELSE (idx + n) % 3 = 0 END AS ok FROM ex, range(3) r(n)),
+p AS (SELECT task, idx, avg(ok::INT) AS m, max(ok::INT) AS a FROM s GROUP BY 1, 2)
+SELECT task, count(*) AS n, round(avg(m), 6) AS mean, round(avg(a), 6) AS any FROM p GROUP BY task
+""")
+def evaluate_tasks_q(spark, sf):
+    """A multiple-choice and a numeric task graded in one plan, three completions an example."""
+    four = F.array(*[F.lit(x) for x in "ABCD"])
+    mc = Task("letters", _t(spark, sf, "benchmark"), "item_id", {"prompt": F.col("text"), "reference": F.chr(F.col("item_id") % 4 + 65), "letters": four},
+              lambda ref, done, letters: evals.grade_letter(ref, done, letters), start=1, step=2)
+    answers = _t(spark, sf, "conversations").withColumn("at", F.struct("conv_id", "turn"))
+    numbers = Task("numbers", answers, "at", {"prompt": F.col("text"), "reference": F.concat(F.lit("so #### "), F.length("text").cast("string"))},
+                   lambda ref, done, _: evals.grade_numeric(ref, done))
+    many = F.explode(F.sequence(F.lit(0), F.lit(2))).alias("sample_no")
+    i = F.col("idx") + F.col("sample_no")
+    said = F.when(F.col("task") == "letters", F.chr(i % 5 + 65)).when(i % 3 == 0, F.col("reference")).otherwise(F.concat(F.col("reference"), F.lit("9")))
+    done = (mc.examples().unionByName(numbers.examples()).select("task", "idx", "reference", many)
+            .select("task", "idx", "sample_no", said.alias("completion")))
+    return evaluate([mc, numbers], done)
+
+
+@register("shuffle_stream", ORACLE["shuffle_buffered"].replace(" WHERE rank < 20000", ""))
+def shuffle_stream_q(spark, sf):
+    """The buffered shuffle over micro-batches of a sharded corpus, every sentence kept."""
+    base = _folder(spark, "shuffle")
+    docs = sinks.shard_by_rows(_t(spark, sf, "documents"), "doc_id", rows=256)
+    write_shards(docs.select("__pos", "doc_id", "text", "shard"), base + "/corpus", ["__pos"], row_group_rows=64)
+    s = stream_epochs(spark, base + "/corpus", base + "/progress", "doc_id bigint, text string", groups=6, epochs=1)
+    mixer = BufferedShuffle(base, corpus.sentences, n=2000)
+    q = s.writeStream.foreachBatch(mixer).option("checkpointLocation", base + "/ckpt").start()
+    q.processAllAvailable()
+    q.stop()
+    return mixer.finish(spark, _batches(spark, base)).select("doc_id", "pos", "buffer", "rank")
+
+
+def _batches(spark, base: str) -> int:
+    return 1 + spark.read.parquet(base + "/position").agg(F.max("batch")).collect()[0][0]

@@ -265,8 +265,8 @@ def named_recipe(name: str, sources: dict[str, DataFrame], seed: int = 42, local
     missing = sorted({s for s, _ in RECIPES[name]} - sources.keys())
     if missing:
         raise ValueError(f"recipe {name} needs {', '.join(missing)}")
-    parts = [sources[s] if stop is None else sources[s].where(F.col(local_idx) < stop) for s, stop in RECIPES[name]]
-    return recipe([p.select(local_idx) for p in parts], seed, local_idx)
+    views = {(s, stop): (sources[s] if stop is None else sources[s].where(F.col(local_idx) < stop)).select(local_idx) for s, stop in RECIPES[name]}
+    return recipe([views[view] for view in RECIPES[name]], seed, local_idx)      # one view listed twice counts its copies
 
 
 def render_part_segments(df: DataFrame, key: str = "conv_id", user: str = "user",

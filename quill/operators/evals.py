@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quill.functions.text import extract_answer
-from quill.plans.order import dense_index, prefix_sum, seeded_int, seeded_key
+from quill.plans.order import dense_index, prefix_aggregates, seeded_int, seeded_key
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's.
@@ -65,20 +65,30 @@ def bits_per_byte(losses: DataFrame, token_bytes: DataFrame, by: list[str] | Non
     return agg.select(*by, F.round("nats", 6).alias("nats"), "bytes", F.round(bpb, 6).alias("bpb"))
 
 
+def distinct_picks(seed: int, k: int, n: Column, *cols) -> Column:
+    """``k`` distinct, independently drawn integers below ``n`` (k <= n) as an array.
+
+    Draw i is below n - k + i + 1; a number that was drawn before gives way to the
+    largest one allowed, which cannot have been. Every k-subset is equally likely."""
+    def draw(done, i):
+        top = n - F.lit(k) + i
+        t = seeded_int(seed, top + 1, *cols, i)
+        return F.concat(done, F.array(F.when(F.array_contains(done, t), top).otherwise(t)))
+    return F.aggregate(F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long")), F.array().cast("array<bigint>"), draw)
+
+
 def fewshot_examples(items: DataFrame, k: int, seed: int = 1234, key: str = "idx") -> DataFrame:
-    """``k`` distinct other items per item, seeded per item; needs k < n.
+    """``k`` distinct other items per item, drawn independently per item; needs k < n.
 
-    Items get dense positions; item at p takes positions (p + o + j) mod n for
-    j < k with a seeded o in [1, n − k]: never itself, all distinct. Equi-join
-    back on position (no n² theta join).
+    Items get dense positions; an item's picks are positions among the n - 1 others.
+    One equi-join by position brings the picked items (no n² theta join).
     """
     pos = dense_index(items.select(key), [key], out="pos")
     n = items.select(key).count()
     if k >= n:
         raise ValueError("need k < number of items")
-    o = 1 + seeded_int(seed, n - k, key)
-    shots = pos.select(key, F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("j"), o.alias("o"), "pos") \
-        .select(key, "j", F.pmod(F.col("pos") + F.col("o") + F.col("j"), F.lit(n)).alias("shot_pos"))
+    picks = pos.select(key, "pos", F.posexplode(distinct_picks(seed, k, F.lit(n - 1), key)).alias("j", "r"))
+    shots = picks.select(key, "j", (F.col("r") + (F.col("r") >= F.col("pos")).cast("int")).alias("shot_pos"))
     back = pos.select(F.col("pos").alias("shot_pos"), F.col(key).alias("shot_" + key))
     return shots.join(back, "shot_pos").select(key, "j", "shot_" + key)
 
@@ -239,36 +249,30 @@ def run_metrics(metrics: DataFrame, run: str = "run", step: str = "step", loss:
                 world_size: int = 1) -> DataFrame:
     """debiased EMA(0.9) of loss, running min of ``val``, time after warm-up.
 
-    ``t`` = 0-based position of the step in its run (two-level prefix count,
-    so a huge run is still split by step ranges). The EMA
+    The step's position in its run, the running min and the time after warm-up (steps
+    numbered above ``warmup``) come from one pass of running aggregates, so a
+    huge run is split by step ranges. The EMA
     0.1·Σ 0.9^(t−i)·loss_i is computed per block of ``EMA_BLOCK`` positions
     as a scaled running sum (a window partitioned by run and block, ≤ 1024
     rows each) plus the carry of the previous block's final value; terms two
-    blocks back weigh < 1e-47. Debias: ÷ (1 − 0.9^(t+1)). Running min and the
-    time after warm-up (steps numbered above ``warmup``) are two-level prefix
-    aggregates; tok/s and MFU are per-row projections.
+    blocks back weigh < 1e-47. Debias: ÷ (1 − 0.9^(t+1)). tok/s and MFU are
+    per-row projections.
     """
-    d = dense_index(metrics, [step], out="__t", partition_by=[run])
+    counted = F.when(F.col(step) > warmup, F.col(dt)).otherwise(F.lit(0.0))
+    running = {"__t": (F.lit(1), "sum", False), "__S": (counted, "sum", True)} | ({"min_val": (val, "min", True)} if val is not None else {})
+    d = prefix_aggregates(metrics, [step], running, partition_by=[run])
     d = d.withColumn("__b", F.floor(F.col("__t") / EMA_BLOCK)).withColumn("__o", F.col("__t") % EMA_BLOCK)
     d = d.withColumn("__y", F.col(loss) * F.pow(F.lit(EMA_BETA), -F.col("__o")))
     wb = Window.partitionBy(run, "__b").orderBy("__t").rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("__local", F.sum("__y").over(wb) * F.pow(F.lit(EMA_BETA), F.col("__o")))
     ends = d.groupBy(run, "__b").agg((F.sum("__y") * F.pow(F.lit(EMA_BETA), F.max("__o"))).alias("__end"))
     ends = ends.select(run, (F.col("__b") + 1).alias("__b"), "__end")
-    d = d.join(ends, [run, "__b"], "left")
+    ends = ends.withColumnsRenamed({run: "__run", "__b": "__next"})
+    d = d.join(ends, F.col(run).eqNullSafe(F.col("__run")) & (F.col("__b") == F.col("__next")), "left").drop("__run", "__next")
     ema = F.lit(1 - EMA_BETA) * (F.col("__local") + F.coalesce(F.col("__end"), F.lit(0.0))
                                  * F.pow(F.lit(EMA_BETA), F.col("__o") + 1))
     out = d.withColumn("ema_loss", F.round(ema / (F.lit(1.0) - F.pow(F.lit(EMA_BETA), F.col("__t") + 1)), 6))
-    # running aggregates straight on the input (joined back on run, step)
-    keys = [run, step]
-    if val is not None:
-        # one row per training step: a per-run window is bounded by the run length
-        wr = Window.partitionBy(run).orderBy(step).rowsBetween(Window.unboundedPreceding, 0)
-        out = out.withColumn("min_val", F.min(val).over(wr))
-    # time counts only after the warm-up steps (step number > warmup)
-    tw = F.when(F.col(step) > warmup, F.col(dt)).otherwise(F.lit(0.0))
-    s = prefix_sum(metrics.select(*keys, dt), [step], tw, out="__S", partition_by=[run]).select(*keys, "__S")
-    out = out.join(s, keys).withColumn("time_after_warmup", F.round("__S", 6))
+    out = out.withColumn("time_after_warmup", F.round("__S", 6))
     if total_batch_size is not None:
         out = out.withColumn("tok_per_sec", F.floor(F.lit(total_batch_size) / F.col(dt)).cast("long"))
         if flops_per_token is not None:

@@ -70,25 +70,27 @@ def _bucket_column(rows: DataFrame, order: Sequence[str], bounds: str, n_buckets
         (at + step <= F.size(table)) & (F.get(table, at + step - 1) <= key), at + step).otherwise(at))
 
 
-def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str,
-               out: str = "prefix", inclusive: bool = True,
-               n_buckets: int | None = None, partition_by: Sequence[str] = (),
-               agg: str = "sum", stop_above: float | None = None) -> DataFrame:
-    """Running sum of ``value`` in ``order`` (a total order), optionally per group.
+Spec = tuple[Column | str, str, bool]      # value, "sum", "min" or "max", whether the row itself counts
+
+
+def prefix_aggregates(df: DataFrame, order: Sequence[str], specs: dict[str, Spec], n_buckets: int | None = None,
+                      partition_by: Sequence[str] = (), stop_above: float | None = None) -> DataFrame:
+    """Running aggregates in ``order`` (a total order), optionally per group, all from one
+    pass: ``specs`` maps a new column to what it runs over.
 
     ``order`` may hold columns of any sortable type. Work is split into at most
     ``n_buckets`` range buckets (by default four a shuffle partition, fewer on small
     inputs); only per-bucket totals pass through a small
-    window and a broadcast. ``stop_above`` (non-negative values only) drops
-    rows of buckets whose running base already exceeds it — for budgets that
+    window and a broadcast. ``stop_above`` (the first column is a sum of non-negative
+    values) drops rows of buckets whose running base already exceeds it — for budgets that
     keep a prefix of a huge input. The input is evaluated and written once, here.
     """
-    order = list(order)
-    partition_by = list(partition_by)
-    fn = {"sum": F.sum, "min": F.min, "max": F.max}[agg]
-    combine = {"sum": lambda a, b: a + b, "min": F.least, "max": F.greatest}[agg]
-    v = F.col(value) if isinstance(value, str) else value
-    rows = written(df.withColumn("__v", v), "prefix")
+    order, partition_by = list(order), list(partition_by)
+    fn = {"sum": F.sum, "min": F.min, "max": F.max}
+    combine = {"sum": lambda a, b: a + F.coalesce(b, F.lit(0)), "min": F.least, "max": F.greatest}    # the last two pass over NULLs
+    how = list(enumerate((agg, inclusive) for _, agg, inclusive in specs.values()))
+    values = {f"__v{i}": F.col(v) if isinstance(v, str) else v for i, (v, _, _) in enumerate(specs.values())}
+    rows = written(df.withColumns(values), "prefix")
     n_rows = rows().count()
     if n_buckets is None:
         n_buckets = min(max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4), n_rows // ROWS_PER_BUCKET + 1)
@@ -96,31 +98,36 @@ def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str,
     if n_buckets > 1:
         bounds = _range_bounds(rows(), order, n_buckets, n_rows)
         staged = [r.withColumn(b, _bucket_column(r, order, bounds, n_buckets)) for r in (rows(), rows())]
-        totals = staged[0].groupBy(*partition_by, b).agg(fn("__v").alias("__t"))
+        totals = staged[0].groupBy(*partition_by, b).agg(*(fn[agg](f"__v{i}").alias(f"__t{i}") for i, (agg, _) in how))
         wt = Window.partitionBy(*partition_by).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-        base0 = F.coalesce(fn("__t").over(wt), F.lit(0)) if agg == "sum" else fn("__t").over(wt)
+        base = [(F.coalesce(F.sum(f"__t{i}").over(wt), F.lit(0)) if agg == "sum" else fn[agg](f"__t{i}").over(wt)).alias(f"__base{i}") for i, (agg, _) in how]
         # bases has at most n_buckets rows per group: size bounded by a parameter
-        bases = totals.select(*(F.col(p).alias(f"__p{i}") for i, p in enumerate(partition_by)), F.col(b).alias("__b"), base0.alias("__base"))
+        bases = totals.select(*(F.col(p).alias(f"__p{i}") for i, p in enumerate(partition_by)), F.col(b).alias("__b"), *base)
         if not partition_by:
             bases = F.broadcast(bases)
         same = F.col(b) == F.col("__b")
         for i, p in enumerate(partition_by):        # null is a group like others
             same = same & F.col(p).eqNullSafe(F.col(f"__p{i}"))
         joined = staged[1].join(bases, same, "left").drop(*(f"__p{i}" for i in range(len(partition_by))), "__b")
-        if stop_above is not None and agg == "sum":
+        if stop_above is not None:
             # a running sum never falls below its bucket's base (non-negative
             # values): buckets already past the limit skip the local sort entirely
-            joined = joined.where(F.col("__base") <= stop_above)
+            joined = joined.where(F.col("__base0") <= stop_above)
     else:
-        joined = rows().withColumn(b, F.lit(0)).withColumn("__base", F.lit(0 if agg == "sum" else None).cast(dict(rows().dtypes)["__v"]))
-    lower = Window.unboundedPreceding
-    upper = 0 if inclusive else -1
-    wl = Window.partitionBy(*partition_by, b).orderBy(*order).rowsBetween(lower, upper)
-    if agg == "sum":
-        res = F.col("__base") + F.coalesce(F.sum("__v").over(wl), F.lit(0))
-    else:   # NULLs (no earlier rows) are ignored by least/greatest
-        res = combine(F.col("__base"), fn("__v").over(wl))
-    return joined.withColumn(out, res).drop("__v", "__base", b)
+        kinds = dict(rows().dtypes)
+        joined = rows().withColumn(b, F.lit(0)).withColumns({f"__base{i}": F.lit(0 if agg == "sum" else None).cast(kinds[f"__v{i}"]) for i, (agg, _) in how})
+    w = Window.partitionBy(*partition_by, b).orderBy(*order)
+    upto = {inclusive: w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1) for inclusive in (True, False)}
+    found = [combine[agg](F.col(f"__base{i}"), fn[agg](f"__v{i}").over(upto[inclusive])).alias(out) for out, (i, (agg, inclusive)) in zip(specs, how)]
+    return joined.select(*(c for c in df.columns if c not in specs), *found)
+
+
+def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str,
+               out: str = "prefix", inclusive: bool = True,
+               n_buckets: int | None = None, partition_by: Sequence[str] = (),
+               agg: str = "sum", stop_above: float | None = None) -> DataFrame:
+    """One running aggregate; see ``prefix_aggregates``."""
+    return prefix_aggregates(df, order, {out: (value, agg, inclusive)}, n_buckets, partition_by, stop_above if agg == "sum" else None)
 
 
 def dense_index(df: DataFrame, order: Sequence[str], out: str = "idx",
