@@ -1968,3 +1968,48 @@ def shuffle_stream_q(spark, sf):
 
 def _batches(spark, base: str) -> int:
     return 1 + spark.read.parquet(base + "/position").agg(F.max("batch")).collect()[0][0]
+
+
+@register("score_lm_spans", """
+WITH p AS (SELECT l_orderkey AS item, l_linenumber AS pos, l_suppkey % 3 AS pred, l_partkey % 3 AS actual FROM lineitem),
+s AS (SELECT item, min(pos) + 1 AS "start", min(pos) + 3 AS "end" FROM p GROUP BY item)
+SELECT s.item, coalesce(bool_and(pred = actual), true) AS is_correct
+FROM s LEFT JOIN p ON p.item = s.item AND pos >= "start" - 1 AND pos < "end" - 1 GROUP BY s.item
+""")
+def score_lm_spans_q(spark, sf):
+    li = _t(spark, sf, "lineitem")
+    p = li.select(F.col("l_orderkey").alias("item"), F.col("l_linenumber").alias("pos"), (F.col("l_suppkey") % 3).alias("pred"), (F.col("l_partkey") % 3).alias("actual"))
+    spans = p.groupBy("item").agg((F.min("pos") + 1).alias("start"), (F.min("pos") + 3).alias("end"))
+    return evals.score_lm(p, spans=spans)
+
+
+@register("training_budget_rules", """
+WITH c AS (SELECT lang, sum(length(text))::BIGINT AS tokens, count(*) * 1.0 AS chars_per_token FROM documents GROUP BY lang),
+r AS (SELECT 'flops' AS rule, 1907 AS n UNION ALL SELECT 'ratio', 10700 UNION ALL SELECT 'given', 77)
+SELECT lang, rule, n::BIGINT AS num_iterations, round(524288.0::DOUBLE * n / 561000000, 6) AS tokens_per_param FROM c, r
+""")
+def training_budget_rules_q(spark, sf):
+    """Iterations from a compute target, from tokens per parameter, and as given."""
+    c = _t(spark, sf, "documents").groupBy("lang").agg(F.sum(F.length("text")).alias("tokens"), F.count(F.lit(1)).cast("double").alias("chars_per_token"))
+    rules = {"flops": {"target_flops": 1e18, "flops_per_token": 1e9}, "ratio": {"param_data_ratio": 10.0}, "given": {"num_iterations": 77}}
+    out = None
+    for lang in sorted(r.lang for r in c.select("lang").collect()):
+        for rule, options in rules.items():
+            one = pack.training_budget(c.where(F.col("lang") == lang), 524_288, 561_000_000, **options).select(
+                F.lit(lang).alias("lang"), F.lit(rule).alias("rule"), "num_iterations", "tokens_per_param")
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("read_qa_messages", """
+SELECT DISTINCT conv_id, count(*) OVER (PARTITION BY conv_id) AS n_messages, md5(string_agg(role || ':' || text, '|') OVER (
+  PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS messages_md5 FROM conversations
+""")
+def read_qa_messages_q(spark, sf):
+    """The ``messages`` branch of the Q/A reader over conversations written as JSON."""
+    c = sinks.conversations_jsonl(_t(spark, sf, "conversations"))
+    rows = c.select("conv_id", F.col("value").alias("messages"))
+    read = files.read_qa(rows.select("messages")).select("messages").distinct()
+    named = rows.select("conv_id", F.from_json("messages", read.schema["messages"].dataType).alias("messages")).join(read, "messages")
+    line = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "|")
+    return named.select("conv_id", F.size("messages").cast("bigint").alias("n_messages"), F.md5(line).alias("messages_md5"))

@@ -98,11 +98,6 @@ def extract_program(col) -> Column:
     return F.when(c.rlike(pat), strip_ws(F.regexp_extract(c, pat, 1))).otherwise(strip_ws(c))
 
 
-def utf8_len(col) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.octet_length(c)
-
-
 def nfkc(col) -> Column:
     """B1: NFKC normalization. Rows that are pure ASCII (already NFKC) skip
     Python entirely; the rest go through an Arrow-batched UDF."""

@@ -135,14 +135,6 @@ def render_segments(df: DataFrame, key: str = "conv_id", turn: str = "turn", rol
     return bos.unionByName(body.withColumn("seg_no", F.col("seg_no").cast("long")))
 
 
-def drop_last_assistant(df: DataFrame, key: str = "conv_id", turn: str = "turn",
-                        role: str = "role") -> DataFrame:
-    """C6 helper: remove each conversation's last message, which must be the assistant's."""
-    last = df.groupBy(key).agg(F.max(turn).alias("__last"))
-    j = df.join(last, key)
-    return j.where(F.col(turn) != F.col("__last")).drop("__last")
-
-
 def render_for_completion_segments(df: DataFrame, key: str = "conv_id", turn: str = "turn",
                                    role: str = "role", text: str = "text") -> DataFrame:
     """C6 (segments): render without the final assistant turn, then assistant_start."""
@@ -244,11 +236,6 @@ def supervised_tokens(rendered: DataFrame, mask: str = "mask") -> Column:
                        lambda a, m: a + m)
 
 
-def recipe(sources: Sequence[DataFrame], seed: int = 42, local_idx: str = "local_idx") -> DataFrame:
-    """A named mixture is C8 over (sliced) task views; listing a view twice oversamples."""
-    return mix(sources, seed=seed, local_idx=local_idx)
-
-
 # The named mixtures as (source, first rows kept or None for all).
 RECIPES = {
     "mid-train": [("smoltalk", None), ("mmlu-auxiliary", None), ("gsm8k", None), ("identity", None), ("identity", None),
@@ -266,7 +253,7 @@ def named_recipe(name: str, sources: dict[str, DataFrame], seed: int = 42, local
     if missing:
         raise ValueError(f"recipe {name} needs {', '.join(missing)}")
     views = {(s, stop): (sources[s] if stop is None else sources[s].where(F.col(local_idx) < stop)).select(local_idx) for s, stop in RECIPES[name]}
-    return recipe([views[view] for view in RECIPES[name]], seed, local_idx)      # one view listed twice counts its copies
+    return mix([views[view] for view in RECIPES[name]], seed, local_idx)      # one view listed twice counts its copies
 
 
 def render_part_segments(df: DataFrame, key: str = "conv_id", user: str = "user",

@@ -122,10 +122,6 @@ def stride(df: DataFrame, rank: int, world: int, group_size: int = 1024,
     return df.where(F.pmod(g, F.lit(world)) == rank)
 
 
-def looks_like_question_col(col) -> Column:
-    return looks_like_question(col)
-
-
 def shuffle_buffered(sents: DataFrame, n: int = 50_000, seed: int = 42, max_sentences: int | None = None,
                      key: str = "doc_id", pos: str = "pos") -> DataFrame:
     """Shuffle within document-aligned buffers of ≥ ``n`` sentences.

@@ -112,9 +112,17 @@ def score_options(losses: DataFrame, gold: DataFrame | None = None, item: str =
     return pred
 
 
-def score_lm(preds: DataFrame, item: str = "item", pred: str = "pred", actual: str = "actual") -> DataFrame:
-    """correct iff every predicted token in the span equals the actual one."""
-    return preds.groupBy(item).agg(F.bool_and(F.col(pred) == F.col(actual)).alias("is_correct"))
+def score_lm(preds: DataFrame, item: str = "item", pred: str = "pred", actual: str = "actual",
+             spans: DataFrame | None = None, pos: str = "pos") -> DataFrame:
+    """correct iff every predicted token in the span equals the actual one. The prediction at
+    ``pos`` is of the token after it, so ``spans`` (item, start, end) keep positions
+    [start - 1, end - 1); without them all rows count. An item without a row in its span is
+    correct, as nothing differs."""
+    if spans is None:
+        return preds.groupBy(item).agg(F.bool_and(F.col(pred) == F.col(actual)).alias("is_correct"))
+    inside = (F.col(pos) >= F.col("start") - 1) & (F.col(pos) < F.col("end") - 1)
+    met = spans.join(preds, item, "left").withColumn("__ok", ~F.coalesce(inside, F.lit(False)) | F.col(pred).eqNullSafe(F.col(actual)))
+    return met.groupBy(item).agg(F.bool_and("__ok").alias("is_correct"))
 
 
 def task_accuracy(outcomes: DataFrame, by: str = "task", key: str = "idx", correct: str = "is_correct",

@@ -195,7 +195,7 @@ def training_budget(counts: DataFrame, total_batch_size: int, num_params: int,
     chars_needed = F.lit(20 * num_params) * F.col("chars_per_token")
     return counts.select(
         "tokens", iters.cast("long").alias("num_iterations"),
-        F.round(F.lit(total_batch_size) * iters / F.lit(num_params), 6).alias("tokens_per_param"),
+        F.round(F.lit(float(total_batch_size)) * iters / F.lit(num_params), 6).alias("tokens_per_param"),
         F.ceil(chars_needed / chars_per_shard).cast("long").alias("shards_needed"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ast
 import operator
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -186,34 +187,42 @@ def _eval_node(node):
     raise ValueError("not allowed")
 
 
-def calculate(expr: str):
-    """Calculator semantics: commas dropped; arithmetic without ``**``, or a
-    string ``.count(`` call from a restricted character set; None on reject."""
-    if expr is None:
-        return None
-    expr = expr.replace(",", "")
-    if all(c in MATH_CHARS for c in expr):
-        if "**" in expr:
-            return None
-    else:
-        if not all(c in STRING_OP_CHARS for c in expr):
-            return None
-        low = expr.lower()
-        if any(p in low for p in DANGEROUS) or ".count(" not in expr:
-            return None
+def _pattern(chars: str, *conditions: str) -> str:
+    """Whole strings of these characters that meet the conditions; reads alike in Java and Python."""
+    return "(?s)^" + "".join(conditions) + f"[{re.escape(chars)}]*(?!.)"
+
+
+# What the calculator takes, commas apart: one pattern for each kind of expression.
+EXPRESSIONS = {
+    "arithmetic": _pattern(MATH_CHARS, r"(?!.*\*\*)"),
+    "count": _pattern(STRING_OP_CHARS, r"(?=.*\.count\()", rf"(?!(?i:.*(?:{'|'.join(map(re.escape, DANGEROUS))})))"),
+}
+
+
+def expression_kind(expr: Column) -> Column:
+    """'arithmetic' or 'count'; null for what the calculator rejects."""
+    plain = F.replace(expr, F.lit(","), F.lit(""))
+    return F.coalesce(*(F.when(plain.rlike(pattern), F.lit(kind)) for kind, pattern in EXPRESSIONS.items()))
+
+
+def _value(plain: str):
+    """Value of an accepted expression; None where it has none."""
     try:
-        return _eval_node(ast.parse(expr, mode="eval"))
+        return _eval_node(ast.parse(plain, mode="eval"))
     except Exception:  # noqa: BLE001 - any failure is a rejected call
         return None
 
 
+def calculate(expr: str | None):
+    """One expression outside Spark, by the same patterns."""
+    plain = (expr or "").replace(",", "")
+    return _value(plain) if any(re.search(p, plain) for p in EXPRESSIONS.values()) else None
+
+
 @F.pandas_udf(T.StringType())
 def calculator(exprs: pd.Series) -> pd.Series:
-    out = []
-    for e in exprs:
-        v = calculate(e)
-        out.append(None if v is None else str(v))
-    return pd.Series(out, dtype=object)
+    values = [None if e is None else _value(e.replace(",", "")) for e in exprs]
+    return pd.Series([None if v is None else str(v) for v in values], dtype=object)
 
 
 def audit_tool_results(parts: DataFrame, key: list[str], parts_col: str = "parts") -> DataFrame:
@@ -225,5 +234,5 @@ def audit_tool_results(parts: DataFrame, key: list[str], parts_col: str = "parts
     x = parts.select(*key, F.explode(pairs).alias("c"))
     x = x.select(*key, F.col("c.i").alias("part_idx"), F.col("c.expr").alias("expr"),
                  F.col("c.recorded").alias("recorded"))
-    x = x.withColumn("computed", calculator(F.col("expr")))
+    x = x.withColumn("computed", calculator(F.when(expression_kind(F.col("expr")).isNotNull(), F.col("expr"))))
     return x.withColumn("ok", F.when(F.col("computed").isNotNull(), F.col("computed") == F.col("recorded")))

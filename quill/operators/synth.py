@@ -71,6 +71,12 @@ USER_MSG_TEMPLATES = [
     "{word}の中に{letter}がいくつ",
     "{word}に{letter}が何回出てくる",
 ]
+ANSWER_START = ("We are asked to find the number '%s' in the word '%s'. Let me try a manual approach first.\n\n"
+                "First spell the word out:\n%s:%s\n\nThen count the occurrences of '%s':\n")
+ANSWER_HIT, ANSWER_MISS = "%d:%s hit! count=%d\n", "%d:%s\n"
+ANSWER_MANUAL = "\nThis gives us %d."
+ANSWER_CALL = "'%s'.count('%s')"
+ANSWER_END = "\n\nPython gives us %d.\n\nMy final answer is:\n\n#### %d"
 # ---------------------------------------------------------------------------
 
 
@@ -85,8 +91,8 @@ def manual_count_trace(word: Column, letter: Column) -> Column:
         ch = F.substring(word, i, 1)
         prefix = F.substring(word, 1, i)
         k = F.length(prefix) - F.length(F.replace(prefix, letter, F.lit("")))
-        return F.when(ch == letter, F.format_string("%d:%s hit! count=%d\n", i, ch, k)) \
-            .otherwise(F.format_string("%d:%s\n", i, ch))
+        return F.when(ch == letter, F.format_string(ANSWER_HIT, i, ch, k)) \
+            .otherwise(F.format_string(ANSWER_MISS, i, ch))
     return F.array_join(F.transform(F.sequence(F.lit(1), F.length(word)), line), "")
 
 
@@ -121,16 +127,13 @@ def spelling_bee(indices: DataFrame, words: DataFrame, split: str = "train",
     lq, wq = _pick(QUOTE_OPTIONS, F.col("u_lq")), _pick(QUOTE_OPTIONS, F.col("u_wq"))
     msg = F.replace(F.replace(tmpl, F.lit("{letter}"), F.concat(lq, lt, lq)), F.lit("{word}"), F.concat(wq, w, wq))
     msg = F.when(F.col("u_q") < 0.5, F.concat(msg, F.lit("?"))).otherwise(msg)
-    head = F.format_string(
-        "We are asked to find the number '%s' in the word '%s'. Let me try a manual approach first.\n\n"
-        "First spell the word out:\n%s:%s\n\nThen count the occurrences of '%s':\n", lt, w, w, spell(w), lt)
-    manual = F.concat(head, manual_count_trace(w, lt), F.format_string("\nThis gives us %d.", count))
+    head = F.format_string(ANSWER_START, lt, w, w, spell(w), lt)
+    manual = F.concat(head, manual_count_trace(w, lt), F.format_string(ANSWER_MANUAL, count))
     return d.select(idx, "word", "letter", count.alias("count"), msg.alias("user_msg"),
                     manual.alias("manual_text"),
-                    F.format_string("'%s'.count('%s')", w, lt).alias("python_expr"),
+                    F.format_string(ANSWER_CALL, w, lt).alias("python_expr"),
                     count.cast("string").alias("python_output"),
-                    F.format_string("\n\nPython gives us %d.\n\nMy final answer is:\n\n#### %d", count, count)
-                    .alias("final_text"))
+                    F.format_string(ANSWER_END, count, count).alias("final_text"))
 
 
 def simple_spelling(indices: DataFrame, words: DataFrame, split: str = "train",
