@@ -58,9 +58,13 @@ OUT_ROLES = set("navigation banner contentinfo complementary search form dialog
 OUT_WORDS = set("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion sidebar menu nav navbar navigation breadcrumb breadcrumbs "
                 "footer masthead cookie cookies consent gdpr notice notices popup modal comment comments disqus reply replies respond share sharing social "
                 "related recommended recommendations newsletter subscribe subscription signup login toolbar pagination pager teaser skip".split())
+# What may stand beside them in one name: "cookie-banner" is furniture, "related-work" is not.
+BESIDE_WORDS = set("top bottom left right main site page post article entry story content global primary secondary inner outer first last my the js is has "
+                   "banner box bar slot unit list lists item items link links wrap wrapper container holder block area section region zone panel column col row "
+                   "widget widgets button buttons icon icons form header title text label image img posts articles stories overlay bottombar tabs tab".split())
 MAIN = "@main"          # marks the key of an element that is main by role or itemprop
 WHOLE = {"html", "body", "main", "article"}
-MAX_DEPTH = 150         # deeper elements are taken as part of their ancestor, as browsers do
+MAX_DEPTH = 150         # deeper elements are taken as part of their ancestor, as browsers do, and deeper furniture is left out
 MAX_ITEMS = 4000        # of two wrappers that are aligned; larger ones are generalised first
 ANY = ".*"              # in a key: elements of this tag, whatever their class
 
@@ -72,17 +76,27 @@ class Element:
         self.tag, self.key, self.kids, self.out, self.main = tag, key, [], out, main
 
 
+def furniture(names: str) -> set[str]:
+    """Words of page furniture among class names or ids, of names that say nothing else."""
+    found = set()
+    for name in names.split():
+        words = {w.lower() for w in WORDS.findall(name) if not w.isdigit()}
+        if words & OUT_WORDS and words <= OUT_WORDS | BESIDE_WORDS:
+            found |= words & OUT_WORDS
+    return found
+
+
 def _element(tag: str, attrs: str) -> Element:
     found = {}
     if attrs:
         for m in ATTR.finditer(attrs):
             found.setdefault(m[1].lower(), next((x for x in m.groups()[1:] if x is not None), ""))
     names = found.get("class", "") + " " + found.get("id", "")
-    words = {w.lower() for w in WORDS.findall(names)}
+    words = furniture(names)
     role = found.get("role", "").lower()
     out = (tag in OUT_TAGS or role in OUT_ROLES or found.get("aria-hidden", "").lower() == "true" or "hidden" in found
            or "display:none" in found.get("style", "").replace(" ", "").lower())
-    if tag not in WHOLE and words & OUT_WORDS or tag == "article" and words & {"comment", "comments", "reply", "teaser", "ad", "advert", "related"}:
+    if tag not in WHOLE and words or tag == "article" and words & {"comment", "comments", "reply", "teaser", "ad", "advert", "related"}:
         out = True
     main = tag in ("article", "main") or role == "main" or found.get("itemprop", "").lower() == "articlebody"
     cls = ".".join(sorted(found.get("class", "").split())[:3])
@@ -96,14 +110,16 @@ def parse(page: str) -> Element:
     root = Element("", "")
     stack = [root]
     flat: dict = {}         # open elements below MAX_DEPTH
+    mute = None             # the outermost furniture among them, and how many of its tag were open before
     at = 0
     n = len(page)
     while at < n:
         m = TAG.search(page, at)
         if m is None:
-            stack[-1].kids.append(page[at:])
+            if mute is None:
+                stack[-1].kids.append(page[at:])
             break
-        if m.start() > at:
+        if m.start() > at and mute is None:
             stack[-1].kids.append(page[at:m.start()])
         at = m.end()
         if m[2] is None:
@@ -112,10 +128,13 @@ def parse(page: str) -> Element:
         if m[1]:
             if flat.get(tag):
                 flat[tag] -= 1
+                if mute == (tag, flat[tag]):
+                    mute = None
                 continue
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
                     del stack[i:]
+                    flat, mute = {}, None       # what was open below ends with it
                     break
             continue
         if tag in CLOSES_P:         # an open paragraph ends where a block begins
@@ -133,6 +152,8 @@ def parse(page: str) -> Element:
                 if stack[i].tag in ("ul", "ol", "dl", "table", "select"):
                     break
         if len(stack) > MAX_DEPTH and tag not in RAW and tag not in VOID:
+            if mute is None and _element(tag, m[3]).out:
+                mute = tag, flat.get(tag, 0)
             flat[tag] = flat.get(tag, 0) + 1
             continue
         e = _element(tag, m[3])
@@ -314,7 +335,7 @@ def decide(w: list, pages: int) -> dict:
 
     def out(key: str) -> bool:
         tag, _, cls = key.partition(".")
-        return tag in OUT_TAGS or tag == "header" or bool({x.lower() for x in WORDS.findall(cls)} & OUT_WORDS)
+        return tag in OUT_TAGS or tag == "header" or bool(furniture(cls.replace(".", " ")))
 
     def weigh(x: list, path: str, always: bool) -> float:
         always = always and not x[REPEATED] and not x[OPTIONAL]

@@ -294,3 +294,19 @@ def test_fertility_counts_by_brute_force():
                 marked |= {k for i in at for k in range(i, i + 5)}
         want = (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(marked))
         assert fertility.base_counts(t.encode())[:5] == want
+
+
+@pytest.mark.parametrize("name,out", [("related-work", False), ("social-history", False), ("ad-hoc", False), ("comment-on-method", False), ("cookie-banner", True),
+                                      ("site-footer", True), ("navMain", True), ("ad", True), ("ad-slot-3", True), ("article-comments", True), ("share_buttons", True)])
+def test_names_of_furniture(name, out):
+    assert bool(html_wrapper.furniture(f"x {name}")) is out
+    page = f"<article><h1>T</h1><p>one</p><div class='{name}'><p>two</p></div></article>"
+    assert html_wrapper.main_text(page) == ("T\n\none" if out else "T\n\none\n\ntwo")
+
+
+def test_deep_furniture():
+    deep = "<div>" * 200
+    page = f"<article><p>start</p>{deep}<p>in</p><nav>MENU <b>x</b><nav>more</nav></nav><span>text</span><div class=ad>AD</div> end{'</div>' * 200}<p>after</p></article>"
+    got = html_wrapper.main_text(page)
+    assert "MENU" not in got and "more" not in got and "AD" not in got
+    assert got.startswith("start") and "text" in got and "end" in got and got.endswith("after")
