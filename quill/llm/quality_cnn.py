@@ -173,10 +173,11 @@ def probabilities(texts: list[bytes], w: dict, slab: int = 512) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", key: str = "doc_id", text: str = "text", folds: int = 4,
         held_out: int = 2, max_docs: int = 3000, max_bytes: int = 1 << 26, **kw) -> dict:
-    """Weights learned from the labelled rows outside the held-out fold."""
+    """Weights learned from the labelled rows outside the held-out fold. A key with several
+    labels is good only if all say so; of several texts of a key the smallest counts."""
     rows = (labels.where(F.col(target).isNotNull() & F.col(key).isNotNull() & (crc32_mod(key, folds) != held_out))
-            .select(F.col(key).alias("__key"), (F.col(target) > 0).cast("int").alias("__label"))
-            .orderBy(F.xxhash64("__key"), "__key", "__label").limit(max_docs).dropDuplicates(["__key"]))
+            .groupBy(F.col(key).alias("__key")).agg(F.min((F.col(target) > 0).cast("int")).alias("__label"))
+            .orderBy(F.xxhash64("__key"), "__key").limit(max_docs))
     few = docs.select(key, text_bytes(text).alias("text")).join(F.broadcast(rows), F.col(key) == F.col("__key")).select("__key", "text", "__label")
     few = stored(few, "cnn-sample")
     # whole rows until they have max_bytes together, in the order of the sample; what is
@@ -187,7 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", key: str =
     if fits < len(sizes):
         last = sizes[fits]["__key"]
         few = few.where(F.xxhash64("__key") < F.xxhash64(F.lit(last).cast(dict(rows.dtypes)["__key"])))
-    sample = few.dropDuplicates(["__key"]).collect()
+    sample = few.groupBy("__key").agg(F.min(F.struct("text", "__label")).alias("s")).select("__key", "s.text", "s.__label").collect()
     sample = sorted(sample, key=lambda r: (str(r[0]), r[2]))
     return train([(chunks_of(r[1], chunk_starts(len(r[1]))).tobytes(), int(r[2])) for r in sample], **kw)
 

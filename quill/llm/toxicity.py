@@ -16,7 +16,8 @@ times; those below ``significant`` are reported. The best passage's evidence and
 the sum over significant passages go through a logistic curve fitted on the
 training texts.
 
-Learning uses a bounded sample: ``max_docs`` labelled rows with the lowest hash of
+A key or a text with several labels counts as toxic if one of them says so. Learning
+uses a bounded sample: ``max_docs`` labelled rows with the lowest hash of
 their id. Scoring covers every whole text. Null and empty texts have no passage
 and score like a clean text. Without both classes among the labels, no word has
 weight and all scores are the smoothed share of toxic labels. Repeated rows score
@@ -118,10 +119,10 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", key: str = "d
         max_docs: int = 20_000, prior: float = 50.0, margin: float = 2.5, drift: float = 0.3, significant: float = 0.05) -> dict:
     """Learn lexicon, chance law and curve from the labelled rows outside the held-out fold."""
     rows = (labels.where(F.col(target).isNotNull() & F.col(key).isNotNull() & (crc32_mod(key, folds) != held_out))
-            .select(F.col(key).alias("__key"), (F.col(target) > 0).cast("int").alias("__label"))
-            .orderBy(F.xxhash64("__key"), "__key", "__label").limit(max_docs).dropDuplicates(["__key"]))
+            .groupBy(F.col(key).alias("__key")).agg(F.max((F.col(target) > 0).cast("int")).alias("__label"))
+            .orderBy(F.xxhash64("__key"), "__key").limit(max_docs))
     sample = stored(docs.select(key, text_bytes(text).alias("text")).join(F.broadcast(rows), F.col(key) == F.col("__key"))
-                    .select("text", "__label").dropDuplicates(["text"]), "toxicity-sample")
+                    .groupBy("text").agg(F.max("__label").alias("__label")), "toxicity-sample")
     sizes = dict(sample.groupBy("__label").count().collect())
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     model = {"lexicon": {}, "drift": drift, "significant": significant, "lambda": 1.0, "K": 1e-3,

@@ -317,3 +317,79 @@ def test_long_sets_cut_a_cluster_into_blocks(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", 1000)
     assert sorted(map(tuple, ngram_join.near_duplicates(df).collect())) == want
     assert {c for _, _, c in want} == {0, 100}
+
+
+def test_conflicting_labels_have_a_rule(spark):
+    """Rows in any order and dealing give one model."""
+    from quill.llm import quality_cnn, toxicity
+    docs = spark.createDataFrame([(i, ("vile scum rot " if i % 2 else "calm field day ") * 6 + f"w{i % 9}") for i in range(80)] + [(4, "another text"), (5, "a third one")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(80)] + [(i, 1 - i % 2, 1 - i % 2) for i in range(0, 80, 7)], "doc_id bigint, toxic int, quality int")
+    models = []
+    for n, seed in ((1, 1), (7, 2)):
+        d, y = (x.orderBy(F.xxhash64("doc_id", F.lit(seed))).repartition(n) for x in (docs, labels))
+        models.append((toxicity.fit(d, y), quality_cnn.fit(d, y, steps=3)))
+    (a, b), (c, d) = models
+    assert a["curve"] == pytest.approx(c["curve"]) and a["lexicon"] == pytest.approx(c["lexicon"]) and a["lexicon"]
+    assert all(np.array_equal(b[k], d[k]) for k in b)
+
+
+def test_band_verdicts_by_brute_force(spark):
+    """The verdicts of the fertility rules recomputed from the measures with exact quantiles."""
+    from quill.llm import fertility
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rows = {r.doc_id: r for r in fertility.judged(docs).collect()}
+    lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+
+    def rates(r):
+        n = max(r.n_tokens, 1)
+        return {"chars_per_token": r.word_chars / n, "byte_share": r.n_byte_tokens / n, "token_entropy_rate": r.token_entropy / np.log2(max(n, 2))}
+    judged = defaultdict(list)
+    for k, r in rows.items():
+        if r.n_words >= 10:
+            judged[lang[k]].append(rates(r))
+
+    def quartiles(values):          # of ranks, as percentile_approx gives them on few rows
+        v = sorted(values)
+        return [v[max(0, int(np.ceil(q * len(v))) - 1)] for q in (0.25, 0.5, 0.75)]
+    q = {g: {m: quartiles([x[m] for x in v]) for m in v[0]} for g, v in judged.items()}
+    more = {g: len(v) - 1 for g, v in judged.items()}
+    within = {m: sum(more[g] * (q[g][m][2] - q[g][m][0]) for g in q) / max(sum(more.values()), 1) for m in fertility.BANDS}
+    for k, r in rows.items():
+        failed = r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words
+        ok = lang[k] in q
+        for m, rule in fertility.BANDS.items():
+            if not ok:
+                break
+            low, mid, high = q[lang[k]][m]
+            n = len(judged[lang[k]])
+            width = max(rule["k"] * (n * (high - low) + 20 * within[m]) / (n + 20), rule["floor"]) * np.sqrt(1 + rule["short"] / max(r.n_tokens, 1))
+            x = rates(r)[m]
+            ok = (rule.get("upper_only") or x >= mid - width) and (rule.get("lower_only") or x <= mid + width)
+        assert (r.base_failed, r.kept) == (failed, bool(ok) and not failed), k
+
+
+def test_network_output_by_loops():
+    """The convolution, pooling and output of one text, position by position."""
+    from quill.llm import quality_cnn as q
+    rng = np.random.default_rng(1)
+    w = {"emb": rng.normal(0, 0.5, (q.PAD + 1, q.DIM)).astype(np.float32), "filt": rng.normal(0, 0.3, (q.STEP * q.DIM, 2 * q.FILTERS)).astype(np.float32),
+         "fb": rng.normal(0, 0.2, q.FILTERS).astype(np.float32), "out": rng.normal(0, 0.5, 2 * (q.FILTERS + 1)).astype(np.float32), "b": np.array([0.1], np.float32)}
+    text = ("A text of some length, with é and more. " * 31).encode()
+    features = []
+    for at in q.chunk_starts(len(text)):
+        chunk = [*text[at:at + q.CHUNK]] + [q.PAD] * max(0, q.CHUNK - len(text[at:at + q.CHUNK]))
+        best = np.full(q.FILTERS, -np.inf)
+        for i in range(0, q.CHUNK - q.STEP, q.STEP):
+            left, right = (np.concatenate([w["emb"][c] for c in chunk[j:j + q.STEP]]) for j in (i, i + q.STEP))
+            best = np.maximum(best, left @ w["filt"][:, :q.FILTERS] + right @ w["filt"][:, q.FILTERS:] + w["fb"])
+        seen, again, real = set(), 0, 0
+        for i in range(q.CHUNK - q.WINDOW + 1):
+            part = tuple(chunk[i:i + q.WINDOW])
+            if q.PAD not in part:
+                real += 1
+                again += part in seen
+                seen.add(part)
+        features.append([*np.maximum(best, 0), again / max(real, 1)])
+    f = np.array(features)
+    z = np.concatenate([f.mean(axis=0), f.max(axis=0)]) @ w["out"] + w["b"][0]
+    assert q.probabilities([text], w)[0] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-4)
