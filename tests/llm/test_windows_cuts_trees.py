@@ -322,7 +322,7 @@ def test_long_sets_cut_a_cluster_into_blocks(spark, monkeypatch):
 def test_conflicting_labels_have_a_rule(spark):
     """Rows in any order and dealing give one model."""
     from quill.llm import quality_cnn, toxicity
-    docs = spark.createDataFrame([(i, ("vile scum rot " if i % 2 else "calm field day ") * 6 + f"w{i % 9}") for i in range(80)] + [(4, "another text"), (5, "a third one")], "doc_id bigint, text string")
+    docs = spark.createDataFrame([(i, ("vile scum rot " if i % 2 else "calm field day ") * 6 + f"w{i}") for i in range(80)] + [(4, "another text"), (5, "a third one")], "doc_id bigint, text string")
     labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(80)] + [(i, 1 - i % 2, 1 - i % 2) for i in range(0, 80, 7)], "doc_id bigint, toxic int, quality int")
     models = []
     for n, seed in ((1, 1), (7, 2)):
