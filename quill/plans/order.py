@@ -24,6 +24,7 @@ from quill.session import written
 
 SAMPLE_PER_BUCKET = 20
 ROWS_PER_BUCKET = 512      # default buckets hold no fewer rows
+KEY_CHARS = 256            # of a string key in a bound
 
 
 def seeded_key(seed, *cols) -> Column:
@@ -48,7 +49,10 @@ def _range_bounds(rows: DataFrame, order: Sequence[str], n_buckets: int, n_rows:
     """JSON array of at most ``n_buckets - 1`` ascending order tuples that cut ``rows``
     into even ranges. The sample (about ``SAMPLE_PER_BUCKET`` tuples a bucket) is
     picked by the tuples' own hashes, so it does not depend on partitioning."""
-    keys = rows.select(F.struct(*(F.col(c).alias(f"k{i}") for i, c in enumerate(order))).alias("k"))
+    kinds = dict(rows.dtypes)
+    # a beginning of a long string bounds as well as the whole
+    short = [F.substring(c, 1, KEY_CHARS) if kinds[c] == "string" else F.col(c) for c in order]
+    keys = rows.select(F.struct(*(c.alias(f"k{i}") for i, c in enumerate(short))).alias("k"))
     want = SAMPLE_PER_BUCKET * n_buckets
     if n_rows > want:
         keys = keys.where(F.pmod(F.xxhash64("k"), F.lit(1 << 40)) <= (1 << 40) * want // n_rows)

@@ -66,6 +66,14 @@ def test_key_types(spark, kind, keys):
     assert got == [(bytes(k) if kind == "binary" and k is not None else k, i) for i, k in enumerate(low + rest)]
 
 
+def test_long_string_keys(spark):
+    keys = [f"{'x' * (i % 3) * 400}{i:05d}" for i in range(3_000)]
+    df = spark.createDataFrame([(k,) for k in keys], "k string").repartition(4)
+    assert max(map(len, json.loads(_range_bounds(df, ["k"], 40, 3_000))), default=0) < 1_000
+    got = [r.k for r in dense_index(df, ["k"], n_buckets=40).orderBy("idx").collect()]
+    assert got == sorted(keys)
+
+
 def test_self_join_of_the_result(spark):
     d = dense_index(spark.createDataFrame([(i * 37 % 101,) for i in range(101)], "k int"), ["k"], n_buckets=7)
     assert d.join(d.select("k", F.col("idx").alias("j")), "k").where("idx = j and k = idx").count() == 101
