@@ -346,16 +346,17 @@ def _cached_encoder(key, table):
 def make_encoder(merges: DataFrame):
     """Arrow UDF ``ARRAY<STRING> chunks → ARRAY<INT> ids``.
 
-    The merge table (bounded by the vocabulary) is collected once and shipped
-    in the closure; each Python worker caches chunk encodings (bounded).
+    The merge table (bounded by the vocabulary) is collected and broadcast once;
+    each Python worker caches chunk encodings (bounded).
     """
     table = [(int(r.left), int(r.right), int(r.new_id))
              for r in _bounded_collect(merges.select("left", "right", "new_id").orderBy("new_id"), "merge table")]
     key = hash(tuple(table))
+    shared = merges.sparkSession.sparkContext.broadcast(table)
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def encode_chunks(chunks: pd.Series) -> pd.Series:
-        ranks, cache = _cached_encoder(key, table)
+        ranks, cache = _cached_encoder(key, shared.value)
         out = []
         for arr in chunks:
             ids: list[int] = []
@@ -471,15 +472,16 @@ def _put_rare(rows, words, names: list[str], own: str) -> DataFrame:
 def decode_bytes(df: DataFrame, vocab: DataFrame, ids: str = "ids", out: str = "text") -> DataFrame:
     """Ids → text; invalid UTF-8 becomes U+FFFD.
 
-    The vocabulary (bounded) is shipped to the tasks; token bytes are joined in
+    The vocabulary (bounded) is broadcast; token bytes are joined in
     position order inside each row — no shuffle of tokens. An id outside the
     vocabulary gives one U+FFFD.
     """
     rows = _bounded_collect(vocab.select("token_id", "token_bytes"), "vocabulary")
-    table = {int(r.token_id): bytes(r.token_bytes) for r in rows}
+    shared = df.sparkSession.sparkContext.broadcast({int(r.token_id): bytes(r.token_bytes) for r in rows})
 
     @F.pandas_udf(T.StringType())
     def dec(col: pd.Series) -> pd.Series:
+        table = shared.value
         return pd.Series([None if a is None else b"".join(table.get(int(i), b"\xff") for i in a).decode("utf-8", "replace")
                           for a in col])
 
