@@ -2013,3 +2013,15 @@ def read_qa_messages_q(spark, sf):
     named = rows.select("conv_id", F.from_json("messages", read.schema["messages"].dataType).alias("messages")).join(read, "messages")
     line = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "|")
     return named.select("conv_id", F.size("messages").cast("bigint").alias("n_messages"), F.md5(line).alias("messages_md5"))
+
+
+@register("completion_prompt", f"""
+SELECT conv_id, count(*) AS n_segments, md5(string_agg(kind || ':' || value || ':' || mask, '|' ORDER BY seg_no)) AS segments_md5
+FROM ({ORACLE["render_completion_segments"]}) GROUP BY conv_id
+""")
+def completion_prompt_q(spark, sf):
+    """Prompts for the last answer of each conversation, through the common form of content."""
+    s = content.completion_prompt(content.parts_of_text(_t(spark, sf, "conversations")), key="conv_id")
+    one = F.concat_ws(":", "kind", "value", F.col("mask").cast("string"))
+    g = s.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("seg_no", one.alias("x")))).alias("xs"))
+    return g.select("conv_id", F.size("xs").cast("bigint").alias("n_segments"), F.md5(F.array_join(F.transform("xs", lambda x: x["x"]), "|")).alias("segments_md5"))

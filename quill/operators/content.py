@@ -83,3 +83,15 @@ def render_parts(turns: DataFrame, key: str = "conv", turn: str = "turn", role:
     segments = F.when(leads, F.concat(F.array(_special("bos", 0)), body)).otherwise(body)
     x = d.select(key, turn, F.posexplode(segments).alias("k", "s"))
     return x.select(key, (F.col(turn).cast("bigint") * (1 << 32) + F.col("k")).alias("seg_no"), "s.kind", "s.value", "s.mask")
+
+
+def completion_prompt(turns: DataFrame, key: str = "conv", turn: str = "turn", role: str = "role", parts: str = "parts") -> DataFrame:
+    """C6 for parts in any turn: the rendering without the last message, which must be an
+    assistant's (other conversations are left out), and the assistant's start mark after it."""
+    last = (turns.groupBy(key).agg(F.max(turn).alias("__last"), F.max_by(role, turn).alias("__role"))
+            .where((F.col("__role") == "assistant") & (F.col("__last") > 0)).drop("__role"))
+    # one row a conversation: a long conversation's turns may be split on their side
+    body = render_parts(turns.join(last, key).where(F.col(turn) != F.col("__last")), key, turn, role, parts)
+    start = _special("assistant_start", 0)
+    tail = last.select(key, (F.col("__last").cast("bigint") * (1 << 32)).alias("seg_no"), start.alias("s")).select(key, "seg_no", "s.kind", "s.value", "s.mask")
+    return body.unionByName(tail)

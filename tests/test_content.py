@@ -58,6 +58,16 @@ def test_what_must_not_become_supervised_text(spark, tmp_path, talk, message):
         content.render_parts(_turns(spark, tmp_path, [talk])).collect()
 
 
+def test_completion_prompt(spark, tmp_path):
+    talks = [[{"role": "system", "content": "s"}, {"role": "user", "content": "u"}, {"role": "assistant", "content": [{"type": "text", "text": "a"}]},
+              {"role": "user", "content": "v"}, {"role": "assistant", "content": "gone"}],
+             [{"role": "user", "content": "no answer"}], [{"role": "assistant", "content": "alone"}]]
+    got = [(k, v, m) for k, v, m in _segments(content.completion_prompt(_turns(spark, tmp_path, talks)))]
+    assert [v for _, v, _ in got] == ["<|bos|>", "<|user_start|>", "s\n\nu", "<|user_end|>", "<|assistant_start|>", "a", "<|assistant_end|>",
+                                      "<|user_start|>", "v", "<|user_end|>", "<|assistant_start|>"]
+    assert [m for *_, m in got] == [0, 0, 0, 0, 0, 1, 1, 0, 0, 0, 0]
+
+
 def test_render_shuffles_once_and_scans_once(spark, tmp_path):
     plan = content.render_parts(_turns(spark, tmp_path, [[{"role": "user", "content": "u"}]]))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 1
