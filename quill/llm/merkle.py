@@ -122,12 +122,13 @@ def proofs(df: DataFrame, key: str = "doc_id", group: str = "source", columns: t
     for nodes, runs in reversed(crown[:-1]):
         steps = _descend(nodes, runs, steps, arity).select("tree", "idx", "steps")
     top = steps.select(F.col("idx").alias("tree"), "steps").join(tops.select(F.col("idx").alias("tree"), F.col("node").alias("subroot")), "tree")
-    above = None
-    for nodes, runs in reversed(forest):
+    top, above = stored(top, "steps"), None
+    for level, (nodes, runs) in reversed(list(enumerate(forest))):
         here = nodes.where("width = 1").join(top, "tree")
         if above is not None:
             here = here.unionByName(_descend(nodes, runs, above, arity))
-        above = here.select("tree", "idx", "steps", "subroot")
+        if level:       # a written table again: the plan stays small, a lost executor costs one level
+            above = stored(here.select("tree", "idx", "steps", "subroot"), "steps")
     return here.select("id", "node", "other", "subroot", "steps"), root[0][0] if root else None
 
 
