@@ -123,7 +123,7 @@ def prefix_aggregates(df: DataFrame, order: Sequence[str], specs: dict[str, Spec
     w = Window.partitionBy(*partition_by, b).orderBy(*order)
     upto = {inclusive: w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1) for inclusive in (True, False)}
     found = [combine[agg](F.col(f"__base{i}"), fn[agg](f"__v{i}").over(upto[inclusive])).alias(out) for out, (i, (agg, inclusive)) in zip(specs, how)]
-    return joined.select(*(c for c in df.columns if c not in specs), *found)
+    return joined.select(*(F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c not in specs), *found)
 
 
 def prefix_sum(df: DataFrame, order: Sequence[str], value: Column | str,

@@ -85,6 +85,12 @@ def test_empty(spark):
     assert dense_index(df, ["k"]).count() == 0
 
 
+def test_odd_column_names_pass_through(spark):
+    df = spark.range(20).selectExpr("id", "id * 2 AS `a.b`", "'x' AS `c d`", "id AS __bucket2")
+    got = dense_index(df, ["id"], n_buckets=3)
+    assert got.columns == ["id", "a.b", "c d", "__bucket2", "idx"] and got.where("`a.b` = 2 * idx AND `c d` = 'x'").count() == 20
+
+
 def test_null_group(spark):
     df = spark.range(3_000).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"))
     got = {r.id: r.idx for r in dense_index(df, ["id"], partition_by=["g"], n_buckets=9).collect()}
