@@ -45,7 +45,8 @@ SYMBOLS = 257           # 256 bytes and the end
 END, SHIFT = 256, 9
 HEAVY = 1 << 18
 MAX_ENTRIES = 4_000_000
-SLAB = 1_000_000        # symbols or words handled at once
+SLAB = 1_000_000        # symbols or words counted at once
+SCORED = 400_000        # symbols scored at once, beside the trie
 
 
 def events(text: bytes) -> bytes:
@@ -339,7 +340,7 @@ def score(df: DataFrame, train: str, key: str = "doc_id", text: str = "text", or
             lo = 0
             while lo < len(texts):
                 hi, size = lo, 0
-                while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= SLAB):
+                while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= SCORED):
                     size += len(texts[hi])
                     hi += 1
                 part = texts[lo:hi]
