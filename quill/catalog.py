@@ -1399,7 +1399,7 @@ def stream_epochs_q(spark, sf):
     docs = sinks.shard_by_rows(_t(spark, sf, "documents"), "doc_id", rows=64)
     write_shards(docs.select("__pos", "doc_id", "shard"), base + "/corpus", ["__pos"], row_group_rows=8)
     for epochs in (1, 2):
-        s = stream_epochs(spark, base + "/corpus", base + "/progress", "doc_id bigint", ranks=_RANKS, groups=100, epochs=epochs)
+        s = stream_epochs(spark, base + "/corpus", base + "/progress", "doc_id bigint", ranks=_RANKS, groups=100, epochs=epochs, grow=2)
         q = (s.writeStream.format("parquet").option("path", base + "/out").option("checkpointLocation", base + "/ckpt").start())
         q.processAllAvailable()
         q.stop()

@@ -115,3 +115,23 @@ def test_empty_corpus(spark, tmp_path):
     (tmp_path / "none").mkdir()
     r = _reader(str(tmp_path / "none"), str(tmp_path / "p"))
     assert r.latestOffset() == r.initialOffset() and r.partitions(r.initialOffset(), r.latestOffset()) == []
+
+
+def test_a_backlog_is_read_in_growing_batches(spark, tmp_path):
+    (tmp_path / "corpus").mkdir()
+    for k in range(100):
+        pq.write_table(pa.table({"doc": pa.array(range(k * 8, k * 8 + 8), pa.int64())}), tmp_path / "corpus" / f"shard_{k:05d}.parquet", row_group_size=1)
+
+    def batches(**kw):
+        r = _reader(str(tmp_path / "corpus"), str(tmp_path / f"progress{len(kw)}{kw.get('most', 0)}"), groups=5, epochs=1, tasks=4, **kw)
+        start, out = r.initialOffset(), []
+        while (end := r.latestOffset()) != start:
+            parts = r.partitions(start, end)
+            assert len(parts) <= 4
+            out.append([x for p in parts for b in r.read(p) for x in b.column("doc").to_pylist()])
+            start = end
+        assert sum(out, []) == list(range(800))
+        return [len(b) for b in out]
+    assert batches(grow=2) == [5, 10, 20, 40, 80, 160, 320, 165]
+    assert batches(grow=2, most=100) == [5, 10, 20, 40, 80] + [100] * 6 + [45]
+    assert batches() == [5] * 160
