@@ -1958,7 +1958,7 @@ def shuffle_stream_q(spark, sf):
     base = _folder(spark, "shuffle")
     docs = sinks.shard_by_rows(_t(spark, sf, "documents"), "doc_id", rows=256)
     write_shards(docs.select("__pos", "doc_id", "text", "shard"), base + "/corpus", ["__pos"], row_group_rows=64)
-    s = stream_epochs(spark, base + "/corpus", base + "/progress", "doc_id bigint, text string", groups=6, epochs=1)
+    s = stream_epochs(spark, base + "/corpus", base + "/progress", "doc_id bigint, text string", groups=6, epochs=1, grow=2)
     mixer = BufferedShuffle(base, corpus.sentences, n=2000)
     q = s.writeStream.foreachBatch(mixer).option("checkpointLocation", base + "/ckpt").start()
     q.processAllAvailable()

@@ -5,7 +5,8 @@ are carried from batch to batch as a table, with the number of the next buffer a
 rank; each batch closes the buffers that its documents fill and writes them shuffled. All it
 keeps is named by the batch's number and replaced when a batch is repeated, so output is
 exactly-once. Documents must arrive in ascending ``key`` order over the batches; the result then
-equals ``corpus.shuffle_buffered`` over all of them.
+equals ``corpus.shuffle_buffered`` over all of them. A batch costs a dozen Spark jobs whatever
+it holds: read a long backlog in growing batches (``stream_epochs``, ``grow``).
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ class BufferedShuffle:
         spark = df.sparkSession
         carried, buffer, rank = self._before(spark, batch - 1)
         rows = self.sentences(df)
-        rows = rows if carried is None else rows.unionByName(carried)
+        rows = (rows if carried is None else rows.unionByName(carried)).persist()      # read three times below
         per_doc = rows.groupBy(self.key).agg(F.count(F.lit(1)).alias("__n"))
         seg = greedy_segments(per_doc, self.key, "__n", self.n, out="buffer").select(self.key, "buffer", "is_tail")
         met = rows.join(seg, self.key)
@@ -54,6 +55,7 @@ class BufferedShuffle:
         done = spark.read.parquet(self._place("out", batch)).agg(F.max("buffer"), F.count(F.lit(1))).collect()[0]
         spark.createDataFrame([(buffer if done[0] is None else done[0] + 1, rank + done[1])], "buffer bigint, rank bigint").coalesce(1) \
             .write.mode("overwrite").parquet(self._place("position", batch))
+        rows.unpersist()
 
     def finish(self, spark: SparkSession, batches: int) -> DataFrame:
         """After the last of ``batches``: flush the unfinished buffer and read all."""

@@ -135,3 +135,80 @@ def test_a_backlog_is_read_in_growing_batches(spark, tmp_path):
     assert batches(grow=2) == [5, 10, 20, 40, 80, 160, 320, 165]
     assert batches(grow=2, most=100) == [5, 10, 20, 40, 80] + [100] * 6 + [45]
     assert batches() == [5] * 160
+
+
+def test_shuffle_stream_reads_a_backlog_in_few_batches(spark, monkeypatch):
+    from quill import catalog
+    seen, count = [], catalog._batches
+    monkeypatch.setattr(catalog, "_batches", lambda *a: seen.append(count(*a)) or seen[-1])
+    n = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").count()
+    rows = catalog.QUERIES["shuffle_stream"](spark, "/root/testdata/sf0.01")
+    groups = -(-n // 64)
+    assert groups > 12 and seen[0] <= (groups // 6).bit_length()     # 6 + 12 + 24 + …; before, one for every 6
+    assert rows.select("doc_id", "pos").distinct().count() == rows.count()
+
+
+class _Map(dict):
+    calls = 0
+
+    def containsKey(self, k):
+        return k in self
+
+    def getValue(self, k):
+        return self[k]
+
+    def updateValue(self, k, v):
+        self.calls += 1
+        self[k] = v
+
+    def removeKey(self, k):
+        del self[k]
+
+
+class _One(list):
+    def exists(self):
+        return bool(self)
+
+    def get(self):
+        return self[0]
+
+    def update(self, v):
+        self[:] = [v]
+
+    put = update
+
+    def clear(self):
+        self[:] = []
+
+
+class _Handle:
+    def __init__(self):
+        self.maps = {}
+
+    def getValueState(self, *_):
+        return _One()
+
+    getListState = getValueState
+
+    def getMapState(self, name, *_):
+        return self.maps.setdefault(name, _Map())
+
+
+def test_early_documents_wait_in_pages():
+    """A thousand early documents, some twice and in several chunks, take a few writes to the state."""
+    import pandas as pd
+    from quill.streaming.stream import _Packer
+    packer, handle, rng = _Packer(1, 10), _Handle(), random.Random(3)
+    packer.init(handle)
+    docs = [list(range(i, i + rng.randint(0, 9))) for i in range(1000)]
+
+    def come(*chunks):
+        frames = (pd.DataFrame({"seq": list(c), "ids": [docs[i] for i in c]}) for c in chunks)
+        return [int(t) for f in packer.handleInputRows((0,), frames, None) for x in f["tokens"] for t in x]
+    late = list(range(300, 700))
+    rng.shuffle(late)
+    assert come(range(700, 1000), late, range(650, 720)) == []
+    assert sum(m.calls for m in handle.maps.values()) < 60
+    flat = [t for d in docs for t in d]
+    got = come(range(1, 300)) + come([0, 5]) + come([999])
+    assert got == flat[:len(flat) // 11 * 11] and not any(handle.maps.values())
