@@ -126,3 +126,28 @@ def test_decode_unknown_id(spark):
     vocab = bpe.add_special_tokens(bpe.mergeable_ranks(spark.createDataFrame([], "rank INT, left INT, right INT, new_id INT, cnt LONG")), ["<s>"])
     df = spark.createDataFrame([([104, 99999, 105],)], "ids array<int>")
     assert bpe.decode_bytes(df, vocab, out="t").collect()[0].t == "h�i"
+
+
+def test_blocks_of_words_merge_and_count_like_single_words():
+    """Array steps over a whole block against one word at a time; runs and overlaps included."""
+    import numpy as np
+    rng = random.Random(11)
+    words = [[rng.choice((1, 2, 3)) for _ in range(rng.randint(1, 9))] for _ in range(300)]
+    weights = np.array([rng.randint(1, 1 << 40) for _ in words], np.int64)
+    x = np.array([t for w in words for t in (*w, bpe._END)], np.int32)
+    for merge in ((1, 1), (1, 2), (2, 2), (9, 9)):
+        out = bpe._merge_block(x, *merge, 7)[0]
+        assert out.tolist() == [t for w in words for t in (*_merge(w, merge, 7), bpe._END)]
+    want = Counter()
+    for w, n in zip(words, weights.tolist()):
+        for a, b in zip(w, w[1:]):
+            want[a << 32 | b] += n
+    keys, sums = bpe._summed(*bpe._pairs(x, weights))
+    assert dict(zip(keys.tolist(), sums.tolist())) == want
+
+
+def test_pair_counts_add_up_before_the_shuffle(spark):
+    words = spark.createDataFrame([([1, 2, 1, 2], 3)] * 500 + [([5], 9), ([], 1)], "ids array<int>, cnt bigint").coalesce(1)
+    got = bpe.pair_counts(words)
+    assert {(r.left, r.right): r.cnt for r in got.collect()} == {(1, 2): 3000, (2, 1): 1500}
+    assert "Generate" not in got._jdf.queryExecution().executedPlan().toString()
