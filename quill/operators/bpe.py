@@ -14,12 +14,10 @@ Plan shapes:
   bounded by those). Words travel in blocks of many thousands, as one array of ids with
   a mark after each word; a task merges a block, and finds what that does to the
   pair counts, in a few array operations.
-* Encoding goes through a dictionary: texts are pre-tokenized once into a written
-  table, each distinct chunk is encoded once, the most frequent chunks (a
-  bound) come to the rows as Arrow arrays and are put in by vectorised look-up, and
-  only the rare rest is joined back and put in place. ``encode_inline`` is
-  the map-only form for small inputs. Counting tokens multiplies chunk counts by the
-  token length of each distinct chunk, so token arrays are never built.
+* Encoding is map-only: Arrow batches of chunks are encoded in array operations, each
+  distinct chunk of a run once, and workers keep the ids of many chunks (a bound).
+  Decoding takes the token bytes of a whole batch at once. Counting tokens multiplies
+  chunk counts by the token length of each distinct chunk, so token arrays are never built.
 """
 
 from __future__ import annotations
@@ -37,7 +35,7 @@ from pyspark.sql import types as T
 
 from quill.functions.text import SPECIAL_TOKENS, SPLIT_PATTERN, java_pattern
 from quill.plans.spread import spread
-from quill.session import ensure_checkpoint_dir, reliable_checkpoint, ship_package, written
+from quill.session import ensure_checkpoint_dir, reliable_checkpoint, ship_package
 
 # ---------------------------------------------------------------------------
 # D1 / D2 / D3
@@ -375,7 +373,9 @@ def special_id(vocab: DataFrame, name: str) -> int | None:
 # D8 encode / D9 decode
 
 
-CHUNK_CACHE = 1 << 18
+CHUNK_CACHE = 1 << 18   # chunks whose ids a worker keeps
+SHORT_BYTES = 64        # longer chunks are encoded one by one
+RUN_CHUNKS = 1 << 20    # chunks encoded at once
 
 
 def _ranks_dict(merges_rows) -> dict[tuple[int, int], int]:
@@ -408,47 +408,119 @@ def _encode_chunk(chunk: str, merged: dict[tuple[int, int], int]) -> list[int]:
     return [t for t in token if t >= 0]
 
 
+def _encode_block(x: np.ndarray, keys: np.ndarray, new: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """All words of a block (ids with ``_END`` after each) by as many passes as its longest
+    chain of merges: each does, in every word, the word's merge of lowest id, left to
+    right. ``keys`` are the pairs as in ``_pairs``, ascending. Gives (word, ids, number of ids) in parts."""
+    none = np.iinfo(np.int32).max
+    word = np.arange(np.count_nonzero(x == _END))
+    done = []
+    while len(word):
+        pair = x[:-1].astype(np.int64) << 32 | x[1:].astype(np.int64)
+        k = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
+        rank = np.append(np.where(keys[k] == pair, new[k], none) if len(keys) else np.full(len(pair), none), none).astype(np.int32)
+        end = np.flatnonzero(x == _END)
+        first = np.append(0, end[:-1] + 1)
+        low, size = np.minimum.reduceat(rank, first), end - first + 1
+        more = low != none
+        keep = np.repeat(more, size)
+        over = x[~keep]
+        done.append((word[~more], over[over != _END], size[~more] - 1))
+        word, x, rank = word[more], x[keep], rank[keep]
+        at = np.flatnonzero(rank == np.repeat(low[more], size[more]))
+        if len(at):     # of a run of one token, every second pair
+            start = np.append(True, np.diff(at) != 1)
+            at = at[(np.arange(len(at)) - np.flatnonzero(start)[np.cumsum(start) - 1]) % 2 == 0]
+            x[at] = rank[at]
+            x = np.delete(x, at + 1)
+    return done
+
+
+class _Encoder:
+    """Ids of chunks in a Python worker. Those of chunks met before are kept up to a bound."""
+
+    def __init__(self, table, keep: int):
+        self.ranks, self.keep = _ranks_dict(table), keep
+        pairs = np.array(sorted((left << 32 | right, new) for (left, right), new in self.ranks.items()), np.int64).reshape(-1, 2)
+        self.keys, self.new = pairs[:, 0].copy(), pairs[:, 1].copy()
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.ids = pa.array([], pa.string()), np.zeros(0, np.int32)
+        self.start = self.size = np.zeros(0, np.int64)
+
+    def learn(self, words: pa.Array) -> None:
+        """Words, each once and none of them known."""
+        data, start, size = _utf8(words)
+        n, parts = len(words), []
+        short = np.flatnonzero(size <= SHORT_BYTES)
+        many = size[short]
+        x = np.full(many.sum() + len(short), _END, np.int32)
+        x[np.arange(many.sum()) + np.repeat(np.arange(len(short)), many)] = data[_ragged(start[short], many)]
+        for word, ids, count in _encode_block(x, self.keys, self.new):
+            parts.append((short[word], ids, count))
+        for w in np.flatnonzero(size > SHORT_BYTES):
+            ids = _encode_chunk(words[int(w)].as_py(), self.ranks)
+            parts.append((np.array([w]), np.array(ids, np.int32), np.array([len(ids)])))
+        if not parts:
+            return
+        word, ids, count = (np.concatenate(p) for p in zip(*parts))
+        begin, length = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        begin[word], length[word] = np.cumsum(count) - count + len(self.ids), count
+        self.known = pa.concat_arrays([self.known, words])
+        self.ids = np.concatenate((self.ids, ids))
+        self.start, self.size = np.append(self.start, begin), np.append(self.size, length)
+
+    def __call__(self, rows: pa.Array) -> pa.Array:
+        """Lists of chunks -> lists of ids, by runs of rows with few chunks."""
+        chunks, first, many = _lists(rows)
+        ends = first + many
+        parts, counts, row = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], 0
+        while row < len(rows):
+            stop = max(row + 1, int(np.searchsorted(ends, first[row] + RUN_CHUNKS, side="right")))
+            run = chunks.slice(first[row], ends[stop - 1] - first[row])
+            code = pc.index_in(run, self.known)
+            if code.null_count:
+                self.learn(pc.unique(run.filter(code.is_null())))
+                code = pc.index_in(run, self.known)
+            code = code.to_numpy(zero_copy_only=False)
+            parts.append(self.ids[_ragged(self.start[code], self.size[code])])
+            total = np.concatenate(([0], np.cumsum(self.size[code])))
+            counts.append(total[ends[row:stop] - first[row]] - total[first[row:stop] - first[row]])
+            row = stop
+            if len(self.known) > self.keep:
+                self.forget()           # costs time only
+        return pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(counts)), pa.int32()), pa.array(np.concatenate(parts)))
+
+
 _WORKER_CACHE: dict = {}
 
 
-def _cached_encoder(key, table):
-    """Per-Python-worker state: rank dict and chunk cache for one merge table."""
+def _cached_encoder(key, table) -> _Encoder:
+    """Per-Python-worker encoder of one merge table."""
     st = _WORKER_CACHE.get(key)
     if st is None:
         _WORKER_CACHE.clear()   # one table at a time per worker
-        st = (_ranks_dict(table), {})
-        _WORKER_CACHE[key] = st
+        st = _WORKER_CACHE[key] = _Encoder(table, key[1])
     return st
 
 
-def make_encoder(merges: DataFrame):
-    """Arrow UDF ``ARRAY<STRING> chunks → ARRAY<INT> ids``.
+def make_encoder(merges: DataFrame, keep: int = CHUNK_CACHE):
+    """Arrow UDF ``ARRAY<STRING> chunks → ARRAY<INT> ids``; a null array has no ids.
 
     The merge table (bounded by the vocabulary) is collected and broadcast once;
-    each Python worker caches chunk encodings (bounded).
+    each Python worker keeps the ids of at most about ``keep`` chunks (0: of none, for
+    chunks that come once).
     """
     table = [(int(r.left), int(r.right), int(r.new_id))
              for r in _bounded_collect(merges.select("left", "right", "new_id").orderBy("new_id"), "merge table")]
-    key = hash(tuple(table))
+    key = (hash(tuple(table)), keep)
+    ship_package(merges.sparkSession)
     shared = merges.sparkSession.sparkContext.broadcast(table)
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def encode_chunks(chunks: pd.Series) -> pd.Series:
-        ranks, cache = _cached_encoder(key, shared.value)
-        out = []
-        for arr in chunks:
-            ids: list[int] = []
-            if arr is not None:
-                for c in arr:
-                    e = cache.get(c)
-                    if e is None:
-                        e = _encode_chunk(c, ranks)
-                        if len(cache) >= CHUNK_CACHE:
-                            cache.clear()       # costs time only
-                        cache[c] = e
-                    ids.extend(e)
-            out.append(ids)
-        return pd.Series(out)
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def encode_chunks(chunks: pa.Array) -> pa.Array:
+        return _cached_encoder(key, shared.value)(chunks)
 
     return encode_chunks
 
@@ -458,14 +530,10 @@ def encode_inline(df: DataFrame, merges: DataFrame, text: str = "text", out: str
     return df.withColumn(out, make_encoder(merges)(pretokenize_col(text, pattern)))
 
 
-HOT_CHUNKS, HOT_BYTES = 1 << 18, 64     # chunks of the broadcast dictionary, and the longest of them
-_RARE = -1                              # stands for a rare chunk until its ids come
-
-
 def chunk_dictionary(chunks: DataFrame, merges: DataFrame) -> DataFrame:
     """``(chunk, cnt, ids)`` of the distinct values of column ``chunk``, each encoded once."""
     counts = chunks.groupBy("chunk").agg(F.count(F.lit(1)).alias("cnt"))
-    return counts.withColumn("ids", make_encoder(merges)(F.array("chunk")))
+    return counts.withColumn("ids", make_encoder(merges, 0)(F.array("chunk")))
 
 
 def _ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -481,70 +549,19 @@ def _lists(values: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def encode(df: DataFrame, merges: DataFrame, text: str = "text", out: str = "ids",
            pattern: str = SPLIT_PATTERN, prepend: int | None = None, append: int | None = None,
-           hot_chunks: int = HOT_CHUNKS) -> DataFrame:
+           hot_chunks: int = CHUNK_CACHE) -> DataFrame:
     """Ordinary-text encoding (special tokens are never produced from text).
 
-    Writes ``df`` with its chunks, and the dictionary, into the shared folder. No text
-    row is shuffled unless it holds a chunk outside the ``hot_chunks`` most frequent
-    ones; ids do not depend on that bound. A null text has no ids.
+    Lazy and map-only: no text or token is shuffled or written. Workers keep the ids of about
+    ``hot_chunks`` chunks; ids do not depend on that bound. A null text has no ids.
     """
-    names = [c for c in df.columns if c != out]
-    base = written(spread(df).select(*names, pretokenize_col(text, pattern).alias("__chunks")).withColumn("__row", F.monotonically_increasing_id()), "chunks")
-    words = written(chunk_dictionary(base().select(F.explode("__chunks").alias("chunk")), merges), "dictionary")
-    short = F.octet_length("chunk") <= HOT_BYTES
-    hot = words().where(short).orderBy(F.desc("cnt"), "chunk").limit(hot_chunks).select("chunk", "ids").toArrow()   # hot_chunks short rows
-    all_hot = words().count() <= hot.num_rows
-    shared = df.sparkSession.sparkContext.broadcast((hot.column("chunk").combine_chunks(), *_lists(hot.column("ids").combine_chunks())))
-    kinds = dict(df.dtypes)
-    at = len(names)
-
-    def put(batches):
-        known, ids, start, size = shared.value
-        ids, start, size = np.append(ids.to_numpy(zero_copy_only=False), _RARE).astype(np.int32), np.append(start, len(ids)), np.append(size, 1)
-        for b in batches:
-            chunks, first, many = _lists(b.column(at))
-            code = pc.fill_null(pc.index_in(chunks, known), len(start) - 1).to_numpy(zero_copy_only=False)
-            ends = np.concatenate(([0], np.cumsum(size[code])))
-            done = pa.ListArray.from_arrays(pa.array(ends[np.append(first, len(chunks))], pa.int32()), pa.array(ids[_ragged(start[code], size[code])]))
-            rare = code == len(start) - 1
-            missing = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(rare)))[np.append(first, len(chunks))], pa.int32()), chunks.filter(pa.array(rare)))
-            yield pa.RecordBatch.from_arrays([*b.columns[:at], b.column(at + 1), done, missing], names=[*names, "__row", "__ids", "__rare"])
-    ship_package(df.sparkSession)
-    own = ", ".join(f"`{c}` {kinds[c]}" for c in names)
-    rows = base().mapInArrow(put, f"{own}, __row bigint, __ids array<int>, __rare array<string>")
-    if not all_hot:
-        rows = _put_rare(written(rows, "encoded"), words, names, own)
-    ids = F.col("__ids")
+    names = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c != out]
+    ids = make_encoder(merges, hot_chunks)(pretokenize_col(text, pattern))
     if prepend is not None:
         ids = F.concat(F.array(F.lit(prepend)), ids)
     if append is not None:
         ids = F.concat(ids, F.array(F.lit(append)))
-    return rows.select(*names, ids.alias(out))
-
-
-def _put_rare(rows, words, names: list[str], own: str) -> DataFrame:
-    """The ids of rare chunks in their places: one join with the dictionary (a rare chunk
-    that is long but common is a hot key that adaptive execution splits), and one with the rows."""
-    wanted = rows().select("__row", F.posexplode("__rare").alias("k", "chunk"))
-    found = (wanted.join(words().select("chunk", "ids"), "chunk").groupBy("__row")
-             .agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("found")))       # at most the row's own chunks
-    met = rows().drop("__rare").join(found.select("__row", F.col("found.ids").alias("__found")), "__row", "left").select(*names, "__ids", "__found")
-    at = len(names)
-
-    def fill(batches):
-        for b in batches:
-            ids, first, many = _lists(b.column(at))
-            ids = ids.to_numpy(zero_copy_only=False)
-            lists, _, _ = _lists(b.column(at + 1))
-            new, start, size = _lists(lists)
-            hole = ids == _RARE
-            take, n = np.arange(len(ids)), np.ones(len(ids), np.int64)
-            take[hole], n[hole] = len(ids) + start, size
-            every = np.concatenate((ids, new.to_numpy(zero_copy_only=False))).astype(np.int32)
-            ends = np.concatenate(([0], np.cumsum(n)))[np.append(first, len(ids))]
-            yield pa.RecordBatch.from_arrays([*b.columns[:at], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(every[_ragged(take, n)]))],
-                                             names=[*names, "__ids"])
-    return met.mapInArrow(fill, f"{own}, __ids array<int>")
+    return spread(df).select(*names, ids.alias(out))
 
 
 def decode_bytes(df: DataFrame, vocab: DataFrame, ids: str = "ids", out: str = "text") -> DataFrame:
@@ -554,14 +571,26 @@ def decode_bytes(df: DataFrame, vocab: DataFrame, ids: str = "ids", out: str = "
     position order inside each row — no shuffle of tokens. An id outside the
     vocabulary gives one U+FFFD.
     """
-    rows = _bounded_collect(vocab.select("token_id", "token_bytes"), "vocabulary")
-    shared = df.sparkSession.sparkContext.broadcast({int(r.token_id): bytes(r.token_bytes) for r in rows})
-
-    @F.pandas_udf(T.StringType())
-    def dec(col: pd.Series) -> pd.Series:
-        table = shared.value
-        return pd.Series([None if a is None else b"".join(table.get(int(i), b"\xff") for i in a).decode("utf-8", "replace")
-                          for a in col])
+    rows = sorted({int(r.token_id): bytes(r.token_bytes) for r in _bounded_collect(vocab.select("token_id", "token_bytes"), "vocabulary")}.items())
+    ship_package(df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast(rows)
+
+    @F.arrow_udf(T.StringType())
+    def dec(col: pa.Array) -> pa.Array:
+        known = np.array([i for i, _ in shared.value], np.int64)
+        tokens = pa.array([*(t for _, t in shared.value), b"\xff"], pa.large_binary())
+        values, first, many = _lists(col)
+        wanted = pc.fill_null(values.cast(pa.int64()), -1).to_numpy(zero_copy_only=False)
+        code = np.searchsorted(known, wanted)
+        code[np.append(known, -1)[code] != wanted] = len(known)
+        _, ends, data = tokens.take(pa.array(code)).buffers()
+        ends = np.frombuffer(ends, np.int64)[np.append(first, len(code))] if len(code) else np.zeros(len(col) + 1, np.int64)
+        text = pa.Array.from_buffers(pa.large_binary(), len(col), [None, pa.py_buffer(ends), data or pa.py_buffer(b"")])
+        try:
+            text = text.cast(pa.string())
+        except pa.ArrowInvalid:     # some row is no UTF-8
+            text = pa.array([t.decode("utf-8", "replace") for t in text.to_pylist()], pa.string())
+        return pc.if_else(col.is_valid(), text, pa.scalar(None, pa.string()))
 
     return df.withColumn(out, dec(F.col(ids)))
 
@@ -605,7 +634,7 @@ def count_tokens(df: DataFrame, merges: DataFrame, text: str = "text",
     Tokens = Σ chunk count × token length of the distinct chunk: the distinct
     chunk table is encoded once; no per-document token array is built.
     """
-    enc = make_encoder(merges)
+    enc = make_encoder(merges, 0)
     docs = df.agg(F.count(F.lit(1)).alias("docs"), F.sum(F.length(text)).alias("chars"))
     counts = chunk_counts(df, text, pattern)
     chunk_tokens = counts.select((F.col("cnt") * F.size(enc(F.array("chunk")))).alias("t")).agg(
@@ -638,7 +667,7 @@ def compression_report(df: DataFrame, tokenizers: dict[str, DataFrame], by: str
     nbytes = df.groupBy(by).agg(F.sum(F.octet_length(text)).alias("bytes"))
     per = None
     for name, merges in tokenizers.items():
-        enc = make_encoder(merges)
+        enc = make_encoder(merges, 0)
         t = (counts.select(by, (F.col("cnt") * F.size(enc(F.array("chunk")))).alias("t"))
              .groupBy(by).agg(F.sum("t").alias("tokens")).withColumn("tokenizer", F.lit(name)))
         per = t if per is None else per.unionByName(t)
