@@ -376,6 +376,7 @@ def special_id(vocab: DataFrame, name: str) -> int | None:
 CHUNK_CACHE = 1 << 18   # chunks whose ids a worker keeps
 SHORT_BYTES = 64        # longer chunks are encoded one by one
 RUN_CHUNKS = 1 << 20    # chunks encoded at once
+RUN_WORDS = 1 << 17     # distinct chunks encoded at once
 
 
 def _ranks_dict(merges_rows) -> dict[tuple[int, int], int]:
@@ -505,6 +506,13 @@ def _cached_encoder(key, table) -> _Encoder:
     return st
 
 
+def _merge_table(merges: DataFrame) -> tuple[list[tuple[int, int, int]], int]:
+    """Merges (bounded by the vocabulary) as (left, right, new id), and their hash."""
+    table = [(int(r.left), int(r.right), int(r.new_id))
+             for r in _bounded_collect(merges.select("left", "right", "new_id").orderBy("new_id"), "merge table")]
+    return table, hash(tuple(table))
+
+
 def make_encoder(merges: DataFrame, keep: int = CHUNK_CACHE):
     """Arrow UDF ``ARRAY<STRING> chunks → ARRAY<INT> ids``; a null array has no ids.
 
@@ -512,9 +520,8 @@ def make_encoder(merges: DataFrame, keep: int = CHUNK_CACHE):
     each Python worker keeps the ids of at most about ``keep`` chunks (0: of none, for
     chunks that come once).
     """
-    table = [(int(r.left), int(r.right), int(r.new_id))
-             for r in _bounded_collect(merges.select("left", "right", "new_id").orderBy("new_id"), "merge table")]
-    key = (hash(tuple(table)), keep)
+    table, key = _merge_table(merges)
+    key = (key, keep)
     ship_package(merges.sparkSession)
     shared = merges.sparkSession.sparkContext.broadcast(table)
 
@@ -632,13 +639,31 @@ def count_tokens(df: DataFrame, merges: DataFrame, text: str = "text",
     """Docs, chars, tokens (+1 BOS per doc), chars/token, tokens/doc.
 
     Tokens = Σ chunk count × token length of the distinct chunk: the distinct
-    chunk table is encoded once; no per-document token array is built.
+    chunk table is encoded once; no per-document token array is built, and only sums
+    of many chunks leave Python.
     """
-    enc = make_encoder(merges, 0)
+    table, _ = _merge_table(merges)
+    ship_package(df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast(table)
+
+    def add_up(batches):
+        encoder, held, n = _Encoder(shared.value, 0), [], 0
+
+        def total():
+            encoder.forget()
+            encoder.learn(pa.concat_arrays([b.column(0) for b in held]))
+            cnt = np.concatenate([b.column(1).to_numpy(zero_copy_only=False) for b in held])
+            return pa.RecordBatch.from_arrays([pa.array([int((encoder.size * cnt).sum())], pa.int64())], names=["t"])
+        for b in batches:
+            held.append(b)
+            n += len(b)
+            if n >= RUN_WORDS:
+                yield total()
+                held, n = [], 0
+        if n:
+            yield total()
     docs = df.agg(F.count(F.lit(1)).alias("docs"), F.sum(F.length(text)).alias("chars"))
-    counts = chunk_counts(df, text, pattern)
-    chunk_tokens = counts.select((F.col("cnt") * F.size(enc(F.array("chunk")))).alias("t")).agg(
-        F.sum("t")).scalar()
+    chunk_tokens = chunk_counts(df, text, pattern).mapInArrow(add_up, "t bigint").agg(F.sum("t")).scalar()
     j = docs
     tokens = F.coalesce(chunk_tokens, F.lit(0)) + (F.col("docs") if bos else F.lit(0))
     return j.select("docs", "chars", tokens.alias("tokens"),
