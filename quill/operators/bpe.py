@@ -172,7 +172,17 @@ def _pairs(x: np.ndarray, cnt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys and the exact sums of their values."""
+    """Distinct pairs, ascending, and the exact sums of their values. Pairs of few tokens add up in a
+    table of all their pairs, others are sorted."""
+    rights = int((keys & 0xFFFFFFFF).max()) + 1 if len(keys) else 0
+    cells = (int(keys.max() >> 32) + 1) * rights if len(keys) else 0
+    if 0 < cells <= max(4 * len(keys), 1 << 16) and keys.min() >= 0:
+        code = (keys >> 32) * rights + (keys & 0xFFFFFFFF)
+        total, seen = np.zeros(cells, np.int64), np.zeros(cells, bool)
+        np.add.at(total, code, values)
+        seen[code] = True
+        at = np.flatnonzero(seen)
+        return at // rights << 32 | at % rights, total[at]
     order = np.argsort(keys, kind="stable")
     keys, values = keys[order], values[order]
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
