@@ -218,7 +218,7 @@ def render_conversation(df: DataFrame, merges: DataFrame, max_tokens: int = 2048
     spec = F.create_map(*[x for i, s in enumerate(specials) for x in (F.lit(s), F.lit(n_ranks + i))])
     enc = make_encoder(merges)
     toks = F.when(F.col("kind") == "special", F.array(spec[F.col("value")])) \
-        .otherwise(enc(pretokenize_col(F.col("value"))))
+        .otherwise(enc(F.when(F.col("kind") == "special", None).otherwise(pretokenize_col(F.col("value")))))
     s = segs.withColumn("toks", toks).withColumn("n", F.size("toks").cast("long"))
     s = prefix_sum(s, ["seg_no"], "n", out="start", inclusive=False, partition_by=[key])
     s = s.where(F.col("start") < max_tokens)

@@ -85,7 +85,8 @@ def prefix_aggregates(df: DataFrame, order: Sequence[str], specs: dict[str, Spec
     ``order`` may hold columns of any sortable type. Work is split into at most
     ``n_buckets`` range buckets (by default four a shuffle partition, fewer on small
     inputs); only per-bucket totals pass through a small
-    window and a broadcast. ``stop_above`` (the first column is a sum of non-negative
+    window and a broadcast. Groups that hold no more rows than a bucket each are not split at
+    all. ``stop_above`` (the first column is a sum of non-negative
     values) drops rows of buckets whose running base already exceeds it — for budgets that
     keep a prefix of a huge input. The input is evaluated and written once, here.
     """
@@ -98,6 +99,9 @@ def prefix_aggregates(df: DataFrame, order: Sequence[str], specs: dict[str, Spec
     n_rows = rows().count()
     if n_buckets is None:
         n_buckets = min(max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4), n_rows // ROWS_PER_BUCKET + 1)
+        if partition_by and n_buckets > 1:
+            largest = rows().groupBy(*partition_by).count().agg(F.max("count")).collect()[0][0]
+            n_buckets = 1 if largest <= ROWS_PER_BUCKET else n_buckets      # no group is worth splitting
     b = "__bucket"
     if n_buckets > 1:
         bounds = _range_bounds(rows(), order, n_buckets, n_rows)
@@ -120,7 +124,8 @@ def prefix_aggregates(df: DataFrame, order: Sequence[str], specs: dict[str, Spec
     else:
         kinds = dict(rows().dtypes)
         joined = rows().withColumn(b, F.lit(0)).withColumns({f"__base{i}": F.lit(0 if agg == "sum" else None).cast(kinds[f"__v{i}"]) for i, (agg, _) in how})
-    w = Window.partitionBy(*partition_by, b).orderBy(*order)
+    # small groups whole: what follows on the same groups needs no further shuffle
+    w = Window.partitionBy(*partition_by, *([b] if n_buckets > 1 or not partition_by else [])).orderBy(*order)
     upto = {inclusive: w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1) for inclusive in (True, False)}
     found = [combine[agg](F.col(f"__base{i}"), fn[agg](f"__v{i}").over(upto[inclusive])).alias(out) for out, (i, (agg, inclusive)) in zip(specs, how)]
     return joined.select(*(F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c not in specs), *found)
