@@ -1,6 +1,7 @@
 """The operators on Spark: odd rows (nulls, empty and very long texts, repeats, ties,
 clashing columns), empty tables, and the given tables against brute force."""
 
+import glob
 import hashlib
 import math
 import re
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from quill.llm import bpe_codec, embedding_dedup, fertility, html_wrapper, ngram_join, packing, ppm, quality_cnn, queries, toxicity, warc_zip
+from quill.llm import bpe_codec, components, embedding_dedup, fertility, html_wrapper, ngram_join, packing, ppm, quality_cnn, queries, tables, toxicity, warc_zip
 
 LONG = " ".join(f"w{i % 5003}x{i % 7}" for i in range(60_000))
 ODD = [
@@ -175,6 +176,58 @@ def test_near_duplicates_of_many_copies(spark, monkeypatch):
     assert got == {i: (len(sets[i]), find(i)) for i in range(len(rows))}
 
 
+def _sent(spark, monkeypatch, run):
+    """Rows that enter the prefix groups, and names of written tables left when ``run`` is over."""
+    seen, made, edges, stored = [], [], ngram_join.candidate_edges, tables.stored
+
+    def counted(rows, percent):
+        seen.append(rows.count())
+        return edges(rows, percent)
+
+    def kept(df, name):
+        made.append((name, stored(df, name)))
+        return made[-1][1]
+    monkeypatch.setattr(ngram_join, "candidate_edges", counted)
+    for module in (ngram_join, components):
+        monkeypatch.setattr(module, "stored", kept)
+    out = run()
+    left = Counter(name for name, df in made if glob.glob(df.stored_at.removeprefix("file:") + "/*"))
+    return out, seen[0], left
+
+
+def test_near_duplicates_move_repeats_only(spark, monkeypatch):
+    """Copies and n-grams that meet nobody are not shuffled, and tables that were read go."""
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 10**9, 60)), "en") for i in range(200)]
+    rows += [(1000 + 200 * c + i, rows[i][1], "en") for c in range(5) for i in range(200)]
+    near = rows[7][1].split()
+    rows.append((9000, " ".join(near[:-1] + ["other"]), "en"))
+    df = spark.createDataFrame(rows, SCHEMA).repartition(8, F.col("doc_id"))
+    got, sent, left = _sent(spark, monkeypatch, lambda: {r.doc_id: r.component_id for r in ngram_join.near_duplicates(df).collect()})
+    assert got == {i: 7 if i == 9000 else i if i < 200 else (i - 1000) % 200 for i, _, _ in rows}
+    assert sent < 2000          # of some 20,000 prefix n-grams, and 24,000 with the copies
+    assert set(left) == {"sets", "classes", "edges"} and left["edges"] <= 1
+
+
+def test_near_duplicates_with_full_bit_tables(spark, odd, monkeypatch):
+    """What the tables let through by chance changes nothing."""
+    want = sorted(map(str, ngram_join.near_duplicates(odd).collect()))
+    kept = sorted(str(r.doc_id) for r in ngram_join.one_of_each(odd).collect())
+    for name, value in (("BITS", 64), ("REPEATS", 1 << 12)):
+        monkeypatch.setattr(ngram_join, name, value)
+    assert sorted(map(str, ngram_join.near_duplicates(odd).collect())) == want
+    assert sorted(str(r.doc_id) for r in ngram_join.one_of_each(odd).collect()) == kept
+
+
+def test_one_of_each_moves_few_rows(spark):
+    """Rows are only joined where their key may be one that goes."""
+    rows = [(i, f"alpha beta gamma delta epsilon zeta eta theta iota {i} " * 3, "en") for i in range(50)] + [(100 + i, f"alpha beta gamma delta epsilon zeta eta theta iota {i} " * 3, "en") for i in range(5)]
+    out = ngram_join.one_of_each(spark.createDataFrame(rows, SCHEMA))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "LeftAnti" in plan and "LeftSemi" not in plan
+    assert not {r.doc_id for r in out.collect()} & {100, 101, 102, 103, 104}
+
+
 def brute_components(rows, threshold=0.93):
     low = list(range(len(rows)))
     links = [0] * len(rows)
@@ -379,3 +432,13 @@ def test_classifier_samples_whole_rows(spark, monkeypatch):
     quality_cnn.fit(df, labels, max_bytes=40_000)
     n = len(quality_cnn.chunk_starts(9000))
     assert len(got[0]) > 20 and set(got[0]) == {n} and got[1] == [n] * 5
+
+
+def test_pipeline_keeps_one_stage_table(spark, odd, monkeypatch):
+    """The table of a stage goes when the next stage is written; the input stays."""
+    made, stored = [], tables.stored
+    monkeypatch.setattr(corpus_pipeline, "stored", lambda df, name: made.append(stored(df, name)) or made[-1])
+    monkeypatch.setattr(corpus_pipeline, "named", lambda *a: odd)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(str(i), lambda spark, docs, sf: docs) for i in range(3)])
+    assert corpus_pipeline.run(spark, "unused").count() == len(ODD)
+    assert [bool(glob.glob(df.stored_at.removeprefix("file:") + "/*")) for df in made] == [False, False, True]
