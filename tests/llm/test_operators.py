@@ -439,6 +439,6 @@ def test_pipeline_keeps_one_stage_table(spark, odd, monkeypatch):
     made, stored = [], tables.stored
     monkeypatch.setattr(corpus_pipeline, "stored", lambda df, name: made.append(stored(df, name)) or made[-1])
     monkeypatch.setattr(corpus_pipeline, "named", lambda *a: odd)
-    monkeypatch.setattr(corpus_pipeline, "STAGES", [(str(i), lambda spark, docs, sf: docs) for i in range(3)])
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(str(i), lambda spark, docs, sf: made.append(stored(docs, "own")) or made[-1]) for i in range(3)])
     assert corpus_pipeline.run(spark, "unused").count() == len(ODD)
-    assert [bool(glob.glob(df.stored_at.removeprefix("file:") + "/*")) for df in made] == [False, False, True]
+    assert [bool(glob.glob(df.stored_at.removeprefix("file:") + "/*")) for df in made] == [False] * 5 + [True]
