@@ -13,16 +13,18 @@ probability.
 
 The counts are gathered from every training text: symbol runs of ``order + 1`` are
 counted in each task and summed by Spark; shorter contexts follow by counting. The
-order is the same at every size. Levels of at most ``max_entries`` runs go to the
-tasks as a trie (runs of two symbols always fit). Longer levels stay written tables:
-the distinct runs of the texts are joined with them level by level, from the longest
-context down, those left over are looked up in the trie, and each text sums its
-runs. What is broadcast has a fixed bound, and the scores are the same either way.
+order is the same at every size. At most ``max_entries`` runs go to the tasks as one
+trie. More are cut into shards by the two newest symbols of the context: a run meets
+the contexts of two symbols and more in one shard only, and the shorter ones, at most
+SYMBOLS ** 2 runs, are broadcast. A shard's trie is a file in the shared folder. A task
+keeps the runs of about ``HELD`` symbols of its texts by number, and looks the distinct
+ones up shard after shard. No run of a text is written or shuffled, what a task holds has
+a bound but for a context pair with very many runs, and the scores are the same either way.
 
 ``base_score`` is the unigram word model of the same training texts with add-one
 smoothing. Words that make up at least 1 / ``HEAVY`` of all tokens (at most that
-many) are broadcast with their counts; the other words of each text are joined with
-the word counts.
+many) are broadcast with their counts; the other words are looked up as the runs are,
+in files of word counts.
 
 Null and empty texts consist of the end symbol alone. Without training texts the
 models are uniform. Repeated rows are scored each; a null id belongs to fold 0.
@@ -30,14 +32,15 @@ models are uniform. Repeated rows are scored each; a null id belongs to fold 0.
 
 from __future__ import annotations
 
-import secrets
+import pickle
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quill.llm.tables import crc32_mod, map_arrow, skew_join, stored, text_bytes
+from quill.llm.tables import crc32_mod, discard, discard_folders, map_arrow, open_uri, shared_folder, shuffles_go, stored, text_bytes
 from quill.llm.words import word_hashes
 
 ORDER = 5
@@ -47,6 +50,8 @@ HEAVY = 1 << 18
 MAX_ENTRIES = 4_000_000
 SLAB = 1_000_000        # symbols or words counted at once
 SCORED = 400_000        # symbols scored at once, beside the trie
+HELD = 12_000_000       # symbols whose runs a task keeps by number, to look them up together
+FILE_WORDS = 1 << 20    # words in a file of word counts
 
 
 def events(text: bytes) -> bytes:
@@ -200,21 +205,21 @@ class Trie:
 
         self.escape = [self._escapes(k) for k in range(order + 1)]
 
+    def cells(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """``_left_out`` of a level."""
+        _, n, ctxs, total, kinds, _, _ = self.levels[k]
+        own = np.repeat(np.arange(len(ctxs)), kinds)
+        return _left_out(n, total[own], kinds[own])
+
     def _escapes(self, k: int) -> np.ndarray:
         """Escape probability by (total, kinds) of a context, as buckets."""
-        code, n, ctxs, total, kinds, _, _ = self.levels[k]
-        if not len(code):
-            return np.full((BUCKETS, BUCKETS), 0.5)
-        own = np.repeat(np.arange(len(ctxs)), kinds)
-        return escapes(*_left_out(n, total[own], kinds[own]))
+        return escapes(*self.cells(k)) if len(self.levels[k][0]) else np.full((BUCKETS, BUCKETS), 0.5)
 
-    def log10(self, code: np.ndarray, gone_n: np.ndarray | None = None, gone_kinds: np.ndarray | None = None) -> np.ndarray:
-        """log10 probability of the last symbol of each run given those before it;
-        ``gone``: what a context longer than the trie's has excluded."""
+    def log10(self, code: np.ndarray) -> np.ndarray:
+        """log10 probability of the last symbol of each run given those before it."""
         out = np.zeros(len(code))
         left = np.arange(len(code))
-        gone_n = np.zeros(len(code)) if gone_n is None else gone_n.copy()       # excluded by the longer context
-        gone_kinds = np.zeros(len(code)) if gone_kinds is None else gone_kinds.copy()
+        gone_n, gone_kinds = np.zeros(len(code)), np.zeros(len(code))       # excluded by the longer context
         for k in range(self.order, -1, -1):
             grams, n, ctxs, total, kinds, _, below = self.levels[k]
             if not len(left) or not len(grams):
@@ -241,6 +246,173 @@ class Trie:
         return np.bincount(own, self.log10(every)[at], len(texts))
 
 
+def _last(code: str, symbols: int) -> Column:
+    return F.col(code).bitwiseAND(F.lit((1 << (SHIFT * symbols)) - 1))
+
+
+NEWEST = 2              # context symbols that a shard is named by
+
+
+def _shard(code, shards: int):
+    """Shard of a run, of an array or a column."""
+    newest = (1 << (SHIFT * NEWEST)) - 1
+    if isinstance(code, np.ndarray):
+        return ((code >> SHIFT & newest) * 2654435761 >> 15) % shards
+    return F.pmod(F.shiftright(F.shiftright(code, SHIFT).bitwiseAND(F.lit(newest)) * F.lit(2654435761), 15), F.lit(shards)).cast("int")
+
+
+def _files(rows: DataFrame, folder: str, build, schema: str) -> dict[int, tuple]:
+    """``rows`` start with a column ``part``. Each part's arrays go through ``build(part, *arrays)``,
+    which gives what is pickled to the part's file and a note; returns path and note by part.
+    File names are unique to the task attempt."""
+    def run(batches):
+        fs, base = open_uri(folder)
+        current, held = None, []
+
+        def out():
+            keep, note = build(current, *(np.concatenate(c) for c in zip(*held, strict=True)))
+            raw = pickle.dumps(keep, protocol=5)
+            path = f"{current}-{uuid.uuid4().hex}"
+            with fs.open_output_stream(f"{base}/{path}") as f:
+                f.write(pa.compress(raw, codec="zstd", asbytes=True))
+            return pa.RecordBatch.from_arrays([pa.array([current], pa.int32()), pa.array([path]), pa.array([len(raw)], pa.int64()), pa.array([pickle.dumps(note)], pa.binary())], names=["part", "path", "size", "note"])
+        for b in batches:
+            part = b.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if lo < hi:
+                    if part[lo] != current and held:
+                        yield out()
+                        held = []
+                    current = int(part[lo])
+                    held.append([c.slice(lo, hi - lo).to_numpy() for c in b.columns[1:]])
+        if held:
+            yield out()
+    with shuffles_go(rows.sparkSession):        # a row for each part
+        found = map_arrow(rows.repartition("part").sortWithinPartitions("part"), run, schema).collect()
+    return {r.part: (r.path, r.size, pickle.loads(r.note)) for r in found}
+
+
+_FILE = "part int, path string, size bigint, note binary"
+
+
+def _read(folder: str, path: str, size: int):
+    fs, base = open_uri(folder)
+    with fs.open_input_stream(f"{base}/{path}") as f:
+        return pickle.loads(pa.decompress(f.read(), size, codec="zstd", asbytes=True))
+
+
+def _narrow(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.int32) if len(x) == 0 or x.max() < 2**31 else x
+
+
+class Shards:
+    """The trie in files: levels of NEWEST context symbols and more by shard, the others at hand."""
+
+    def __init__(self, runs: DataFrame, order: int, shards: int):
+        spark = runs.sparkSession
+        self.order, self.shards, self.folder = order, shards, shared_folder(spark, "ppm-shards")
+        pairs = runs.groupBy(_last("code", NEWEST + 1).alias("code")).agg(F.count(F.lit(1)).alias("n"))
+        with shuffles_go(spark):        # at most SYMBOLS ** 2 rows
+            low = pairs.groupBy(_last("code", NEWEST).alias("code")).agg(F.count(F.lit(1)).alias("n")).toArrow()
+        low = Trie(low.column("code").to_numpy(), low.column("n").to_numpy(), NEWEST - 1)
+        self.low, self.escape = low.levels, low.escape
+        given = spark.sparkContext.broadcast(low.levels)
+
+        def build(part, code, n):
+            t = Trie(code, n, order)
+            code, _, _, _, _, at, _ = t.levels[NEWEST]
+            below = given.value[-1]     # symbols of a context one order below lie in other shards too
+            t.levels[NEWEST][6] = np.add.reduceat(below[1][np.searchsorted(below[0], code & ((1 << (SHIFT * NEWEST)) - 1))], at)
+            levels = [[x[0], _narrow(x[1]), x[2], _narrow(x[3]), _narrow(x[4]), None, _narrow(x[6])] for x in t.levels[NEWEST:]]
+            return levels, [t.cells(k) for k in range(NEWEST, order + 1)]
+        files = _files(runs.select(_shard(F.col("code"), shards).alias("part"), "code", "n"), self.folder, build, _FILE)
+        self.files = {p: (path, size) for p, (path, size, _) in files.items()}
+        for k in range(order + 1 - NEWEST):
+            self.escape = [*self.escape, escapes(*(sum(note[k][i] for _, _, note in files.values()) for i in (0, 1)))]
+
+    def log10(self, code: np.ndarray) -> np.ndarray:
+        out, shard = np.zeros(len(code)), _shard(code, self.shards)
+        for p in np.unique(shard).tolist():
+            pick = np.flatnonzero(shard == p)
+            t = Trie.__new__(Trie)
+            empty = [np.empty(0, np.int64)] * 7
+            t.order, t.escape = self.order, self.escape
+            t.levels = [*self.low, *(_read(self.folder, *self.files[p]) if p in self.files else [empty] * (self.order + 1 - NEWEST))]
+            out[pick] = t.log10(code[pick])
+        return out
+
+
+class Words:
+    """Counts of the words that aren't broadcast, in files."""
+
+    def __init__(self, words: DataFrame):
+        spark = words.sparkSession
+        self.folder = shared_folder(spark, "ppm-words")
+        self.parts = 1 << (words.count() // FILE_WORDS).bit_length()
+
+        def build(part, code, n):
+            o = np.argsort(code)
+            return (code[o], _narrow(n[o])), None
+        files = _files(words.select(F.col("code").bitwiseAND(F.lit(self.parts - 1)).cast("int").alias("part"), "code", F.col("train").alias("n")), self.folder, build, _FILE)
+        self.files = {p: (path, size) for p, (path, size, _) in files.items()}
+
+    def __call__(self, code: np.ndarray) -> np.ndarray:
+        """Count of each word, 0 for others."""
+        out, part = np.zeros(len(code), np.int64), code & (self.parts - 1)
+        for p in np.unique(part).tolist():
+            if p in self.files:
+                pick = np.flatnonzero(part == p)
+                known, n = _read(self.folder, *self.files[p])
+                at = np.minimum(np.searchsorted(known, code[pick]), len(known) - 1)
+                out[pick] = np.where(known[at] == code[pick], n[at], 0)
+        return out
+
+
+def _numbered(parts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Distinct values of all arrays, and the numbers of each array's values among them."""
+    every, at = np.unique(np.concatenate(parts), return_inverse=True)
+    return every, np.split(at, np.cumsum([len(p) for p in parts])[:-1])
+
+
+class _Held:
+    """Texts of a task whose runs and rarer words are looked up together."""
+
+    def __init__(self, order: int):
+        self.order, self.size = order, 0
+        self.rows: list = []        # keys, flags, words, logs, known, points of the trie
+        self.runs: list = []        # distinct runs of some texts, the number of each symbol's run, symbols of each text
+        self.words: list = []       # words of some texts, their texts and times in them, texts
+
+    def add_runs(self, texts: list[bytes]) -> None:
+        code, own = runs(texts, self.order)
+        every, at = np.unique(code, return_inverse=True)
+        self.runs.append((every, at.astype(np.int32), np.bincount(own, minlength=len(texts))))
+
+    def run_points(self, shards: Shards) -> np.ndarray:
+        every, numbers = _numbered([r[0] for r in self.runs])
+        points = shards.log10(every)
+        return np.concatenate([np.add.reduceat(points[i][at], np.concatenate(([0], np.cumsum(size)[:-1]))) for i, (_, at, size) in zip(numbers, self.runs)])
+
+    def word_points(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """What the rarer words add to each text's sum of logs and known words."""
+        every, numbers = _numbered([w[0] for w in self.words])
+        n = words(every)
+        logs, known = [], []
+        for i, (_, own, times, m) in zip(numbers, self.words):
+            c = n[i]
+            logs.append(np.bincount(own, times * np.log10(c + 1), m))
+            known.append(np.bincount(own, times * (c > 0), m).astype(np.int64))
+        return np.concatenate(logs), np.concatenate(known)
+
+
+def score(self, texts: list[bytes]) -> np.ndarray:
+        """log10 probability of each text."""
+        code, own = runs(texts, self.order)
+        every, at = np.unique(code, return_inverse=True)
+        return np.bincount(own, self.log10(every)[at], len(texts))
+
+
 def trie_of(run_counts: DataFrame, order: int, max_entries: int) -> tuple[Trie, list[DataFrame]]:
     """The trie of the longest contexts that fit ``max_entries``, and the tables (code, n)
     of the levels above it, the longest first, with the trie's own level at the end."""
@@ -326,14 +498,33 @@ def score(df: DataFrame, train: str, key: str = "doc_id", text: str = "text", or
     heavy = words.where(F.col("total") > least).select("code", "train").toArrow()
     code = heavy.column("code").to_numpy().view(np.uint64)
     o = np.argsort(code)
-    trie, levels = trie_of(table.where("kind = 1"), order, max_entries)
-    joined = len(levels) > 1
-    shared = spark.sparkContext.broadcast((trie, code[o], heavy.column("train").to_numpy()[o]))
+    n_runs = table.where("kind = 1").count()
+    level = table.where("kind = 1").select("code", F.col("train").alias("n"))
+    in_files = order >= NEWEST and n_runs > max_entries
+    if in_files:
+        trie = Shards(level, order, -(-4 * n_runs // max_entries))
+    else:
+        got = level.toArrow()           # at most max_entries rows of 16 bytes
+        trie = Trie(got.column("code").to_numpy(), got.column("n").to_numpy(), order)
+    light = Words(words.where((F.col("total") <= least) & (F.col("train") > 0)))
+    discard(table)
+    shared = spark.sparkContext.broadcast((trie, light, code[o], heavy.column("train").to_numpy()[o]))
 
     def run(batches):
-        trie, code, n = shared.value
-        base = secrets.randbits(62)     # row ids only tie the two tables of this run
-        serial = 0
+        trie, light, code, n = shared.value
+        held = _Held(order)
+
+        def out():
+            keys, flags, n_words, logs, known, points = zip(*held.rows, strict=True)
+            more, more_known = held.word_points(light)
+            points = held.run_points(trie) if in_files else np.concatenate(points)
+            logs, known, n_words = np.concatenate(logs) + more, np.concatenate(known) + more_known, np.concatenate(n_words)
+            at = 0
+            for k, f in zip(keys, flags, strict=True):
+                s = slice(at, at + len(k))
+                at += len(k)
+                yield pa.RecordBatch.from_arrays([k, f, pa.array(n_words[s], pa.int64()), pa.array(logs[s]), pa.array(known[s], pa.int64()), pa.array(points[s])],
+                                                 names=["key", "train", "n_words", "logs", "known", "score"])
         for b in batches:
             keys, flags = b.column(0), b.column(2)
             texts = b.column(1).to_pylist()
@@ -344,8 +535,12 @@ def score(df: DataFrame, train: str, key: str = "doc_id", text: str = "text", or
                     size += len(texts[hi])
                     hi += 1
                 part = texts[lo:hi]
-                points = np.zeros(len(part)) if joined else trie.score([events(t) for t in part])
-                n_words, logs, known, rest, times = [], [], [], [], []
+                if in_files:
+                    points = None
+                    held.add_runs([events(t) for t in part])
+                else:
+                    points = trie.score([events(t) for t in part])
+                n_words, logs, known, rest = [], [], [], []
                 for t in part:
                     h = word_hashes(t)
                     n_words.append(len(h))
@@ -359,42 +554,26 @@ def score(df: DataFrame, train: str, key: str = "doc_id", text: str = "text", or
                     else:
                         logs.append(0.0)
                         known.append(0)
-                    w, tf = np.unique(h, return_counts=True)
-                    rest.append(w.view(np.int64))
-                    times.append(tf.astype(np.int32))
+                    rest.append(h.view(np.int64))
                 m = hi - lo
-                ids = (base + np.arange(serial, serial + m)) & ((1 << 62) - 1)
-                serial += m
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids.astype(np.int64)), keys.slice(lo, m), flags.slice(lo, m), pa.array(n_words, pa.int64()), pa.array(logs), pa.array(known, pa.int64()),
-                     pa.array(points), pa.array(rest, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32()))],
-                    names=["row", "key", "train", "n_words", "logs", "known", "score", "rest", "times"])
-                if joined:              # the text's runs, in rows of bounded size without a word count
-                    for i, t in zip(ids.tolist(), part, strict=True):
-                        w, tf = np.unique(runs([events(t)], order)[0], return_counts=True)
-                        for at in range(0, len(w), 50_000):
-                            s = slice(at, at + 50_000)
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array([i], pa.int64()), pa.nulls(1, keys.type), pa.nulls(1, flags.type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.float64()),
-                                 pa.nulls(1, pa.int64()), pa.nulls(1, pa.float64()), pa.array([w[s]], pa.list_(pa.int64())), pa.array([tf[s].astype(np.int32)], pa.list_(pa.int32()))],
-                                names=["row", "key", "train", "n_words", "logs", "known", "score", "rest", "times"])
+                w, at = np.unique(np.concatenate(rest), return_inverse=True)
+                pair, times = np.unique(np.repeat(np.arange(m), [len(x) for x in rest]) * max(1, len(w)) + at, return_counts=True)
+                own, at = pair // max(1, len(w)), pair % max(1, len(w))
+                held.words.append((w[at], own.astype(np.int32), times.astype(np.int32), m))
+                held.rows.append((keys.slice(lo, m), flags.slice(lo, m), np.array(n_words, np.int64), np.array(logs), np.array(known, np.int64), points))
+                held.size += size + m
+                if held.size >= HELD:
+                    yield from out()
+                    held = _Held(order)
                 lo = hi
-    scored = stored(map_arrow(docs, run, f"row bigint, key {kind}, train boolean, n_words bigint, logs double, known bigint, score double, rest array<bigint>, times array<int>"), "ppm-scored")
-    if joined:
-        asked = scored.where("n_words is null").select("row", F.explode(F.arrays_zip("rest", "times")).alias("w")).select("row", F.col("w.rest").alias("code"), F.col("w.times").alias("times"))
-        points = stored(log10_of(asked.select("code").distinct(), shared, levels, order), "ppm-points")
-        points = skew_join(asked, points, "code").groupBy("row").agg(F.sum(F.col("times") * F.col("points")).alias("score"))
-        scored = scored.where("n_words is not null").drop("score").join(points, "row")
-    rare = scored.select("row", F.explode(F.arrays_zip("rest", "times")).alias("w")).select("row", F.col("w.rest").alias("code"), F.col("w.times").alias("times"))
-    c = F.coalesce("train", F.lit(0))
-    light = words.where(F.col("total") <= least).select("code", "train")
-    sums_of = (rare.join(light, "code", "left").groupBy("row")
-               .agg(F.sum(F.col("times") * F.log10(c + 1)).alias("more"), F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known")))
-    d = scored.drop("rest", "times").join(sums_of, "row", "left")
+        if held.rows:
+            yield from out()
+    scored = stored(map_arrow(docs, run, f"key {kind}, train boolean, n_words bigint, logs double, known bigint, score double"), "ppm-scored")
+    discard_folders(spark, light.folder, *([trie.folder] if in_files else []))
     n_tokens = F.col("n_words") + 1
     end = float(np.log10(n_train + 1))
-    base_score = F.col("logs") + F.coalesce("more", F.lit(0.0)) + F.lit(end) - n_tokens * F.lit(float(np.log10(tokens + vocab + 1)))
-    return d.select(F.col("key").alias(key), "train", n_tokens.alias("n_tokens"), (F.col("known") + F.coalesce("more_known", F.lit(0)) + (1 if n_train else 0)).alias("n_known"),
+    base_score = F.col("logs") + F.lit(end) - n_tokens * F.lit(float(np.log10(tokens + vocab + 1)))
+    return scored.select(F.col("key").alias(key), "train", n_tokens.alias("n_tokens"), (F.col("known") + (1 if n_train else 0)).alias("n_known"),
                     F.lit(tokens).cast("long").alias("train_tokens"), base_score.alias("base_score"), "score")
 
 

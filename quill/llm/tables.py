@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,11 +83,22 @@ def only_result_stays() -> Iterator[None]:
 def discard(*tables: DataFrame) -> None:
     """Delete tables of ``stored`` that nothing reads any more."""
     for df in tables:
-        sc = df.sparkSession.sparkContext
-        hadoop = sc._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        discard_folders(df.sparkSession, df.stored_at)
+
+
+def discard_folders(spark: SparkSession, *paths: str) -> None:
+    """Delete folders of ``shared_folder`` that nothing reads any more."""
+    sc = spark.sparkContext
+    for path in paths:
+        hadoop = sc._jvm.org.apache.hadoop.fs.Path(path)
         hadoop.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def open_uri(path: str):
+    """File system and path, for files that tasks write and read themselves."""
+    return pafs.FileSystem.from_uri(path if "://" in path else path.replace("file:/", "file:///", 1) if path.startswith("file:/") else "file://" + path)
+
+
 def bit_table(df: DataFrame, column: str, bits: int) -> np.ndarray:
     """A bit for each slot ``pmod(column, bits)``, 64 to a word."""
     slot = F.pmod(F.col(column), F.lit(bits)).alias("s")

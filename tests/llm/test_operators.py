@@ -303,6 +303,26 @@ def test_ppm_scores_do_not_depend_on_the_size_of_the_trie(odd):
         assert a[:3] == b[:3] and b[3:] == pytest.approx(a[3:], rel=1e-9)
 
 
+def test_ppm_moves_no_runs_of_texts(odd, monkeypatch):
+    """Where the trie is in files, too, a text is one row of sums, and what was read goes."""
+    want = sorted((str(r.doc_id), r.n_tokens, r.n_known, r.base_score, r.score) for r in ppm.score_held_out(odd).collect())
+    made, stored = [], tables.stored
+
+    def kept(df, name):
+        out = stored(df, name)
+        made.append((name, out.count(), out))
+        return out
+    monkeypatch.setattr(ppm, "stored", kept)
+    monkeypatch.setattr(ppm, "HELD", 50)        # looked up after every few texts
+    monkeypatch.setattr(ppm, "SCORED", 50)
+    monkeypatch.setattr(ppm, "FILE_WORDS", 10)
+    got = sorted((str(r.doc_id), r.n_tokens, r.n_known, r.base_score, r.score) for r in ppm.score_held_out(odd, max_entries=2000).collect())
+    for a, b in zip(want, got, strict=True):
+        assert a[:3] == b[:3] and b[3:] == pytest.approx(a[3:], rel=1e-9)
+    assert [name for name, _, _ in made] == ["ppm-counts", "ppm-scored"] and made[1][1] == len(ODD)
+    assert not glob.glob(made[0][2].stored_at.removeprefix("file:") + "/*")
+
+
 def test_classifiers_on_odd_and_empty_tables(odd, none, spark):
     labels = spark.createDataFrame([(i, i % 2, 1 - i % 2) for i in range(1, 12)] + [(None, 1, 1), (6, None, None)], "doc_id bigint, quality int, toxic int")
     w = quality_cnn.fit(odd, labels, steps=5)
