@@ -3,6 +3,7 @@ import os
 import random
 import tempfile
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -212,3 +213,25 @@ def test_early_documents_wait_in_pages():
     flat = [t for d in docs for t in d]
     got = come(range(1, 300)) + come([0, 5]) + come([999])
     assert got == flat[:len(flat) // 11 * 11] and not any(handle.maps.values())
+
+
+def test_pack_stream_leaves_its_blocks_only(spark, monkeypatch):
+    """What numbered the documents, the source that was passed through, the state and the shuffle files go."""
+    from quill import catalog, session
+    made, folder = [], session.shared_folder
+    bases, base = [], catalog._folder
+    monkeypatch.setattr(session, "shared_folder", lambda *a: made.append(folder(*a)) or made[-1])
+    monkeypatch.setattr(catalog, "_folder", lambda *a: bases.append(base(*a)) or bases[-1])
+    rows = catalog.QUERIES["pack_stream"](spark, "/root/testdata/sf0.001")
+    assert rows.count() and made and not any(os.path.exists(p.removeprefix("file:")) for p in made)
+    assert os.listdir(bases[0].removeprefix("file:")) == ["out"]
+    assert spark.conf.get(session.SHUFFLES_GO, None) is None
+
+
+def test_early_documents_are_kept_small():
+    from quill.streaming import stream
+    rng = random.Random(3)
+    ids = np.array([rng.choice(b"etaoin shrdlu") for _ in range(4000)], np.int32)
+    assert len(stream._packed(ids)) < len(ids)          # four bytes an id before
+    for x in (ids, ids[:0], np.array([-1, 2**31 - 1, 70_000, 0], np.int32)):
+        assert (stream._unpacked(stream._packed(x), len(x)) == x).all()
