@@ -50,7 +50,7 @@ HEAVY = 1 << 18
 MAX_ENTRIES = 4_000_000
 SLAB = 1_000_000        # symbols or words counted at once
 SCORED = 400_000        # symbols scored at once, beside the trie
-HELD = 12_000_000       # symbols whose runs a task keeps by number, to look them up together
+HELD = 8_000_000        # symbols whose runs a task keeps by number, to look them up together
 FILE_WORDS = 1 << 20    # words in a file of word counts
 
 
